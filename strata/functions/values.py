@@ -58,7 +58,7 @@ def parse_date(col: Column | str) -> Column:
     Accepts ``dd/MM/yyyy``, one-digit day or month, and the space-separated
     ``d M yyyy`` form; impossible dates (31/02) are null, never an error.
     """
-    return F.try_to_date(normalise_date_text(col), F.lit("d/M/yyyy"))
+    return F.try_to_date(normalise_date_text(col), "d/M/yyyy")
 
 
 def first_nonblank(*cols: Column | str) -> Column:

@@ -64,3 +64,245 @@ FROM g CROSS JOIN st LEFT JOIN c ON c.y = g.y AND c.m = g.m AND c.p = g.p
 QUERIES = {
     "q_jsonstat_unpack": q_jsonstat_unpack,
 }
+
+from strata.fixed_values import SALES_MONEY_CHARS  # noqa: E402
+from strata.functions.coerce import add_lineage, coerce_strings, ensure_year  # noqa: E402
+from strata.functions.names import clean_columns, drop_code_columns  # noqa: E402
+from strata.functions.values import (chart_time, first_nonblank, first_year, keep_blank_or_no,  # noqa: E402
+                                     lookup, month_of_period, parse_date, parse_money)
+from strata.operators import jsonstat  # noqa: E402
+from strata.operators.quality import drop_nulls_observed  # noqa: E402
+
+
+def q_jsonstat_index_forms(spark, sf_dir):
+    docs = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"), by_status=True, vary_forms=True)
+    root = _land_docs(spark, docs, "orders_status_cube")
+    silver, _ = cube_silver(read_documents(spark, root), "ORD02", RUN_DATE)
+    return silver.select("statistic", "period", "order_priority", "order_status", "metric_value", "year")
+
+
+def q_json_rejects(spark, sf_dir):
+    good = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"))
+    root = _land_docs(spark, fixtures.broken_docs(good), "orders_cube_mixed")
+    parsed = jsonstat.parse(read_documents(spark, root).select("path", "body"))
+    return (parsed.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_docs")))
+
+
+def q_clean_columns(spark, sf_dir):
+    awkward = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("Customer Key"), F.col("c_name").alias(" Name (Full) "),
+        F.col("c_nationkey").alias("Nation-Code"), F.col("c_acctbal").alias("Account/Balance"),
+        F.col("c_mktsegment").alias("Market Segment"))
+    return clean_columns(awkward, cube=True)
+
+
+def q_drop_code_columns(spark, sf_dir):
+    extract = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("STATISTIC"),
+        F.col("c_mktsegment").alias("Statistic Label"),
+        F.lit("2024").alias("TLIST(A1)"),
+        F.col("c_nationkey").cast("string").alias("C02970V03592"),
+        F.concat(F.lit("Nation "), F.col("c_nationkey")).alias("Nation Name"),
+        F.lit("EUR").alias("UNIT"),
+        F.col("c_acctbal").alias("Account Balance (EUR)"),
+        F.col("c_custkey").alias("Customer-Key/ID"))
+    return clean_columns(drop_code_columns(extract), cube=False)
+
+
+def q_lineage_columns(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return add_lineage(orders, "ORDERS", RUN_DATE, coverage="all", county="n/a")
+
+
+def q_fallback_year(spark, sf_dir):
+    with_text = table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("source"),
+        F.concat(F.lit("FY"), F.year("o_orderdate"), F.lit("/Q"), F.quarter("o_orderdate")).alias("year"))
+    without = table(spark, sf_dir, "customer").select(F.lit("customer").alias("source"))
+    both = ensure_year(with_text, RUN_YEAR).unionByName(ensure_year(without, RUN_YEAR))
+    return both.groupBy("source", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_coerce_strings(spark, sf_dir):
+    text = table(spark, sf_dir, "lineitem").select(
+        *[F.col(c).cast("string").alias(c) for c in
+          ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")],
+        F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.col("l_discount").cast("string"))
+        .alias("l_discount"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"))
+    return coerce_strings(text)
+
+
+def q_chart_time(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    return (orders.groupBy("year").agg(F.count(F.lit(1)).alias("n_orders"))
+            .withColumn("chart_time", chart_time("year")))
+
+
+def q_in_list(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.filter(F.col("p_type").isin("ECONOMY", "SMALL", "STANDARD")) \
+        .select("p_partkey", "p_type", "p_retailprice")
+
+
+def q_conjunct(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")) \
+        .select("o_orderkey", "o_totalprice")
+
+
+EVENT_FLAGS = {"view": "No", "click": "NO", "purchase": "", "signup": " no"}
+
+
+def q_keep_blank_or_no(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn(
+        "flag", F.when(F.col("value") >= 450, F.lit("Yes")).otherwise(lookup("event_type", EVENT_FLAGS)))
+    return events.filter(keep_blank_or_no("flag")).select("event_id", "event_type", "flag")
+
+
+def _order_date_text():
+    d = F.col("o_orderdate")
+    return (F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(d, "d M yyyy"))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit(" "), F.date_format(d, "d MM yyyy"), F.lit(" ")))
+            .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(d, "dd/MM/yyyy"))
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.date_format(d, "d/MM/yyyy"))
+            .otherwise(F.date_format(d, "yyyy")))
+
+
+def q_valid_dates(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", parse_date(_order_date_text()).alias("date_of_sale"))
+    kept, _ = drop_nulls_observed(orders, "date_of_sale")
+    return kept.withColumns({"year": F.year("date_of_sale"), "month": F.month("date_of_sale")})
+
+
+def _price_text():
+    price = F.format_number("p_retailprice", 2)
+    return (F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("€"), price))
+            .when(F.col("p_type") == "SMALL", F.concat(F.lit("\x80"), price))
+            .otherwise(F.concat(F.lit("? "), F.regexp_replace(price, ",", " "))))
+
+
+def q_money_clean(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", parse_money(_price_text(), SALES_MONEY_CHARS).alias("price_eur"))
+
+
+def q_first_nonblank(spark, sf_dir):
+    seg = F.col("c_mktsegment")
+    eircode = (F.when(seg.isin("BUILDING", "MACHINERY"),
+                      F.concat(F.lit("D"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
+                               F.lit(" "), F.substring("c_name", -4, 4)))
+               .when(seg == "FURNITURE", F.lit("")))
+    postal = F.when(seg != "AUTOMOBILE", F.concat(F.lit("Dublin "), F.col("c_nationkey")))
+    customer = table(spark, sf_dir, "customer")
+    return customer.select("c_custkey", first_nonblank(eircode, postal).alias("location_code"))
+
+
+def q_month_map(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy MMMM").alias("period"))
+    return orders.select("o_orderkey", first_year("period").alias("year"),
+                         month_of_period("period").alias("month"))
+
+
+ORACLES.update({
+    "q_jsonstat_index_forms": f"""
+WITH c AS (SELECT year(o_orderdate)::INT AS y, o_orderstatus AS t, month(o_orderdate)::INT AS m,
+                  o_orderpriority AS p, count(*)::DOUBLE AS n, round(sum(o_totalprice), 2) AS s
+           FROM orders GROUP BY ALL),
+  g AS (SELECT a.y, a.t, a.m, b.p FROM (SELECT DISTINCT y, t, m FROM c) a
+        JOIN (SELECT DISTINCT y, t, p FROM c) b ON a.y = b.y AND a.t = b.t),
+  st(k, statistic) AS (VALUES (0, 'Number of Orders'), (1, 'Total Order Value'))
+SELECT st.statistic, strftime(make_date(g.y, g.m, 1), '%Y %B') AS period,
+       CASE WHEN g.p = '5-LOW' THEN 'P5' ELSE g.p END AS order_priority,
+       'Status ' || g.t AS order_status,
+       CASE WHEN st.k = 0 THEN c.n ELSE c.s END AS metric_value, g.y AS year
+FROM g CROSS JOIN st LEFT JOIN c ON c.y = g.y AND c.t = g.t AND c.m = g.m AND c.p = g.p
+""",
+    "q_json_rejects": """
+SELECT r.reason, count(DISTINCT year(o_orderdate))::BIGINT AS n_docs
+FROM orders CROSS JOIN (VALUES ('accepted'), ('error_reply'), ('malformed'), ('no_values'),
+     ('shape_mismatch'), ('missing_dimension'), ('short_codes')) r(reason)
+GROUP BY r.reason
+""",
+    "q_clean_columns": """
+SELECT c_custkey AS customer_key, c_name AS name_full, c_nationkey AS nation_code,
+       c_acctbal AS account_balance, c_mktsegment AS market_segment FROM customer
+""",
+    "q_drop_code_columns": """
+SELECT c_mktsegment AS statistic_label, 'Nation ' || c_nationkey AS nation_name,
+       c_acctbal AS account_balance_eur, c_custkey AS "customer-key/id" FROM customer
+""",
+    "q_lineage_columns": f"""
+SELECT o_orderkey, o_totalprice, 'ORDERS' AS source_dataset, '{RUN_DATE}' AS ingestion_date,
+       'all' AS coverage, 'n/a' AS county FROM orders
+""",
+    "q_fallback_year": f"""
+SELECT 'orders' AS source, year(o_orderdate)::INT AS year, count(*)::BIGINT AS n FROM orders GROUP BY 2
+UNION ALL
+SELECT 'customer', {RUN_YEAR}, count(*)::BIGINT FROM customer
+""",
+    "q_coerce_strings": """
+SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity,
+       l_extendedprice, l_returnflag,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_discount END AS l_discount,
+       strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate
+FROM lineitem
+""",
+    "q_chart_time": """
+SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders,
+       make_date(year(o_orderdate)::INT, 1, 1) AS chart_time
+FROM orders GROUP BY 1
+""",
+    "q_in_list": """
+SELECT p_partkey, p_type, p_retailprice FROM part WHERE p_type IN ('ECONOMY', 'SMALL', 'STANDARD')
+""",
+    "q_conjunct": """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+""",
+    "q_keep_blank_or_no": """
+WITH e AS (SELECT event_id, event_type,
+                  CASE WHEN value >= 450 THEN 'Yes'
+                       WHEN event_type = 'view' THEN 'No' WHEN event_type = 'click' THEN 'NO'
+                       WHEN event_type = 'purchase' THEN '' WHEN event_type = 'signup' THEN ' no'
+                  END AS flag FROM events)
+SELECT event_id, event_type, flag FROM e WHERE upper(flag) IN ('NO', '') OR flag IS NULL
+""",
+    "q_valid_dates": """
+SELECT o_orderkey, o_orderdate::DATE AS date_of_sale, year(o_orderdate)::INT AS year,
+       month(o_orderdate)::INT AS month
+FROM orders WHERE o_orderpriority <> '5-LOW'
+""",
+    "q_money_clean": "SELECT p_partkey, round(p_retailprice, 2) AS price_eur FROM part",
+    "q_first_nonblank": """
+SELECT c_custkey, coalesce(
+    nullif(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
+                  THEN 'D' || lpad(c_nationkey::VARCHAR, 2, '0') || ' ' || right(c_name, 4)
+                WHEN c_mktsegment = 'FURNITURE' THEN '' END, ''),
+    nullif(CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'Dublin ' || c_nationkey END, '')) AS location_code
+FROM customer
+""",
+    "q_month_map": """
+SELECT o_orderkey, year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month FROM orders
+""",
+})
+
+QUERIES.update({
+    "q_jsonstat_index_forms": q_jsonstat_index_forms,
+    "q_json_rejects": q_json_rejects,
+    "q_clean_columns": q_clean_columns,
+    "q_drop_code_columns": q_drop_code_columns,
+    "q_lineage_columns": q_lineage_columns,
+    "q_fallback_year": q_fallback_year,
+    "q_coerce_strings": q_coerce_strings,
+    "q_chart_time": q_chart_time,
+    "q_in_list": q_in_list,
+    "q_conjunct": q_conjunct,
+    "q_keep_blank_or_no": q_keep_blank_or_no,
+    "q_valid_dates": q_valid_dates,
+    "q_money_clean": q_money_clean,
+    "q_first_nonblank": q_first_nonblank,
+    "q_month_map": q_month_map,
+})

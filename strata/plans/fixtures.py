@@ -101,3 +101,30 @@ def orders_cube_docs(orders: DataFrame, by_status: bool = False, vary_forms: boo
         body = F.when(F.col("status") == "P", F.to_json(cube)).otherwise(body)
     return docs.select(F.concat_ws("-", *[F.col(k).cast("string") for k in doc_keys]).alias("doc_key"),
                        *doc_keys, body.alias("body"))
+
+
+# Broken variants of a good document, one per reject reason (body text edits).
+def broken_docs(good: DataFrame) -> DataFrame:
+    """For each good ``(doc_key, year, body)`` add one document per reject reason.
+
+    Returns ``(doc_key, year, expected, body)``; ``expected`` is the reason
+    the unpack must report (``accepted`` for the untouched document).
+    """
+    body = F.col("body")
+    last_size = F.get_json_object(body, "$.result.size[2]").cast("int")
+    variants = {
+        "accepted": body,
+        "error_reply": F.concat(F.lit('{"error": {"code": -32603, "message": "no data for '),
+                                F.col("year").cast("string"), F.lit('"}}')),
+        "malformed": F.expr("substring(body, 1, length(body) - 1)"),
+        "no_values": F.regexp_replace(body, r'"value":\[[^\]]*\]', '"value":{"0":1.0}'),
+        "shape_mismatch": F.regexp_replace(body, r'"size":\[', '"size":[1,'),
+        "missing_dimension": F.regexp_replace(
+            F.regexp_replace(body, r'"size":\[', '"size":[1,'), r'"id":\[', '"id":["EXTRA",'),
+        "short_codes": F.regexp_replace(
+            body, F.lit(r'"size":\[2,([0-9]+),[0-9]+\]'),
+            F.concat(F.lit('"size":[2,$1,'), (last_size + 1).cast("string"), F.lit("]"))),
+    }
+    return good.select("doc_key", "year", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("expected"), v.alias("body")) for k, v in variants.items()])).alias("v")
+    ).select("doc_key", "year", "v.expected", "v.body")
