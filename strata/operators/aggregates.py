@@ -45,12 +45,9 @@ def sum_by(df: DataFrame, keys: list[str], value: str, name: str, digits: int =
     return df.groupBy(*keys).agg(F.round(F.sum(value), digits).alias(name))
 
 
-def headline_stats(df: DataFrame, keys: list[str], value: str, names: dict[str, str],
-                   digits: int = 0, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """count, avg, median, min, max of ``value`` per group (A3, A4).
-
-    ``names`` maps any of ``count avg median min max`` to output names.
-    """
+def headline_aggs(value: str, names: dict[str, str], digits: int = 0,
+                  accuracy: int = MEDIAN_ACCURACY) -> list[Column]:
+    """Aggregate expressions for :func:`headline_stats`."""
     build = {
         "count": lambda: F.count(value),
         "avg": lambda: F.round(F.avg(value), digits),
@@ -58,7 +55,16 @@ def headline_stats(df: DataFrame, keys: list[str], value: str, names: dict[str,
         "min": lambda: F.round(F.min(value), digits),
         "max": lambda: F.round(F.max(value), digits),
     }
-    return df.groupBy(*keys).agg(*[build[k]().alias(v) for k, v in names.items()])
+    return [build[k]().alias(v) for k, v in names.items()]
+
+
+def headline_stats(df: DataFrame, keys: list[str], value: str, names: dict[str, str],
+                   digits: int = 0, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """count, avg, median, min, max of ``value`` per group (A3, A4).
+
+    ``names`` maps any of ``count avg median min max`` to output names.
+    """
+    return df.groupBy(*keys).agg(*headline_aggs(value, names, digits, accuracy))
 
 
 def pivot_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str,
@@ -77,6 +83,22 @@ def pivot_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str,
     return df.groupBy(*keys).pivot(name_col, names).agg(agg)
 
 
+def conditional_aggs(value: str, class_col: str, classes: dict[str, tuple[str, str]],
+                     digits: int = 0) -> list[Column]:
+    """Aggregate expressions for :func:`conditional_stats`.
+
+    A class without rows in a group gets a null count, as a left join of the
+    per-class aggregate would give; a class whose values are all null gets 0.
+    """
+    aggs = []
+    for cls, (count_name, avg_name) in classes.items():
+        hit = F.col(class_col) == F.lit(cls)
+        aggs.append(F.when(F.count_if(hit) > 0, F.count(F.when(hit, F.col(value))))
+                    .alias(count_name))
+        aggs.append(F.round(F.avg(F.when(hit, F.col(value))), digits).alias(avg_name))
+    return aggs
+
+
 def conditional_stats(df: DataFrame, keys: list[str], value: str, class_col: str,
                       classes: dict[str, tuple[str, str]], digits: int = 0) -> DataFrame:
     """Per class count and mean in one pass over ``df``.
@@ -84,12 +106,7 @@ def conditional_stats(df: DataFrame, keys: list[str], value: str, class_col: str
     ``classes`` maps a class value to (count column, average column).  Same
     result as filtering once per class and joining back, without the joins.
     """
-    aggs = []
-    for cls, (count_name, avg_name) in classes.items():
-        hit = F.col(class_col) == F.lit(cls)
-        aggs.append(F.count(F.when(hit, F.col(value))).alias(count_name))
-        aggs.append(F.round(F.avg(F.when(hit, F.col(value))), digits).alias(avg_name))
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*conditional_aggs(value, class_col, classes, digits))
 
 
 def class_slices(df: DataFrame, keys: list[str], value: str, class_col: str,

@@ -306,3 +306,261 @@ QUERIES.update({
     "q_first_nonblank": q_first_nonblank,
     "q_month_map": q_month_map,
 })
+
+from strata.plans import gold  # noqa: E402
+from strata.operators.aggregates import (group_stats, headline_stats, mean_of_means,  # noqa: E402
+                                         period_end, sum_by)
+from strata.operators.spine import key_spine, spine_join  # noqa: E402
+from strata.operators.trends import yoy  # noqa: E402
+from strata.functions.values import contains_ci  # noqa: E402
+
+RENT_NEEDLE = "e"      # analog of the Dublin filter on rent locations (priorities)
+DUBLIN_ANALOG = "high"  # analog location holding the "Dublin" rents in the summary
+
+
+def _orders_y(spark, sf_dir):
+    return table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+
+
+def q_group_stats(spark, sf_dir):
+    return group_stats(_orders_y(spark, sf_dir), ["o_orderpriority", "year"], "o_totalprice",
+                       avg="avg_price", min="min_price", max="max_price", count="n_orders")
+
+
+def q_pivot_wide(spark, sf_dir):
+    return gold.price_index(fixtures.price_silver(table(spark, sf_dir, "orders")), RUN_DATE)
+
+
+def q_yoy_by_key(spark, sf_dir):
+    return gold.rent_trends(fixtures.rents_silver(table(spark, sf_dir, "orders")), RUN_DATE)
+
+
+def q_sum_by_year(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    return sum_by(lines, ["year"], "l_quantity", "total_quantity", digits=0)
+
+
+def q_abs_change(spark, sf_dir):
+    return gold.permissions_trend(fixtures.permissions_silver(table(spark, sf_dir, "lineitem")), RUN_DATE)
+
+
+def q_median_by_year(spark, sf_dir):
+    return headline_stats(_orders_y(spark, sf_dir), ["year"], "o_totalprice",
+                          {"count": "n_orders", "avg": "avg_price", "median": "median_price",
+                           "min": "min_price", "max": "max_price"}, digits=2)
+
+
+def q_left_slices(spark, sf_dir):
+    return gold.property_sales(fixtures.sales_silver(table(spark, sf_dir, "orders")), RUN_DATE,
+                               single_pass=False)
+
+
+def q_conditional_agg(spark, sf_dir):
+    return gold.property_sales(fixtures.sales_silver(table(spark, sf_dir, "orders")), RUN_DATE,
+                               single_pass=True)
+
+
+def _rent_gold(spark, sf_dir):
+    return gold.rent_trends(fixtures.rents_silver(table(spark, sf_dir, "orders")), RUN_DATE)
+
+
+def q_mean_of_means(spark, sf_dir):
+    return mean_of_means(_rent_gold(spark, sf_dir), ["year"], "avg_monthly_rent", "avg_national_rent")
+
+
+def q_filtered_mean(spark, sf_dir):
+    rents = _rent_gold(spark, sf_dir).filter(contains_ci("location", RENT_NEEDLE))
+    return mean_of_means(rents, ["year"], "avg_monthly_rent", "avg_filtered_rent")
+
+
+def _monthly_orders(spark, sf_dir):
+    return (table(spark, sf_dir, "orders")
+            .groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+            .agg(F.round(F.sum("o_totalprice"), 2).alias("total_value")))
+
+
+def q_year_end_snapshot(spark, sf_dir):
+    monthly = _monthly_orders(spark, sf_dir)
+    latest = period_end(monthly, ["year"], "month", ["total_value"], at=None)
+    december = period_end(monthly, ["year"], "month", ["total_value"], at=12) \
+        .withColumnRenamed("total_value", "december_value")
+    return spine_join(latest, [december], "year")
+
+
+def q_yoy_global(spark, sf_dir):
+    yearly = (_orders_y(spark, sf_dir).groupBy("year")
+              .agg(F.round(F.sum("o_totalprice"), 2).alias("total_value")))
+    return yoy(yearly, "total_value", "year", pct="yoy_pct", change="yoy_change",
+               change_digits=2, aggregated=True)
+
+
+def q_year_spine_summary(spark, sf_dir):
+    o = (_orders_y(spark, sf_dir).groupBy("year")
+         .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("order_value")))
+    li = (table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("year"))
+          .agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 0).alias("quantity")))
+    ev = (table(spark, sf_dir, "events").groupBy(F.year("ts").alias("year"))
+          .agg(F.count(F.lit(1)).alias("n_events")))
+    return spine_join(key_spine([o, li, ev], "year"), [o, li, ev], "year")
+
+
+def q_gold_summary(spark, sf_dir):
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    price = gold.price_index(fixtures.price_silver(orders), RUN_DATE)
+    rent = gold.rent_trends(fixtures.rents_silver(orders), RUN_DATE)
+    perms = gold.permissions_trend(fixtures.permissions_silver(lineitem), RUN_DATE)
+    sales = gold.property_sales(fixtures.sales_silver(orders), RUN_DATE)
+    return gold.crisis_summary(price, rent, perms, sales, RUN_DATE, dublin_needle=DUBLIN_ANALOG)
+
+
+_PRICE_SILVER = """
+  ps AS (SELECT year(o_orderdate)::INT AS year, strftime(o_orderdate, '%Y %B') AS period,
+                month(o_orderdate)::INT AS m,
+                CASE o_orderpriority WHEN '1-URGENT' THEN 'National - all residential properties'
+                     WHEN '2-HIGH' THEN 'Dublin - all residential properties'
+                     WHEN '3-MEDIUM' THEN 'National - houses'
+                     WHEN '4-NOT SPECIFIED' THEN 'Fingal - houses'
+                     WHEN '5-LOW' THEN 'Dublin - apartments' END AS t,
+                CASE o_orderstatus WHEN 'F' THEN 'Residential Property Price Index'
+                     WHEN 'O' THEN 'Percentage Change over 1 month for Residential Property Price Index'
+                     WHEN 'P' THEN 'Percentage Change over 3 months for Residential Property Price Index'
+                END AS statistic,
+                round(sum(o_totalprice) / 10000, 2) AS v
+         FROM orders GROUP BY ALL),
+  pg AS (SELECT period, year, t AS type_of_residential_property,
+           round(max(v) FILTER (WHERE statistic = 'Residential Property Price Index'), 2) AS price_index,
+           round(max(v) FILTER (WHERE statistic = 'Percentage Change over 1 month for Residential Property Price Index'), 2) AS pct_change_1m,
+           round(max(v) FILTER (WHERE statistic = 'Percentage Change over 3 months for Residential Property Price Index'), 2) AS pct_change_3m,
+           round(max(v) FILTER (WHERE statistic = 'Percentage Change over 12 months for Residential Property Price Index'), 2) AS pct_change_12m,
+           any_value(m) AS month, '""" + RUN_DATE + """' AS gold_updated
+         FROM ps WHERE t IN ('National - all residential properties', 'National - houses',
+              'National - apartments', 'Dublin - all residential properties', 'Dublin - houses',
+              'Dublin - apartments')
+         GROUP BY period, year, t)"""
+
+_RENT_GOLD = """
+  rg0 AS (SELECT o_orderpriority AS location, year(o_orderdate)::INT AS year,
+                 round(avg(o_totalprice), 2) AS avg_monthly_rent, round(min(o_totalprice), 2) AS min_monthly_rent,
+                 round(max(o_totalprice), 2) AS max_monthly_rent, count(o_totalprice)::BIGINT AS sample_count
+          FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+  rg AS (SELECT *, round((avg_monthly_rent - lag(avg_monthly_rent) OVER w)
+                         / nullif(lag(avg_monthly_rent) OVER w, 0) * 100, 2) AS yoy_change_pct,
+                '""" + RUN_DATE + """' AS gold_updated
+         FROM rg0 WINDOW w AS (PARTITION BY location ORDER BY year))"""
+
+_PERMS_GOLD = """
+  py AS (SELECT year(l_shipdate)::INT AS year, round(sum(l_quantity), 0) AS new_communal_permissions
+         FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O' GROUP BY 1),
+  pm AS (SELECT year, new_communal_permissions,
+                round(new_communal_permissions - lag(new_communal_permissions) OVER w, 0) AS yoy_change,
+                round((new_communal_permissions - lag(new_communal_permissions) OVER w)
+                      / nullif(lag(new_communal_permissions) OVER w, 0) * 100, 2) AS yoy_change_pct,
+                35000 AS estimated_annual_need, '""" + RUN_DATE + """' AS gold_updated
+         FROM py WINDOW w AS (ORDER BY year))"""
+
+_SALES_GOLD = """
+  ss AS (SELECT year(o_orderdate)::INT AS year, o_totalprice AS p,
+                CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus IN ('O', 'P')
+                     THEN 'New' ELSE 'Second-Hand' END AS c FROM orders),
+  sa AS (SELECT year, count(p)::BIGINT AS total_sales, round(avg(p), 0) AS avg_price_eur,
+                round(quantile_disc(p, 0.5), 0) AS median_price_eur, round(min(p), 0) AS min_price_eur,
+                round(max(p), 0) AS max_price_eur,
+                CASE WHEN count(*) FILTER (WHERE c = 'New') > 0
+                     THEN count(p) FILTER (WHERE c = 'New') END::BIGINT AS new_build_sales,
+                round(avg(p) FILTER (WHERE c = 'New'), 0) AS new_build_avg_price,
+                CASE WHEN count(*) FILTER (WHERE c = 'Second-Hand') > 0
+                     THEN count(p) FILTER (WHERE c = 'Second-Hand') END::BIGINT AS second_hand_sales,
+                round(avg(p) FILTER (WHERE c = 'Second-Hand'), 0) AS second_hand_avg_price
+         FROM ss GROUP BY year),
+  sg AS (SELECT *, round((avg_price_eur - lag(avg_price_eur) OVER w)
+                         / nullif(lag(avg_price_eur) OVER w, 0) * 100, 2) AS yoy_price_change_pct,
+                'Dublin' AS county, '""" + RUN_DATE + """' AS gold_updated
+         FROM sa WINDOW w AS (ORDER BY year))"""
+
+ORACLES.update({
+    "q_group_stats": """
+SELECT o_orderpriority, year(o_orderdate)::INT AS year, round(avg(o_totalprice), 2) AS avg_price,
+       round(min(o_totalprice), 2) AS min_price, round(max(o_totalprice), 2) AS max_price,
+       count(o_totalprice)::BIGINT AS n_orders
+FROM orders GROUP BY 1, 2
+""",
+    "q_pivot_wide": f"WITH {_PRICE_SILVER} SELECT * FROM pg",
+    "q_yoy_by_key": f"WITH {_RENT_GOLD} SELECT * FROM rg",
+    "q_sum_by_year": """
+SELECT year(l_shipdate)::INT AS year, round(sum(l_quantity), 0) AS total_quantity FROM lineitem GROUP BY 1
+""",
+    "q_abs_change": f"WITH {_PERMS_GOLD} SELECT * FROM pm",
+    "q_median_by_year": """
+SELECT year(o_orderdate)::INT AS year, count(o_totalprice)::BIGINT AS n_orders,
+       round(avg(o_totalprice), 2) AS avg_price, round(quantile_disc(o_totalprice, 0.5), 2) AS median_price,
+       round(min(o_totalprice), 2) AS min_price, round(max(o_totalprice), 2) AS max_price
+FROM orders GROUP BY 1
+""",
+    "q_left_slices": f"WITH {_SALES_GOLD} SELECT * FROM sg",
+    "q_conditional_agg": f"WITH {_SALES_GOLD} SELECT * FROM sg",
+    "q_mean_of_means": f"""WITH {_RENT_GOLD}
+SELECT year, round(avg(avg_monthly_rent), 2) AS avg_national_rent FROM rg GROUP BY year""",
+    "q_filtered_mean": f"""WITH {_RENT_GOLD}
+SELECT year, round(avg(avg_monthly_rent), 2) AS avg_filtered_rent FROM rg
+WHERE contains(lower(location), '{RENT_NEEDLE}') GROUP BY year""",
+    "q_year_end_snapshot": """
+WITH m AS (SELECT year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month,
+                  round(sum(o_totalprice), 2) AS total_value FROM orders GROUP BY 1, 2)
+SELECT year, max(month) AS month, arg_max(total_value, month) AS total_value,
+       max(total_value) FILTER (WHERE month = 12) AS december_value
+FROM m GROUP BY year
+""",
+    "q_yoy_global": """
+WITH y AS (SELECT year(o_orderdate)::INT AS year, round(sum(o_totalprice), 2) AS total_value
+           FROM orders GROUP BY 1)
+SELECT year, total_value, round(total_value - lag(total_value) OVER w, 2) AS yoy_change,
+       round((total_value - lag(total_value) OVER w) / nullif(lag(total_value) OVER w, 0) * 100, 2) AS yoy_pct
+FROM y WINDOW w AS (ORDER BY year)
+""",
+    "q_year_spine_summary": """
+WITH o AS (SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders,
+                  round(sum(o_totalprice), 2) AS order_value FROM orders GROUP BY 1),
+     l AS (SELECT year(l_shipdate)::INT AS year, count(*)::BIGINT AS n_lines,
+                  round(sum(l_quantity), 0) AS quantity FROM lineitem GROUP BY 1),
+     e AS (SELECT year(ts)::INT AS year, count(*)::BIGINT AS n_events FROM events GROUP BY 1),
+     s AS (SELECT year FROM o UNION SELECT year FROM l UNION SELECT year FROM e)
+SELECT s.year, o.n_orders, o.order_value, l.n_lines, l.quantity, e.n_events
+FROM s LEFT JOIN o ON o.year = s.year LEFT JOIN l ON l.year = s.year LEFT JOIN e ON e.year = s.year
+""",
+    "q_gold_summary": f"""
+WITH {_PRICE_SILVER}, {_RENT_GOLD}, {_PERMS_GOLD}, {_SALES_GOLD},
+  nat AS (SELECT year, price_index AS national_price_index, pct_change_12m AS national_price_yoy_pct
+          FROM pg WHERE type_of_residential_property = 'National - all residential properties' AND month = 12),
+  dub AS (SELECT year, price_index AS dublin_price_index
+          FROM pg WHERE type_of_residential_property = 'Dublin - all residential properties' AND month = 12),
+  nr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_national_rent FROM rg GROUP BY year),
+  dr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_dublin_rent FROM rg
+         WHERE contains(lower(location), '{DUBLIN_ANALOG}') GROUP BY year),
+  spine AS (SELECT year FROM nat UNION SELECT year FROM nr UNION SELECT year FROM pm UNION SELECT year FROM sg)
+SELECT spine.year, nat.national_price_index, nat.national_price_yoy_pct, dub.dublin_price_index,
+       nr.avg_national_rent, dr.avg_dublin_rent, pm.new_communal_permissions,
+       pm.yoy_change_pct AS permissions_yoy_pct, sg.total_sales AS dublin_total_sales,
+       sg.avg_price_eur AS dublin_avg_sale_price, sg.median_price_eur AS dublin_median_sale_price,
+       sg.yoy_price_change_pct, '{RUN_DATE}' AS gold_updated
+FROM spine LEFT JOIN nat ON nat.year = spine.year LEFT JOIN dub ON dub.year = spine.year
+     LEFT JOIN nr ON nr.year = spine.year LEFT JOIN dr ON dr.year = spine.year
+     LEFT JOIN pm ON pm.year = spine.year LEFT JOIN sg ON sg.year = spine.year
+""",
+})
+
+QUERIES.update({
+    "q_group_stats": q_group_stats,
+    "q_pivot_wide": q_pivot_wide,
+    "q_yoy_by_key": q_yoy_by_key,
+    "q_sum_by_year": q_sum_by_year,
+    "q_abs_change": q_abs_change,
+    "q_median_by_year": q_median_by_year,
+    "q_left_slices": q_left_slices,
+    "q_conditional_agg": q_conditional_agg,
+    "q_mean_of_means": q_mean_of_means,
+    "q_filtered_mean": q_filtered_mean,
+    "q_year_end_snapshot": q_year_end_snapshot,
+    "q_yoy_global": q_yoy_global,
+    "q_year_spine_summary": q_year_spine_summary,
+    "q_gold_summary": q_gold_summary,
+})

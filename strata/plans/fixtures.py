@@ -13,6 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.fixed_values import (PERMISSIONS_CONSTRUCTION, PERMISSIONS_STATISTIC,
+                                 RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES)
+from strata.functions.values import lookup
+
 ORDER_STATS = ["Number of Orders", "Total Order Value"]
 PRIORITY_DIM = "C03737V04487"
 
@@ -128,3 +132,59 @@ def broken_docs(good: DataFrame) -> DataFrame:
     return good.select("doc_key", "year", F.explode(F.array(*[
         F.struct(F.lit(k).alias("expected"), v.alias("body")) for k, v in variants.items()])).alias("v")
     ).select("doc_key", "year", "v.expected", "v.body")
+
+
+# --- Silver-shaped tables derived from the driver's tables -------------------
+# Analog values chosen so the marts' own filters keep some rows and drop others.
+ANALOG_STATISTICS = {
+    "F": "Residential Property Price Index",
+    "O": "Percentage Change over 1 month for Residential Property Price Index",
+    "P": "Percentage Change over 3 months for Residential Property Price Index",
+}
+ANALOG_PROPERTY_TYPES = {
+    "1-URGENT": "National - all residential properties",
+    "2-HIGH": "Dublin - all residential properties",
+    "3-MEDIUM": "National - houses",
+    "4-NOT SPECIFIED": "Fingal - houses",
+    "5-LOW": "Dublin - apartments",
+}
+ANALOG_DESCRIPTIONS = {"O": "New order", "F": "Fulfilled order", "P": "Pending (renewed)"}
+
+
+def price_silver(orders: DataFrame) -> DataFrame:
+    """Price-index-shaped Silver from orders: one value per period x type x statistic."""
+    return orders.groupBy(
+        F.year("o_orderdate").alias("year"),
+        F.date_format("o_orderdate", "yyyy MMMM").alias("period"),
+        lookup("o_orderpriority", ANALOG_PROPERTY_TYPES).alias("type_of_residential_property"),
+        lookup("o_orderstatus", ANALOG_STATISTICS).alias("statistic"),
+    ).agg(F.round(F.sum("o_totalprice") / 10000, 2).alias("metric_value"))
+
+
+def rents_silver(orders: DataFrame) -> DataFrame:
+    """Rent-shaped Silver from orders: location = priority, value = order price."""
+    return orders.select(
+        F.col("o_orderpriority").alias("location"), F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").alias("value"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(RENT_ALL_BEDROOMS)).otherwise(F.lit("One bed"))
+        .alias("number_of_bedrooms"),
+        F.lit(RENT_ALL_PROPERTY_TYPES).alias("property_type"))
+
+
+def permissions_silver(lineitem: DataFrame) -> DataFrame:
+    """Permission-shaped Silver from lineitem: quantity by ship year."""
+    return lineitem.select(
+        F.year("l_shipdate").alias("year"), F.col("l_quantity").alias("metric_value"),
+        F.when(F.col("l_returnflag") == "N", F.lit(PERMISSIONS_CONSTRUCTION)).otherwise(F.lit("Repair"))
+        .alias("type_of_construction"),
+        F.when(F.col("l_linestatus") == "O", F.lit(PERMISSIONS_STATISTIC)).otherwise(F.lit("Other"))
+        .alias("statistic"))
+
+
+def sales_silver(orders: DataFrame) -> DataFrame:
+    """Sales-register-shaped Silver from orders; low-priority orders lack a description."""
+    return orders.select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        F.col("o_totalprice").alias("price_eur"),
+        F.when(F.col("o_orderpriority") != "5-LOW", lookup("o_orderstatus", ANALOG_DESCRIPTIONS))
+        .alias("property_description"))
