@@ -564,3 +564,255 @@ QUERIES.update({
     "q_year_spine_summary": q_year_spine_summary,
     "q_gold_summary": q_gold_summary,
 })
+
+import uuid  # noqa: E402
+
+from strata.fixed_values import (RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES,  # noqa: E402
+                                 SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS)
+from strata.functions.names import rename_synonyms  # noqa: E402
+from strata.operators.quality import latest_snapshot, null_count  # noqa: E402
+from strata.plans import views  # noqa: E402
+from strata.plans.silver import read_sales, rents_silver, sales_silver  # noqa: E402
+from strata.plans.sinks import ensure_database, envelope, register_external, write_partitioned  # noqa: E402
+from strata.sources.files import LATIN1, load_manifest, read_csv_explicit  # noqa: E402
+
+PART_SYNONYMS = {"Part Key": "p_partkey", "Name": "p_name", "Description": "description",
+                 **SALES_HEADER_SYNONYMS}
+
+
+def q_csv_latin1_roundtrip(spark, sf_dir):
+    root = scratch_path(spark, "part_csv")
+    fixtures.write_part_csv(table(spark, sf_dir, "part"), root)
+    raw = rename_synonyms(read_csv_explicit(spark, root, encoding=LATIN1), PART_SYNONYMS,
+                          SALES_HEADER_PATTERNS)
+    return raw.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "p_name",
+                      "description", parse_money("price_raw", SALES_MONEY_CHARS).alias("price_eur"))
+
+
+SALES_SILVER_COLUMNS = ["address", "county", "not_full_market_price", "vat_exclusive",
+                        "property_description", "property_size", "location_code", "price_eur",
+                        "date_of_sale", "year", "month", "source_dataset", "ingestion_date", "coverage"]
+
+
+def _sales_from_csv(spark, sf_dir):
+    root = scratch_path(spark, "sales_register")
+    fixtures.write_sales_register(table(spark, sf_dir, "orders"), root)
+    raw, _rejected = read_sales(spark, root)
+    silver, _obs = sales_silver(raw, RUN_DATE)
+    return silver
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    return _sales_from_csv(spark, sf_dir).select(*SALES_SILVER_COLUMNS)
+
+
+def q_sales_gold_from_csv(spark, sf_dir):
+    return gold.property_sales(_sales_from_csv(spark, sf_dir), RUN_DATE)
+
+
+def q_rents_silver(spark, sf_dir):
+    root = scratch_path(spark, "rent_extract")
+    fixtures.write_rent_extract(table(spark, sf_dir, "orders"), root)
+    return rents_silver(read_csv_explicit(spark, root), RUN_DATE, RUN_YEAR)
+
+
+def q_manifest(spark, sf_dir):
+    root = scratch_path(spark, "landing")
+    orders = table(spark, sf_dir, "orders")
+    land_raw(orders.select(F.concat(F.lit("orders_"), F.substring("o_orderpriority", 1, 1)).alias("dataset"),
+                           F.year("o_orderdate").alias("year"), F.lit("06").alias("month"),
+                           "o_orderkey", "o_totalprice"), root, fmt="csv")
+    expected = [f"orders_{i}" for i in range(1, 7)]
+    manifest = load_manifest(spark, root, expected, glob="*.csv")
+    return manifest.groupBy("dataset", "status").agg(F.sum("row_count").alias("rows"))
+
+
+def _orders_written(spark, sf_dir, checks=None):
+    path = scratch_path(spark, "orders_by_year")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    obs = write_partitioned(orders, path, ["year"], sort_by=["o_orderkey"], checks=checks)
+    return path, obs
+
+
+def _year_totals(df):
+    return (df.filter(F.col("year").between(1996, 1999)).groupBy("year")
+            .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("order_value")))
+
+
+def q_partitioned_roundtrip(spark, sf_dir):
+    path, _ = _orders_written(spark, sf_dir)
+    return _year_totals(spark.read.parquet(path))
+
+
+CATALOG_DB = "strata_checks"
+
+
+def q_catalog_table(spark, sf_dir):
+    path, _ = _orders_written(spark, sf_dir)
+    ensure_database(spark, CATALOG_DB, scratch_path(spark, "catalog_db"))
+    name = register_external(spark, CATALOG_DB, f"orders_{uuid.uuid4().hex[:8]}", path,
+                             spark.read.parquet(path))
+    return _year_totals(spark.table(name))
+
+
+def q_write_metrics(spark, sf_dir):
+    _, obs = _orders_written(spark, sf_dir, checks={
+        "rows_written": F.count(F.lit(1)), "null_years": null_count("year"),
+        "high_value": F.count_if(F.col("o_totalprice") > 400000)})
+    return spark.createDataFrame([obs.get], "rows_written bigint, null_years bigint, high_value bigint")
+
+
+def _sales_gold(spark, sf_dir):
+    return gold.property_sales(fixtures.sales_silver(table(spark, sf_dir, "orders")), RUN_DATE)
+
+
+def q_view_topk(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    silver = orders.select(
+        F.concat(F.lit("Customer "), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("location"),
+        # whole euros: a mean of cents can land on an exact half cent, where
+        # decimal and binary rounding legitimately disagree
+        F.year("o_orderdate").alias("year"), F.floor("o_totalprice").cast("double").alias("value"),
+        F.lit(RENT_ALL_BEDROOMS).alias("number_of_bedrooms"),
+        F.lit(RENT_ALL_PROPERTY_TYPES).alias("property_type"))
+    rents_gold = gold.rent_trends(silver, RUN_DATE)
+    # raw parameter as a request would carry it: quoted, padded
+    return views.rents(rents_gold, location=" 'customer 0000001\" ", from_year="1996", to_year=2000)
+
+
+def q_view_summary(spark, sf_dir):
+    return views.summary(q_gold_summary(spark, sf_dir), from_year="'1996'", to_year=" 2000")
+
+
+def q_view_prices(spark, sf_dir):
+    price = gold.price_index(fixtures.price_silver(table(spark, sf_dir, "orders")), RUN_DATE)
+    return views.prices(price, type="National", from_year=1996, to_year=2001)
+
+
+def q_view_sales(spark, sf_dir):
+    return views.sales(_sales_gold(spark, sf_dir), from_year=1990)
+
+
+def q_json_envelope(spark, sf_dir):
+    return envelope(views.sales(_sales_gold(spark, sf_dir), from_year=1990, to_year=2025),
+                    "gold_property_sales_dublin", {"from_year": "1990", "to_year": "2025"})
+
+
+def q_latest_snapshot(spark, sf_dir):
+    root = scratch_path(spark, "snapshots")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    older = orders.filter(F.col("o_orderstatus") != "P") \
+        .withColumn("o_totalprice", F.round(F.col("o_totalprice") * 0.9, 2))
+    older.write.parquet(f"{root}/dataset=orders/snapshot=20240501T000000")
+    orders.write.parquet(f"{root}/dataset=orders/snapshot=20240601T000000")
+    both = spark.read.parquet(root)
+    return latest_snapshot(both, ["dataset"], "snapshot").select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+_SALES_CSV_ROWS = f"""
+  sr AS (SELECT 'Order ' || o_orderkey || ', Dublin' AS address, 'Dublin' AS county,
+                'No' AS not_full_market_price, 'No' AS vat_exclusive,
+                CASE o_orderstatus WHEN 'O' THEN 'New order' WHEN 'F' THEN 'Fulfilled order'
+                     WHEN 'P' THEN 'Pending (renewed)' END AS property_description,
+                NULL::VARCHAR AS property_size,
+                CASE WHEN o_orderpriority = '1-URGENT' THEN NULL
+                     ELSE 'D' || substr(o_orderpriority, 1, 1) END AS location_code,
+                round(o_totalprice, 2) AS price_eur, o_orderdate::DATE AS date_of_sale,
+                year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month,
+                'PSRA_PPR' AS source_dataset, '{RUN_DATE}' AS ingestion_date, 'dublin' AS coverage
+         FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P')"""
+
+_YEAR_TOTALS = """
+SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders, round(sum(o_totalprice), 2) AS order_value
+FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY 1
+"""
+
+ORACLES.update({
+    "q_csv_latin1_roundtrip": """
+SELECT p_partkey, p_name, p_name || ', "' || p_brand || '"' AS description,
+       round(p_retailprice, 2) AS price_eur FROM part
+""",
+    "q_csv_mixed_headers": f"WITH {_SALES_CSV_ROWS} SELECT * FROM sr",
+    "q_sales_gold_from_csv": f"""
+WITH {_SALES_CSV_ROWS},
+  sc AS (SELECT year, price_eur AS p,
+                CASE WHEN contains(lower(property_description), 'new') THEN 'New' ELSE 'Second-Hand' END AS c
+         FROM sr),
+  sa AS (SELECT year, count(p)::BIGINT AS total_sales, round(avg(p), 0) AS avg_price_eur,
+                round(quantile_disc(p, 0.5), 0) AS median_price_eur, round(min(p), 0) AS min_price_eur,
+                round(max(p), 0) AS max_price_eur,
+                CASE WHEN count(*) FILTER (WHERE c = 'New') > 0
+                     THEN count(p) FILTER (WHERE c = 'New') END::BIGINT AS new_build_sales,
+                round(avg(p) FILTER (WHERE c = 'New'), 0) AS new_build_avg_price,
+                CASE WHEN count(*) FILTER (WHERE c = 'Second-Hand') > 0
+                     THEN count(p) FILTER (WHERE c = 'Second-Hand') END::BIGINT AS second_hand_sales,
+                round(avg(p) FILTER (WHERE c = 'Second-Hand'), 0) AS second_hand_avg_price
+         FROM sc GROUP BY year)
+SELECT *, round((avg_price_eur - lag(avg_price_eur) OVER w)
+                / nullif(lag(avg_price_eur) OVER w, 0) * 100, 2) AS yoy_price_change_pct,
+       'Dublin' AS county, '{RUN_DATE}' AS gold_updated
+FROM sa WINDOW w AS (ORDER BY year)
+""",
+    "q_rents_silver": f"""
+SELECT 'RTB Average Monthly Rent Report' AS statistic_label, year(o_orderdate)::INT AS year,
+       CASE WHEN o_orderstatus = 'F' THEN 'All bedrooms' ELSE 'One bed' END AS number_of_bedrooms,
+       'All property types' AS property_type, o_orderpriority AS location, o_totalprice AS value,
+       'RIA02' AS source_dataset, '{RUN_DATE}' AS ingestion_date
+FROM orders
+""",
+    "q_manifest": """
+SELECT 'orders_' || substr(o_orderpriority, 1, 1) AS dataset, 'success' AS status, count(*)::BIGINT AS rows
+FROM orders GROUP BY 1
+UNION ALL SELECT 'orders_6', 'failed', NULL::BIGINT
+""",
+    "q_partitioned_roundtrip": _YEAR_TOTALS,
+    "q_catalog_table": _YEAR_TOTALS,
+    "q_write_metrics": """
+SELECT count(*)::BIGINT AS rows_written, 0::BIGINT AS null_years,
+       (count(*) FILTER (WHERE o_totalprice > 400000))::BIGINT AS high_value FROM orders
+""",
+    "q_view_topk": """
+WITH g0 AS (SELECT 'Customer ' || lpad(o_custkey::VARCHAR, 9, '0') AS location, year(o_orderdate)::INT AS year,
+                   round(avg(floor(o_totalprice)), 2) AS avg_monthly_rent,
+                   round(min(floor(o_totalprice)), 2) AS min_monthly_rent,
+                   round(max(floor(o_totalprice)), 2) AS max_monthly_rent,
+                   count(o_totalprice)::BIGINT AS sample_count
+            FROM orders GROUP BY 1, 2),
+     g AS (SELECT *, round((avg_monthly_rent - lag(avg_monthly_rent) OVER w)
+                           / nullif(lag(avg_monthly_rent) OVER w, 0) * 100, 2) AS yoy_change_pct
+           FROM g0 WINDOW w AS (PARTITION BY location ORDER BY year))
+SELECT location, year, avg_monthly_rent, min_monthly_rent, max_monthly_rent, yoy_change_pct, sample_count
+FROM g WHERE year BETWEEN 1996 AND 2000 AND contains(lower(location), 'customer 0000001')
+ORDER BY location, year LIMIT 500
+""",
+    "q_view_summary": "SELECT * FROM (" + ORACLES["q_gold_summary"] + ") t WHERE year BETWEEN 1996 AND 2000",
+    "q_view_prices": f"""WITH {_PRICE_SILVER}
+SELECT period, year, month, type_of_residential_property, price_index, pct_change_1m, pct_change_3m,
+       pct_change_12m
+FROM pg WHERE year BETWEEN 1996 AND 2001 AND contains(lower(type_of_residential_property), 'national')
+ORDER BY year, month, type_of_residential_property, period LIMIT 1000
+""",
+    "q_view_sales": f"""WITH {_SALES_GOLD}
+SELECT year, total_sales, avg_price_eur, median_price_eur, min_price_eur, max_price_eur, new_build_sales,
+       new_build_avg_price, second_hand_sales, second_hand_avg_price, yoy_price_change_pct, county
+FROM sg WHERE year BETWEEN 1990 AND 2025
+""",
+    "q_latest_snapshot": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
+})
+
+QUERIES.update({
+    "q_csv_latin1_roundtrip": q_csv_latin1_roundtrip,
+    "q_csv_mixed_headers": q_csv_mixed_headers,
+    "q_sales_gold_from_csv": q_sales_gold_from_csv,
+    "q_rents_silver": q_rents_silver,
+    "q_manifest": q_manifest,
+    "q_partitioned_roundtrip": q_partitioned_roundtrip,
+    "q_catalog_table": q_catalog_table,
+    "q_write_metrics": q_write_metrics,
+    "q_view_topk": q_view_topk,
+    "q_view_summary": q_view_summary,
+    "q_view_prices": q_view_prices,
+    "q_view_sales": q_view_sales,
+    "q_json_envelope": q_json_envelope,
+    "q_latest_snapshot": q_latest_snapshot,
+})

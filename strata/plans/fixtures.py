@@ -188,3 +188,76 @@ def sales_silver(orders: DataFrame) -> DataFrame:
         F.col("o_totalprice").alias("price_eur"),
         F.when(F.col("o_orderpriority") != "5-LOW", lookup("o_orderstatus", ANALOG_DESCRIPTIONS))
         .alias("property_description"))
+
+
+# --- Bronze CSV files derived from the driver's tables -----------------------
+
+def _price_text(col: str, mark: str) -> F.Column:
+    return F.concat(F.lit(mark), F.format_number(col, 2))
+
+
+def write_part_csv(part: DataFrame, root: str) -> None:
+    """Part as a latin-1 CSV with a doubled-quote field and a euro-byte price."""
+    (part.select(F.col("p_partkey").alias("Part Key"), F.col("p_name").alias("Name"),
+                 F.concat(F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"')).alias("Description"),
+                 _price_text("p_retailprice", "\x80").alias("Price (\x80)"))
+     .write.option("header", True).option("encoding", "ISO-8859-1")
+     .option("quote", '"').option("escape", '"').csv(root))
+
+
+# Header variants of the sales register by order year: (years, price header,
+# currency mark, code header, file encoding).
+SALES_VARIANTS = [
+    ((1990, 1996), "Price (\x80)", "\x80", "Postal Code", "ISO-8859-1"),
+    ((1997, 1998), "Price (?)", "?", "Postal Code", "ISO-8859-1"),
+    ((1999, 2100), "Price (€)", "€", "Eircode", "UTF-8"),
+]
+
+
+def write_sales_register(orders: DataFrame, root: str) -> None:
+    """Orders as yearly sales-register CSVs with three header spellings.
+
+    Low-priority orders get an unparseable date, status ``P`` a non-market
+    flag; urgent orders have a blank location code.
+    """
+    d = F.col("o_orderdate")
+    date_text = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+                 .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(d, "d M yyyy"))
+                 .otherwise(F.date_format(d, "dd/MM/yyyy")))
+    code = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("")) \
+        .otherwise(F.concat(F.lit("D"), F.substring("o_orderpriority", 1, 1)))
+    base = orders.withColumn("year", F.year("o_orderdate"))
+    for (lo, hi), price_header, mark, code_header, encoding in SALES_VARIANTS:
+        (base.filter(F.col("year").between(lo, hi))
+         .select("year",
+                 date_text.alias("Date of Sale (dd/mm/yyyy)"),
+                 F.concat(F.lit("Order "), F.col("o_orderkey"), F.lit(", Dublin")).alias("Address"),
+                 F.lit("Dublin").alias("County"),
+                 code.alias(code_header),
+                 _price_text("o_totalprice", mark).alias(price_header),
+                 F.when(F.col("o_orderstatus") == "P", F.lit("Yes")).otherwise(F.lit("No"))
+                 .alias("Not Full Market Price"),
+                 F.lit("No").alias("VAT Exclusive"),
+                 lookup("o_orderstatus", ANALOG_DESCRIPTIONS).alias("Description of Property"),
+                 F.lit("").alias("Property Size Description"))
+         .write.mode("append").partitionBy("year").option("header", True).option("encoding", encoding)
+         .option("quote", '"').option("escape", '"').csv(root))
+
+
+def write_rent_extract(orders: DataFrame, root: str) -> None:
+    """Orders as a flat cube CSV extract: code and label columns side by side."""
+    (orders.select(
+        F.lit("RIA02").alias("STATISTIC"),
+        F.lit("RTB Average Monthly Rent Report").alias("Statistic Label"),
+        F.year("o_orderdate").cast("string").alias("TLIST(A1)"),
+        F.year("o_orderdate").cast("string").alias("Year"),
+        F.col("o_orderstatus").alias("C02970V03592"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(RENT_ALL_BEDROOMS)).otherwise(F.lit("One bed"))
+        .alias("Number of Bedrooms"),
+        F.lit("00").alias("C02969V03591"),
+        F.lit(RENT_ALL_PROPERTY_TYPES).alias("Property Type"),
+        F.substring("o_orderpriority", 1, 1).alias("C03004V03625"),
+        F.col("o_orderpriority").alias("Location"),
+        F.lit("Euro").alias("UNIT"),
+        F.col("o_totalprice").cast("string").alias("VALUE"))
+     .write.option("header", True).csv(root))

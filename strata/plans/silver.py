@@ -71,7 +71,10 @@ def sales_silver(raw: DataFrame, run_date: str):
     ``rows_dropped`` (unparseable dates) once the caller's action has run.
     """
     df = raw.withColumn("location_code", first_nonblank("eircode", "postal_code"))
-    df = df.withColumn("price_eur", parse_money("price_raw", SALES_MONEY_CHARS))
+    # A price whose currency bytes were decoded wrongly (UTF-8 read as
+    # latin-1) keeps stray characters: fall back to its digits and point.
+    df = df.withColumn("price_eur", F.coalesce(parse_money("price_raw", SALES_MONEY_CHARS),
+                                               parse_money("price_raw", r"[^0-9.\-]")))
     df = df.withColumn("date_of_sale", parse_date("date_of_sale_raw"))
     df, obs = drop_nulls_observed(df, "date_of_sale")
     df = df.withColumns({"year": F.year("date_of_sale"), "month": F.month("date_of_sale")})

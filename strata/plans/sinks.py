@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str] | tuple[str, ...] = ("year",),
                       sort_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
-                      partitions: int | None = None, max_records_per_file: int | None = None) -> None:
+                      partitions: int | None = None, max_records_per_file: int | None = None,
+                      checks: dict | None = None):
     """Parquet write partitioned by ``by`` (K1).
 
     Rows are range-partitioned on ``by`` plus a content hash before the
@@ -18,15 +19,24 @@ def write_partitioned(df: DataFrame, path: str, by: list[str] | tuple[str, ...]
     in one.  The hash is deterministic, so a retried task rewrites the same
     rows.  The default overwrite is static (full refresh); set
     ``spark.sql.sources.partitionOverwriteMode=dynamic`` for incremental runs.
+
+    ``checks`` (name -> aggregate Column) are observed on the write itself
+    (K5) and returned as an ``Observation``; they sit above the range
+    exchange, so the exchange's sampling pass cannot report partial counts.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     out = (df.repartitionByRange(n, *[F.col(c) for c in by], spread)
            .sortWithinPartitions(*by, *sort_by))
+    obs = None
+    if checks:
+        obs = Observation()
+        out = out.observe(obs, *[c.alias(k) for k, c in checks.items()])
     writer = out.write.mode(mode).partitionBy(*by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
+    return obs
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
