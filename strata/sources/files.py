@@ -29,7 +29,8 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
 
     Uses the ``binaryFile`` source without selecting ``content``, so no file
     body is read: this is a distributed listing.  A missing path lists
-    nothing.
+    nothing; zero-length files are skipped by Spark's file scans and so are
+    not listed either (they hold no rows).
     """
     try:
         files = (spark.read.format("binaryFile")
@@ -206,12 +207,12 @@ def land_raw(df: DataFrame, root: str, partition_by: list[str] | tuple[str, ...]
 
 def load_manifest(spark: SparkSession, root: str, datasets: list[str] | None = None,
                   glob: str = "*", header_lines: int = 1) -> DataFrame:
-    """One row per landed file, plus one per expected dataset with no file.
+    """One row per landed file, plus one per expected dataset without data.
 
     Columns: ``dataset, status, key, row_count, error``.  ``row_count`` is the
-    line count minus the header; it is computed by a distributed line count
-    grouped by file, with the listing joined in so empty files show as
-    ``failed``.  ``key`` is the path relative to ``root``.
+    line count minus the header, from a distributed line count grouped by
+    file.  ``key`` is the path relative to ``root``.  An expected dataset
+    with no non-empty file is ``failed`` with error ``no data landed``.
     """
     root = root.rstrip("/")
     files = list_files(spark, root, glob).select("path", "length")
@@ -237,7 +238,7 @@ def load_manifest(spark: SparkSession, root: str, datasets: list[str] | None = N
         absent = (expected.join(manifest.select("dataset").distinct(), "dataset", "left_anti")
                   .select("dataset", F.lit("failed").alias("status"), F.lit(None).cast("string").alias("key"),
                           F.lit(None).cast("bigint").alias("row_count"),
-                          F.lit("no file landed").alias("error")))
+                          F.lit("no data landed").alias("error")))
         manifest = manifest.unionByName(absent)
     return manifest
 
