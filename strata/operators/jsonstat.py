@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import clean_name
+from strata.functions.values import to_double
 
 _CATEGORY = T.StructType([
     T.StructField("index", T.StringType()),   # dict, list or absent: kept as text
@@ -228,13 +229,13 @@ def widen(cell_rows: DataFrame, columns: list[tuple[str, str]],
           value_name: str = "metric_value", keep: list[str] | None = None) -> DataFrame:
     """One column per dimension plus the value as DOUBLE.
 
-    ``try_cast`` turns JSON-stat's ``".."`` and other non-numbers into null.
+    JSON-stat's ``".."`` and other non-numbers become null.
     """
     keep = keep or []
     return cell_rows.select(
         *keep,
         *[F.col("dims")[dim_id].alias(name) for dim_id, name in columns],
-        F.expr("try_cast(value AS DOUBLE)").alias(value_name),
+        to_double("value").alias(value_name),
     )
 
 

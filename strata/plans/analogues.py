@@ -570,6 +570,7 @@ import uuid  # noqa: E402
 from strata.fixed_values import (RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES,  # noqa: E402
                                  SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS)
 from strata.functions.names import rename_synonyms  # noqa: E402
+from strata.functions.values import to_bigint  # noqa: E402
 from strata.operators.quality import latest_snapshot, null_count  # noqa: E402
 from strata.plans import views  # noqa: E402
 from strata.plans.silver import read_sales, rents_silver, sales_silver  # noqa: E402
@@ -585,7 +586,7 @@ def q_csv_latin1_roundtrip(spark, sf_dir):
     fixtures.write_part_csv(table(spark, sf_dir, "part"), root)
     raw = rename_synonyms(read_csv_explicit(spark, root, encoding=LATIN1), PART_SYNONYMS,
                           SALES_HEADER_PATTERNS)
-    return raw.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "p_name",
+    return raw.select(to_bigint("p_partkey").alias("p_partkey"), "p_name",
                       "description", parse_money("price_raw", SALES_MONEY_CHARS).alias("price_eur"))
 
 
