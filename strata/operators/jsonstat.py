@@ -136,8 +136,12 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
         .when(F.expr("exists(ids, d -> _dimension[d] IS NULL)"), F.lit("missing_dimension"))
         .when(short, F.lit("short_codes"))
     )
-    return parsed.withColumn("reason", reason).drop("_error", "_null_doc", "_dimension",
-                                                    "_cells_total")
+    out = ["ids", "sizes", "codes", "cat_labels", "dim_labels", "strides", "n_cells", "value"]
+    # Bind the results through a one-row generator.  A later filter on
+    # ``reason`` (or any derived column) then stops at the Generate instead
+    # of being pushed down with the parse inlined into its condition, which
+    # would re-run ``from_json`` on the whole document once per reference.
+    return parsed.select(*keep, F.inline(F.array(F.struct(*out, reason.alias("reason")))))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
