@@ -477,6 +477,29 @@ _SALES_GOLD = """
                 'Dublin' AS county, '""" + RUN_DATE + """' AS gold_updated
          FROM sa WINDOW w AS (ORDER BY year))"""
 
+def _summary_sql(sales_ctes: str) -> str:
+    """Oracle of the summary mart over the analog marts; ``sales_ctes`` defines ``sg``."""
+    return f"""
+WITH {_PRICE_SILVER}, {_RENT_GOLD}, {_PERMS_GOLD}, {sales_ctes},
+  nat AS (SELECT year, price_index AS national_price_index, pct_change_12m AS national_price_yoy_pct
+          FROM pg WHERE type_of_residential_property = 'National - all residential properties' AND month = 12),
+  dub AS (SELECT year, price_index AS dublin_price_index
+          FROM pg WHERE type_of_residential_property = 'Dublin - all residential properties' AND month = 12),
+  nr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_national_rent FROM rg GROUP BY year),
+  dr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_dublin_rent FROM rg
+         WHERE contains(lower(location), '{DUBLIN_ANALOG}') GROUP BY year),
+  spine AS (SELECT year FROM nat UNION SELECT year FROM nr UNION SELECT year FROM pm UNION SELECT year FROM sg)
+SELECT spine.year, nat.national_price_index, nat.national_price_yoy_pct, dub.dublin_price_index,
+       nr.avg_national_rent, dr.avg_dublin_rent, pm.new_communal_permissions,
+       pm.yoy_change_pct AS permissions_yoy_pct, sg.total_sales AS dublin_total_sales,
+       sg.avg_price_eur AS dublin_avg_sale_price, sg.median_price_eur AS dublin_median_sale_price,
+       sg.yoy_price_change_pct, '{RUN_DATE}' AS gold_updated
+FROM spine LEFT JOIN nat ON nat.year = spine.year LEFT JOIN dub ON dub.year = spine.year
+     LEFT JOIN nr ON nr.year = spine.year LEFT JOIN dr ON dr.year = spine.year
+     LEFT JOIN pm ON pm.year = spine.year LEFT JOIN sg ON sg.year = spine.year
+"""
+
+
 ORACLES.update({
     "q_group_stats": """
 SELECT o_orderpriority, year(o_orderdate)::INT AS year, round(avg(o_totalprice), 2) AS avg_price,
@@ -527,25 +550,7 @@ WITH o AS (SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders,
 SELECT s.year, o.n_orders, o.order_value, l.n_lines, l.quantity, e.n_events
 FROM s LEFT JOIN o ON o.year = s.year LEFT JOIN l ON l.year = s.year LEFT JOIN e ON e.year = s.year
 """,
-    "q_gold_summary": f"""
-WITH {_PRICE_SILVER}, {_RENT_GOLD}, {_PERMS_GOLD}, {_SALES_GOLD},
-  nat AS (SELECT year, price_index AS national_price_index, pct_change_12m AS national_price_yoy_pct
-          FROM pg WHERE type_of_residential_property = 'National - all residential properties' AND month = 12),
-  dub AS (SELECT year, price_index AS dublin_price_index
-          FROM pg WHERE type_of_residential_property = 'Dublin - all residential properties' AND month = 12),
-  nr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_national_rent FROM rg GROUP BY year),
-  dr AS (SELECT year, round(avg(avg_monthly_rent), 2) AS avg_dublin_rent FROM rg
-         WHERE contains(lower(location), '{DUBLIN_ANALOG}') GROUP BY year),
-  spine AS (SELECT year FROM nat UNION SELECT year FROM nr UNION SELECT year FROM pm UNION SELECT year FROM sg)
-SELECT spine.year, nat.national_price_index, nat.national_price_yoy_pct, dub.dublin_price_index,
-       nr.avg_national_rent, dr.avg_dublin_rent, pm.new_communal_permissions,
-       pm.yoy_change_pct AS permissions_yoy_pct, sg.total_sales AS dublin_total_sales,
-       sg.avg_price_eur AS dublin_avg_sale_price, sg.median_price_eur AS dublin_median_sale_price,
-       sg.yoy_price_change_pct, '{RUN_DATE}' AS gold_updated
-FROM spine LEFT JOIN nat ON nat.year = spine.year LEFT JOIN dub ON dub.year = spine.year
-     LEFT JOIN nr ON nr.year = spine.year LEFT JOIN dr ON dr.year = spine.year
-     LEFT JOIN pm ON pm.year = spine.year LEFT JOIN sg ON sg.year = spine.year
-""",
+    "q_gold_summary": _summary_sql(_SALES_GOLD),
 })
 
 QUERIES.update({
@@ -723,19 +728,7 @@ _SALES_CSV_ROWS = f"""
                 'PSRA_PPR' AS source_dataset, '{RUN_DATE}' AS ingestion_date, 'dublin' AS coverage
          FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P')"""
 
-_YEAR_TOTALS = """
-SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders, round(sum(o_totalprice), 2) AS order_value
-FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY 1
-"""
-
-ORACLES.update({
-    "q_csv_latin1_roundtrip": """
-SELECT p_partkey, p_name, p_name || ', "' || p_brand || '"' AS description,
-       round(p_retailprice, 2) AS price_eur FROM part
-""",
-    "q_csv_mixed_headers": f"WITH {_SALES_CSV_ROWS} SELECT * FROM sr",
-    "q_sales_gold_from_csv": f"""
-WITH {_SALES_CSV_ROWS},
+_SALES_CSV_GOLD = _SALES_CSV_ROWS + """,
   sc AS (SELECT year, price_eur AS p,
                 CASE WHEN contains(lower(property_description), 'new') THEN 'New' ELSE 'Second-Hand' END AS c
          FROM sr),
@@ -748,12 +741,24 @@ WITH {_SALES_CSV_ROWS},
                 CASE WHEN count(*) FILTER (WHERE c = 'Second-Hand') > 0
                      THEN count(p) FILTER (WHERE c = 'Second-Hand') END::BIGINT AS second_hand_sales,
                 round(avg(p) FILTER (WHERE c = 'Second-Hand'), 0) AS second_hand_avg_price
-         FROM sc GROUP BY year)
-SELECT *, round((avg_price_eur - lag(avg_price_eur) OVER w)
-                / nullif(lag(avg_price_eur) OVER w, 0) * 100, 2) AS yoy_price_change_pct,
-       'Dublin' AS county, '{RUN_DATE}' AS gold_updated
-FROM sa WINDOW w AS (ORDER BY year)
+         FROM sc GROUP BY year),
+  sg AS (SELECT *, round((avg_price_eur - lag(avg_price_eur) OVER w)
+                         / nullif(lag(avg_price_eur) OVER w, 0) * 100, 2) AS yoy_price_change_pct,
+                'Dublin' AS county, '""" + RUN_DATE + """' AS gold_updated
+         FROM sa WINDOW w AS (ORDER BY year))"""
+
+_YEAR_TOTALS = """
+SELECT year(o_orderdate)::INT AS year, count(*)::BIGINT AS n_orders, round(sum(o_totalprice), 2) AS order_value
+FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY 1
+"""
+
+ORACLES.update({
+    "q_csv_latin1_roundtrip": """
+SELECT p_partkey, p_name, p_name || ', "' || p_brand || '"' AS description,
+       round(p_retailprice, 2) AS price_eur FROM part
 """,
+    "q_csv_mixed_headers": f"WITH {_SALES_CSV_ROWS} SELECT * FROM sr",
+    "q_sales_gold_from_csv": f"WITH {_SALES_CSV_GOLD} SELECT * FROM sg",
     "q_rents_silver": f"""
 SELECT 'RTB Average Monthly Rent Report' AS statistic_label, year(o_orderdate)::INT AS year,
        CASE WHEN o_orderstatus = 'F' THEN 'All bedrooms' ELSE 'One bed' END AS number_of_bedrooms,
@@ -817,3 +822,26 @@ QUERIES.update({
     "q_json_envelope": q_json_envelope,
     "q_latest_snapshot": q_latest_snapshot,
 })
+
+
+from strata.plans import jobs  # noqa: E402
+
+MEDALLION_DB = "strata_medallion"
+
+
+def q_medallion_summary(spark, sf_dir):
+    """Both batch jobs end to end on Bronze derived from orders and lineitem."""
+    root = scratch_path(spark, "medallion")
+    fixtures.write_bronze(spark, table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                          f"{root}/bronze")
+    jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", RUN_DATE)
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", RUN_DATE, database=MEDALLION_DB,
+                        database_location=f"{root}/catalog",
+                        summary_options={"dublin_needle": DUBLIN_ANALOG})
+    return views.summary(spark.table(f"{MEDALLION_DB}.gold_housing_crisis_summary"),
+                         from_year=1990, to_year=2030)
+
+
+ORACLES["q_medallion_summary"] = (
+    "SELECT * FROM (" + _summary_sql(_SALES_CSV_GOLD) + ") t WHERE year BETWEEN 1990 AND 2030")
+QUERIES["q_medallion_summary"] = q_medallion_summary

@@ -261,3 +261,97 @@ def write_rent_extract(orders: DataFrame, root: str) -> None:
         F.lit("Euro").alias("UNIT"),
         F.col("o_totalprice").cast("string").alias("VALUE"))
      .write.option("header", True).csv(root))
+
+
+# --- Generic cube documents ----------------------------------------------------
+
+def cube_documents(cells: DataFrame, doc_keys: list[str], dims: list[tuple], value_col: str) -> DataFrame:
+    """JSON-stat documents, one per ``doc_keys`` group, from pre-aggregated cells.
+
+    ``dims`` lists ``(dim_id, dim_label, code_col, label_col, form)`` in
+    row-major order (last fastest); ``form`` is ``list``, ``dict`` or
+    ``labels`` (empty index: codes are the label keys).  Category codes are
+    the sorted distinct codes of each document; a combination without a
+    cell is null.  A document holds one value per combination, so its size
+    is bounded by the product of the category counts, never by row counts.
+    """
+    n = len(dims)
+    key = F.concat_ws("|", *[F.col(d[2]) for d in dims])
+    docs = cells.groupBy(*doc_keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(key, F.col(value_col)))).alias("_cells"),
+        *[F.collect_set(F.struct(F.col(d[2]).alias("c"), F.col(d[3]).alias("l"))).alias(f"_s{i}")
+          for i, d in enumerate(dims)])
+    docs = docs.select(
+        *doc_keys, "_cells",
+        *[F.expr(f"array_sort(array_distinct(transform(_s{i}, e -> e.c)))").alias(f"_c{i}") for i in range(n)],
+        *[F.map_from_entries(F.expr(f"transform(_s{i}, e -> struct(e.c, e.l))")).alias(f"_m{i}")
+          for i in range(n)])
+    # label maps written in code order: for the "labels" form that order *is*
+    # the category order
+    docs = docs.select(
+        *doc_keys, "_cells", *[f"_c{i}" for i in range(n)],
+        *[F.expr(f"map_from_arrays(_c{i}, transform(_c{i}, c -> _m{i}[c]))").alias(f"_l{i}")
+          for i in range(n)])
+    sizes = [F.size(f"_c{i}") for i in range(n)]
+    stride = [" * ".join([f"size(_c{j})" for j in range(i + 1, n)]) or "1" for i in range(n)]
+    total = " * ".join(f"size(_c{i})" for i in range(n))
+    code_at = ", ".join(f"_c{i}[cast((p div ({stride[i]})) % size(_c{i}) AS INT)]" for i in range(n))
+    values = F.expr(f"transform(sequence(0, {total} - 1), p -> _cells[concat_ws('|', {code_at})])")
+    dim_structs = []
+    for i, (dim_id, dim_label, _, _, form) in enumerate(dims):
+        codes = F.col(f"_c{i}")
+        index = {"list": codes,
+                 "dict": F.map_from_arrays(codes, F.expr(f"sequence(0, size(_c{i}) - 1)")),
+                 "labels": F.expr("cast(map() AS map<string,int>)")}[form]
+        dim_structs.append(F.struct(F.lit(dim_label).alias("label"), F.struct(
+            index.alias("index"), F.col(f"_l{i}").alias("label")).alias("category")).alias(dim_id))
+    cube = F.struct(F.array(*[F.lit(d[0]) for d in dims]).alias("id"), F.array(*sizes).alias("size"),
+                    F.struct(*dim_structs).alias("dimension"), values.alias("value"))
+    return docs.select(*doc_keys, F.to_json(F.struct(cube.alias("result"))).alias("body"))
+
+
+def price_cube_docs(orders: DataFrame) -> DataFrame:
+    """Price-index-shaped cube documents from orders, one per order year."""
+    cells = orders.groupBy(
+        F.year("o_orderdate").alias("year"),
+        F.date_format("o_orderdate", "yyyy'M'MM").alias("t_code"),
+        F.date_format("o_orderdate", "yyyy MMMM").alias("t_label"),
+        F.col("o_orderpriority").alias("p_code"),
+        lookup("o_orderpriority", ANALOG_PROPERTY_TYPES).alias("p_label"),
+        F.concat(F.lit("HPM06C0"), F.col("o_orderstatus")).alias("s_code"),
+        lookup("o_orderstatus", ANALOG_STATISTICS).alias("s_label"),
+    ).agg(F.round(F.sum("o_totalprice") / 10000, 2).alias("v"))
+    return cube_documents(cells, ["year"], [
+        ("STATISTIC", "Statistic", "s_code", "s_label", "list"),
+        ("TLIST(M1)", "Month", "t_code", "t_label", "labels"),
+        ("C02803V03373", "Type of Residential Property", "p_code", "p_label", "dict"),
+    ], "v")
+
+
+def permissions_cube_docs(lineitem: DataFrame) -> DataFrame:
+    """Permissions-shaped cube documents from lineitem, one per return flag."""
+    cells = lineitem.groupBy(
+        F.col("l_returnflag").alias("flag"),
+        F.year("l_shipdate").cast("string").alias("y"),
+        F.col("l_linestatus").alias("s_code"),
+        F.when(F.col("l_linestatus") == "O", F.lit(PERMISSIONS_STATISTIC)).otherwise(F.lit("Other"))
+        .alias("s_label"),
+        F.col("l_returnflag").alias("c_code"),
+        F.when(F.col("l_returnflag") == "N", F.lit(PERMISSIONS_CONSTRUCTION)).otherwise(F.lit("Repair"))
+        .alias("c_label"),
+    ).agg(F.sum("l_quantity").alias("v"))
+    return cube_documents(cells, ["flag"], [
+        ("STATISTIC", "Statistic", "s_code", "s_label", "list"),
+        ("TLIST(A1)", "Year", "y", "y", "labels"),
+        ("C02342V02816", "Type of Construction", "c_code", "c_label", "dict"),
+    ], "v")
+
+
+def write_bronze(spark, orders: DataFrame, lineitem: DataFrame, bronze: str, stamp: str = "20240630") -> None:
+    """The four Bronze sources in their drop layout, derived from the tables."""
+    for name, docs in (("house_price_index", price_cube_docs(orders)),
+                       ("new_dwelling_completions", permissions_cube_docs(lineitem))):
+        docs.select("body").write.mode("append").text(
+            f"{bronze}/cso/{name}/year={stamp[:4]}/month={stamp[4:6]}")
+    write_rent_extract(orders, f"{bronze}/rtb/rent_by_county/year={stamp[:4]}/month={stamp[4:6]}")
+    write_sales_register(orders, f"{bronze}/ppr/sales_register")
