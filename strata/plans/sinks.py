@@ -8,26 +8,23 @@ from pyspark.sql import functions as F
 
 def write_partitioned(df: DataFrame, path: str, by: list[str] | tuple[str, ...] = ("year",),
                       sort_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
-                      partitions: int | None = None, max_records_per_file: int | None = None,
-                      checks: dict | None = None):
+                      max_records_per_file: int | None = None, checks: dict | None = None):
     """Parquet write partitioned by ``by`` (K1).
 
-    Rows are range-partitioned on ``by`` plus a content hash before the
-    write.  Each task then holds a narrow slice of partition values (few
-    files per folder), and one partition value holding a third of all rows
-    is still split over many tasks -- ``repartition("year")`` would put it
-    in one.  The hash is deterministic, so a retried task rewrites the same
-    rows.  The default overwrite is static (full refresh); set
-    ``spark.sql.sources.partitionOverwriteMode=dynamic`` for incremental runs.
+    Rows pass through a ``REBALANCE`` on ``by``: a hash exchange that
+    adaptive execution resizes at run time -- a partition value holding a
+    third of all rows is split into advisory-size pieces
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) over many tasks,
+    and small ones are coalesced, so each folder gets a few well-sized
+    files.  Unlike a range repartition it needs no sampling pass, so the
+    upstream plan runs exactly once.  The default overwrite is static (full
+    refresh); set ``spark.sql.sources.partitionOverwriteMode=dynamic`` for
+    incremental runs.
 
     ``checks`` (name -> aggregate Column) are observed on the write itself
-    (K5) and returned as an ``Observation``; they sit above the range
-    exchange, so the exchange's sampling pass cannot report partial counts.
+    (K5) and returned as an ``Observation``.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    out = (df.repartitionByRange(n, *[F.col(c) for c in by], spread)
-           .sortWithinPartitions(*by, *sort_by))
+    out = df.hint("rebalance", *by).sortWithinPartitions(*by, *sort_by)
     obs = None
     if checks:
         obs = Observation()

@@ -110,7 +110,7 @@ def test_manifest(spark):
 def test_partitioned_write_and_catalog(spark):
     path = scratch_path(spark, "t-part")
     df = spark.range(1000).select((F.col("id") % 4 + 2020).cast("int").alias("year"), F.col("id").alias("v"))
-    obs = write_partitioned(df, path, ["year"], checks={"rows": F.count(F.lit(1))}, partitions=4)
+    obs = write_partitioned(df, path, ["year"], checks={"rows": F.count(F.lit(1))})
     assert obs.get == {"rows": 1000}
     dirs = sorted(d for d in os.listdir(path.replace("file:", "")) if d.startswith("year="))
     assert dirs == [f"year={y}" for y in range(2020, 2024)]
