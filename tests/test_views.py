@@ -51,3 +51,10 @@ def test_envelope(rents_gold):
     assert json.loads(out[0].data)["avg_monthly_rent"] == 1100.0
     meta = json.loads(out[0].meta)
     assert meta == {"table": "gold_avg_rent_by_location_year", "location_filter": "cork", "row_count": 1}
+
+
+def test_preview_is_topk(rents_gold):
+    from strata.plans.sinks import preview
+    df = preview(rents_gold, ["year", "location"], n=2)
+    assert [(r.year, r.location) for r in df.collect()] == [(2010, "Cork"), (2016, "Dublin")]
+    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
