@@ -17,13 +17,15 @@ back, so its lineage starts at Parquet, not at Bronze.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.fixed_values import PERMISSIONS_CODE, PRICE_INDEX_CODE
 from strata.operators.quality import null_count
 from strata.plans import gold
-from strata.plans.silver import cube_silver, read_sales, rents_silver, sales_silver
+from strata.operators import jsonstat
+from strata.plans.silver import cube_silver_parsed, read_sales, rents_silver, sales_silver
 from strata.plans.sinks import ensure_database, register_external, write_partitioned
 from strata.sources.documents import read_documents
 from strata.sources.files import read_csv_explicit
@@ -63,10 +65,16 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         docs = read_documents(spark, f"{bronze}/{SILVER_PATHS[name]}")
         if docs.isEmpty():
             continue
-        df, rejects = cube_silver(docs, code, run_date)
-        obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
-        rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
-        metrics[name] = obs.get
+        # parsed once, used three times (column names, cells, rejects);
+        # spills to disk, and lost blocks are recomputed from the files
+        parsed = jsonstat.parse(docs.select("path", "body")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            df, rejects = cube_silver_parsed(parsed, code, run_date)
+            obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
+            rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
+            metrics[name] = obs.get
+        finally:
+            parsed.unpersist()
     raw = read_csv_explicit(spark, f"{bronze}/{SILVER_PATHS['rent_by_county']}")
     if raw is not None and raw.columns:
         obs = write_partitioned(rents_silver(raw, run_date, run_year),

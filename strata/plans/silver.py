@@ -32,9 +32,18 @@ def cube_silver(docs: DataFrame, dataset: str, run_date: str,
     (``period`` for the time dimension), ``metric_value`` DOUBLE, lineage
     columns and ``year`` = first 4-digit run of ``period`` (null when the
     cube has no time dimension).  ``rejects`` lists the documents that could
-    not be unpacked and why.
+    not be unpacked and why.  See :func:`cube_silver_parsed` to parse once
+    and reuse the result for several outputs.
     """
-    parsed = jsonstat.parse(docs.select("path", "body"))
+    return cube_silver_parsed(jsonstat.parse(docs.select("path", "body")), dataset, run_date,
+                              columns, chunk_cells, spread)
+
+
+def cube_silver_parsed(parsed: DataFrame, dataset: str, run_date: str,
+                       columns: list[tuple[str, str]] | None = None,
+                       chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
+                       spread: bool = True) -> tuple[DataFrame, DataFrame]:
+    """:func:`cube_silver` on the output of :func:`jsonstat.parse`."""
     if columns is None:
         columns = jsonstat.dimension_columns(parsed)
     wide = jsonstat.widen(jsonstat.cells(parsed, chunk_cells, spread), columns)

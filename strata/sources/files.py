@@ -73,25 +73,27 @@ def _first_line(path: str, max_bytes: int) -> bytes | None:
 
 
 def file_headers(files: DataFrame, encoding: str = LATIN1, max_bytes: int = 1 << 20) -> DataFrame:
-    """First line of each listed file, decoded: ``(path, header)``.
+    """First line of each listed file, decoded: ``(path, header, error)``.
 
     Runs as a ``mapInPandas`` over the file list, one small bounded read per
     file on the executors -- the file bodies are never loaded, whatever
-    their size.  An empty or unreadable file gets a null header.
+    their size.  A file that cannot be opened gets a null header and the
+    error text, so it is set aside with a reason rather than failing the run.
     """
     def sniff(batches):
         for pdf in batches:
-            heads = []
+            heads, errors = [], []
             for p in pdf["path"]:
                 try:
-                    raw = _first_line(p, max_bytes)
-                except OSError:
-                    raw = None
+                    raw, err = _first_line(p, max_bytes), None
+                except (OSError, ValueError) as exc:
+                    raw, err = None, f"unreadable: {exc}"[:500]
                 heads.append(None if raw is None
-                             else raw.decode(encoding, errors="replace").lstrip("﻿").rstrip("\r"))
-            yield pd.DataFrame({"path": pdf["path"], "header": heads})
+                             else raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r"))
+                errors.append(err)
+            yield pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
 
-    return files.select("path").mapInPandas(sniff, "path string, header string")
+    return files.select("path").mapInPandas(sniff, "path string, header string, error string")
 
 
 def split_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
@@ -159,11 +161,12 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     when no file has it).
     """
     heads = file_headers(list_files(spark, path, glob), encoding)
-    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups = (heads.groupBy("header", "error")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
     frames, rejected = [], []
-    for g in sorted(groups, key=lambda r: r["header"] or ""):
+    for g in sorted(groups, key=lambda r: (r["header"] or "", r["error"] or "")):
         if not g["header"]:
-            rejected += [(p, "no header") for p in g["paths"]]
+            rejected += [(p, g["error"] or "no header") for p in g["paths"]]
             continue
         names = split_header(g["header"])
         schema = _string_schema(names)

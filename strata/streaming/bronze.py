@@ -10,11 +10,13 @@ backlog, then stops -- exactly-once per file, restartable after a failure.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.plans.silver import cube_silver
+from strata.operators import jsonstat
+from strata.plans.silver import cube_silver_parsed
 from strata.session import ensure_checkpoint_dir
 
 
@@ -28,6 +30,27 @@ def document_stream(spark: SparkSession, path_glob: str, max_files_per_trigger:
             .filter(F.length(F.trim("body")) > 0))
 
 
+def write_cube_batch(batch: DataFrame, batch_id: int, silver: str, dataset: str, run_date: str,
+                     columns: list[tuple[str, str]] | None = None) -> None:
+    """Unpack one micro-batch of documents into Silver; replaying it is harmless.
+
+    Rows go under ``year=/ingest_batch=`` folders with dynamic partition
+    overwrite, so writing the same ``batch_id`` again replaces, never adds.
+    """
+    parsed = jsonstat.parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        df, rejects = cube_silver_parsed(parsed, dataset, run_date, columns=columns)
+        batch_col = F.lit(batch_id).cast("long").alias("ingest_batch")
+        (df.select("*", batch_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year", "ingest_batch").parquet(silver))
+        (rejects.select("*", batch_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_batch").json(f"{silver.rstrip('/')}/_rejects"))
+    finally:
+        parsed.unpersist()
+
+
 def cube_to_silver_stream(spark: SparkSession, path_glob: str, silver: str, dataset: str,
                           run_date: str, checkpoint: str | None = None,
                           columns: list[tuple[str, str]] | None = None,
@@ -35,16 +58,16 @@ def cube_to_silver_stream(spark: SparkSession, path_glob: str, silver: str, data
     """Append newly landed cube documents to the Silver table at ``silver``.
 
     Each micro-batch is unpacked by :func:`strata.plans.silver.cube_silver`
-    and appended partitioned by ``year``; rejected documents go to
-    ``silver/_rejects``.  ``checkpoint`` defaults to a folder under the
-    session's checkpoint directory (shared storage on a cluster).
+    and written under ``year=/ingest_batch=`` folders with dynamic partition
+    overwrite: a micro-batch replayed after a failure rewrites only its own
+    folders, so no row lands twice.  Rejected documents go to
+    ``silver/_rejects`` the same way.  ``checkpoint`` defaults to a folder
+    under the session's checkpoint directory (shared storage on a cluster).
     """
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/{dataset}"
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        df, rejects = cube_silver(batch, dataset, run_date, columns=columns)
-        df.write.mode("append").partitionBy("year").parquet(silver)
-        rejects.write.mode("append").json(f"{silver.rstrip('/')}/_rejects")
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_cube_batch(batch, batch_id, silver, dataset, run_date, columns)
 
     writer = (document_stream(spark, path_glob).writeStream
               .foreachBatch(write_batch)

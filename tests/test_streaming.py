@@ -36,3 +36,15 @@ def test_incremental_runs_append_new_documents_only(spark):
     rows = {(r.year, r.metric_value) for r in spark.read.parquet(silver).collect()}
     assert rows == {(2020, 1.0), (2021, 2.0), (2022, 3.0), (2023, 4.0), (2024, 5.0)}
     assert [r.reason for r in spark.read.json(f"{silver}/_rejects").collect()] == ["error_reply"]
+
+
+def test_replayed_batch_is_not_duplicated(spark):
+    from strata.streaming.bronze import write_cube_batch
+    silver = scratch_path(spark, "t-stream-replay")
+    batch = spark.createDataFrame([("a.json", doc(2020, [1, 2]))], "path string, body string")
+    write_cube_batch(batch, 7, silver, "TEST01", "2024-06-30")
+    write_cube_batch(batch, 7, silver, "TEST01", "2024-06-30")
+    write_cube_batch(spark.createDataFrame([("b.json", doc(2020, [9]))], "path string, body string"),
+                     8, silver, "TEST01", "2024-06-30")
+    rows = sorted((r.year, r.metric_value, r.ingest_batch) for r in spark.read.parquet(silver).collect())
+    assert rows == [(2020, 1.0, 7), (2020, 9.0, 8), (2021, 2.0, 7)]
