@@ -52,3 +52,24 @@ def latest_snapshot(df: DataFrame, keys: list[str], snapshot_col: str) -> DataFr
     """
     newest = df.groupBy(*keys).agg(F.max(snapshot_col).alias(snapshot_col))
     return df.join(newest, on=[*keys, snapshot_col], how="left_semi")
+
+
+def snapshot_of(path_col: str = "path") -> Column:
+    """Snapshot key of a landed file: its path, or its folder for part files.
+
+    Time-stamped names (``.../year=2024/month=06/data_20240630_120000.json``)
+    sort by landing time; the part files of one Spark write share a folder
+    and so form one snapshot.
+    """
+    return F.regexp_replace(F.col(path_col), r"/part-[^/]*$", "")
+
+
+def keep_latest_files(df: DataFrame, path_col: str = "path",
+                      dataset: Column | None = None) -> DataFrame:
+    """Rows of the newest snapshot per ``dataset`` (the whole frame by default)."""
+    keyed = df.withColumn("_snapshot", snapshot_of(path_col))
+    keys = []
+    if dataset is not None:
+        keyed = keyed.withColumn("_dataset", dataset)
+        keys = ["_dataset"]
+    return latest_snapshot(keyed, keys, "_snapshot").drop("_snapshot", "_dataset")

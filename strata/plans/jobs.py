@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.fixed_values import PERMISSIONS_CODE, PRICE_INDEX_CODE
-from strata.operators.quality import null_count
+from strata.operators.quality import keep_latest_files, null_count
 from strata.plans import gold
 from strata.operators import jsonstat
 from strata.plans.silver import cube_silver_parsed, read_sales, rents_silver, sales_silver
@@ -51,9 +51,14 @@ def _checks() -> dict:
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: str,
-                     run_year: int | None = None) -> dict[str, dict]:
+                     run_year: int | None = None, latest_only: bool = True) -> dict[str, dict]:
     """Clean the four Bronze sources into year-partitioned Silver Parquet.
 
+    Bronze is append-only, so every monthly run lands another snapshot of
+    each source.  With ``latest_only`` (default) only the newest snapshot is
+    read -- per source for cubes and rents, per sales year for the sales
+    register -- so re-runs never double sums and counts (D1).
+
     Returns per-dataset metrics observed on the writes (rows, null years,
     and for sales the rows dropped for unparseable dates).  Sources whose
     folder is missing or holds nothing are skipped, as the source job does.
@@ -65,6 +70,8 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         docs = read_documents(spark, f"{bronze}/{SILVER_PATHS[name]}")
         if docs.isEmpty():
             continue
+        if latest_only:
+            docs = keep_latest_files(docs)
         # parsed once, used three times (column names, cells, rejects);
         # spills to disk, and lost blocks are recomputed from the files
         parsed = jsonstat.parse(docs.select("path", "body")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -77,12 +84,18 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             parsed.unpersist()
     raw = read_csv_explicit(spark, f"{bronze}/{SILVER_PATHS['rent_by_county']}")
     if raw is not None and raw.columns:
+        if latest_only:
+            raw = keep_latest_files(raw.withColumn("_path", F.col("_metadata.file_path")), "_path") \
+                .drop("_path")
         obs = write_partitioned(rents_silver(raw, run_date, run_year),
                                 f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
         metrics["rent_by_county"] = obs.get
     raw, rejected = read_sales(spark, f"{bronze}/{SILVER_PATHS['sales_register']}")
     rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
     if raw is not None:
+        if latest_only:
+            raw = keep_latest_files(raw, "source_file",
+                                    dataset=F.regexp_extract("source_file", r"year=([0-9]+)", 1))
         df, dropped = sales_silver(raw, run_date)
         obs = write_partitioned(df.drop("source_file"), f"{silver}/{SILVER_PATHS['sales_register']}",
                                 checks=_checks())
