@@ -8,14 +8,30 @@ session's checkpoint folder (shared storage on a cluster).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans import fixtures
-from strata.plans.silver import cube_silver
+from strata.fixed_values import (RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES, SALES_HEADER_PATTERNS,
+                                 SALES_HEADER_SYNONYMS, SALES_MONEY_CHARS)
+from strata.functions.coerce import add_lineage, coerce_strings, ensure_year
+from strata.functions.names import clean_columns, drop_code_columns, rename_synonyms
+from strata.functions.values import (chart_time, contains_ci, first_nonblank, first_year,
+                                     keep_blank_or_no, lookup, month_of_period, parse_date,
+                                     parse_money, to_bigint)
+from strata.operators import jsonstat
+from strata.operators.aggregates import (group_stats, headline_stats, mean_of_means, period_end,
+                                         sum_by)
+from strata.operators.quality import drop_nulls_observed, latest_snapshot, null_count
+from strata.operators.spine import key_spine, spine_join
+from strata.operators.trends import yoy
+from strata.plans import fixtures, gold, jobs, views
+from strata.plans.silver import cube_silver, read_sales, rents_silver, sales_silver
+from strata.plans.sinks import ensure_database, envelope, register_external, write_partitioned
 from strata.session import scratch_path
 from strata.sources.documents import read_documents
-from strata.sources.files import land_raw
+from strata.sources.files import LATIN1, land_raw, load_manifest, read_csv_explicit
 
 RUN_DATE = "2024-06-30"
 RUN_YEAR = 2024
@@ -65,14 +81,6 @@ QUERIES = {
     "q_jsonstat_unpack": q_jsonstat_unpack,
 }
 
-from strata.fixed_values import SALES_MONEY_CHARS  # noqa: E402
-from strata.functions.coerce import add_lineage, coerce_strings, ensure_year  # noqa: E402
-from strata.functions.names import clean_columns, drop_code_columns  # noqa: E402
-from strata.functions.values import (chart_time, first_nonblank, first_year, keep_blank_or_no,  # noqa: E402
-                                     lookup, month_of_period, parse_date, parse_money)
-from strata.operators import jsonstat  # noqa: E402
-from strata.operators.quality import drop_nulls_observed  # noqa: E402
-
 
 def q_jsonstat_index_forms(spark, sf_dir):
     docs = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"), by_status=True, vary_forms=True)
@@ -307,12 +315,6 @@ QUERIES.update({
     "q_month_map": q_month_map,
 })
 
-from strata.plans import gold  # noqa: E402
-from strata.operators.aggregates import (group_stats, headline_stats, mean_of_means,  # noqa: E402
-                                         period_end, sum_by)
-from strata.operators.spine import key_spine, spine_join  # noqa: E402
-from strata.operators.trends import yoy  # noqa: E402
-from strata.functions.values import contains_ci  # noqa: E402
 
 RENT_NEEDLE = "e"      # analog of the Dublin filter on rent locations (priorities)
 DUBLIN_ANALOG = "high"  # analog location holding the "Dublin" rents in the summary
@@ -570,17 +572,6 @@ QUERIES.update({
     "q_gold_summary": q_gold_summary,
 })
 
-import uuid  # noqa: E402
-
-from strata.fixed_values import (RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES,  # noqa: E402
-                                 SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS)
-from strata.functions.names import rename_synonyms  # noqa: E402
-from strata.functions.values import to_bigint  # noqa: E402
-from strata.operators.quality import latest_snapshot, null_count  # noqa: E402
-from strata.plans import views  # noqa: E402
-from strata.plans.silver import read_sales, rents_silver, sales_silver  # noqa: E402
-from strata.plans.sinks import ensure_database, envelope, register_external, write_partitioned  # noqa: E402
-from strata.sources.files import LATIN1, load_manifest, read_csv_explicit  # noqa: E402
 
 PART_SYNONYMS = {"Part Key": "p_partkey", "Name": "p_name", "Description": "description",
                  **SALES_HEADER_SYNONYMS}
@@ -824,8 +815,6 @@ QUERIES.update({
 })
 
 
-from strata.plans import jobs  # noqa: E402
-
 MEDALLION_DB = "strata_medallion"
 
 

@@ -1,7 +1,6 @@
 """Cube unpack: the reference's fixtures plus the edge cases it leaves open."""
 import json
 
-from pyspark.sql import functions as F
 
 from strata.operators import jsonstat
 

@@ -1,6 +1,5 @@
 """Trends, spine joins, aggregates and snapshot de-duplication."""
 import pytest
-from pyspark.sql import functions as F
 
 from strata.operators.aggregates import (class_slices, conditional_stats, headline_stats, period_end,
                                          pivot_wide)
