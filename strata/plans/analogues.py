@@ -23,12 +23,12 @@ from strata.functions.values import (chart_time, contains_ci, first_nonblank, fi
 from strata.operators import jsonstat
 from strata.operators.aggregates import (group_stats, headline_stats, mean_of_means, period_end,
                                          sum_by)
-from strata.operators.quality import drop_nulls_observed, latest_snapshot, null_count
+from strata.operators.quality import drop_nulls_observed, dropped_pct, latest_snapshot, null_count
 from strata.operators.spine import key_spine, spine_join
 from strata.operators.trends import yoy
 from strata.plans import fixtures, gold, jobs, views
 from strata.plans.silver import cube_silver, read_sales, rents_silver, sales_silver
-from strata.plans.sinks import ensure_database, envelope, register_external, write_partitioned
+from strata.plans.sinks import ensure_database, envelope, preview, register_external, write_partitioned
 from strata.session import scratch_path
 from strata.sources.documents import read_documents
 from strata.sources.files import LATIN1, land_raw, load_manifest, read_csv_explicit
@@ -834,3 +834,30 @@ def q_medallion_summary(spark, sf_dir):
 ORACLES["q_medallion_summary"] = (
     "SELECT * FROM (" + _summary_sql(_SALES_CSV_GOLD) + ") t WHERE year BETWEEN 1990 AND 2030")
 QUERIES["q_medallion_summary"] = q_medallion_summary
+
+
+def q_preview(spark, sf_dir):
+    """K6: first rows of a Gold table in a total order (a top-k, not a sort)."""
+    return preview(gold.rent_trends(fixtures.rents_silver(table(spark, sf_dir, "orders")), RUN_DATE),
+                   ["year", "location"], n=5)
+
+
+def q_dropped_rows(spark, sf_dir):
+    """rows kept, rows dropped and their share, observed on the one pass."""
+    dates = table(spark, sf_dir, "orders").select(parse_date(_order_date_text()).alias("d"))
+    kept, obs = drop_nulls_observed(dates, "d")
+    kept.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return spark.createDataFrame([(m["rows_in"], m["rows_dropped"], round(dropped_pct(m), 2))],
+                                 "rows_in bigint, rows_dropped bigint, dropped_pct double")
+
+
+ORACLES.update({
+    "q_preview": f"WITH {_RENT_GOLD} SELECT * FROM rg ORDER BY year, location LIMIT 5",
+    "q_dropped_rows": """
+SELECT count(*)::BIGINT AS rows_in, (count(*) FILTER (WHERE o_orderpriority = '5-LOW'))::BIGINT AS rows_dropped,
+       round(100.0 * count(*) FILTER (WHERE o_orderpriority = '5-LOW') / count(*), 2) AS dropped_pct
+FROM orders
+""",
+})
+QUERIES.update({"q_preview": q_preview, "q_dropped_rows": q_dropped_rows})

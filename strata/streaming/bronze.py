@@ -27,7 +27,7 @@ def document_stream(spark: SparkSession, path_glob: str, max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (reader.load(path_glob)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
-            .filter(F.length(F.trim("body")) > 0))
+            .filter(F.length("body") > 0))
 
 
 def write_cube_batch(batch: DataFrame, batch_id: int, silver: str, dataset: str, run_date: str,
