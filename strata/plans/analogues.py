@@ -861,3 +861,16 @@ FROM orders
 """,
 })
 QUERIES.update({"q_preview": q_preview, "q_dropped_rows": q_dropped_rows})
+
+ORACLES["q_json_envelope"] = f"""WITH {_SALES_GOLD}
+SELECT 'ok' AS status,
+       to_json(struct_pack(year := year, total_sales := total_sales, avg_price_eur := avg_price_eur,
+               median_price_eur := median_price_eur, min_price_eur := min_price_eur,
+               max_price_eur := max_price_eur, new_build_sales := new_build_sales,
+               new_build_avg_price := new_build_avg_price, second_hand_sales := second_hand_sales,
+               second_hand_avg_price := second_hand_avg_price,
+               yoy_price_change_pct := yoy_price_change_pct, county := county))::VARCHAR AS data,
+       to_json(struct_pack("table" := 'gold_property_sales_dublin', from_year := '1990', to_year := '2025',
+               row_count := (SELECT count(*) FROM sg WHERE year BETWEEN 1990 AND 2025)))::VARCHAR AS meta
+FROM sg WHERE year BETWEEN 1990 AND 2025
+"""

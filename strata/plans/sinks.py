@@ -80,6 +80,7 @@ def envelope(df: DataFrame, table: str, filters: dict | None = None) -> DataFram
         F.lit(table).alias("table"),
         *[F.lit(v).alias(k) for k, v in filters.items()],
         row_count.alias("row_count"))
+    keep_nulls = {"ignoreNullFields": "false"}  # a missing value reads as null, not as absent
     return df.select(F.lit("ok").alias("status"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data"),
-                     F.to_json(meta_struct).alias("meta"))
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns]), keep_nulls).alias("data"),
+                     F.to_json(meta_struct, keep_nulls).alias("meta"))
