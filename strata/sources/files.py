@@ -96,6 +96,43 @@ def file_headers(files: DataFrame, encoding: str = LATIN1, max_bytes: int = 1 <<
     return files.select("path").mapInPandas(sniff, "path string, header string, error string")
 
 
+def first_line_hadoop(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> bytes | None:
+    """First line of a file through the session's Hadoop FileSystem (any scheme Spark reads)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        buf = bytearray()
+        while len(buf) < max_bytes:
+            b = stream.read()
+            if b < 0 or b == 10:
+                break
+            buf.append(b)
+        return bytes(buf) if buf or b == 10 else None
+    finally:
+        stream.close()
+
+
+def _retry_on_driver(spark: SparkSession, rows: list, encoding: str) -> list:
+    """Headers of files the executors could not open, read through Hadoop on the driver.
+
+    Only for the (normally empty) set of such files; each read stops at the
+    first newline, and reads run in a small thread pool.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(row):
+        try:
+            raw = first_line_hadoop(spark, row["path"])
+        except Exception as exc:  # keep the file as rejected, with both errors
+            return row["path"], None, f"{row['error']}; {type(exc).__name__}"[:500]
+        head = None if raw is None else raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r")
+        return row["path"], head, None
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(one, rows))
+
+
 def split_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
     """Column names of a CSV header line (doubled quotes inside quotes)."""
     return next(csv.reader(io.StringIO(line), delimiter=sep, quotechar=quote, doublequote=True))
@@ -163,6 +200,16 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     heads = file_headers(list_files(spark, path, glob), encoding)
     groups = (heads.groupBy("header", "error")
               .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    unreadable = [{"path": p, "error": g["error"]} for g in groups if g["error"] for p in g["paths"]]
+    if unreadable:
+        retried: dict[tuple, list] = {}
+        for p, head, err in _retry_on_driver(spark, unreadable, encoding):
+            retried.setdefault((head, err), []).append(p)
+        groups = [g for g in groups if not g["error"]]
+        merged: dict[tuple, list] = {(g["header"], None): list(g["paths"]) for g in groups}
+        for key, paths in retried.items():
+            merged.setdefault(key, []).extend(paths)
+        groups = [{"header": h, "error": e, "paths": sorted(ps)} for (h, e), ps in merged.items()]
     frames, rejected = [], []
     for g in sorted(groups, key=lambda r: (r["header"] or "", r["error"] or "")):
         if not g["header"]:

@@ -120,3 +120,16 @@ def test_partitioned_write_and_catalog(spark):
     name = register_external(spark, "t_strata", "gold_t", path, df)
     assert spark.table(name).count() == 1000
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4
+
+
+def test_unreadable_on_executors_falls_back_to_hadoop(spark, monkeypatch):
+    import strata.sources.files as files
+    root = scratch_path(spark, "t-fallback")
+    write(f"{root}/a.csv", "Date of Sale (dd/mm/yyyy),Address\n01/02/2023,x\n", "utf-8")
+
+    def broken(path, max_bytes):
+        raise OSError("scheme not supported here")
+    monkeypatch.setattr(files, "_first_line", broken)
+    raw, rejected = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, SALES_HEADER_PATTERNS)
+    assert rejected.count() == 0
+    assert [(r.date_of_sale_raw, r.address) for r in raw.collect()] == [("01/02/2023", "x")]
