@@ -147,3 +147,28 @@ def test_column_names_from_labels(docs):
                labels={"C1V2": "Type of Residential (Property) - A/B"})
     cols = jsonstat.dimension_columns(jsonstat.parse(docs(json.dumps(doc))))
     assert cols == [("C1V2", "type_of_residential_property___a_b"), ("TLIST(A1)", "period")]
+
+
+def test_one_hot_document_is_spread_over_tasks(spark, docs):
+    n_a, n_b = 400, 500  # 200k cells in a single document
+    doc = cube(["A", "B"], [n_a, n_b], [{"index": [f"a{i}" for i in range(n_a)]},
+                                         {"index": [f"b{i}" for i in range(n_b)]}], list(range(n_a * n_b)))
+    c = jsonstat.cells(jsonstat.parse(docs(json.dumps(doc))), chunk_cells=10_000, spread=True)
+    # a cube far larger than the advisory partition size: AQE must keep it split
+    # (with the 64 MB default, a cube this small is rightly merged into one task)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        per_task = c.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == n_a * n_b
+    assert sum(1 for k in per_task if k > 0) > 1  # not one task holding the whole cube
+    stats = c.selectExpr("count(distinct pos) AS d", "min(pos) AS lo", "max(pos) AS hi",
+                         "count_if(cast(value AS INT) <> pos) AS bad",
+                         "count_if(dims['B'] <> concat('b', pos % 500)) AS bad_b").first()
+    assert (stats.d, stats.lo, stats.hi, stats.bad, stats.bad_b) == (n_a * n_b, 0, n_a * n_b - 1, 0, 0)
