@@ -164,7 +164,7 @@ _META_COLS = {"ids", "sizes", "codes", "cat_labels", "dim_labels", "strides",
 
 
 def cells(parsed: DataFrame, chunk_cells: int = DEFAULT_CHUNK_CELLS,
-          spread: bool = True) -> DataFrame:
+          spread: bool | str = "auto") -> DataFrame:
     """One row per cell of every accepted document.
 
     Output: the document's own columns, ``pos`` (row-major position),
@@ -172,11 +172,22 @@ def cells(parsed: DataFrame, chunk_cells: int = DEFAULT_CHUNK_CELLS,
 
     The value array is first cut into ``chunk_cells``-long slices, one row
     per slice, so the cut costs no copy beyond the slices themselves.  With
-    ``spread`` the slices are hash-distributed before they are exploded:
-    a cube of a billion cells then unpacks on many tasks instead of the one
-    that parsed it.  AQE merges the slices of small cubes back into few
-    partitions, so the exchange is cheap when cubes are small.
+    ``spread=True`` the slices are hash-distributed before they are
+    exploded: a cube of a billion cells then unpacks on many tasks instead of
+    the one that parsed it.  ``spread="auto"`` (default) sends only
+    documents of more than one slice through that exchange; smaller ones
+    unpack where they were parsed, so ordinary cubes cost no shuffle.  (The
+    two branches read ``parsed`` twice: persist it, as the jobs do, when the
+    parse is expensive.)
     """
+    if spread == "auto":
+        one = F.col("n_cells") <= F.lit(chunk_cells)
+        return _cells(parsed.filter(one), chunk_cells, False).unionByName(
+            _cells(parsed.filter(~one), chunk_cells, True))
+    return _cells(parsed, chunk_cells, bool(spread))
+
+
+def _cells(parsed: DataFrame, chunk_cells: int, spread: bool) -> DataFrame:
     keep = [c for c in parsed.columns if c not in _META_COLS]
     ok = parsed.filter(F.col("reason").isNull() & (F.col("n_cells") > 0))
     sliced = ok.select(
@@ -245,7 +256,7 @@ def widen(cell_rows: DataFrame, columns: list[tuple[str, str]],
 
 def unpack(docs: DataFrame, body_col: str = "body",
            columns: list[tuple[str, str]] | None = None,
-           chunk_cells: int = DEFAULT_CHUNK_CELLS, spread: bool = True,
+           chunk_cells: int = DEFAULT_CHUNK_CELLS, spread: bool | str = "auto",
            keep: list[str] | None = None) -> DataFrame:
     """Documents to a wide table: one row per cell, one column per dimension.
 

@@ -25,7 +25,7 @@ SALES_CANONICAL = sorted(set(SALES_HEADER_SYNONYMS.values()))
 def cube_silver(docs: DataFrame, dataset: str, run_date: str,
                 columns: list[tuple[str, str]] | None = None,
                 chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
-                spread: bool = True) -> tuple[DataFrame, DataFrame]:
+                spread: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
     """Cube documents -> long typed table partitionable by ``year``.
 
     Returns ``(silver, rejects)``.  ``silver`` has one column per dimension
@@ -42,7 +42,7 @@ def cube_silver(docs: DataFrame, dataset: str, run_date: str,
 def cube_silver_parsed(parsed: DataFrame, dataset: str, run_date: str,
                        columns: list[tuple[str, str]] | None = None,
                        chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
-                       spread: bool = True) -> tuple[DataFrame, DataFrame]:
+                       spread: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
     """:func:`cube_silver` on the output of :func:`jsonstat.parse`."""
     if columns is None:
         columns = jsonstat.dimension_columns(parsed)

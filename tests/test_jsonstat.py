@@ -172,3 +172,15 @@ def test_one_hot_document_is_spread_over_tasks(spark, docs):
                          "count_if(cast(value AS INT) <> pos) AS bad",
                          "count_if(dims['B'] <> concat('b', pos % 500)) AS bad_b").first()
     assert (stats.d, stats.lo, stats.hi, stats.bad, stats.bad_b) == (n_a * n_b, 0, n_a * n_b - 1, 0, 0)
+
+
+def test_auto_spread_equals_no_spread(docs):
+    small = cube(["A"], [3], [{"index": ["x", "y", "z"]}], [1, 2, 3])
+    big = cube(["A", "B"], [6, 7], [{"index": [f"a{i}" for i in range(6)]},
+                                     {"index": [f"b{i}" for i in range(7)]}], list(range(42)))
+    d = docs(json.dumps(small), json.dumps(big), json.dumps(small))
+    rows = lambda c: sorted((r.path, r.pos, r.value, tuple(sorted(r.dims.items()))) for r in c.collect())
+    parsed = jsonstat.parse(d)
+    auto = jsonstat.cells(parsed, chunk_cells=10, spread="auto")
+    assert rows(auto) == rows(jsonstat.cells(parsed, chunk_cells=10, spread=False))
+    assert len(rows(auto)) == 3 + 42 + 3
