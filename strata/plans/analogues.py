@@ -874,3 +874,21 @@ SELECT 'ok' AS status,
                row_count := (SELECT count(*) FROM sg WHERE year BETWEEN 1990 AND 2025)))::VARCHAR AS meta
 FROM sg WHERE year BETWEEN 1990 AND 2025
 """
+
+
+def q_stream_cube_unpack(spark, sf_dir):
+    """Incremental unpack: two landings, two available-now runs, same rows as the batch."""
+    from strata.streaming.bronze import cube_to_silver_stream
+    docs = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"))
+    bronze, silver = scratch_path(spark, "stream_bronze"), scratch_path(spark, "stream_silver")
+    checkpoint = scratch_path(spark, "stream_checkpoint")
+    for month, part in (("05", docs.filter(F.col("year") <= 1997)), ("06", docs.filter(F.col("year") > 1997))):
+        part.select("body").write.text(f"{bronze}/year={RUN_YEAR}/month={month}")
+        cube_to_silver_stream(spark, f"{bronze}/*/*", silver, "ORD01", RUN_DATE,
+                              checkpoint=checkpoint).awaitTermination()
+    return spark.read.parquet(silver).select("statistic", "period", "order_priority", "metric_value",
+                                             "source_dataset", "ingestion_date", "year")
+
+
+ORACLES["q_stream_cube_unpack"] = ORACLES["q_jsonstat_unpack"]
+QUERIES["q_stream_cube_unpack"] = q_stream_cube_unpack
