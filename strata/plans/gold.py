@@ -18,8 +18,8 @@ from strata.fixed_values import (DUBLIN_ALL, DUBLIN_NEEDLE, ESTIMATED_ANNUAL_NEE
 from strata.functions.values import classify, contains_ci, lookup, month_of_period
 from strata.operators.aggregates import (MEDIAN_ACCURACY, class_slices, conditional_aggs,
                                          group_stats, headline_aggs, headline_stats,
-                                         mean_of_means, period_end, pivot_wide, sum_by)
-from strata.operators.spine import key_spine, spine_join
+                                         pivot_wide, sum_by)
+from strata.operators.spine import spine_join, spine_merge
 from strata.operators.trends import yoy
 
 SALE_CLASSES = {SALE_CLASS_NEW: ("new_build_sales", "new_build_avg_price"),
@@ -110,27 +110,41 @@ def crisis_summary(price: DataFrame, rent: DataFrame, perms: DataFrame, sales: D
     """One row per year joining the four marts onto a year spine.
 
     Price readings are the December row of each year (A9; a year without
-    December has none); rents are unweighted means of location means,
-    overall and for locations containing ``dublin_needle`` (A7, A8).  The
-    spine is the years of national price, national rent, permissions and
-    sales (U2); every slice is left-joined onto it (J2).
+    December has none; ``year_end_month=None`` takes each year's latest
+    month instead); rents are unweighted means of location means, overall
+    and for locations containing ``dublin_needle`` (A7, A8).  The spine is
+    the years of national price, national rent, permissions and sales (U2);
+    the four per-year frames are merged onto it (J2) in one aggregation.
     """
-    nat = period_end(price.filter(F.col(type_col) == national), ["year"], "month",
-                     ["price_index", "pct_change_12m"], at=year_end_month) \
-        .select("year", F.col("price_index").alias("national_price_index"),
-                F.col("pct_change_12m").alias("national_price_yoy_pct"))
-    dub = period_end(price.filter(F.col(type_col) == dublin), ["year"], "month",
-                     ["price_index"], at=year_end_month) \
-        .select("year", F.col("price_index").alias("dublin_price_index"))
-    nat_rent = mean_of_means(rent, ["year"], "avg_monthly_rent", "avg_national_rent")
-    dub_rent = mean_of_means(rent.filter(contains_ci("location", dublin_needle)), ["year"],
-                             "avg_monthly_rent", "avg_dublin_rent")
+    # National and Dublin readings in one aggregate per mart: the year-end
+    # row of each type is the max of a (month, values) struct, so a year
+    # without that month has none, and each mart is scanned once.
+    price_rows = price.filter(F.col(type_col).isin(national, dublin))
+    if year_end_month is not None:
+        price_rows = price_rows.filter(F.col("month") == F.lit(year_end_month))
+    is_nat, is_dub = F.col(type_col) == F.lit(national), F.col(type_col) == F.lit(dublin)
+    readings = price_rows.groupBy("year").agg(
+        F.max(F.when(is_nat, F.struct("month", "price_index", "pct_change_12m"))).alias("_nat"),
+        F.max(F.when(is_dub, F.struct("month", "price_index"))).alias("_dub"))
+    prices = readings.select(
+        "year", F.col("_nat.price_index").alias("national_price_index"),
+        F.col("_nat.pct_change_12m").alias("national_price_yoy_pct"),
+        F.col("_dub.price_index").alias("dublin_price_index"), F.col("_nat").isNotNull().alias("_has_nat"))
+    rents = rent.groupBy("year").agg(
+        F.round(F.avg("avg_monthly_rent"), 2).alias("avg_national_rent"),
+        F.round(F.avg(F.when(contains_ci("location", dublin_needle), F.col("avg_monthly_rent"))), 2)
+        .alias("avg_dublin_rent"))
     perms_slim = perms.select("year", "new_communal_permissions",
                               F.col("yoy_change_pct").alias("permissions_yoy_pct"))
     sales_slim = sales.select("year", F.col("total_sales").alias("dublin_total_sales"),
                               F.col("avg_price_eur").alias("dublin_avg_sale_price"),
                               F.col("median_price_eur").alias("dublin_median_sale_price"),
                               "yoy_price_change_pct")
-    spine = key_spine([nat, nat_rent, perms_slim, sales_slim], "year")
-    joined = spine_join(spine, [nat, dub, nat_rent, dub_rent, perms_slim, sales_slim], "year")
-    return joined.withColumn("gold_updated", F.lit(run_date))
+    # every frame is per year: one union + aggregate instead of spine + 4 joins
+    joined = spine_merge([prices, rents, perms_slim, sales_slim], "year",
+                         in_spine=[F.col("_has_nat"), True, True, True]).drop("_has_nat")
+    return joined.select(
+        "year", "national_price_index", "national_price_yoy_pct", "dublin_price_index",
+        "avg_national_rent", "avg_dublin_rent", "new_communal_permissions", "permissions_yoy_pct",
+        "dublin_total_sales", "dublin_avg_sale_price", "dublin_median_sale_price",
+        "yoy_price_change_pct", F.lit(run_date).alias("gold_updated"))

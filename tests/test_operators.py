@@ -1,10 +1,11 @@
 """Trends, spine joins, aggregates and snapshot de-duplication."""
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators.aggregates import (class_slices, conditional_stats, headline_stats, period_end,
                                          pivot_wide)
 from strata.operators.quality import drop_nulls_observed, dropped_pct, latest_snapshot
-from strata.operators.spine import key_spine, spine_join, union_by_name
+from strata.operators.spine import key_spine, spine_join, spine_merge, union_by_name
 from strata.operators.trends import yoy
 
 
@@ -131,3 +132,16 @@ def test_latest_snapshot(spark):
     df = spark.createDataFrame([("a", "s1", 1), ("a", "s2", 2), ("a", "s2", 3), ("b", "s1", 4)],
                                "ds string, snap string, v int")
     assert sorted(r.v for r in latest_snapshot(df, ["ds"], "snap").collect()) == [2, 3, 4]
+
+
+def test_spine_merge_equals_spine_join(spark):
+    a = spark.createDataFrame([(2005, 1.0, True), (2006, 2.0, False), (2009, None, True)],
+                              "year int, a double, flag boolean")
+    b = spark.createDataFrame([(2006, "x"), (2007, "y")], "year int, b string")
+    c = spark.createDataFrame([(2007, 7), (2030, 9)], "year int, c long")
+    spine = key_spine([a.filter("flag"), b], "year")
+    joined = {tuple(r) for r in spine_join(spine, [a.drop("flag"), b, c]).select("year", "a", "b", "c").collect()}
+    merged = {tuple(r) for r in spine_merge([a, b, c], "year", in_spine=[F.col("flag"), True, False])
+              .select("year", "a", "b", "c").collect()}
+    assert merged == joined == {(2005, 1.0, None, None), (2006, 2.0, "x", None),
+                                (2007, None, "y", 7), (2009, None, None, None)}
