@@ -224,13 +224,24 @@ def dimension_columns(parsed: DataFrame) -> list[tuple[str, str]]:
     label.  This collects only the distinct dimension ids and labels -- a
     handful of rows -- never cells.  Order: first position in ``id``, then id.
     """
+    return document_summary(parsed)[0]
+
+
+def document_summary(parsed: DataFrame) -> tuple[list[tuple[str, str]], int]:
+    """Column names (see :func:`dimension_columns`) and the largest cell count.
+
+    One small job over the accepted documents; the cell count lets callers
+    decide whether any document is big enough to be spread over tasks.
+    """
     rows = (parsed.filter(F.col("reason").isNull())
-            .select(F.posexplode(F.arrays_zip("ids", "dim_labels")).alias("i", "d"))
+            .select(F.col("n_cells"), F.posexplode(F.arrays_zip("ids", "dim_labels")).alias("i", "d"))
             .groupBy(F.col("d.ids").alias("id"))
-            .agg(F.min("i").alias("i"), F.max("d.dim_labels").alias("label"))
+            .agg(F.min("i").alias("i"), F.max("d.dim_labels").alias("label"),
+                 F.max("n_cells").alias("n_cells"))
             .orderBy("i", "id")
             .collect())
-    return [(r["id"], column_name(r["id"], r["label"])) for r in rows]
+    columns = [(r["id"], column_name(r["id"], r["label"])) for r in rows]
+    return columns, max((r["n_cells"] or 0 for r in rows), default=0)
 
 
 def column_name(dim_id: str, label: str | None) -> str:
@@ -266,5 +277,7 @@ def unpack(docs: DataFrame, body_col: str = "body",
     """
     parsed = parse(docs, body_col)
     if columns is None:
-        columns = dimension_columns(parsed)
+        columns, largest = document_summary(parsed)
+        if spread == "auto":
+            spread = largest > chunk_cells
     return widen(cells(parsed, chunk_cells, spread), columns, keep=keep)

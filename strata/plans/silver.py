@@ -43,9 +43,16 @@ def cube_silver_parsed(parsed: DataFrame, dataset: str, run_date: str,
                        columns: list[tuple[str, str]] | None = None,
                        chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
                        spread: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
-    """:func:`cube_silver` on the output of :func:`jsonstat.parse`."""
+    """:func:`cube_silver` on the output of :func:`jsonstat.parse`.
+
+    Column discovery also finds the largest document, so ``spread="auto"``
+    settles here: the cell exchange is planned only if some document spans
+    more than one slice.
+    """
     if columns is None:
-        columns = jsonstat.dimension_columns(parsed)
+        columns, largest = jsonstat.document_summary(parsed)
+        if spread == "auto":
+            spread = largest > chunk_cells
     wide = jsonstat.widen(jsonstat.cells(parsed, chunk_cells, spread), columns)
     wide = add_lineage(wide, dataset, run_date)
     names = [n for _, n in columns]

@@ -153,7 +153,9 @@ def test_one_hot_document_is_spread_over_tasks(spark, docs):
     n_a, n_b = 400, 500  # 200k cells in a single document
     doc = cube(["A", "B"], [n_a, n_b], [{"index": [f"a{i}" for i in range(n_a)]},
                                          {"index": [f"b{i}" for i in range(n_b)]}], list(range(n_a * n_b)))
-    c = jsonstat.cells(jsonstat.parse(docs(json.dumps(doc))), chunk_cells=10_000, spread=True)
+    parsed = jsonstat.parse(docs(json.dumps(doc)))
+    assert jsonstat.document_summary(parsed) == ([("A", "a"), ("B", "b")], n_a * n_b)
+    c = jsonstat.cells(parsed, chunk_cells=10_000, spread=True)
     # a cube far larger than the advisory partition size: AQE must keep it split
     # (with the 64 MB default, a cube this small is rightly merged into one task)
     small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
