@@ -82,6 +82,8 @@ QUERIES = {
 }
 
 
+# --- N2, S8, S9, P1-P11, F1-F3, 2.11 scalars ---------------------------------
+
 def q_jsonstat_index_forms(spark, sf_dir):
     docs = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"), by_status=True, vary_forms=True)
     root = _land_docs(spark, docs, "orders_status_cube")
@@ -320,6 +322,8 @@ RENT_NEEDLE = "e"      # analog of the Dublin filter on rent locations (prioriti
 DUBLIN_ANALOG = "high"  # analog location holding the "Dublin" rents in the summary
 
 
+# --- A1-A11, W1-W4, J1, J2, U2, T4-T8 -------------------------------------------
+
 def _orders_y(spark, sf_dir):
     return table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
 
@@ -577,6 +581,8 @@ PART_SYNONYMS = {"Part Key": "p_partkey", "Name": "p_name", "Description": "desc
                  **SALES_HEADER_SYNONYMS}
 
 
+# --- S3-S11, K1-K7, T2, T3, V1-V4, D1 -------------------------------------------
+
 def q_csv_latin1_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "part_csv")
     fixtures.write_part_csv(table(spark, sf_dir, "part"), root)
@@ -815,6 +821,8 @@ QUERIES.update({
 })
 
 
+# --- both batch jobs end to end, K6, F4, the incremental stream -----------------
+
 MEDALLION_DB = "strata_medallion"
 
 
