@@ -831,7 +831,8 @@ def q_medallion_summary(spark, sf_dir):
     root = scratch_path(spark, "medallion")
     fixtures.write_bronze(spark, table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
                           f"{root}/bronze")
-    jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", RUN_DATE)
+    jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", RUN_DATE,
+                          database=MEDALLION_DB, database_location=f"{root}/catalog")
     jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", RUN_DATE, database=MEDALLION_DB,
                         database_location=f"{root}/catalog",
                         summary_options={"dublin_needle": DUBLIN_ANALOG})

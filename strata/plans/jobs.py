@@ -51,7 +51,9 @@ def _checks() -> dict:
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: str,
-                     run_year: int | None = None, latest_only: bool = True) -> dict[str, dict]:
+                     run_year: int | None = None, latest_only: bool = True,
+                     database: str | None = None,
+                     database_location: str | None = None) -> dict[str, dict]:
     """Clean the four Bronze sources into year-partitioned Silver Parquet.
 
     Bronze is append-only, so every monthly run lands another snapshot of
@@ -62,6 +64,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     Returns per-dataset metrics observed on the writes (rows, null years,
     and for sales the rows dropped for unparseable dates).  Sources whose
     folder is missing or holds nothing are skipped, as the source job does.
+    With ``database`` each Silver table is also registered (``silver_<name>``).
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     run_year = run_year or int(run_date[:4])
@@ -100,6 +103,11 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         obs = write_partitioned(df.drop("source_file"), f"{silver}/{SILVER_PATHS['sales_register']}",
                                 checks=_checks())
         metrics["sales_register"] = {**obs.get, **dropped.get}
+    if database:
+        ensure_database(spark, database, database_location)
+        for name in metrics:
+            path = f"{silver}/{SILVER_PATHS[name]}"
+            register_external(spark, database, f"silver_{name}", path, spark.read.parquet(path))
     return metrics
 
 

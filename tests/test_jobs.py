@@ -51,7 +51,10 @@ def test_jobs_keep_latest_snapshot_and_register(spark):
     write(f"{sales}/ppr_2023_dublin_20240531.csv", shead + "01/02/2023,a,Dublin,,\x80100,No,No,New,\n", "latin-1")
     write(f"{sales}/ppr_2023_dublin_20240630.csv", shead + "01/02/2023,a,Dublin,,\x80200,No,No,New,\n"
           + "02/02/2023,b,Dublin,,\x80400,No,No,Second-Hand,\n", "latin-1")
-    metrics = jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", "2024-06-30")
+    metrics = jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", "2024-06-30",
+                                    database="t_jobs", database_location=f"{root}/catalog")
+    assert spark.table("t_jobs.silver_sales_register").count() == 2
+    assert spark.table("t_jobs.silver_house_price_index").first().metric_value == 163.6
     assert metrics["house_price_index"]["rows"] == 1
     assert metrics["rent_by_county"]["rows"] == 1
     assert metrics["sales_register"]["rows"] == 2
