@@ -69,6 +69,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     run_year = run_year or int(run_date[:4])
     metrics: dict[str, dict] = {}
+    written: dict[str, DataFrame] = {}
     for name, code in CUBE_SOURCES.items():
         docs = read_documents(spark, f"{bronze}/{SILVER_PATHS[name]}")
         if docs.isEmpty():
@@ -82,7 +83,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             df, rejects = cube_silver_parsed(parsed, code, run_date)
             obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
             rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
-            metrics[name] = obs.get
+            metrics[name], written[name] = obs.get, df
         finally:
             parsed.unpersist()
     raw = read_csv_explicit(spark, f"{bronze}/{SILVER_PATHS['rent_by_county']}")
@@ -90,9 +91,9 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         if latest_only:
             raw = keep_latest_files(raw.withColumn("_path", F.col("_metadata.file_path")), "_path") \
                 .drop("_path")
-        obs = write_partitioned(rents_silver(raw, run_date, run_year),
-                                f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
-        metrics["rent_by_county"] = obs.get
+        df = rents_silver(raw, run_date, run_year)
+        obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
+        metrics["rent_by_county"], written["rent_by_county"] = obs.get, df
     raw, rejected = read_sales(spark, f"{bronze}/{SILVER_PATHS['sales_register']}")
     rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
     if raw is not None:
@@ -100,14 +101,13 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             raw = keep_latest_files(raw, "source_file",
                                     dataset=F.regexp_extract("source_file", r"year=([0-9]+)", 1))
         df, dropped = sales_silver(raw, run_date)
-        obs = write_partitioned(df.drop("source_file"), f"{silver}/{SILVER_PATHS['sales_register']}",
-                                checks=_checks())
-        metrics["sales_register"] = {**obs.get, **dropped.get}
+        df = df.drop("source_file")
+        obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['sales_register']}", checks=_checks())
+        metrics["sales_register"], written["sales_register"] = {**obs.get, **dropped.get}, df
     if database:
         ensure_database(spark, database, database_location)
-        for name in metrics:
-            path = f"{silver}/{SILVER_PATHS[name]}"
-            register_external(spark, database, f"silver_{name}", path, spark.read.parquet(path))
+        for name, df in written.items():  # the written frames carry the table schemas
+            register_external(spark, database, f"silver_{name}", f"{silver}/{SILVER_PATHS[name]}", df)
     return metrics
 
 
@@ -138,6 +138,6 @@ def silver_to_gold(spark: SparkSession, silver: str, gold_root: str, run_date: s
     write_partitioned(summary, paths["summary"])
     if database:
         ensure_database(spark, database, database_location)
-        for key, path in paths.items():
-            register_external(spark, database, GOLD_TABLES[key], path, spark.read.parquet(path))
+        for key, df in {**marts, "summary": summary}.items():  # schemas of the written frames
+            register_external(spark, database, GOLD_TABLES[key], paths[key], df)
     return {GOLD_TABLES[k]: p for k, p in paths.items()}
