@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import csv
 import io
-from urllib.parse import unquote, urlparse
+from urllib.parse import urlparse
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,56 +43,65 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def _open_stream(path: str):
-    import pyarrow.fs as pafs
+def _header_sniffer(encoding: str, max_bytes: int):
+    """The per-partition function of :func:`file_headers`.
 
-    uri = urlparse(path)
-    if uri.scheme in ("", "file"):
-        return pafs.LocalFileSystem().open_input_stream(unquote(uri.path))
-    if uri.scheme in ("s3a", "s3n"):
-        path = "s3" + path[len(uri.scheme):]
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return fs.open_input_stream(inner)
-
-
-def _first_line(path: str, max_bytes: int) -> bytes | None:
-    """Bytes of the first line of a file, reading no more than needed."""
-    buf = bytearray()
-    with _open_stream(path) as f:
-        while len(buf) < max_bytes:
-            chunk = f.read(min(65536, max_bytes - len(buf)))
-            if not chunk:
-                break
-            cut = chunk.find(b"\n")
-            if cut >= 0:
-                buf += chunk[:cut]
-                return bytes(buf)
-            buf += chunk
-    return bytes(buf) if buf else None
-
-
-def file_headers(files: DataFrame, encoding: str = LATIN1, max_bytes: int = 1 << 20) -> DataFrame:
-    """First line of each listed file, decoded: ``(path, header, error)``.
-
-    Runs as a ``mapInPandas`` over the file list, one small bounded read per
-    file on the executors -- the file bodies are never loaded, whatever
-    their size.  A file that cannot be opened gets a null header and the
-    error text, so it is set aside with a reason rather than failing the run.
+    Everything it needs is defined inside it, so it is shipped to the Python
+    workers by value: executors need pandas and pyarrow, not this package.
     """
     def sniff(batches):
+        from urllib.parse import unquote as _unquote, urlparse as _urlparse
+
+        import pandas as _pd
+        import pyarrow.fs as _pafs
+
+        def open_stream(path):
+            uri = _urlparse(path)
+            if uri.scheme in ("", "file"):
+                return _pafs.LocalFileSystem().open_input_stream(_unquote(uri.path))
+            if uri.scheme in ("s3a", "s3n"):
+                path = "s3" + path[len(uri.scheme):]
+            fs, inner = _pafs.FileSystem.from_uri(path)
+            return fs.open_input_stream(inner)
+
+        def first_line(path):
+            buf = bytearray()
+            with open_stream(path) as f:
+                while len(buf) < max_bytes:
+                    chunk = f.read(min(65536, max_bytes - len(buf)))
+                    if not chunk:
+                        break
+                    cut = chunk.find(b"\n")
+                    if cut >= 0:
+                        return bytes(buf + chunk[:cut])
+                    buf += chunk
+            return bytes(buf) if buf else None
+
         for pdf in batches:
             heads, errors = [], []
             for p in pdf["path"]:
                 try:
-                    raw, err = _first_line(p, max_bytes), None
+                    raw, err = first_line(p), None
                 except (OSError, ValueError) as exc:
                     raw, err = None, f"unreadable: {exc}"[:500]
                 heads.append(None if raw is None
                              else raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r"))
                 errors.append(err)
-            yield pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
+            yield _pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
+
+    return sniff
+
+
+def file_headers(files: DataFrame, encoding: str = LATIN1, max_bytes: int = 1 << 20) -> DataFrame:
+    """First line of each listed file, decoded: ``(path, header, error)``.
 
-    return files.select("path").mapInPandas(sniff, "path string, header string, error string")
+    Runs as a ``mapInPandas`` over the file list, one small bounded read per
+    file on the executors -- the file bodies are never loaded, whatever
+    their size.  A file that cannot be opened gets a null header and the
+    error text, so it is set aside with a reason rather than failing the run.
+    """
+    return files.select("path").mapInPandas(_header_sniffer(encoding, max_bytes),
+                                            "path string, header string, error string")
 
 
 def first_line_hadoop(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> bytes | None:

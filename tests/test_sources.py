@@ -127,9 +127,37 @@ def test_unreadable_on_executors_falls_back_to_hadoop(spark, monkeypatch):
     root = scratch_path(spark, "t-fallback")
     write(f"{root}/a.csv", "Date of Sale (dd/mm/yyyy),Address\n01/02/2023,x\n", "utf-8")
 
-    def broken(path, max_bytes):
-        raise OSError("scheme not supported here")
-    monkeypatch.setattr(files, "_first_line", broken)
+    def broken_sniffer(encoding, max_bytes):
+        def sniff(batches):
+            import pandas as pd
+            for pdf in batches:
+                n = len(pdf)
+                yield pd.DataFrame({"path": pdf["path"], "header": [None] * n,
+                                    "error": ["unreadable: scheme not supported here"] * n})
+        return sniff
+    monkeypatch.setattr(files, "_header_sniffer", broken_sniffer)
     raw, rejected = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, SALES_HEADER_PATTERNS)
     assert rejected.count() == 0
     assert [(r.date_of_sale_raw, r.address) for r in raw.collect()] == [("01/02/2023", "x")]
+
+
+def test_worker_function_needs_no_package(tmp_path):
+    """The executor-side sniffer unpickles and runs where strata is not importable."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from strata.sources.files import _header_sniffer
+    data = tmp_path / "a.csv"
+    data.write_bytes("Date of Sale (dd/mm/yyyy),Price (\x80)\n1/1/2020,\x805\n".encode("latin-1"))
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps(_header_sniffer("ISO-8859-1", 1 << 20)))
+    code = ("import pickle, sys, pandas as pd; f = pickle.load(open(sys.argv[1], 'rb')); "
+            "out = next(f(iter([pd.DataFrame({'path': ['file://' + sys.argv[2]]})]))); "
+            "print(out['header'][0])")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code, str(blob), str(data)], cwd=tmp_path,
+                         capture_output=True, text=True, env=env, timeout=120)
+    assert res.returncode == 0, res.stderr[-500:]
+    assert res.stdout.strip() == "Date of Sale (dd/mm/yyyy),Price (\x80)"
