@@ -72,15 +72,21 @@ def pivot_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str,
                order_col: str | None = None) -> DataFrame:
     """Long to wide with a fixed list of new columns (A5).
 
-    The explicit ``names`` list spares Spark the distinct job it would run
-    to find them.  A cell holding several values keeps the one with the
-    highest ``order_col`` (e.g. the newest snapshot), else the largest value,
-    so the result never depends on row order.  Keys whose name is outside
-    ``names`` (or null) still give a row, with null cells.
+    One aggregate with one conditional aggregate per name: a single
+    exchange, where ``groupBy().pivot()`` plans two aggregations (by keys and
+    name, then by keys).  The fixed ``names`` also spare the distinct job a
+    pivot without values runs.  A cell holding several values keeps the one
+    with the highest ``order_col`` (e.g. the newest snapshot), else the
+    largest value, so the result never depends on row order.  Keys whose
+    name is outside ``names`` (or null) still give a row, with null cells.
     """
-    pick = F.max_by(value_col, order_col) if order_col else F.max(value_col)
-    agg = F.round(pick, digits) if digits is not None else pick
-    return df.groupBy(*keys).pivot(name_col, names).agg(agg)
+    cells = []
+    for name in names:
+        hit = F.col(name_col) == F.lit(name)
+        value = F.when(hit, F.col(value_col))
+        pick = F.max_by(value, F.when(hit, F.col(order_col))) if order_col else F.max(value)
+        cells.append((F.round(pick, digits) if digits is not None else pick).alias(name))
+    return df.groupBy(*keys).agg(*cells)
 
 
 def conditional_aggs(value: str, class_col: str, classes: dict[str, tuple[str, str]],

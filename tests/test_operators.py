@@ -145,3 +145,11 @@ def test_spine_merge_equals_spine_join(spark):
               .select("year", "a", "b", "c").collect()}
     assert merged == joined == {(2005, 1.0, None, None), (2006, 2.0, "x", None),
                                 (2007, None, "y", 7), (2009, None, None, None)}
+
+
+def test_pivot_keeps_newest_snapshot_of_a_repeated_cell(spark):
+    df = spark.createDataFrame([("p", "price_index", 1.0, "s1"), ("p", "price_index", 0.5, "s2"),
+                                ("p", "pct_change_1m", 9.0, None)],
+                               "period string, k string, v double, snap string")
+    r = pivot_wide(df, ["period"], "k", "v", ["price_index", "pct_change_1m"], order_col="snap").first()
+    assert (r.price_index, r.pct_change_1m) == (0.5, None)
