@@ -76,8 +76,9 @@ def pivot_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str,
     exchange, where ``groupBy().pivot()`` plans two aggregations (by keys and
     name, then by keys).  The fixed ``names`` also spare the distinct job a
     pivot without values runs.  A cell holding several values keeps the one
-    with the highest ``order_col`` (e.g. the newest snapshot), else the
-    largest value, so the result never depends on row order.  Keys whose
+    with the highest ``order_col`` (e.g. the newest snapshot; rows with a
+    null order are never picked), else the largest value, so the result
+    never depends on row order.  Keys whose
     name is outside ``names`` (or null) still give a row, with null cells.
     """
     cells = []
