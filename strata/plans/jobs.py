@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.fixed_values import PERMISSIONS_CODE, PRICE_INDEX_CODE
-from strata.operators.quality import keep_latest_files, null_count
+from strata.operators.quality import null_count
 from strata.plans import gold
 from strata.operators import jsonstat
 from strata.plans.silver import cube_silver_parsed, read_sales, rents_silver, sales_silver
 from strata.plans.sinks import ensure_database, register_external, write_partitioned
 from strata.sources.documents import read_documents
-from strata.sources.files import read_csv_explicit
+from strata.sources.files import newest_snapshot_files, read_csv_explicit
 
 CUBE_SOURCES = {"house_price_index": PRICE_INDEX_CODE, "new_dwelling_completions": PERMISSIONS_CODE}
 SILVER_PATHS = {
@@ -59,7 +59,8 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     Bronze is append-only, so every monthly run lands another snapshot of
     each source.  With ``latest_only`` (default) only the newest snapshot is
     read -- per source for cubes and rents, per sales year for the sales
-    register -- so re-runs never double sums and counts (D1).
+    register -- so re-runs never double sums and counts (D1).  The newest
+    snapshot is picked from the file listing, so older ones are not scanned.
 
     Returns per-dataset metrics observed on the writes (rows, null years,
     and for sales the rows dropped for unparseable dates).  Sources whose
@@ -70,12 +71,18 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     run_year = run_year or int(run_date[:4])
     metrics: dict[str, dict] = {}
     written: dict[str, DataFrame] = {}
+    def source(name: str, glob: str = "*", dataset=None):
+        """All of a source, or only the files of its newest snapshot (no old file is read)."""
+        root = f"{bronze}/{SILVER_PATHS[name]}"
+        return newest_snapshot_files(spark, root, glob, dataset) if latest_only else root
+
     for name, code in CUBE_SOURCES.items():
-        docs = read_documents(spark, f"{bronze}/{SILVER_PATHS[name]}")
+        paths = source(name)
+        if not paths:
+            continue
+        docs = read_documents(spark, paths)
         if docs.isEmpty():
             continue
-        if latest_only:
-            docs = keep_latest_files(docs)
         # parsed once, used three times (column names, cells, rejects);
         # spills to disk, and lost blocks are recomputed from the files
         parsed = jsonstat.parse(docs.select("path", "body")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -86,20 +93,17 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             metrics[name], written[name] = obs.get, df
         finally:
             parsed.unpersist()
-    raw = read_csv_explicit(spark, f"{bronze}/{SILVER_PATHS['rent_by_county']}")
+    paths = source("rent_by_county", "*.csv")
+    raw = read_csv_explicit(spark, paths) if paths else None
     if raw is not None and raw.columns:
-        if latest_only:
-            raw = keep_latest_files(raw.withColumn("_path", F.col("_metadata.file_path")), "_path") \
-                .drop("_path")
         df = rents_silver(raw, run_date, run_year)
         obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
         metrics["rent_by_county"], written["rent_by_county"] = obs.get, df
-    raw, rejected = read_sales(spark, f"{bronze}/{SILVER_PATHS['sales_register']}")
-    rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
+    paths = source("sales_register", "*.csv", lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
+    raw, rejected = read_sales(spark, paths) if paths else (None, None)
+    if rejected is not None:
+        rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
     if raw is not None:
-        if latest_only:
-            raw = keep_latest_files(raw, "source_file",
-                                    dataset=F.regexp_extract("source_file", r"year=([0-9]+)", 1))
         df, dropped = sales_silver(raw, run_date)
         df = df.drop("source_file")
         obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['sales_register']}", checks=_checks())

@@ -304,3 +304,23 @@ def load_manifest(spark: SparkSession, root: str, datasets: list[str] | None = N
 def manifest_tally(manifest: DataFrame) -> DataFrame:
     """Success / failure count over a manifest: ``(status, n)``."""
     return manifest.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def newest_snapshot_files(spark: SparkSession, path: str | list[str], glob: str = "*",
+                          dataset=None) -> list[str]:
+    """Files of the newest landed snapshot under ``path`` (per dataset).
+
+    Decided from the file listing alone -- no file body is read -- so older
+    snapshots are never scanned at all.  ``dataset`` maps the path column to
+    a dataset key (e.g. the ``year=`` folder of per-year files); by default
+    the whole folder is one dataset.  Returns the file paths to read (file
+    paths are metadata: Spark's own file index holds them on the driver).
+    """
+    from strata.operators.quality import latest_snapshot, snapshot_of
+
+    keyed = list_files(spark, path, glob).select("path").withColumn("_snapshot", snapshot_of("path"))
+    keys = []
+    if dataset is not None:
+        keyed = keyed.withColumn("_dataset", dataset(F.col("path")))
+        keys = ["_dataset"]
+    return sorted(r["path"] for r in latest_snapshot(keyed, keys, "_snapshot").select("path").collect())

@@ -161,3 +161,22 @@ def test_worker_function_needs_no_package(tmp_path):
                          capture_output=True, text=True, env=env, timeout=120)
     assert res.returncode == 0, res.stderr[-500:]
     assert res.stdout.strip() == "Date of Sale (dd/mm/yyyy),Price (\x80)"
+
+
+def test_newest_snapshot_files_from_listing(spark):
+    from pyspark.sql import functions as F
+
+    from strata.sources.files import newest_snapshot_files
+    root = scratch_path(spark, "t-newest")
+    for rel in ["year=2024/month=05/data_20240531.json", "year=2024/month=06/data_20240630.json",
+                "sales/year=2015/f_20240531.csv", "sales/year=2015/f_20240630.csv",
+                "sales/year=2016/f_20240531.csv", "parts/run=1/part-00000-a.txt",
+                "parts/run=1/part-00001-a.txt", "parts/run=0/part-00000-b.txt"]:
+        write(f"{root}/{rel}", "x\n", "utf-8")
+    names = lambda paths: sorted(p.split(root.replace("file:", ""))[-1] for p in paths)
+    assert names(newest_snapshot_files(spark, f"{root}/year=2024")) == ["/year=2024/month=06/data_20240630.json"]
+    per_year = newest_snapshot_files(spark, f"{root}/sales", "*.csv",
+                                     lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
+    assert names(per_year) == ["/sales/year=2015/f_20240630.csv", "/sales/year=2016/f_20240531.csv"]
+    assert names(newest_snapshot_files(spark, f"{root}/parts")) == [
+        "/parts/run=1/part-00000-a.txt", "/parts/run=1/part-00001-a.txt"]
