@@ -264,23 +264,33 @@ def land_raw(df: DataFrame, root: str, partition_by: list[str] | tuple[str, ...]
 
 
 def load_manifest(spark: SparkSession, root: str, datasets: list[str] | None = None,
-                  glob: str = "*", header_lines: int = 1) -> DataFrame:
+                  glob: str = "*", header_lines: int = 1, since=None) -> DataFrame:
     """One row per landed file, plus one per expected dataset without data.
 
     Columns: ``dataset, status, key, row_count, error``.  ``row_count`` is the
     line count minus the header, from a distributed line count grouped by
     file.  ``key`` is the path relative to ``root``.  An expected dataset
     with no non-empty file is ``failed`` with error ``no data landed``.
+    ``since`` (a timestamp, or text in the session time zone) limits the
+    manifest to files landed at or after it -- one landing run -- and only
+    those files are read.
     """
     root = root.rstrip("/")
-    files = list_files(spark, root, glob).select("path", "length")
-    try:
-        counted = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-                   .text(root)
-                   .groupBy(F.col("_metadata.file_path").alias("path"))
-                   .agg(F.count(F.lit(1)).alias("lines")))
-    except AnalysisException:
-        counted = spark.createDataFrame([], "path string, lines long")
+    files = list_files(spark, root, glob)
+    source: str | list[str] = root
+    if since is not None:
+        files = files.filter(F.col("modified") >= F.lit(since).cast("timestamp"))
+        source = [r["path"] for r in files.select("path").collect()]
+    files = files.select("path", "length")
+    counted = spark.createDataFrame([], "path string, lines long")
+    if source:
+        try:
+            counted = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                       .text(source)
+                       .groupBy(F.col("_metadata.file_path").alias("path"))
+                       .agg(F.count(F.lit(1)).alias("lines")))
+        except AnalysisException:  # missing root: nothing landed
+            pass
     per_file = files.join(counted, "path", "left")
     lines = F.coalesce(F.col("lines"), F.lit(0))
     root_dir = urlparse(root).path.rstrip("/") or root

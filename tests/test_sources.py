@@ -180,3 +180,15 @@ def test_newest_snapshot_files_from_listing(spark):
     assert names(per_year) == ["/sales/year=2015/f_20240630.csv", "/sales/year=2016/f_20240531.csv"]
     assert names(newest_snapshot_files(spark, f"{root}/parts")) == [
         "/parts/run=1/part-00000-a.txt", "/parts/run=1/part-00001-a.txt"]
+
+
+def test_manifest_of_one_run(spark):
+    import time
+    root = scratch_path(spark, "t-land-run")
+    write(f"{root}/dataset=a/year=2024/month=05/old.csv", "h\n1\n", "utf-8")
+    old = os.path.getmtime(f"{root}/dataset=a/year=2024/month=05/old.csv".replace("file:", ""))
+    os.utime(f"{root}/dataset=a/year=2024/month=05/old.csv".replace("file:", ""), (old - 3600, old - 3600))
+    start = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(time.time() - 60))
+    write(f"{root}/dataset=a/year=2024/month=06/new.csv", "h\n1\n2\n3\n", "utf-8")
+    m = load_manifest(spark, root, ["a"], since=start).collect()
+    assert [(r.dataset, r.status, r.row_count) for r in m] == [("a", "success", 3)]
