@@ -6,6 +6,7 @@ import csv
 import io
 from urllib.parse import urlparse
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,16 +199,24 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     headers, not of files.  A joint scan of all files would bind columns by
     *position* to one file's header, which is wrong when headers differ.
 
-    Only the distinct headers and their path lists reach the driver.
+    Only the distinct headers and their path lists reach the driver (the
+    CSV reader needs the paths there anyway); no task ever gathers a list.
 
     Returns ``(rows, rejected_files)``: files with no header, or whose group
     lacks a ``required`` canonical column, go to ``rejected_files``
     ``(path, reason)``.  Every ``canonical`` column exists in ``rows`` (null
     when no file has it).
     """
-    heads = file_headers(list_files(spark, path, glob), encoding)
-    groups = (heads.groupBy("header", "error")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    # one row per file, kept for the few passes below (sniffed once)
+    heads = file_headers(list_files(spark, path, glob), encoding).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        groups = []
+        for g in heads.select("header", "error").distinct().collect():
+            same = F.col("header").eqNullSafe(g["header"]) & F.col("error").eqNullSafe(g["error"])
+            paths = sorted(r["path"] for r in heads.filter(same).select("path").collect())
+            groups.append({"header": g["header"], "error": g["error"], "paths": paths})
+    finally:
+        heads.unpersist()
     unreadable = [{"path": p, "error": g["error"]} for g in groups if g["error"] for p in g["paths"]]
     if unreadable:
         retried: dict[tuple, list] = {}
