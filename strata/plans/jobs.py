@@ -17,6 +17,8 @@ back, so its lineage starts at Parquet, not at Bronze.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,20 +71,17 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     run_year = run_year or int(run_date[:4])
-    metrics: dict[str, dict] = {}
-    written: dict[str, DataFrame] = {}
+
     def source(name: str, glob: str = "*", dataset=None):
         """All of a source, or only the files of its newest snapshot (no old file is read)."""
         root = f"{bronze}/{SILVER_PATHS[name]}"
         return newest_snapshot_files(spark, root, glob, dataset) if latest_only else root
 
-    for name, code in CUBE_SOURCES.items():
+    def cube(name: str, code: str):
         paths = source(name)
-        if not paths:
-            continue
-        docs = read_documents(spark, paths)
-        if docs.isEmpty():
-            continue
+        docs = read_documents(spark, paths) if paths else None
+        if docs is None or docs.isEmpty():
+            return None
         # parsed once, used three times (column names, cells, rejects);
         # spills to disk, and lost blocks are recomputed from the files
         parsed = jsonstat.parse(docs.select("path", "body")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -90,24 +89,41 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             df, rejects = cube_silver_parsed(parsed, code, run_date)
             obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
             rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
-            metrics[name], written[name] = obs.get, df
+            return name, obs.get, df
         finally:
             parsed.unpersist()
-    paths = source("rent_by_county", "*.csv")
-    raw = read_csv_explicit(spark, paths) if paths else None
-    if raw is not None and raw.columns:
+
+    def rents():
+        paths = source("rent_by_county", "*.csv")
+        raw = read_csv_explicit(spark, paths) if paths else None
+        if raw is None or not raw.columns:
+            return None
         df = rents_silver(raw, run_date, run_year)
         obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
-        metrics["rent_by_county"], written["rent_by_county"] = obs.get, df
-    paths = source("sales_register", "*.csv", lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
-    raw, rejected = read_sales(spark, paths) if paths else (None, None)
-    if rejected is not None:
-        rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
-    if raw is not None:
+        return "rent_by_county", obs.get, df
+
+    def sales():
+        paths = source("sales_register", "*.csv", lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
+        raw, rejected = read_sales(spark, paths) if paths else (None, None)
+        if rejected is not None:
+            rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
+        if raw is None:
+            return None
         df, dropped = sales_silver(raw, run_date)
         df = df.drop("source_file")
         obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['sales_register']}", checks=_checks())
-        metrics["sales_register"], written["sales_register"] = {**obs.get, **dropped.get}, df
+        return "sales_register", {**obs.get, **dropped.get}, df
+
+    # the four sources are independent: their jobs are submitted side by side
+    tasks = [(cube, (n, c)) for n, c in CUBE_SOURCES.items()] + [(rents, ()), (sales, ())]
+    metrics: dict[str, dict] = {}
+    written: dict[str, DataFrame] = {}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for done in [pool.submit(fn, *args) for fn, args in tasks]:
+            result = done.result()
+            if result:
+                name, observed, df = result
+                metrics[name], written[name] = observed, df
     if database:
         ensure_database(spark, database, database_location)
         for name, df in written.items():  # the written frames carry the table schemas
@@ -131,10 +147,12 @@ def silver_to_gold(spark: SparkSession, silver: str, gold_root: str, run_date: s
         "perms": gold.permissions_trend(read("new_dwelling_completions"), run_date),
         "sales": gold.property_sales(read("sales_register"), run_date),
     }
-    paths = {}
-    for key, df in marts.items():
-        paths[key] = f"{gold_root}/{GOLD_TABLES[key]}"
-        write_partitioned(df, paths[key])
+    paths = {key: f"{gold_root}/{GOLD_TABLES[key]}" for key in marts}
+    # the four marts read different Silver tables: submit their writes together so
+    # their (often small) jobs share the cluster instead of queueing one by one
+    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+        for done in [pool.submit(write_partitioned, df, paths[key]) for key, df in marts.items()]:
+            done.result()
     written = {k: spark.read.parquet(p) for k, p in paths.items()}
     summary = gold.crisis_summary(written["price"], written["rent"], written["perms"],
                                   written["sales"], run_date, **(summary_options or {}))
