@@ -192,3 +192,15 @@ def test_manifest_of_one_run(spark):
     write(f"{root}/dataset=a/year=2024/month=06/new.csv", "h\n1\n2\n3\n", "utf-8")
     m = load_manifest(spark, root, ["a"], since=start).collect()
     assert [(r.dataset, r.status, r.row_count) for r in m] == [("a", "success", 3)]
+
+
+def test_csv_missing_path_and_text_landing(spark):
+    from strata.sources.files import land_raw, read_csv_explicit
+    assert read_csv_explicit(spark, scratch_path(spark, "t-none")) is None
+    root = scratch_path(spark, "t-land-text")
+    docs = spark.createDataFrame([("cso", 2024, "06", '{"a": 1}'), ("cso", 2024, "06", '{"a": 2}')],
+                                 "dataset string, year int, month string, body string")
+    land_raw(docs, root, fmt="text")
+    back = read_documents(spark, root)
+    assert sorted(r.body for r in back.collect()) == ['{"a": 1}', '{"a": 2}']
+    assert all("dataset=cso/year=2024/month=06/" in r.path for r in back.collect())

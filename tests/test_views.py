@@ -58,3 +58,28 @@ def test_preview_is_topk(rents_gold):
     df = preview(rents_gold, ["year", "location"], n=2)
     assert [(r.year, r.location) for r in df.collect()] == [(2010, "Cork"), (2016, "Dublin")]
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_summary_and_sales_views_defaults_and_quotes(spark):
+    cols = views.SUMMARY_COLUMNS
+    rows = [tuple([y] + [None] * (len(cols) - 2) + ["2024-06-30"]) for y in (2000, 2001, 2025, 2026)]
+    schema = ", ".join(f"{c} {'int' if c == 'year' else 'string' if c == 'gold_updated' else 'double'}"
+                       for c in cols)
+    gold = spark.createDataFrame(rows, schema)
+    assert [r.year for r in views.summary(gold).collect()] == [2001, 2025]  # 2001..2025 by default
+    assert [r.year for r in views.summary(gold, from_year='"2025"', to_year="'2026' ").collect()] == [2025, 2026]
+    sales_cols = views.SALES_COLUMNS
+    srows = [tuple([y] + [None] * (len(sales_cols) - 2) + ["Dublin"]) for y in (2014, 2015, 2021)]
+    sschema = ", ".join(f"{c} {'int' if c == 'year' else 'string' if c == 'county' else 'double'}"
+                        for c in sales_cols)
+    assert [r.year for r in views.sales(spark.createDataFrame(srows, sschema)).collect()] == [2015, 2021]
+
+
+def test_prices_type_whitelist_drops_commas():
+    from strata.fixed_values import TYPE_EXTRA_CHARS
+    assert views.clean_text("Dublin, houses", TYPE_EXTRA_CHARS) == "Dublin houses"
+
+
+def test_envelope_keeps_nulls(rents_gold):
+    row = envelope(views.rents(rents_gold, location="cork", from_year=2017, to_year=2017), "t").first()
+    assert '"yoy_change_pct":null' in row.data
