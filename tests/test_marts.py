@@ -86,3 +86,26 @@ def test_crisis_summary(spark):
     assert out[2017].avg_dublin_rent == 1516.98 and out[2016].avg_national_rent == 1406.27
     assert out[2020].dublin_total_sales == 4 and out[2015].new_communal_permissions == 10.0
     assert 2025 not in out  # June only: no December reading, not in the spine
+
+
+def test_summary_latest_month_option(spark):
+    price = gold.price_index(price_rows(spark), RUN)
+    rent = gold.rent_trends(rent_rows(spark), RUN)
+    perms = spark.createDataFrame([(2025, 1.0, None)], "year int, new_communal_permissions double, "
+                                                       "yoy_change_pct double")
+    sales = gold.property_sales(sales_rows(spark), RUN)
+    out = {r.year: r for r in gold.crisis_summary(price, rent, perms, sales, RUN, year_end_month=None).collect()}
+    assert out[2025].national_price_index == 170.0  # June is 2025's latest reading
+    assert out[2024].national_price_index == 163.6
+
+
+def test_cube_without_time_dimension_has_null_year(spark):
+    import json
+
+    from strata.plans.silver import cube_silver
+    doc = {"id": ["A"], "size": [2], "value": [1, 2],
+           "dimension": {"A": {"label": "Area", "category": {"index": ["x", "y"]}}}}
+    docs = spark.createDataFrame([("d", json.dumps(doc))], "path string, body string")
+    silver, rejects = cube_silver(docs, "T", RUN)
+    rows = sorted((r.area, r.metric_value, r.year) for r in silver.collect())
+    assert rows == [("x", 1.0, None), ("y", 2.0, None)] and rejects.count() == 0
