@@ -69,3 +69,26 @@ def test_latest_snapshot_uses_semi_join_not_window(spark):
     df = spark.createDataFrame([("a", "s1", 1), ("a", "s2", 2)], "ds string, snap string, v int")
     plan = final_plan(latest_snapshot(df, ["ds"], "snap"))
     assert "LeftSemi" in plan and "Window" not in plan
+
+
+def test_hot_year_is_split_into_several_files(spark):
+    import glob as _glob
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(2020)).otherwise(F.lit(2024)).alias("year"),
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        path = scratch_path(spark, "t-hot-year")
+        write_partitioned(df, path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    local = path.replace("file:", "")
+    hot = _glob.glob(f"{local}/year=2024/*.parquet")
+    cold = _glob.glob(f"{local}/year=2020/*.parquet")
+    assert len(hot) > 1  # 90% of the rows: split by AQE, not one task and one file
+    assert spark.read.parquet(path).count() == 200_000 and len(cold) >= 1
