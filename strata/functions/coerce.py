@@ -18,7 +18,7 @@ def infer_string_types(df: DataFrame, columns: list[str] | None = None) -> dict[
     ignored; a column whose every value has no ``.`` and parses as an
     integer is BIGINT; one whose every value parses as a number (integers
     included) is DOUBLE; anything else stays STRING.  A single aggregate
-    job returns two counters per column -- never the data.
+    job returns one class per column -- never the data.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not cols:
