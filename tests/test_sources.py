@@ -204,3 +204,17 @@ def test_csv_missing_path_and_text_landing(spark):
     back = read_documents(spark, root)
     assert sorted(r.body for r in back.collect()) == ['{"a": 1}', '{"a": 2}']
     assert all("dataset=cso/year=2024/month=06/" in r.path for r in back.collect())
+
+
+def test_pretty_printed_cube_needs_whole_file_mode(spark):
+    import json as _json
+
+    from strata.operators import jsonstat
+    root = scratch_path(spark, "t-pretty")
+    doc = {"id": ["A"], "size": [2], "value": [1, 2],
+           "dimension": {"A": {"label": "A", "category": {"index": ["x", "y"]}}}}
+    write(f"{root}/cube.json", _json.dumps(doc, indent=2), "utf-8")
+    whole = jsonstat.parse(read_documents(spark, root, whole_file=True).select("path", "body"))
+    assert jsonstat.cells(whole).count() == 2
+    lines = jsonstat.parse(read_documents(spark, root).select("path", "body"))
+    assert lines.filter("reason IS NULL").count() == 0  # fragments of a document are rejected
