@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, mixing
+from strata.llm import chat, langid, mixing, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -86,3 +86,13 @@ SELECT c.conv_id, c.n_common::BIGINT AS n_common, c.n_common = c.n AND c.n_commo
          '22:' || (22 + length(c.reply || '<|im_end|>')) END AS rejected_mask
 FROM common c JOIN chosen h USING (conv_id)
 """
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated_words(read(spark, sf_dir, "documents").select("doc_id", "text"))
