@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, mixing, substring_dedup, suffix_dedup
+from strata.llm import chat, langid, mixing, quality, secrets, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -96,3 +96,24 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated_words(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.scan(docs)
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
