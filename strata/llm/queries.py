@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, mixing, quality, secrets, substring_dedup, suffix_dedup
+from strata.llm import chat, langid, mixing, pii, quality, secrets, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -117,3 +117,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).select("doc_id", "n_entities", "text")
