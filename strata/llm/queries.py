@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, mixing, pii, quality, secrets, substring_dedup, suffix_dedup
+from strata.llm import chat, langid, mixing, ngram_join, pii, quality, secrets, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -123,3 +123,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace(docs).select("doc_id", "n_entities", "text")
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
