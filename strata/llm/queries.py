@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, mixing, ngram_join, pii, quality, secrets, substring_dedup, suffix_dedup
+from strata.llm import chat, decontam, langid, mixing, ngram_join, pii, quality, secrets, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -128,3 +128,9 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_leaks(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
