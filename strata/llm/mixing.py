@@ -161,11 +161,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (column ``copy``, from 1)."""
     h = F.xxhash64(F.col("text"))
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    same = Window.partitionBy("doc_id").orderBy("_size", "_h", "source")
-    rows = (docs.withColumns({"_size": size, "_h": h})
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    same = Window.partitionBy("_key").orderBy("_size", "_h", "source")
+    rows = (docs.withColumns({"_key": key, "_size": size, "_h": h})
             .withColumn("_ord", F.row_number().over(same).cast("long")).drop("_size", "_h"))
     taken = mix(docs, **options).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("ord").alias("_o"), F.col("copies").alias("_copies"))
-    joined = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_ord") == F.col("_o")))
-    return (joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_id", "_o", "_ord", "_copies"))
+        key.alias("_key"), F.col("ord").alias("_ord"), F.col("copies").alias("_copies"))
+    return (rows.join(taken, ["_key", "_ord"])  # keeps the window's partitioning: texts move once
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .drop("_key", "_ord", "_copies"))

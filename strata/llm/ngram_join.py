@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialize
@@ -59,10 +59,10 @@ def gram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
         if b - a >= n:
             yield np.unique(grams[a:b - n + 1])
         elif b > a:
-            whole = np.uint64(b - a)
+            whole = np.full(1, b - a, np.uint64)
             for w in words[a:b]:
-                whole = mix64(np.array([whole * np.uint64(0xD1B54A32D192ED03) + w], np.uint64))[0]
-            yield np.array([whole], np.uint64)
+                whole = mix64(whole * np.uint64(0xD1B54A32D192ED03) + w)
+            yield whole
         else:
             yield np.zeros(0, np.uint64)
 
@@ -386,5 +386,9 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, **optio
     doc_id (of repeated rows of it, one)."""
     groups = link_groups(docs, n, num, den, **options)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+        F.coalesce("doc_id", F.lit(NULL_ID)).alias("_key")).distinct()
+    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    again = Window.partitionBy("_key").orderBy(F.xxhash64("text"))
+    return (rows.join(stay, "_key", "left_semi")  # the window keeps the join's partitioning: texts move once
+            .withColumn("_rank", F.rank().over(again)).withColumn("_row", F.row_number().over(again))
+            .filter(F.col("_rank") == F.col("_row")).drop("_key", "_rank", "_row"))
