@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
@@ -24,3 +25,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """``docs`` as one struct column ``_row`` beside the columns ``own``, so that no name
+    of an operator can clash with one of the table."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       *[c.alias(name) for name, c in own.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The packed table's ``columns``, those in ``new`` replaced, and the rest of ``new``."""
+    lower = {name.lower(): name for name in new}
+    kept = [new[lower[c.lower()]].alias(c) if c.lower() in lower else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    held = {c.lower() for c in columns}
+    return df.select(*kept, *[c.alias(name) for name, c in new.items() if name.lower() not in held])

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize
+from strata.llm.common import materialize, packed, unpacked
 from strata.llm.ngram_join import LOWER, bounded_slices
 from strata.llm.repeats import arrow_bytes, spans_index, word_tokens
 
@@ -277,5 +277,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 64, cosine: fl
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
-    leaks = materialize(find_leaks(docs, benchmark, **options).select("doc_id").distinct(), "benchmark-leaks")
-    return docs.join(leaks.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    leaks = materialize(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(),
+                        "benchmark-leaks")
+    rows = packed(docs, _id=F.col(options.get("id_col", "doc_id")).cast("long"))
+    return unpacked(rows.join(leaks, F.col("_id").eqNullSafe(F.col("_leak")), "left_anti"), docs.columns)

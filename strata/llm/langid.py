@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import packed, unpacked
+
 # Language families by ISO 639-1 code.
 FAMILIES = {
     "germanic": ("af", "da", "de", "en", "fy", "is", "lb", "nb", "nl", "nn", "no", "sv", "yi"),
@@ -202,8 +204,8 @@ def identify(docs: DataFrame, train: Column, sample: int = SAMPLE, dims: int = D
     labelled = docs.filter(train & F.col(lang_col).isNotNull() & has_letter(text)).select(
         F.col(id_col).cast("string").alias("row_id"), F.col(lang_col).alias("lang"), text.cast("binary").alias("body"))
     model = learn(labelled, sample, dims)
-    names = docs.columns
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
+    rows = packed(docs, _body=text.cast("binary"), _letters=has_letter(text))
+    row_type = rows.schema["_row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,8 +216,8 @@ def identify(docs: DataFrame, train: Column, sample: int = SAMPLE, dims: int = D
                 bare = ~np.asarray(part.column("_letters").to_numpy(zero_copy_only=False), dtype=bool)
                 lang = [UNDETERMINED if b else v for b, v in zip(bare, lang)]
                 yield pa.record_batch(
-                    [part.column(n) for n in names] + [pa.array(lang, pa.string()), pa.array(np.where(bare, 0.0, score))],
-                    names + ["lang_pred", "score"])
+                    [part.column("_row"), pa.array(lang, pa.string()), pa.array(np.where(bare, 0.0, score))],
+                    ["_row", "_lang_pred", "_score"])
 
-    return (docs.withColumns({"_body": text.cast("binary"), "_letters": has_letter(text)})
-            .mapInArrow(run, f"{fields}, lang_pred string, score double"))
+    done = rows.mapInArrow(run, f"_row {row_type}, _lang_pred string, _score double")
+    return unpacked(done, docs.columns, lang_pred=F.col("_lang_pred"), score=F.col("_score"))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, materialize
+from strata.llm.common import WORD, materialize, packed, unpacked
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -159,14 +159,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (column ``copy``, from 1)."""
-    h = F.xxhash64(F.col("text"))
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    same = Window.partitionBy("_key").orderBy("_size", "_h", "source")
-    rows = (docs.withColumns({"_key": key, "_size": size, "_h": h})
-            .withColumn("_ord", F.row_number().over(same).cast("long")).drop("_size", "_h"))
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    same = Window.partitionBy("_key").orderBy("_size", "_h", "_source")
+    rows = (packed(docs, _key=key, _size=size, _h=F.xxhash64(F.col("text")), _source=F.col("source").cast("string"))
+            .withColumn("_ord", F.row_number().over(same).cast("long")))
     taken = mix(docs, **options).filter("copies > 0").select(
         key.alias("_key"), F.col("ord").alias("_ord"), F.col("copies").alias("_copies"))
-    return (rows.join(taken, ["_key", "_ord"])  # keeps the window's partitioning: texts move once
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_key", "_ord", "_copies"))
+    joined = rows.join(taken, ["_key", "_ord"])  # keeps the window's partitioning: texts move once
+    return unpacked(joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), docs.columns,
+                    copy=F.col("_copy"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize
+from strata.llm.common import materialize, packed, unpacked
 from strata.llm.repeats import NULL_ID, arrow_bytes, group_starts, mix64, spans_index, word_tokens
 
 BINS = 64
@@ -387,8 +387,9 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, **optio
     groups = link_groups(docs, n, num, den, **options)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.coalesce("doc_id", F.lit(NULL_ID)).alias("_key")).distinct()
-    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-    again = Window.partitionBy("_key").orderBy(F.xxhash64("text"))
-    return (rows.join(stay, "_key", "left_semi")  # the window keeps the join's partitioning: texts move once
-            .withColumn("_rank", F.rank().over(again)).withColumn("_row", F.row_number().over(again))
-            .filter(F.col("_rank") == F.col("_row")).drop("_key", "_rank", "_row"))
+    rows = packed(docs, _key=F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), _text=F.col("text"))
+    again = Window.partitionBy("_key").orderBy(F.xxhash64("_text"))
+    once = (rows.join(stay, "_key", "left_semi")  # the window keeps the join's partitioning: texts move once
+            .withColumn("_rank", F.rank().over(again)).withColumn("_place", F.row_number().over(again))
+            .filter(F.col("_rank") == F.col("_place")))
+    return unpacked(once, docs.columns)

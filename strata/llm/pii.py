@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize
+from strata.llm.common import materialize, packed, unpacked
 
 KEY = "replace-with-a-secret"
 ROUNDS = 40
@@ -197,14 +197,14 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
 
 def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every detected entity of the text replaced, plus n_entities (long)."""
-    text = F.col(text_col)
-    names = docs.columns
-    marked = docs.withColumn("_hit", F.coalesce(text.rlike(HINT), F.lit(False)))
-    calm = marked.filter(~F.col("_hit")).select(*names, F.lit(0).cast("long").alias("n_entities"))
-    rows = marked.filter("_hit").select(*names, F.xxhash64(text_col).alias("_h"),
+    text = F.col("_text")
+    marked = packed(docs, _id=F.col(id_col), _text=F.col(text_col),
+                    _hit=F.coalesce(F.col(text_col).rlike(HINT), F.lit(False)))
+    calm = unpacked(marked.filter(~F.col("_hit")), docs.columns, n_entities=F.lit(0).cast("long"))
+    rows = marked.filter("_hit").select("_row", "_id", "_text", F.xxhash64("_text").alias("_h"),
                                         F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("_hits"))
     mentions = materialize(
-        rows.select(F.col(id_col).alias("_id"), "_h", F.posexplode("_hits").alias("_i", "_mention"))
+        rows.select("_id", "_h", F.posexplode("_hits").alias("_i", "_mention"))
         .withColumn("_kind", kind_of(F.col("_mention")))
         .withColumn("_entity", normal_form(F.col("_kind"), F.col("_mention"))).distinct(), "pii-mentions")
     entities = materialize(mentions.filter(F.col("_kind").isNotNull())
@@ -214,10 +214,10 @@ def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: s
     new = F.coalesce(in_format_of(F.col("_mention"), F.col("_kind"), F.col("core")), F.col("_mention"))
     swaps = (found.groupBy("_id", "_h").agg(F.array_sort(F.collect_set(F.struct("_i", new.alias("_new")))).alias("_swaps"),
                                             F.count("core").alias("_n"))
-             .withColumnRenamed("_h", "_h2"))
-    joined = rows.join(swaps, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_h2")), "left")
+             .select(F.col("_id").alias("_id2"), F.col("_h").alias("_h2"), "_swaps", "_n"))
+    joined = rows.join(swaps, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2")), "left")
     rebuilt = F.concat_ws("", F.flatten(F.zip_with(
         F.split(text, ANY, -1), "_swaps", lambda gap, s: F.array(gap, s["_new"]))))
-    out = joined.select(*[F.when(F.col("_n") > 0, rebuilt).otherwise(text).alias(text_col) if n == text_col else F.col(n)
-                          for n in names], F.coalesce("_n", F.lit(0)).cast("long").alias("n_entities"))
+    out = unpacked(joined, docs.columns, **{
+        text_col: F.when(F.col("_n") > 0, rebuilt).otherwise(text), "n_entities": F.coalesce("_n", F.lit(0)).cast("long")})
     return calm.unionByName(out)

@@ -26,10 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, materialize
+from strata.llm.common import WORD, materialize, packed, unpacked
 
 GRID = (0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.75)
 RULES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 ALPHA = 0.02
 DELTA = 0.05
 PLACE_BITS = 24
@@ -44,7 +45,7 @@ def measure(docs: DataFrame, text_col: str = "text", place_bits: int = PLACE_BIT
     words, or a text have more places than fit, the windows are sorted as
     strings.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.col("_text")
     place = F.lit((1 << place_bits) - 1).cast("long")
     longs = F.array().cast("array<long>")
     word = lambda i: F.get(F.col("_words"), i)
@@ -55,7 +56,7 @@ def measure(docs: DataFrame, text_col: str = "text", place_bits: int = PLACE_BIT
     def alike(items: str, k: Column, other: Column) -> Column:
         return F.coalesce(high(F.get(F.col(items), k)) == high(F.get(F.col(items), other)), F.lit(False))
 
-    df = docs.withColumns({
+    df = packed(docs, _text=F.coalesce(F.col(text_col), F.lit(""))).withColumns({
         "_words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
         "_lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
         "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))).cast("long")})
@@ -65,11 +66,11 @@ def measure(docs: DataFrame, text_col: str = "text", place_bits: int = PLACE_BIT
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "_hashes": F.transform("_words", lambda w: F.xxhash64(w))})
     small = (F.col("n_words") >= 3) & (F.col("n_words") < (1 << place_bits))
-    packed = F.transform(
+    keyed = F.transform(
         F.sequence(F.lit(0), F.size("_words") - 3),
         lambda i: F.xxhash64(F.get("_hashes", i), F.get("_hashes", i + 1), F.get("_hashes", i + 2))
         .bitwiseAND(F.bitwise_not(place)).bitwiseOR(i.cast("long")))
-    df = df.withColumn("_packed", F.when(small, F.sort_array(packed)).otherwise(longs))
+    df = df.withColumn("_packed", F.when(small, F.sort_array(keyed)).otherwise(longs))
     df = df.withColumn("_twice", F.filter("_packed", lambda x, k: alike("_packed", k, k - 1) | alike("_packed", k, k + 1)))
     mixed = F.size(F.filter("_twice", lambda x, k: alike("_twice", k, k - 1) & (
         window(at(x)) != window(at(F.get(F.col("_twice"), k - 1)))))) > 0
@@ -85,8 +86,8 @@ def measure(docs: DataFrame, text_col: str = "text", place_bits: int = PLACE_BIT
         places, F.struct(F.lit(0).alias("sum"), F.lit(0).alias("upto")),
         lambda acc, p: F.struct((acc["sum"] + p + 3 - F.greatest(p, acc["upto"])).alias("sum"), (p + 3).alias("upto")),
         lambda acc: acc["sum"])
-    return df.withColumn("n_repeat_words", covered.cast("long")).drop(
-        "_words", "_lines", "_hashes", "_packed", "_twice", "_exact", "_strings")
+    return unpacked(df.withColumn("n_repeat_words", covered.cast("long")), docs.columns,
+                    **{name: F.col(name) for name in MEASURES})
 
 
 def base_failed() -> Column:
@@ -119,10 +120,8 @@ def admitted_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha
                      rules=RULES, grid=GRID) -> DataFrame:
     """One row per stratum: ``stratum`` and a cutoff (or null) for each rule."""
     good = labels.groupBy("doc_id").agg((F.min("quality") == 1).alias("_good")).filter(F.col("_good").isNotNull())
-    held = (measured.select(F.col("doc_id").alias("_id"), F.col(stratum).alias("stratum"), *[ratio(r).alias(r) for r in rules])
-            .filter(~F.col("_failed")) if "_failed" in measured.columns else
-            measured.filter(~base_failed()).select(F.col("doc_id").alias("_id"), F.col(stratum).alias("stratum"),
-                                                   *[ratio(r).alias(r) for r in rules]))
+    held = measured.filter(~base_failed()).select(F.col("doc_id").alias("_id"), F.col(stratum).alias("stratum"),
+                                                  *[ratio(r).alias(r) for r in rules])
     held = held.join(good, F.col("_id") == F.col("doc_id"))
     counts = [F.count(F.when(F.col("_good"), 1)).alias("n")]
     for j, rule in enumerate(rules):
@@ -147,9 +146,10 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text_col: s
     """``docs`` (without its text) plus the measures, base_failed and kept."""
     measured = materialize(measure(docs, text_col).drop(text_col), "quality-measures")
     cuts = admitted_cutoffs(measured, labels, stratum, **options)
-    joined = measured.join(cuts, F.col(stratum).eqNullSafe(F.col("stratum")), "left") if stratum != "stratum" else \
-        measured.join(cuts.withColumnRenamed("stratum", "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    cuts = cuts.select(F.col("stratum").alias("_stratum"), *[F.col(f"cut_{r}").alias(f"_cut_{r}") for r in options.get("rules", RULES)])
+    joined = measured.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     over = F.lit(False)
     for rule in options.get("rules", RULES):
-        over = over | F.coalesce(ratio(rule) > F.col(f"cut_{rule}"), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~over)
+        over = over | F.coalesce(ratio(rule) > F.col(f"_cut_{rule}"), F.lit(False))
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~over).select(
+        *measured.columns, "base_failed", "kept")
