@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Words are hashed to ``DIMS`` features; one pass over the corpus counts in how
-   many passages (64 words) each feature occurs, for the inverse document
-   frequencies.
+   many passages (64 words) each feature occurs.  A feature weighs the cube of
+   its inverse document frequency, so that common words do not fill the
+   leading directions.
 2. A second pass multiplies the TF-IDF matrix A of all passages from both sides
    by a random test matrix, A'(A Omega): every task sums its share, the shares
    are added by parts, and the driver gets the DIMS x rank sketch, whose size
@@ -63,22 +64,35 @@ def _pieces(first: np.ndarray, size: int) -> np.ndarray:
     return begin + spans_index(np.zeros((n > 0).sum(), np.int64), n[n > 0]) * size
 
 
+def _passage_features(words: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct features of each passage, step by step: (features, first of each passage)."""
+    size = np.diff(np.append(start, len(words)))
+    for i in range(0, len(start), STEP // PASSAGE):
+        n = size[i:i + STEP // PASSAGE]
+        rows = np.full((len(n), PASSAGE), DIMS, np.uint16)  # DIMS stands for no word
+        rows[np.arange(PASSAGE) < n[:, None]] = _feature(words[start[i]:start[i] + n.sum()])
+        rows.sort(axis=1)
+        once = rows < DIMS
+        once[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+        yield rows[once].astype(np.int64), np.cumsum(once.sum(axis=1)) - once.sum(axis=1)
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df, passages = np.zeros(DIMS, np.int64), 0
     for whole in batches:
         for batch in bounded_slices(whole, "body") if whole.num_rows else ():
             words, first = _words(batch.column("body"))
             start = _pieces(first, PASSAGE)
-            if len(start):
-                key = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(words)))) * DIMS + _feature(words)
-                df += np.bincount(np.unique(key) % DIMS, minlength=DIMS)
-                passages += len(start)
+            for features, _ in _passage_features(words, start):
+                df += np.bincount(features, minlength=DIMS)
+            passages += len(start)
     if passages:
         yield pa.record_batch([pa.array([passages], pa.int64()), pa.array([df.tolist()], pa.list_(pa.int64()))], ["n", "df"])
 
 
-def inverse_frequencies(body: DataFrame) -> np.ndarray | None:
-    """Inverse document frequency of every feature over all passages; None without any."""
+def feature_weights(body: DataFrame) -> np.ndarray | None:
+    """Weight (cubed inverse document frequency) of every feature over all passages;
+    None without any."""
     counts = body.mapInArrow(_frequencies, "n long, df array<long>")
     per = counts.select("n", F.posexplode("df").alias("i", "c")).groupBy("i").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
     rows = per.collect()  # DIMS rows
@@ -86,7 +100,7 @@ def inverse_frequencies(body: DataFrame) -> np.ndarray | None:
         return None
     out = np.zeros(DIMS)
     for r in rows:
-        out[r["i"]] = np.log((1 + r["n"]) / (1 + r["c"]))
+        out[r["i"]] = np.log((1 + r["n"]) / (1 + r["c"])) ** 3
     return out.astype(np.float32)
 
 
@@ -99,16 +113,11 @@ def _sketch(idf: np.ndarray, omega: np.ndarray):
         for whole in batches:
             for batch in bounded_slices(whole, "body") if whole.num_rows else ():
                 words, first = _words(batch.column("body"))
-                start = _pieces(first, PASSAGE)
-                bounds = np.append(start, len(words))
-                for i in range(0, len(start), STEP // PASSAGE):
-                    j = min(len(start), i + STEP // PASSAGE)
-                    f = _feature(words[bounds[i]:bounds[j]])
-                    at = start[i:j] - bounds[i]
+                for f, at in _passage_features(words, _pieces(first, PASSAGE)):
                     w = idf[f]
                     norm = np.add.reduceat(w * w, at) + 1e-12
                     y = np.add.reduceat(table[f], at, axis=0) / norm[:, None]
-                    own = np.repeat(np.arange(j - i), np.diff(np.append(at, len(f))))
+                    own = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(f))))
                     order = np.argsort(f.astype(np.uint16), kind="stable")
                     f, own = f[order], own[order]
                     lead = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
@@ -170,15 +179,24 @@ class Items:
         self.answers = [w[-answer_words:] for w in self.words]
         self.vectors = np.asarray(vectors, np.float32)
         self.scales = np.asarray(scales)
+        self.has_feature = np.zeros((len(self.ids), DIMS), bool)
+        self.sizes = np.array([len(w) for w in self.words])
         self.masks = []
+        for i, w in enumerate(self.words):
+            self.has_feature[i, _feature(np.array(w, np.uint64))] = True
         for w in self.words:
             mask: dict[int, int] = {}
             for i, x in enumerate(w):
                 mask[x] = mask.get(x, 0) | (1 << i)
             self.masks.append(mask)
 
-    def candidates(self, words: np.ndarray, first: np.ndarray, cosine: float) -> Iterator[tuple[int, int, int, int, float]]:
-        """(item, text, first word, end word, cosine) of the windows near an item."""
+    def candidates(self, words: np.ndarray, first: np.ndarray, cosine: float,
+                   share: float) -> Iterator[tuple[int, int, int, int, float]]:
+        """(item, text, first word, end word, cosine) of the windows near an item.
+
+        Windows with fewer words of the item's features than ``share`` of its length
+        cannot hold such a subsequence and are left out.
+        """
         start = _pieces(first, BLOCK)
         if not len(start):
             return
@@ -198,6 +216,7 @@ class Items:
             n = np.where(stop > begin, np.maximum(stop - begin - scale + 1, 1), 0)
             b = spans_index(begin[n > 0], n[n > 0])
             e = np.minimum(b + scale, stop[text[b]])
+            span = np.arange(scale * BLOCK)
             for lo in range(0, len(b), 8192):
                 p, q = b[lo:lo + 8192], e[lo:lo + 8192]
                 z = blocks[p].copy()
@@ -206,8 +225,15 @@ class Items:
                     z[more] += blocks[p[more] + k]
                 z /= np.linalg.norm(z, axis=1, keepdims=True) + 1e-12
                 near = z @ self.vectors[own].T
-                for w, i in zip(*np.nonzero(near >= cosine)):
-                    yield int(own[i]), int(text[p[w]]), int(bounds[p[w]]), int(bounds[q[w]]), float(near[w, i])
+                ws, its = np.nonzero(near >= cosine)
+                for at in range(0, len(ws), 4096):
+                    w, i = ws[at:at + 4096], own[its[at:at + 4096]]
+                    place = bounds[p[w]][:, None] + span
+                    inside = place < bounds[q[w]][:, None]
+                    held = self.has_feature[i[:, None], f[np.minimum(place, len(f) - 1)]] & inside
+                    for k in np.flatnonzero(held.sum(axis=1) >= share * self.sizes[i]):
+                        yield (int(i[k]), int(text[p[w[k]]]), int(bounds[p[w[k]]]), int(bounds[q[w[k]]]),
+                               float(near[w[k], its[at + k]]))
 
     def lcs(self, item: int, words: list[int]) -> int:
         """Length of the longest common subsequence with an item, bit-parallel."""
@@ -232,7 +258,7 @@ def _search(items: Items, cosine: float, lcs: float, weak_lcs: float):
             for batch in bounded_slices(whole, "body") if whole.num_rows else ():
                 words, first = _words(batch.column("body"))
                 best: dict[tuple[int, int], tuple] = {}
-                for item, text, a, b, near in items.candidates(words, first, cosine):
+                for item, text, a, b, near in items.candidates(words, first, cosine, weak_lcs):
                     held = best.get((text, item))
                     window = words[a:b].tolist()
                     share = items.lcs(item, window) / len(items.words[item])
@@ -251,7 +277,7 @@ def _search(items: Items, cosine: float, lcs: float, weak_lcs: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 64, cosine: float = 0.4, lcs: float = 0.8,
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 48, cosine: float = 0.4, lcs: float = 0.8,
                weak_lcs: float = 0.6, answer_words: int = 5, item_block: int = 20_000, seed: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer of every document that holds an item."""
@@ -261,7 +287,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 64, cosine: fl
     none = spark.createDataFrame([], schema)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     n_items = items.count()
-    idf = inverse_frequencies(body.select("body")) if n_items else None
+    idf = feature_weights(body.select("body")) if n_items else None
     projection = None if idf is None else latent_projection(body.select("body"), idf, rank, seed)
     if projection is None:
         return none

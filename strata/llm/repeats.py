@@ -122,21 +122,40 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+HEAD_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+LENGTH_SALT = np.uint64(0xA0761D6478BD642F)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:end].
+
+    A word of up to 16 bytes is hashed from its first and last 8 bytes and its
+    length, which tell it apart from any other; longer ones from all bytes.
+    """
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[8:-8] = data
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # the 8 bytes from each place
+    size = ends - starts
+    head = eight[starts + 8] & HEAD_MASK[np.minimum(size, 8)]
+    tail = np.where(size > 8, eight[ends], np.uint64(0))
+    out = mix64(head ^ mix64(tail + size.astype(np.uint64) * LENGTH_SALT))
+    long = np.flatnonzero(size > 16)
+    for lo in range(0, len(long), CHUNK // 32):
+        pick = long[lo:lo + CHUNK // 32]
+        n = size[pick]
+        x = BYTE_VALUE[data[spans_index(starts[pick], n)]]
+        p, inv = powers(len(x) + 1)
+        sums = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x * p[:len(x)], out=sums[1:])
+        e = np.cumsum(n)
+        out[pick] ^= mix64((sums[e] - sums[e - n]) * inv[e - n])
+    return out
+
+
 def word_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[Tokens, np.ndarray, np.ndarray]:
     """Words as 64-bit hashes, with their start and end bytes."""
     starts, ends, first = word_bounds(data, offsets)
-    hashes = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < len(starts):  # bounded memory: about CHUNK bytes at a time
-        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + CHUNK, side="right")))
-        a, b = int(starts[lo]), int(ends[hi - 1])
-        p, inv = powers(b - a + 1)
-        sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(BYTE_VALUE[data[a:b]] * p[:b - a], out=sums[1:])
-        s, e = starts[lo:hi] - a, ends[lo:hi] - a
-        hashes[lo:hi] = mix64((sums[e] - sums[s]) * inv[s] + (e - s).astype(np.uint64))
-        lo = hi
-    return Tokens(hashes, first, lambda x: x), starts, ends
+    return Tokens(word_hashes(data, starts, ends), first, lambda x: x), starts, ends
 
 
 class Phrases:

@@ -156,7 +156,7 @@ def test_latent_projection_matches_exact_svd(spark):
     topics = [[f"t{k}x{i}" for i in range(30)] for k in range(6)]
     rows = [(i, " ".join(rng.choice(topics[i % 6]) for _ in range(64))) for i in range(300)]
     body = spark.createDataFrame(rows, "doc_id long, text string").select(F.col("text").cast("binary").alias("body"))
-    idf = decontam.inverse_frequencies(body)
+    idf = decontam.feature_weights(body)
     projection = decontam.latent_projection(body, idf, 6, 1)
     import pyarrow as pa
     words, first = decontam._words(pa.array([t.encode() for _, t in rows], pa.binary()))
