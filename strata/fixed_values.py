@@ -26,6 +26,8 @@ SALES_HEADER_PATTERNS = {r"^Price \(.*\)$": "price_raw"}
 # --- fixed values: characters removed before a money cast --------------------
 RENT_MONEY_CHARS = r"[€,$\s]"
 SALES_MONEY_CHARS = r"[€\x80?,\s]"
+# the three bytes of a UTF-8 euro sign, decoded as latin-1
+MISREAD_EURO = "\xe2\x82\xac"
 
 # --- fixed values: month names in period labels such as "2005 January" ------
 MONTHS = {
@@ -86,3 +88,32 @@ RENTS_LIMIT = 500
 PRICES_LIMIT = 1000
 LOCATION_EXTRA_CHARS = " ,-"
 TYPE_EXTRA_CHARS = " -"
+
+# --- fixed values: source folders and table names ---------------------------
+CUBE_SOURCES = {"house_price_index": PRICE_INDEX_CODE, "new_dwelling_completions": PERMISSIONS_CODE}
+SILVER_PATHS = {
+    "house_price_index": "cso/house_price_index",
+    "new_dwelling_completions": "cso/new_dwelling_completions",
+    "rent_by_county": "rtb/rent_by_county",
+    "sales_register": "ppr/sales_register",
+}
+GOLD_TABLES = {
+    "price": "gold_property_price_index",
+    "rent": "gold_avg_rent_by_location_year",
+    "perms": "gold_planning_permissions_trend",
+    "sales": "gold_property_sales_dublin",
+    "summary": "gold_housing_crisis_summary",
+}
+
+# --- fixed values: output columns of the views -------------------------------
+SUMMARY_COLUMNS = ["year", "national_price_index", "national_price_yoy_pct", "dublin_price_index",
+                   "avg_national_rent", "avg_dublin_rent", "new_communal_permissions",
+                   "permissions_yoy_pct", "dublin_total_sales", "dublin_avg_sale_price",
+                   "dublin_median_sale_price", "yoy_price_change_pct", "gold_updated"]
+RENTS_COLUMNS = ["location", "year", "avg_monthly_rent", "min_monthly_rent", "max_monthly_rent",
+                 "yoy_change_pct", "sample_count"]
+PRICES_COLUMNS = ["period", "year", "month", "type_of_residential_property", "price_index",
+                  "pct_change_1m", "pct_change_3m", "pct_change_12m"]
+SALES_COLUMNS = ["year", "total_sales", "avg_price_eur", "median_price_eur", "min_price_eur",
+                 "max_price_eur", "new_build_sales", "new_build_avg_price", "second_hand_sales",
+                 "second_hand_avg_price", "yoy_price_change_pct", "county"]

@@ -8,32 +8,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.values import INTEGER_TEXT, first_year, to_bigint, to_double
+from strata.functions.values import first_year, to_bigint, to_double
+
+
+# Text of whole and of decimal numbers (possessive: no backtracking).
+_DIGITS = r"^\s*+[+-]?+[0-9]++\s*+$"
+_DECIMAL = r"^\s*+[+-]?+(?:[0-9]++\.[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+\s*+$"
+_EXACT_DOUBLE = 15  # whole numbers of so many digits are exact as DOUBLE
 
 
 def infer_string_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Decide BIGINT / DOUBLE / STRING for each string column in one pass.
+    """Decide BIGINT / DECIMAL / DOUBLE / STRING for each string column in one pass.
 
-    The rule follows per-value coercion lifted to a column: blanks are
-    ignored; a column whose every value has no ``.`` and parses as an
-    integer is BIGINT; one whose every value parses as a number (integers
-    included) is DOUBLE; anything else stays STRING.  A single aggregate
-    job returns one class per column -- never the data.
+    The per-value rule, lifted to a column: text without ``.`` is a whole
+    number or text, text with ``.`` a decimal number or text.  Blanks are
+    ignored; a column of whole numbers is BIGINT, or DECIMAL(38,0) when some
+    exceed it; one with decimal numbers is DOUBLE, unless a whole number in it
+    would lose digits; anything else (``1e5``, ``nan``, longer numbers, blanks
+    alone) stays STRING, so no value ever changes.  A single aggregate job
+    returns a few flags per column -- never the data.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not cols:
         return {}
-    # One class per value -- 0 blank, 1 integer, 2 other number, 3 text --
-    # and a plain max per column: small generated code, one pass.
-    def kind(v):
-        return (F.when(v.isNull() | (v == ""), F.lit(0))
-                .when(v.rlike(INTEGER_TEXT), F.when(v.try_cast("bigint").isNotNull(), F.lit(1))
-                      .otherwise(F.lit(2)))
-                .when(to_double(v).isNotNull(), F.lit(2))
-                .otherwise(F.lit(3)))
-    row = df.agg(*[F.max(kind(F.col(c))).alias(f"k{i}") for i, c in enumerate(cols)]).first()
-    names = {None: "bigint", 0: "bigint", 1: "bigint", 2: "double", 3: "string"}
-    kinds = {c: names[row[f"k{i}"]] for i, c in enumerate(cols)}
+
+    def kind(v):  # 0 blank, 1 to 3 whole number by size, 4 too long, 8 decimal, 16 text
+        digits = F.length(F.ltrim(F.regexp_replace(v, r"[+\s-]", ""), F.lit("0")))
+        whole = (F.when(digits <= _EXACT_DOUBLE, 1).when(v.try_cast("bigint").isNotNull(), 2)
+                 .when(digits <= 38, 3).otherwise(4))
+        return (F.when(v.isNull() | (v == ""), 0).when(v.rlike(_DIGITS), whole)
+                .when(v.contains("."), F.when(v.rlike(_DECIMAL), 8).otherwise(16)).otherwise(16))
+
+    aggs = []
+    for i, c in enumerate(cols):
+        k = kind(F.col(c))
+        aggs += [F.max(F.when(k < 8, k)).alias(f"w{i}"), F.max(k).alias(f"k{i}")]
+    row = df.agg(*aggs).first()
+    kinds = {}
+    for i, c in enumerate(cols):
+        whole, top = row[f"w{i}"] or 0, row[f"k{i}"] or 0
+        if top == 8:
+            kinds[c] = "double" if whole <= 1 else "string"
+        else:
+            kinds[c] = {1: "bigint", 2: "bigint", 3: "decimal(38,0)"}.get(top, "string")
     return kinds
 
 
@@ -46,7 +63,8 @@ def coerce_strings(df: DataFrame, kinds: dict[str, str] | None = None) -> DataFr
             out.append(F.col(c))
             continue
         blank_null = F.nullif(F.col(c), F.lit(""))
-        cast = {"string": lambda x: x, "bigint": to_bigint, "double": to_double}[kinds[c]]
+        cast = {"string": lambda x: x, "bigint": to_bigint, "double": to_double,
+                "decimal(38,0)": lambda x: F.trim(x).try_cast("decimal(38,0)")}[kinds[c]]
         out.append(cast(blank_null).alias(c))
     return df.select(*out)
 

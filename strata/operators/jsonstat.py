@@ -12,10 +12,12 @@ built-in expressions:
   document order) -- with ``from_json`` on the raw ``index`` text (N2);
 * documents that cannot be unpacked are routed to :func:`rejects` with a
   reason instead of failing the job (S8, S9);
-* the value array is cut into fixed-size slices *before* any shuffle, so a
-  single huge cube is spread over many tasks instead of one (N4);
-* each cell finds its category per dimension by stride arithmetic, and its
-  label falls back to the code (N5).
+* cells and categories are exploded apart, each once: a cell row is narrow
+  (position, value, the document's few sizes) and finds its category per
+  dimension by stride arithmetic and an equi-join on (document, position), so
+  work is linear in cells plus categories, and a cube of any shape spreads
+  over tasks by its positions (N4);
+* a category's label falls back to its code (N5).
 
 Only metadata ever reaches the driver: the distinct (dimension id, label)
 pairs used to name the columns of :func:`widen` (N6).
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 
 from strata.functions.names import clean_name
 from strata.functions.values import to_double
+from strata.session import scratch_path
 
 _CATEGORY = T.StructType([
     T.StructField("index", T.StringType()),   # dict, list or absent: kept as text
@@ -51,7 +54,8 @@ DOCUMENT_SCHEMA = T.StructType(
     [T.StructField("result", T.StructType(_CUBE)), T.StructField("error", T.StringType())]
     + _CUBE)
 
-DEFAULT_CHUNK_CELLS = 1 << 16
+# Column names a dimension cannot take: the value, and what Silver adds.
+RESERVED = ("metric_value", "year", "source_dataset", "ingestion_date")
 
 # Reasons a document is rejected, in the order they are tested.
 REJECT_REASONS = (
@@ -72,16 +76,18 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
     """Parse documents into one row per document with unpack metadata.
 
     ``docs`` needs a text column ``body_col``; every other column is kept
-    (typically ``path``).  Added columns: ``ids``, ``sizes``, ``codes``
+    (typically ``path``).  Added columns: ``doc`` (hash of the body: equal
+    documents have equal categories), ``ids``, ``sizes``, ``codes``
     (category codes per dimension in position order), ``cat_labels``,
     ``dim_labels`` (dimension label, falling back to the id), ``strides``,
     ``n_cells`` (cells to emit: the shorter of the value array and the
     product of sizes), ``value`` and ``reason`` (null when accepted).
     """
     keep = [c for c in docs.columns if c != body_col]
-    parsed = docs.select(*keep, F.from_json(F.col(body_col), DOCUMENT_SCHEMA).alias("_doc"))
+    parsed = docs.select(*keep, F.md5(F.col(body_col).cast("binary")).alias("doc"),
+                         F.from_json(F.col(body_col), DOCUMENT_SCHEMA).alias("_doc"))
     parsed = parsed.select(
-        *keep,
+        *keep, "doc",
         F.col("_doc.error").alias("_error"),
         F.when(F.col("_doc").isNull(), F.lit(True)).otherwise(F.lit(False)).alias("_null_doc"),
         _cube_col("id").alias("ids"),
@@ -105,7 +111,7 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
           ELSE coalesce(map_keys(_dimension[d].category.label), array())
         END)""")
     parsed = parsed.select(
-        *keep, "_error", "_null_doc", "ids", "sizes", "_dimension", "value",
+        *keep, "doc", "_error", "_null_doc", "ids", "sizes", "_dimension", "value",
         codes.alias("codes"),
         F.expr("transform(ids, d -> _dimension[d].category.label)").alias("cat_labels"),
         F.expr("transform(ids, d -> coalesce(_dimension[d].label, d))").alias("dim_labels"),
@@ -136,7 +142,7 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
         .when(F.expr("exists(ids, d -> _dimension[d] IS NULL)"), F.lit("missing_dimension"))
         .when(short, F.lit("short_codes"))
     )
-    out = ["ids", "sizes", "codes", "cat_labels", "dim_labels", "strides", "n_cells", "value"]
+    out = ["doc", "ids", "sizes", "codes", "cat_labels", "dim_labels", "strides", "n_cells", "value"]
     # Bind the results through a one-row generator.  A later filter on
     # ``reason`` (or any derived column) then stops at the Generate instead
     # of being pushed down with the parse inlined into its condition, which
@@ -159,115 +165,120 @@ def empty_dimensions(parsed: DataFrame) -> DataFrame:
             .select(*keep, F.col("d.ids").alias("dimension_id")))
 
 
-_META_COLS = {"ids", "sizes", "codes", "cat_labels", "dim_labels", "strides",
+_META_COLS = {"doc", "ids", "sizes", "codes", "cat_labels", "dim_labels", "strides",
               "n_cells", "value", "reason"}
 
 
-def cells(parsed: DataFrame, chunk_cells: int = DEFAULT_CHUNK_CELLS,
-          spread: bool | str = "auto") -> DataFrame:
-    """One row per cell of every accepted document.
+def cells(parsed: DataFrame) -> DataFrame:
+    """One narrow row per cell of every accepted document.
 
-    Output: the document's own columns, ``pos`` (row-major position),
-    ``dims`` (map dimension id -> category label) and ``value`` (raw text).
-
-    The value array is first cut into ``chunk_cells``-long slices, one row
-    per slice, so the cut costs no copy beyond the slices themselves.  With
-    ``spread=True`` the slices are hash-distributed before they are
-    exploded: a cube of a billion cells then unpacks on many tasks instead of
-    the one that parsed it.  ``spread="auto"`` (default) sends only
-    documents of more than one slice through that exchange; smaller ones
-    unpack where they were parsed, so ordinary cubes cost no shuffle.  (The
-    two branches read ``parsed`` twice: persist it, as the jobs do, when the
-    parse is expensive.)
+    Output: the document's own columns, ``doc``, ``ids``, ``sizes``,
+    ``strides`` (a few numbers each), ``pos`` (row-major position) and
+    ``value`` (raw text).  No category travels with a cell.
     """
-    if spread == "auto":
-        one = F.col("n_cells") <= F.lit(chunk_cells)
-        return _cells(parsed.filter(one), chunk_cells, False).unionByName(
-            _cells(parsed.filter(~one), chunk_cells, True))
-    return _cells(parsed, chunk_cells, bool(spread))
-
-
-def _cells(parsed: DataFrame, chunk_cells: int, spread: bool) -> DataFrame:
     keep = [c for c in parsed.columns if c not in _META_COLS]
     ok = parsed.filter(F.col("reason").isNull() & (F.col("n_cells") > 0))
-    sliced = ok.select(
-        *keep, "ids", "codes", "cat_labels", "strides", "sizes",
-        F.explode(F.sequence(F.lit(0).cast("bigint"),
-                             F.floor((F.col("n_cells") - 1) / F.lit(chunk_cells)).cast("bigint")))
-        .alias("_chunk"),
-        "n_cells", "value",
-    ).select(
-        *keep, "ids", "codes", "cat_labels", "strides", "sizes",
-        (F.col("_chunk") * F.lit(chunk_cells)).alias("_start"),
-        F.expr(f"slice(value, cast(_chunk * {chunk_cells} + 1 AS INT), "
-               f"cast(least({chunk_cells}, n_cells - _chunk * {chunk_cells}) AS INT))")
-        .alias("_slice"),
-    )
-    if spread:
-        sliced = sliced.repartition(*[F.col(c) for c in keep[:1]], F.col("_start"))
-    exploded = sliced.select(
-        *keep, "ids", "codes", "cat_labels", "strides", "sizes", "_start",
-        F.posexplode("_slice").alias("_p", "value"))
-    exploded = exploded.withColumn("pos", F.col("_start") + F.col("_p"))
-    dims = F.expr("""
-        map_from_arrays(ids, transform(ids, (d, i) ->
-          coalesce(
-            cat_labels[i][get(codes[i], cast((pos div strides[i]) % sizes[i] AS INT))],
-            get(codes[i], cast((pos div strides[i]) % sizes[i] AS INT)))))""")
-    return exploded.select(*keep, "pos", dims.alias("dims"), "value")
+    return ok.select(*keep, "doc", "ids", "sizes", "strides",
+                     F.posexplode(F.expr("slice(value, 1, cast(n_cells AS INT))")).alias("pos", "value"))
 
 
-def dimension_columns(parsed: DataFrame) -> list[tuple[str, str]]:
-    """(dimension id, column name) pairs over all accepted documents.
+def categories(parsed: DataFrame) -> DataFrame:
+    """Category labels of the accepted documents (N5): ``(doc, dim_id, position, label)``.
 
-    A ``TLIST`` dimension becomes ``period``; any other takes its cleaned
-    label.  This collects only the distinct dimension ids and labels -- a
-    handful of rows -- never cells.  Order: first position in ``id``, then id.
+    Codes and labels are exploded apart and joined, so a dimension of a
+    million categories costs a million rows each and no look-up per code.
     """
-    return document_summary(parsed)[0]
+    ok = parsed.filter(F.col("reason").isNull() & (F.col("n_cells") > 0)).select("doc", "ids", "codes", "cat_labels")
+    per_dim = ok.select("doc", F.inline(F.arrays_zip(
+        F.col("ids").alias("dim_id"), F.col("codes").alias("codes"), F.col("cat_labels").alias("labels"))))
+    codes = per_dim.select("doc", "dim_id", F.posexplode("codes").alias("position", "code")).distinct()
+    labels = per_dim.select("doc", "dim_id", F.explode("labels").alias("code", "label")).distinct()
+    return (codes.join(labels, ["doc", "dim_id", "code"], "left")
+            .select("doc", "dim_id", "position", F.coalesce("label", "code").alias("label")))
 
 
-def document_summary(parsed: DataFrame) -> tuple[list[tuple[str, str]], int]:
-    """Column names (see :func:`dimension_columns`) and the largest cell count.
+def dimension_columns(parsed: DataFrame) -> list[tuple[str, str]]:
+    """(dimension id, column name) pairs over all accepted documents.
 
-    One small job over the accepted documents; the cell count lets callers
-    decide whether any document is big enough to be spread over tasks.
+    A ``TLIST`` dimension becomes ``period``; any other takes its cleaned
+    label.  Ids of one name in different documents share the column (annual
+    and monthly time ids, say); ids of one name in the *same* document keep
+    apart, the later ones with their id appended.  A label that would take a
+    reserved name gets ``_dimension`` appended.  Only the distinct ids and
+    labels are collected -- a handful of rows -- never cells.  Order: first
+    position in ``id``, then id.
     """
-    rows = (parsed.filter(F.col("reason").isNull())
-            .select(F.col("n_cells"), F.posexplode(F.arrays_zip("ids", "dim_labels")).alias("i", "d"))
+    ok = parsed.filter(F.col("reason").isNull())
+    rows = (ok.select(F.posexplode(F.arrays_zip("ids", "dim_labels")).alias("i", "d"))
             .groupBy(F.col("d.ids").alias("id"))
-            .agg(F.min("i").alias("i"), F.max("d.dim_labels").alias("label"),
-                 F.max("n_cells").alias("n_cells"))
-            .orderBy("i", "id")
-            .collect())
-    columns = [(r["id"], column_name(r["id"], r["label"])) for r in rows]
-    return columns, max((r["n_cells"] or 0 for r in rows), default=0)
+            .agg(F.min("i").alias("i"), F.max("d.dim_labels").alias("label"))
+            .orderBy("i", "id").collect())
+    named = [(r["id"], column_name(r["id"], r["label"])) for r in rows]
+    taken: dict[str, list[str]] = {}
+    for dim_id, name in named:
+        taken.setdefault(name, []).append(dim_id)
+    out, used = [], set(taken)
+    for dim_id, name in named:
+        before = taken[name][:taken[name].index(dim_id)]
+        if before and _meet(ok, dim_id, before):
+            name = f"{name}_{clean_name(dim_id)}"
+            while name in used:
+                name += "_"
+            used.add(name)
+        out.append((dim_id, name))
+    return out
+
+
+def _meet(parsed: DataFrame, dim_id: str, others: list[str]) -> bool:
+    """Whether a document holds ``dim_id`` and one of ``others``."""
+    both = F.array_contains("ids", dim_id) & F.arrays_overlap("ids", F.array(*[F.lit(o) for o in others]))
+    return not parsed.filter(both).select("doc").isEmpty()
 
 
 def column_name(dim_id: str, label: str | None) -> str:
     """Column name for a dimension: ``period`` for time, else the clean label."""
     if "TLIST" in dim_id:
         return "period"
-    return clean_name(label if label is not None else dim_id, cube=True)
+    name = clean_name(label if label is not None else dim_id, cube=True)
+    return f"{name}_dimension" if name in RESERVED else name
 
 
-def widen(cell_rows: DataFrame, columns: list[tuple[str, str]],
-          value_name: str = "metric_value", keep: list[str] | None = None) -> DataFrame:
-    """One column per dimension plus the value as DOUBLE.
+def widen(parsed: DataFrame, columns: list[tuple[str, str]], value_name: str = "metric_value",
+          keep: list[str] | None = None) -> DataFrame:
+    """One row per cell: a column per dimension plus the value as DOUBLE.
 
-    JSON-stat's ``".."`` and other non-numbers become null.
+    Every dimension is one equi-join of the cells with that dimension's
+    categories on (document, position); a column that several ids share takes
+    the one the document has.  The categories are written to the scratch
+    folder first, so documents are parsed once for them, not per dimension.  JSON-stat's ``".."`` and other non-numbers
+    become null.  ``keep`` names document columns, or ``pos``.
     """
     keep = keep or []
-    return cell_rows.select(
-        *keep,
-        *[F.col("dims")[dim_id].alias(name) for dim_id, name in columns],
-        to_double("value").alias(value_name),
-    )
-
-
-def unpack(docs: DataFrame, body_col: str = "body",
-           columns: list[tuple[str, str]] | None = None,
-           chunk_cells: int = DEFAULT_CHUNK_CELLS, spread: bool | str = "auto",
+    spark = parsed.sparkSession
+    cats, path = categories(parsed), scratch_path(spark, "categories")
+    cats.write.parquet(path)
+    cats = spark.read.schema(cats.schema).parquet(path)
+
+    def position(dim_id: str) -> Column:
+        i = F.array_position("ids", dim_id).cast("int") - 1
+        stride, size = F.get("strides", i), F.get("sizes", i).cast("bigint")
+        return F.when(i >= 0, F.pmod(F.floor(F.col("pos") / stride).cast("bigint"), size))
+
+    places = [position(dim_id).cast("int").alias(f"_p{k}") for k, (dim_id, _) in enumerate(columns)]
+    rows = cells(parsed).select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate(keep)], "doc", "value", *places)
+    for k, (dim_id, _) in enumerate(columns):
+        own = cats.filter(F.col("dim_id") == dim_id).select(
+            F.col("doc"), F.col("position").alias(f"_p{k}"), F.col("label").alias(f"_l{k}"))
+        rows = rows.join(own, ["doc", f"_p{k}"], "left")
+    by_name: dict[str, list[str]] = {}
+    for k, (_, name) in enumerate(columns):
+        by_name.setdefault(name, []).append(f"_l{k}")
+    return rows.select(*[F.col(f"_k{k}").alias(c) for k, c in enumerate(keep)],
+                       *[F.coalesce(*ls).alias(name) for name, ls in by_name.items()],
+                       to_double("value").alias(value_name))
+
+
+def unpack(docs: DataFrame, body_col: str = "body", columns: list[tuple[str, str]] | None = None,
            keep: list[str] | None = None) -> DataFrame:
     """Documents to a wide table: one row per cell, one column per dimension.
 
@@ -276,8 +287,4 @@ def unpack(docs: DataFrame, body_col: str = "body",
     discovery job that names the columns.
     """
     parsed = parse(docs, body_col)
-    if columns is None:
-        columns, largest = document_summary(parsed)
-        if spread == "auto":
-            spread = largest > chunk_cells
-    return widen(cells(parsed, chunk_cells, spread), columns, keep=keep)
+    return widen(parsed, dimension_columns(parsed) if columns is None else columns, keep=keep)

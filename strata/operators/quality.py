@@ -54,22 +54,54 @@ def latest_snapshot(df: DataFrame, keys: list[str], snapshot_col: str) -> DataFr
     return df.join(newest, on=[*keys, snapshot_col], how="left_semi")
 
 
-def snapshot_of(path_col: str = "path") -> Column:
-    """Snapshot key of a landed file: its path, or its folder for part files.
+# A landing time in a file name: yyyymmdd, optionally with a time of day.
+STAMP = r"[_-]?((?:19|20)[0-9]{6})(?:[T_-]?([0-9]{6}))?(?=[^0-9/]*$)"
+LANDING_FOLDERS = ("year", "month", "day")
 
-    Time-stamped names (``.../year=2024/month=06/data_20240630_120000.json``)
-    sort by landing time; the part files of one Spark write share a folder
-    and so form one snapshot.
+
+def landing_key(path: Column, folders: tuple[str, ...] = LANDING_FOLDERS) -> Column:
+    """When a file was landed: its numbered ``folders`` and the time stamp in its name.
+
+    A struct of numbers, so ``month=9`` is older than ``month=10``; null when
+    the path holds neither.  ``folders`` are the partition folders that tell
+    the *landing* time (none where ``year=`` means the data's own year).
+    """
+    number = lambda text: F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    parts = [number(F.regexp_extract(path, rf"/{f}=([^/]+)/", 1)).alias(f) for f in folders]
+    name = F.element_at(F.split(path, "/"), -1)
+    parts += [number(F.regexp_extract(name, STAMP, k)).alias(f"stamp{k}") for k in (1, 2)]
+    return F.when(F.coalesce(*[p.cast("bigint") for p in parts]).isNotNull(), F.struct(*parts))
+
+
+def dataset_key(path: Column, folders: tuple[str, ...] = LANDING_FOLDERS) -> Column:
+    """Which dataset a landed file belongs to: its path without the landing time.
+
+    The part files of one Spark write share their folder and so one dataset.
+    """
+    out = F.regexp_replace(path, r"/part-[^/]*$", "/part")
+    if folders:
+        out = F.regexp_replace(out, rf"/(?:{'|'.join(folders)})=[^/]*(?=/)", "")
+    return F.regexp_replace(out, STAMP, "")
+
+
+def mark_superseded(files: DataFrame, path_col: str = "path",
+                    folders: tuple[str, ...] = LANDING_FOLDERS) -> DataFrame:
+    """``files`` plus ``superseded``: a newer landing of the same dataset exists.
+
+    Every file of a dataset's newest landing stays; so does every file whose
+    landing time cannot be told.  One aggregate per dataset and a join back.
     """
-    return F.regexp_replace(F.col(path_col), r"/part-[^/]*$", "")
+    keyed = files.withColumns({"_dataset": dataset_key(F.col(path_col), folders),
+                               "_landed": landing_key(F.col(path_col), folders)})
+    newest = keyed.groupBy("_dataset").agg(F.max("_landed").alias("_newest"))
+    return (keyed.join(newest, "_dataset")
+            .withColumn("superseded", F.coalesce(F.col("_landed") < F.col("_newest"), F.lit(False)))
+            .drop("_dataset", "_landed", "_newest"))
 
 
 def keep_latest_files(df: DataFrame, path_col: str = "path",
-                      dataset: Column | None = None) -> DataFrame:
-    """Rows of the newest snapshot per ``dataset`` (the whole frame by default)."""
-    keyed = df.withColumn("_snapshot", snapshot_of(path_col))
-    keys = []
-    if dataset is not None:
-        keyed = keyed.withColumn("_dataset", dataset)
-        keys = ["_dataset"]
-    return latest_snapshot(keyed, keys, "_snapshot").drop("_snapshot", "_dataset")
+                      folders: tuple[str, ...] = LANDING_FOLDERS) -> DataFrame:
+    """Rows whose file (``path_col``) belongs to its dataset's newest landing."""
+    files = df.select(F.col(path_col).alias("_file")).distinct()
+    old = mark_superseded(files, "_file", folders).filter("superseded").select("_file")
+    return df.join(old, F.col(path_col) == F.col("_file"), "left_anti")

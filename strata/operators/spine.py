@@ -43,7 +43,8 @@ def spine_merge(frames: list[DataFrame], key: str = "year",
     key: each frame is computed once and combined in a single shuffle,
     instead of once for the spine and once for its join.  ``in_spine`` says
     which rows contribute their key to the spine (default: all); keys found
-    only elsewhere are dropped, as a left join onto the spine would.
+    only elsewhere are dropped, as a left join onto the spine would.  A null
+    key in the spine gives a row without values, as those joins do.
     Columns must be distinct across frames except ``key``.
     """
     flags = in_spine if in_spine is not None else [True] * len(frames)
@@ -51,6 +52,8 @@ def spine_merge(frames: list[DataFrame], key: str = "year",
               for f, flag in zip(frames, flags)]
     merged = union_by_name(tagged)
     values = [c for c in merged.columns if c not in (key, "_spine")]
+    # a null key joins with nothing, though grouping brings its rows together
+    known = F.col(key).isNotNull()
     return (merged.groupBy(key)
-            .agg(*[F.max(c).alias(c) for c in values], F.max("_spine").alias("_spine"))
+            .agg(*[F.max(F.when(known, F.col(c))).alias(c) for c in values], F.max("_spine").alias("_spine"))
             .filter(F.col("_spine")).drop("_spine"))

@@ -23,30 +23,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.fixed_values import PERMISSIONS_CODE, PRICE_INDEX_CODE
-from strata.operators.quality import null_count
+from strata.fixed_values import CUBE_SOURCES, GOLD_TABLES, SILVER_PATHS
+from strata.operators.quality import LANDING_FOLDERS, null_count
 from strata.plans import gold
 from strata.operators import jsonstat
 from strata.plans.silver import cube_silver_parsed, read_sales, rents_silver, sales_silver
 from strata.plans.sinks import ensure_database, register_external, write_partitioned
 from strata.sources.documents import read_documents
-from strata.sources.files import newest_snapshot_files, read_csv_explicit
-
-CUBE_SOURCES = {"house_price_index": PRICE_INDEX_CODE, "new_dwelling_completions": PERMISSIONS_CODE}
-SILVER_PATHS = {
-    "house_price_index": "cso/house_price_index",
-    "new_dwelling_completions": "cso/new_dwelling_completions",
-    "rent_by_county": "rtb/rent_by_county",
-    "sales_register": "ppr/sales_register",
-}
-GOLD_TABLES = {
-    "price": "gold_property_price_index",
-    "rent": "gold_avg_rent_by_location_year",
-    "perms": "gold_planning_permissions_trend",
-    "sales": "gold_property_sales_dublin",
-    "summary": "gold_housing_crisis_summary",
-}
-
+from strata.sources.files import REJECT_SCHEMA, newest_snapshot_files, read_csv_by_header
 
 def _checks() -> dict:
     return {"rows": F.count(F.lit(1)), "null_years": null_count("year")}
@@ -59,10 +43,13 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     """Clean the four Bronze sources into year-partitioned Silver Parquet.
 
     Bronze is append-only, so every monthly run lands another snapshot of
-    each source.  With ``latest_only`` (default) only the newest snapshot is
-    read -- per source for cubes and rents, per sales year for the sales
-    register -- so re-runs never double sums and counts (D1).  The newest
-    snapshot is picked from the file listing, so older ones are not scanned.
+    each source.  With ``latest_only`` (default) every file of each dataset's
+    newest landing is read, so re-runs never double sums and counts (D1).  A
+    dataset is a file's path without its landing time: the ``year=`` and
+    ``month=`` folders (not for the sales register, whose ``year=`` is the
+    year of sale) and a time stamp in the name.  The choice is made from the
+    file listing, so older files are not scanned; they are listed under
+    ``_rejects`` as ``superseded``.
 
     Returns per-dataset metrics observed on the writes (rows, null years,
     and for sales the rows dropped for unparseable dates).  Sources whose
@@ -72,13 +59,17 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     run_year = run_year or int(run_date[:4])
 
-    def source(name: str, glob: str = "*", dataset=None):
-        """All of a source, or only the files of its newest snapshot (no old file is read)."""
+    def source(name: str, glob: str = "*", folders: tuple[str, ...] = LANDING_FOLDERS):
+        """A source's files to read (its folder if all), and the rejects for those replaced."""
         root = f"{bronze}/{SILVER_PATHS[name]}"
-        return newest_snapshot_files(spark, root, glob, dataset) if latest_only else root
+        paths, old = newest_snapshot_files(spark, root, glob, folders) if latest_only else (root, [])
+        return paths, spark.createDataFrame([(p, "superseded", None) for p in old], REJECT_SCHEMA)
+
+    def set_aside(name: str, rejects: DataFrame) -> None:
+        rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
 
     def cube(name: str, code: str):
-        paths = source(name)
+        paths, superseded = source(name)
         docs = read_documents(spark, paths) if paths else None
         if docs is None or docs.isEmpty():
             return None
@@ -88,14 +79,15 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         try:
             df, rejects = cube_silver_parsed(parsed, code, run_date)
             obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
-            rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
+            set_aside(name, rejects.select("path", "reason").unionByName(superseded, allowMissingColumns=True))
             return name, obs.get, df
         finally:
             parsed.unpersist()
 
     def rents():
-        paths = source("rent_by_county", "*.csv")
-        raw = read_csv_explicit(spark, paths) if paths else None
+        paths, superseded = source("rent_by_county", "*.csv")
+        raw, rejected = read_csv_by_header(spark, paths, {}, encoding="UTF-8", file_col=None) if paths else (None, superseded)
+        set_aside("rent_by_county", rejected.unionByName(superseded) if paths else superseded)
         if raw is None or not raw.columns:
             return None
         df = rents_silver(raw, run_date, run_year)
@@ -103,10 +95,9 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         return "rent_by_county", obs.get, df
 
     def sales():
-        paths = source("sales_register", "*.csv", lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
-        raw, rejected = read_sales(spark, paths) if paths else (None, None)
-        if rejected is not None:
-            rejected.write.mode("overwrite").json(f"{silver}/_rejects/sales_register")
+        paths, superseded = source("sales_register", "*.csv", ())
+        raw, rejected = read_sales(spark, paths) if paths else (None, superseded)
+        set_aside("sales_register", rejected.unionByName(superseded) if paths else superseded)
         if raw is None:
             return None
         df, dropped = sales_silver(raw, run_date)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.fixed_values import (RENT_MONEY_CHARS, RENTS_CODE, SALES_CODE, SALES_COVERAGE,
+from strata.fixed_values import (MISREAD_EURO, RENT_MONEY_CHARS, RENTS_CODE, SALES_CODE, SALES_COVERAGE,
                                  SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS, SALES_MONEY_CHARS)
 from strata.functions.coerce import add_lineage, ensure_year
 from strata.functions.names import clean_columns, drop_code_columns
@@ -23,9 +23,7 @@ SALES_CANONICAL = sorted(set(SALES_HEADER_SYNONYMS.values()))
 
 
 def cube_silver(docs: DataFrame, dataset: str, run_date: str,
-                columns: list[tuple[str, str]] | None = None,
-                chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
-                spread: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
+                columns: list[tuple[str, str]] | None = None) -> tuple[DataFrame, DataFrame]:
     """Cube documents -> long typed table partitionable by ``year``.
 
     Returns ``(silver, rejects)``.  ``silver`` has one column per dimension
@@ -35,26 +33,15 @@ def cube_silver(docs: DataFrame, dataset: str, run_date: str,
     not be unpacked and why.  See :func:`cube_silver_parsed` to parse once
     and reuse the result for several outputs.
     """
-    return cube_silver_parsed(jsonstat.parse(docs.select("path", "body")), dataset, run_date,
-                              columns, chunk_cells, spread)
+    return cube_silver_parsed(jsonstat.parse(docs.select("path", "body")), dataset, run_date, columns)
 
 
 def cube_silver_parsed(parsed: DataFrame, dataset: str, run_date: str,
-                       columns: list[tuple[str, str]] | None = None,
-                       chunk_cells: int = jsonstat.DEFAULT_CHUNK_CELLS,
-                       spread: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
-    """:func:`cube_silver` on the output of :func:`jsonstat.parse`.
-
-    Column discovery also finds the largest document, so ``spread="auto"``
-    settles here: the cell exchange is planned only if some document spans
-    more than one slice.
-    """
+                       columns: list[tuple[str, str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`cube_silver` on the output of :func:`jsonstat.parse`."""
     if columns is None:
-        columns, largest = jsonstat.document_summary(parsed)
-        if spread == "auto":
-            spread = largest > chunk_cells
-    wide = jsonstat.widen(jsonstat.cells(parsed, chunk_cells, spread), columns)
-    wide = add_lineage(wide, dataset, run_date)
+        columns = jsonstat.dimension_columns(parsed)
+    wide = add_lineage(jsonstat.widen(parsed, columns), dataset, run_date)
     names = [n for _, n in columns]
     year = first_year("period") if "period" in names else F.lit(None).cast("int")
     return wide.withColumn("year", year), jsonstat.rejects(parsed)
@@ -87,10 +74,8 @@ def sales_silver(raw: DataFrame, run_date: str):
     ``rows_dropped`` (unparseable dates) once the caller's action has run.
     """
     df = raw.withColumn("location_code", first_nonblank("eircode", "postal_code"))
-    # A price whose currency bytes were decoded wrongly (UTF-8 read as
-    # latin-1) keeps stray characters: fall back to its digits and point.
-    df = df.withColumn("price_eur", F.coalesce(parse_money("price_raw", SALES_MONEY_CHARS),
-                                               parse_money("price_raw", r"[^0-9.\-]")))
+    # A UTF-8 euro sign read as latin-1 leaves three stray characters.
+    df = df.withColumn("price_eur", parse_money(F.replace("price_raw", F.lit(MISREAD_EURO), F.lit("")), SALES_MONEY_CHARS))
     df = df.withColumn("date_of_sale", parse_date("date_of_sale_raw"))
     df, obs = drop_nulls_observed(df, "date_of_sale")
     df = df.withColumns({"year": F.year("date_of_sale"), "month": F.month("date_of_sale")})

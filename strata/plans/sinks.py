@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import scratch_path
+
 
 def write_partitioned(df: DataFrame, path: str, by: list[str] | tuple[str, ...] = ("year",),
                       sort_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
@@ -66,21 +68,29 @@ def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows (O3): stops reading as soon as it has them."""
+    return df.limit(n)
+
+
 def envelope(df: DataFrame, table: str, filters: dict | None = None) -> DataFrame:
     """Result rows in the JSON envelope of the serving layer (K7).
 
     One row per input row: ``status`` ("ok"), ``data`` (the row as JSON) and
-    ``meta`` (JSON of table, filters and the total ``row_count``).  The count
-    is a scalar subquery -- one global aggregate evaluated once -- so rows
-    are never gathered in one task or on the driver.
+    ``meta`` (JSON of table, filters and the total ``row_count``).  The view
+    is computed once: it is written to the shared scratch folder with its
+    rows counted on that write, and the envelope reads the written rows.
     """
+    spark = df.sparkSession
     filters = filters or {}
-    row_count = df.agg(F.count(F.lit(1))).scalar()
+    path, obs = scratch_path(spark, "envelope"), Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
     meta_struct = F.struct(
         F.lit(table).alias("table"),
         *[F.lit(v).alias(k) for k, v in filters.items()],
-        row_count.alias("row_count"))
+        F.lit(obs.get["n"]).cast("bigint").alias("row_count"))
     keep_nulls = {"ignoreNullFields": "false"}  # a missing value reads as null, not as absent
-    return df.select(F.lit("ok").alias("status"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns]), keep_nulls).alias("data"),
-                     F.to_json(meta_struct, keep_nulls).alias("meta"))
+    return rows.select(F.lit("ok").alias("status"),
+                       F.to_json(F.struct(*[F.col(c) for c in rows.columns]), keep_nulls).alias("data"),
+                       F.to_json(meta_struct, keep_nulls).alias("meta"))

@@ -12,23 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.fixed_values import (LOCATION_EXTRA_CHARS, PRICES_LIMIT, PRICES_YEARS, RENTS_LIMIT,
-                                 RENTS_YEARS, SALES_YEARS, SUMMARY_YEARS, TYPE_EXTRA_CHARS)
+from strata.fixed_values import (LOCATION_EXTRA_CHARS, PRICES_COLUMNS, RENTS_COLUMNS, SALES_COLUMNS,
+                                 SUMMARY_COLUMNS, TYPE_EXTRA_CHARS)
 from strata.functions.values import contains_ci
 
-SUMMARY_COLUMNS = ["year", "national_price_index", "national_price_yoy_pct", "dublin_price_index",
-                   "avg_national_rent", "avg_dublin_rent", "new_communal_permissions",
-                   "permissions_yoy_pct", "dublin_total_sales", "dublin_avg_sale_price",
-                   "dublin_median_sale_price", "yoy_price_change_pct", "gold_updated"]
-RENTS_COLUMNS = ["location", "year", "avg_monthly_rent", "min_monthly_rent", "max_monthly_rent",
-                 "yoy_change_pct", "sample_count"]
-PRICES_COLUMNS = ["period", "year", "month", "type_of_residential_property", "price_index",
-                  "pct_change_1m", "pct_change_3m", "pct_change_12m"]
-SALES_COLUMNS = ["year", "total_sales", "avg_price_eur", "median_price_eur", "min_price_eur",
-                 "max_price_eur", "new_build_sales", "new_build_avg_price", "second_hand_sales",
-                 "second_hand_avg_price", "yoy_price_change_pct", "county"]
-
-
 def clean_param(value: str | None) -> str | None:
     """Strip blanks, then quotes, from a raw parameter."""
     if value is None:
@@ -36,7 +23,7 @@ def clean_param(value: str | None) -> str | None:
     return str(value).strip().strip("\"'")
 
 
-def clean_year(value: str | int | None, default: int) -> int:
+def clean_year(value: str | int | None, default: int | None = None) -> int | None:
     """Year parameter: quotes and blanks stripped, default when absent."""
     if value is None:
         return default
@@ -52,41 +39,47 @@ def clean_text(value: str | None, extra: str) -> str | None:
     return kept or None
 
 
-def _years(df: DataFrame, from_year, to_year, defaults: tuple[int, int]) -> DataFrame:
-    lo, hi = clean_year(from_year, defaults[0]), clean_year(to_year, defaults[1])
-    return df.filter(F.col("year").between(lo, hi))
+def _years(df: DataFrame, from_year, to_year) -> DataFrame:
+    """Rows with a year within the given bounds; an absent bound is open."""
+    lo, hi = clean_year(from_year), clean_year(to_year)
+    df = df if lo is None else df.filter(F.col("year") >= lo)
+    return df if hi is None else df.filter(F.col("year") <= hi)
+
+
+def _top(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
 
 
 def summary(gold: DataFrame, from_year=None, to_year=None) -> DataFrame:
     """One row per year with every indicator (V1)."""
-    return _years(gold, from_year, to_year, SUMMARY_YEARS).select(*SUMMARY_COLUMNS).orderBy("year")
+    return _years(gold, from_year, to_year).select(*SUMMARY_COLUMNS).orderBy("year")
 
 
 def rents(gold: DataFrame, location: str | None = None, from_year=None, to_year=None,
-          limit: int = RENTS_LIMIT) -> DataFrame:
+          limit: int | None = None) -> DataFrame:
     """Rents by location and year, optional case-insensitive location match (V2).
 
-    The cap is a top-k over a total order (location, year), so the rows kept
-    never depend on scan order.
+    A ``limit`` is a top-k over a total order (location, year), so the rows
+    kept never depend on scan order.
     """
-    df = _years(gold, from_year, to_year, RENTS_YEARS)
+    df = _years(gold, from_year, to_year)
     loc = clean_text(location, LOCATION_EXTRA_CHARS)
     if loc:
         df = df.filter(contains_ci("location", loc))
-    return df.select(*RENTS_COLUMNS).orderBy("location", "year").limit(limit)
+    return _top(df.select(*RENTS_COLUMNS).orderBy("location", "year"), limit)
 
 
 def prices(gold: DataFrame, type: str | None = None, from_year=None, to_year=None,  # noqa: A002
-           limit: int = PRICES_LIMIT) -> DataFrame:
+           limit: int | None = None) -> DataFrame:
     """Price index by type and month, optional type match (V3)."""
-    df = _years(gold, from_year, to_year, PRICES_YEARS)
+    df = _years(gold, from_year, to_year)
     kind = clean_text(type, TYPE_EXTRA_CHARS)
     if kind:
         df = df.filter(contains_ci("type_of_residential_property", kind))
-    return (df.select(*PRICES_COLUMNS)
-            .orderBy("year", "month", "type_of_residential_property", "period").limit(limit))
+    return _top(df.select(*PRICES_COLUMNS)
+                .orderBy("year", "month", "type_of_residential_property", "period"), limit)
 
 
 def sales(gold: DataFrame, from_year=None, to_year=None) -> DataFrame:
     """Yearly sales indicators (V4)."""
-    return _years(gold, from_year, to_year, SALES_YEARS).select(*SALES_COLUMNS).orderBy("year")
+    return _years(gold, from_year, to_year).select(*SALES_COLUMNS).orderBy("year")

@@ -6,6 +6,9 @@ takes the ``SparkSession`` (or a DataFrame) it works on.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -32,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g")
+               .config("spark.driver.memory", "8g")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
@@ -59,13 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a local one only when unset.
 
     A cluster sets ``spark.checkpoint.dir`` to shared storage and that value
-    is always used.  Only a session without it (tests, local runs) gets a
-    fresh folder under the local temp directory.
+    is always used.  Only a local session (tests, local runs) without it gets
+    a fresh folder under the local temp directory, removed at exit; any other
+    session without it is refused, as its executors share no local folder.
     """
     found = checkpoint_dir(spark)
     if found:
         return found.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import csv
 import io
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import rename_synonyms
+from strata.operators.quality import LANDING_FOLDERS, mark_superseded
 from strata.operators.spine import union_by_name
 
 LATIN1 = "ISO-8859-1"
@@ -44,117 +44,45 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def _header_sniffer(encoding: str, max_bytes: int):
-    """The per-partition function of :func:`file_headers`.
+def file_headers(spark: SparkSession, paths: list[str], encoding: str = LATIN1) -> DataFrame:
+    """Header of each file that has one: ``(path, header)``.
 
-    Everything it needs is defined inside it, so it is shipped to the Python
-    workers by value: executors need pandas and pyarrow, not this package.
+    The header is the first line with text, read with Spark's own text source
+    (any file system and line ending it reads, no length limit): a partial
+    aggregate per file over the split that starts it, so one row per file
+    is shuffled.  Costs a pass over the bytes and keeps the driver out of it.
     """
-    def sniff(batches):
-        from urllib.parse import unquote as _unquote, urlparse as _urlparse
-
-        import pandas as _pd
-        import pyarrow.fs as _pafs
-
-        def open_stream(path):
-            uri = _urlparse(path)
-            if uri.scheme in ("", "file"):
-                return _pafs.LocalFileSystem().open_input_stream(_unquote(uri.path))
-            if uri.scheme in ("s3a", "s3n"):
-                path = "s3" + path[len(uri.scheme):]
-            fs, inner = _pafs.FileSystem.from_uri(path)
-            return fs.open_input_stream(inner)
-
-        def first_line(path):
-            buf = bytearray()
-            with open_stream(path) as f:
-                while len(buf) < max_bytes:
-                    chunk = f.read(min(65536, max_bytes - len(buf)))
-                    if not chunk:
-                        break
-                    cut = chunk.find(b"\n")
-                    if cut >= 0:
-                        return bytes(buf + chunk[:cut])
-                    buf += chunk
-            return bytes(buf) if buf else None
-
-        for pdf in batches:
-            heads, errors = [], []
-            for p in pdf["path"]:
-                try:
-                    raw, err = first_line(p), None
-                except (OSError, ValueError) as exc:
-                    raw, err = None, f"unreadable: {exc}"[:500]
-                heads.append(None if raw is None
-                             else raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r"))
-                errors.append(err)
-            yield _pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
-
-    return sniff
-
-
-def file_headers(files: DataFrame, encoding: str = LATIN1, max_bytes: int = 1 << 20) -> DataFrame:
-    """First line of each listed file, decoded: ``(path, header, error)``.
-
-    Runs as a ``mapInPandas`` over the file list, one small bounded read per
-    file on the executors -- the file bodies are never loaded, whatever
-    their size.  A file that cannot be opened gets a null header and the
-    error text, so it is set aside with a reason rather than failing the run.
-    """
-    return files.select("path").mapInPandas(_header_sniffer(encoding, max_bytes),
-                                            "path string, header string, error string")
-
+    lines = (spark.read.text(paths)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+                     F.decode(F.col("value").cast("binary"), encoding).alias("line"))
+             .filter((F.col("_start") == 0) & F.col("line").rlike(r"\S"))
+             .withColumn("_n", F.monotonically_increasing_id()))
+    first = lines.groupBy("path").agg(F.min_by("line", "_n").alias("header"))
+    mark = "\ufeff" if encoding.upper().startswith("UTF") else "\xef\xbb\xbf"
+    return first.select("path", F.regexp_replace("header", f"^{mark}", "").alias("header"))
 
-def first_line_hadoop(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> bytes | None:
-    """First line of a file through the session's Hadoop FileSystem (any scheme Spark reads)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
-    try:
-        buf = bytearray()
-        while len(buf) < max_bytes:
-            b = stream.read()
-            if b < 0 or b == 10:
-                break
-            buf.append(b)
-        return bytes(buf) if buf or b == 10 else None
-    finally:
-        stream.close()
 
+def split_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
+    """Column names of a CSV header line (doubled quotes inside quotes).
 
-def _retry_on_driver(spark: SparkSession, rows: list, encoding: str) -> list:
-    """Headers of files the executors could not open, read through Hadoop on the driver.
-
-    Only for the (normally empty) set of such files; each read stops at the
-    first newline, and reads run in a small thread pool.
+    A header that does not end in its own line raises ``ValueError``.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(row):
-        try:
-            raw = first_line_hadoop(spark, row["path"])
-        except Exception as exc:  # keep the file as rejected, with both errors
-            return row["path"], None, f"{row['error']}; {type(exc).__name__}"[:500]
-        head = None if raw is None else raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r")
-        return row["path"], head, None
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return list(pool.map(one, rows))
-
-
-def split_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
-    """Column names of a CSV header line (doubled quotes inside quotes)."""
-    return next(csv.reader(io.StringIO(line), delimiter=sep, quotechar=quote, doublequote=True))
+    if line.count(quote) % 2:
+        raise ValueError("header spans several lines")
+    limit = csv.field_size_limit(max(len(line) + 1, 131_072))
+    try:
+        return next(csv.reader(io.StringIO(line), delimiter=sep, quotechar=quote, doublequote=True))
+    finally:
+        csv.field_size_limit(limit)
 
 
-def _string_schema(names: list[str]) -> T.StructType:
-    seen: dict[str, int] = {}
-    fields = []
+def safe_names(names: list[str]) -> list[str]:
+    """Distinct column names in the way Spark's own header reading makes them: an empty
+    name becomes ``_c<i>``, names equal but for case get their position appended."""
+    count: dict[str, int] = {}
     for n in names:
-        k = seen.get(n, 0)
-        seen[n] = k + 1
-        fields.append(T.StructField(n if k == 0 else f"{n}_{k}", T.StringType()))
-    return T.StructType(fields)
+        count[n.lower()] = count.get(n.lower(), 0) + 1
+    return [f"_c{i}" if not n else f"{n}{i}" if count[n.lower()] > 1 else n for i, n in enumerate(names)]
 
 
 def read_csv_explicit(spark: SparkSession, path: str | list[str],
@@ -185,6 +113,10 @@ def read_csv_explicit(spark: SparkSession, path: str | list[str],
         raise
 
 
+RECORD = "_corrupt_record"
+REJECT_SCHEMA = "path string, reason string, record string"
+
+
 def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dict[str, str],
                        patterns: dict[str, str] | None = None, *, encoding: str = LATIN1,
                        glob: str = "*.csv", required: list[str] | None = None,
@@ -199,52 +131,53 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     headers, not of files.  A joint scan of all files would bind columns by
     *position* to one file's header, which is wrong when headers differ.
 
-    Only the distinct headers and their path lists reach the driver (the
-    CSV reader needs the paths there anyway); no task ever gathers a list.
-
-    Returns ``(rows, rejected_files)``: files with no header, or whose group
-    lacks a ``required`` canonical column, go to ``rejected_files``
-    ``(path, reason)``.  Every ``canonical`` column exists in ``rows`` (null
-    when no file has it).
+    One job lists the headers; what reaches the driver is one (path, header)
+    pair per file, which the CSV reader's file index holds there anyway.
+
+    Returns ``(rows, rejects)``; ``rejects`` is ``(path, reason, record)``.
+    Files without any header line, with a header that cannot be split, or
+    whose group lacks a ``required`` canonical column are set aside with a
+    null ``record``; nothing ends the run.  A header with repeated names is
+    noted (``duplicate header``) and read with its names made distinct.  Rows
+    with fewer or more fields than the header stay, padded or cut as Spark
+    reads them, and are noted with their text.  Every ``canonical`` column
+    exists in ``rows`` (null when no file has it).
     """
-    # one row per file, kept for the few passes below (sniffed once)
-    heads = file_headers(list_files(spark, path, glob), encoding).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        groups = []
-        for g in heads.select("header", "error").distinct().collect():
-            same = F.col("header").eqNullSafe(g["header"]) & F.col("error").eqNullSafe(g["error"])
-            paths = sorted(r["path"] for r in heads.filter(same).select("path").collect())
-            groups.append({"header": g["header"], "error": g["error"], "paths": paths})
-    finally:
-        heads.unpersist()
-    unreadable = [{"path": p, "error": g["error"]} for g in groups if g["error"] for p in g["paths"]]
-    if unreadable:
-        retried: dict[tuple, list] = {}
-        for p, head, err in _retry_on_driver(spark, unreadable, encoding):
-            retried.setdefault((head, err), []).append(p)
-        groups = [g for g in groups if not g["error"]]
-        merged: dict[tuple, list] = {(g["header"], None): list(g["paths"]) for g in groups}
-        for key, paths in retried.items():
-            merged.setdefault(key, []).extend(paths)
-        groups = [{"header": h, "error": e, "paths": sorted(ps)} for (h, e), ps in merged.items()]
-    frames, rejected = [], []
-    for g in sorted(groups, key=lambda r: (r["header"] or "", r["error"] or "")):
-        if not g["header"]:
-            rejected += [(p, g["error"] or "no header") for p in g["paths"]]
+    listed = [r["path"] for r in list_files(spark, path, glob).select("path").collect()]
+    if not listed:
+        return None, spark.createDataFrame([], REJECT_SCHEMA)
+    heads = {r["path"]: r["header"] for r in file_headers(spark, listed, encoding).collect()}
+    groups: dict[str | None, list[str]] = {}
+    by_place = {_plain(p): h for p, h in heads.items()}
+    for p in listed:
+        groups.setdefault(by_place.get(_plain(p)), []).append(p)
+    frames, notes, odd = [], [], []
+    for header, paths in sorted(groups.items(), key=lambda kv: kv[0] or ""):
+        if header is None:
+            notes += [(p, "no header", None) for p in paths]
+            continue
+        try:
+            names = split_header(header)
+        except (ValueError, csv.Error) as exc:
+            notes += [(p, f"bad header: {exc}", None) for p in paths]
             continue
-        names = split_header(g["header"])
-        schema = _string_schema(names)
+        if len({n.lower() for n in names}) < len(names):
+            notes += [(p, "duplicate header", None) for p in paths]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in safe_names(names)])
         renamed = rename_synonyms(spark.createDataFrame([], schema), synonyms, patterns).columns
         missing = [c for c in (required or []) if c not in renamed]
         if missing:
-            rejected += [(p, f"missing column {missing[0]}") for p in g["paths"]]
+            notes += [(p, f"missing column {missing[0]}", None) for p in paths]
             continue
-        df = read_csv_explicit(spark, list(g["paths"]), schema, encoding=encoding, recursive=False)
+        df = read_csv_explicit(spark, paths, schema, encoding=encoding, recursive=False)
         df = rename_synonyms(df, synonyms, patterns)
         if file_col:
             df = df.withColumn(file_col, F.col("_metadata.file_path"))
         frames.append(df)
-    rejects = spark.createDataFrame(rejected, "path string, reason string")
+        odd.append(_odd_rows(spark, paths, schema, encoding))
+    rejects = spark.createDataFrame(notes, REJECT_SCHEMA)
+    for rows in odd:
+        rejects = rejects.unionByName(rows)
     if not frames:
         return None, rejects
     rows = union_by_name(frames)
@@ -254,14 +187,42 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     return rows, rejects
 
 
-def land_raw(df: DataFrame, root: str, partition_by: list[str] | tuple[str, ...] = ("dataset", "year", "month"),
-             fmt: str = "csv", encoding: str = "UTF-8") -> None:
-    """Append records to the Bronze drop folder ``root/dataset=/year=/month=/``.
+def _plain(path: str) -> str:
+    """A listed path and a metadata path as one spelling (scheme slashes, percent signs)."""
+    uri = urlparse(path)
+    return f"{uri.scheme}:{uri.netloc}{unquote(uri.path)}"
+
+
+def _odd_rows(spark: SparkSession, paths: list[str], schema: T.StructType, encoding: str) -> DataFrame:
+    """Rows that have fewer or more fields than the header (S8): (path, reason, record)."""
+    full = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    read = (spark.read.schema(full).option("header", True).option("encoding", encoding).option("quote", '"')
+            .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD).csv(paths))
+    # every column is referenced, as fields are only counted where all are wanted
+    every = F.length(F.concat_ws("", *[F.col(f"`{f.name}`") for f in schema.fields])) >= 0
+    rows = read.filter(every).select(F.col("_metadata.file_path").alias("path"), F.col(RECORD).alias("record"))
+    bare = F.regexp_replace("record", r'"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return rows.filter(F.col("record").isNotNull()).select(
+        "path", F.when(fields > len(schema), F.lit("too many fields")).otherwise(F.lit("too few fields")).alias("reason"),
+        "record")
+
 
-    ``fmt="csv"`` writes every file with its header line; ``fmt="text"``
-    writes one document per line (``df`` holds one string column besides
-    the partition columns).  Bronze is append-only: nothing is overwritten.
+def land_raw(df: DataFrame, root: str, partition_by: list[str] | tuple[str, ...] = ("dataset", "year", "month"),
+             fmt: str = "csv", encoding: str = "UTF-8", dataset_path: str | None = None) -> None:
+    """Append records to a Bronze drop folder.
+
+    Files go to ``root/dataset=/year=/month=/``, or, with ``dataset_path``
+    (``cso/house_price_index``), to ``root/<dataset_path>/year=/month=/``, the
+    layout the batch jobs read.  ``fmt="csv"`` writes every file with its
+    header line; ``fmt="text"`` writes one document per line (``df`` holds one
+    string column besides the partition columns).  Bronze is append-only:
+    nothing is overwritten.
     """
+    if dataset_path is not None:
+        root = f"{root.rstrip('/')}/{dataset_path}"
+        partition_by = [c for c in partition_by if c != "dataset"]
+        df = df.drop("dataset")
     writer = df.write.mode("append").partitionBy(*partition_by)
     if fmt == "csv":
         writer.option("header", True).option("encoding", encoding).option("quote", '"') \
@@ -278,35 +239,41 @@ def load_manifest(spark: SparkSession, root: str, datasets: list[str] | None = N
 
     Columns: ``dataset, status, key, row_count, error``.  ``row_count`` is the
     line count minus the header, from a distributed line count grouped by
-    file.  ``key`` is the path relative to ``root``.  An expected dataset
-    with no non-empty file is ``failed`` with error ``no data landed``.
-    ``since`` (a timestamp, or text in the session time zone) limits the
-    manifest to files landed at or after it -- one landing run -- and only
-    those files are read.
+    file.  ``key`` is the path relative to ``root``; ``dataset`` is its
+    ``dataset=`` folder, or else the folders before the first ``name=value``
+    folder (``cso/house_price_index``).  An expected dataset with no
+    non-empty file is ``failed`` with error ``no data landed``.  ``since`` (a
+    timestamp, or text in the session time zone) limits the manifest to files
+    landed at or after it -- one landing run -- and only those files are
+    read.
     """
     root = root.rstrip("/")
-    files = list_files(spark, root, glob)
-    source: str | list[str] = root
+    listed = list_files(spark, root, glob)
     if since is not None:
-        files = files.filter(F.col("modified") >= F.lit(since).cast("timestamp"))
-        source = [r["path"] for r in files.select("path").collect()]
-    files = files.select("path", "length")
+        listed = listed.filter(F.col("modified") >= F.lit(since).cast("timestamp"))
+    # both sides name a file by its decoded path, whatever spelling Spark gives
+    place = lambda c: F.regexp_replace(F.try_url_decode(F.regexp_replace(c, r"\+", "%2B")), r"^([a-z0-9]+):/+", "$1:/")
+    plain = F.regexp_replace("path", r"^([a-z0-9]+):/+", "$1:/")
+    files = listed.select(plain.alias("path"))
+    if since is None:
+        source = [root] if not listed.isEmpty() else []
+    else:
+        source = [r["path"] for r in listed.select("path").collect()]
     counted = spark.createDataFrame([], "path string, lines long")
     if source:
-        try:
-            counted = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-                       .text(source)
-                       .groupBy(F.col("_metadata.file_path").alias("path"))
-                       .agg(F.count(F.lit(1)).alias("lines")))
-        except AnalysisException:  # missing root: nothing landed
-            pass
+        counted = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(source)
+                   .groupBy(place(F.col("_metadata.file_path")).alias("path"))
+                   .agg(F.count(F.lit(1)).alias("lines")))
     per_file = files.join(counted, "path", "left")
     lines = F.coalesce(F.col("lines"), F.lit(0))
     root_dir = urlparse(root).path.rstrip("/") or root
+    key = F.substring_index(F.col("path"), root_dir + "/", -1)
+    named = F.regexp_extract(key, r"dataset=([^/]+)", 1)
+    folders = F.regexp_replace(F.regexp_replace(key, r"(^|/)[^/]*=.*$", ""), r"/?[^/]*\.[^/.]+$", "")
     manifest = per_file.select(
-        F.regexp_extract("path", r"dataset=([^/]+)", 1).alias("dataset"),
+        F.when(named != "", F.try_url_decode(named)).otherwise(folders).alias("dataset"),
         F.when(lines > 0, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
-        F.substring_index(F.col("path"), root_dir + "/", -1).alias("key"),
+        key.alias("key"),
         F.greatest(lines - F.lit(header_lines), F.lit(0)).cast("bigint").alias("row_count"),
         F.when(lines == 0, F.lit("empty file")).alias("error"),
     )
@@ -326,20 +293,13 @@ def manifest_tally(manifest: DataFrame) -> DataFrame:
 
 
 def newest_snapshot_files(spark: SparkSession, path: str | list[str], glob: str = "*",
-                          dataset=None) -> list[str]:
-    """Files of the newest landed snapshot under ``path`` (per dataset).
+                          folders: tuple[str, ...] = LANDING_FOLDERS) -> tuple[list[str], list[str]]:
+    """Files under ``path`` to read, and those a newer landing replaces.
 
     Decided from the file listing alone -- no file body is read -- so older
-    snapshots are never scanned at all.  ``dataset`` maps the path column to
-    a dataset key (e.g. the ``year=`` folder of per-year files); by default
-    the whole folder is one dataset.  Returns the file paths to read (file
-    paths are metadata: Spark's own file index holds them on the driver).
+    snapshots are never scanned.  Every file of each dataset's newest landing
+    is read; see :func:`strata.operators.quality.mark_superseded`.  Returns
+    file paths (metadata: Spark's own file index holds them on the driver).
     """
-    from strata.operators.quality import latest_snapshot, snapshot_of
-
-    keyed = list_files(spark, path, glob).select("path").withColumn("_snapshot", snapshot_of("path"))
-    keys = []
-    if dataset is not None:
-        keyed = keyed.withColumn("_dataset", dataset(F.col("path")))
-        keys = ["_dataset"]
-    return sorted(r["path"] for r in latest_snapshot(keyed, keys, "_snapshot").select("path").collect())
+    rows = mark_superseded(list_files(spark, path, glob).select("path"), "path", folders).collect()
+    return (sorted(r["path"] for r in rows if not r["superseded"]), sorted(r["path"] for r in rows if r["superseded"]))

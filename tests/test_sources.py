@@ -46,7 +46,7 @@ def test_headers_and_mixed_read(spark):
     sales_files(root)
     files = list_files(spark, root)
     assert files.count() == 2  # zero-length file holds no rows and is not listed
-    heads = {os.path.basename(r.path): r.header for r in file_headers(files).collect()}
+    heads = {os.path.basename(r.path): r.header for r in file_headers(spark, [r.path for r in files.collect()]).collect()}
     assert heads["ppr_2015.csv"].startswith('"Date of Sale') and heads["ppr_2021.csv"].startswith("Date of")
     raw, rejected = read_sales(spark, root)
     assert rejected.count() == 0
@@ -66,9 +66,12 @@ def test_headers_and_mixed_read(spark):
 
 def test_blank_header_rejected(spark):
     root = scratch_path(spark, "t-blank")
-    write(f"{root}/a.csv", "\nx,y\n", "utf-8")
+    write(f"{root}/a.csv", "\n \n", "utf-8")
     raw, rejected = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS)
     assert raw is None and rejected.first().reason == "no header"
+    write(f"{root}/b.csv", "\nx,y\n1,2\n", "utf-8")  # the header is the first line with text
+    raw, _ = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS)
+    assert [(r.x, r.y) for r in raw.collect()] == [("1", "2")]
 
 
 def test_required_column_rejects_group(spark):
@@ -122,64 +125,84 @@ def test_partitioned_write_and_catalog(spark):
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4
 
 
-def test_unreadable_on_executors_falls_back_to_hadoop(spark, monkeypatch):
-    import strata.sources.files as files
-    root = scratch_path(spark, "t-fallback")
-    write(f"{root}/a.csv", "Date of Sale (dd/mm/yyyy),Address\n01/02/2023,x\n", "utf-8")
-
-    def broken_sniffer(encoding, max_bytes):
-        def sniff(batches):
-            import pandas as pd
-            for pdf in batches:
-                n = len(pdf)
-                yield pd.DataFrame({"path": pdf["path"], "header": [None] * n,
-                                    "error": ["unreadable: scheme not supported here"] * n})
-        return sniff
-    monkeypatch.setattr(files, "_header_sniffer", broken_sniffer)
-    raw, rejected = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, SALES_HEADER_PATTERNS)
-    assert rejected.count() == 0
-    assert [(r.date_of_sale_raw, r.address) for r in raw.collect()] == [("01/02/2023", "x")]
+def reasons(rejects):
+    return sorted((os.path.basename(r.path), r.reason, r.record) for r in rejects.collect())
+
 
+def test_odd_files_and_rows_do_not_end_the_read(spark):
+    root = scratch_path(spark, "t-odd")
+    write(f"{root}/dup.csv", "Date of Sale (dd/mm/yyyy),Note,note\n01/01/2020,a,b\n", "utf-8")
+    write(f"{root}/cr.csv", "Date of Sale (dd/mm/yyyy),Address\r02/01/2020,x\r", "utf-8")
+    write(f"{root}/blank.csv", " \n\n", "utf-8")
+    write(f"{root}/nodate.csv", "Address\nx\n", "utf-8")
+    write(f"{root}/open.csv", 'Date of Sale (dd/mm/yyyy),"Add\nress"\n01/01/2020,x\n', "utf-8")
+    write(f"{root}/rows.csv", 'Date of Sale (dd/mm/yyyy),Address,County\n03/01/2020,"a, ""b""",Dublin,extra\n'
+                              "04/01/2020,c\n05/01/2020,d,Cork\n", "utf-8")
+    raw, rejects = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, required=["date_of_sale_raw"])
+    assert sorted(r.date_of_sale_raw for r in raw.collect()) == [f"0{i}/01/2020" for i in range(1, 6)]
+    assert reasons(rejects) == [
+        ("blank.csv", "no header", None), ("dup.csv", "duplicate header", None),
+        ("nodate.csv", "missing column date_of_sale_raw", None),
+        ("open.csv", "bad header: header spans several lines", None),
+        ("rows.csv", "too few fields", "04/01/2020,c"),
+        ("rows.csv", "too many fields", '03/01/2020,"a, ""b""",Dublin,extra')]
 
-def test_worker_function_needs_no_package(tmp_path):
-    """The executor-side sniffer unpickles and runs where strata is not importable."""
-    import subprocess
-    import sys
 
-    from pyspark import cloudpickle
+def test_very_long_header(spark):
+    root = scratch_path(spark, "t-long")
+    names = [f"{'column' * 20}{i}" for i in range(10_000)]  # 1.2 MB
+    write(f"{root}/a.csv", ",".join([*names, "Date of Sale (dd/mm/yyyy)"]) + "\n" + "," * 10_000 + "01/02/2023\n", "utf-8")
+    raw, rejects = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, required=["date_of_sale_raw"])
+    assert rejects.count() == 0 and len(raw.columns) == 10_002
+    assert raw.select("date_of_sale_raw").first()[0] == "01/02/2023"
 
-    from strata.sources.files import _header_sniffer
-    data = tmp_path / "a.csv"
-    data.write_bytes("Date of Sale (dd/mm/yyyy),Price (\x80)\n1/1/2020,\x805\n".encode("latin-1"))
-    blob = tmp_path / "fn.pkl"
-    blob.write_bytes(cloudpickle.dumps(_header_sniffer("ISO-8859-1", 1 << 20)))
-    code = ("import pickle, sys, pandas as pd; f = pickle.load(open(sys.argv[1], 'rb')); "
-            "out = next(f(iter([pd.DataFrame({'path': ['file://' + sys.argv[2]]})]))); "
-            "print(out['header'][0])")
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    res = subprocess.run([sys.executable, "-c", code, str(blob), str(data)], cwd=tmp_path,
-                         capture_output=True, text=True, env=env, timeout=120)
-    assert res.returncode == 0, res.stderr[-500:]
-    assert res.stdout.strip() == "Date of Sale (dd/mm/yyyy),Price (\x80)"
 
+def test_paths_with_blanks_and_percent_signs(spark):
+    root = scratch_path(spark, "t-blank path")
+    write(f"{root}/a b 100%.csv", "Address\nx\n", "utf-8")
+    raw, _ = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS)
+    assert [r.address for r in raw.collect()] == ["x"]
 
-def test_newest_snapshot_files_from_listing(spark):
-    from pyspark.sql import functions as F
 
+def newest(spark, root, *args):
     from strata.sources.files import newest_snapshot_files
+    read, old = newest_snapshot_files(spark, root, *args)
+    return [sorted(p.split(root.replace("file:", ""))[-1] for p in ps) for ps in (read, old)]
+
+
+def test_every_file_of_the_newest_landing_is_read(spark):
     root = scratch_path(spark, "t-newest")
-    for rel in ["year=2024/month=05/data_20240531.json", "year=2024/month=06/data_20240630.json",
-                "sales/year=2015/f_20240531.csv", "sales/year=2015/f_20240630.csv",
-                "sales/year=2016/f_20240531.csv", "parts/run=1/part-00000-a.txt",
-                "parts/run=1/part-00001-a.txt", "parts/run=0/part-00000-b.txt"]:
+    for rel in ["cube/year=2024/month=9/data_20240930_120000.json", "cube/year=2024/month=10/data_20241031_120000.json",
+                "three/year=2024/month=6/a.json", "three/year=2024/month=6/b.json", "three/year=2024/month=6/c.json",
+                "three/year=2024/month=5/a.json",
+                "sales/ppr-2015.csv", "sales/ppr-2016.csv", "sales/ppr-2020.csv",
+                "yearly/year=2015/month=full/ppr_2015_dublin_20240531.csv",
+                "yearly/year=2015/month=full/ppr_2015_dublin_20240630.csv",
+                "yearly/year=2015/month=full/ppr_2015_cork_20240531.csv", "yearly/year=2016/month=full/ppr_2016_dublin_20240531.csv",
+                "parts/year=2024/month=2/part-00000-a.txt", "parts/year=2024/month=2/part-00001-a.txt",
+                "parts/year=2023/month=12/part-00000-b.txt"]:
         write(f"{root}/{rel}", "x\n", "utf-8")
-    names = lambda paths: sorted(p.split(root.replace("file:", ""))[-1] for p in paths)
-    assert names(newest_snapshot_files(spark, f"{root}/year=2024")) == ["/year=2024/month=06/data_20240630.json"]
-    per_year = newest_snapshot_files(spark, f"{root}/sales", "*.csv",
-                                     lambda p: F.regexp_extract(p, r"year=([0-9]+)", 1))
-    assert names(per_year) == ["/sales/year=2015/f_20240630.csv", "/sales/year=2016/f_20240531.csv"]
-    assert names(newest_snapshot_files(spark, f"{root}/parts")) == [
-        "/parts/run=1/part-00000-a.txt", "/parts/run=1/part-00001-a.txt"]
+    assert newest(spark, f"{root}/cube") == [["/year=2024/month=10/data_20241031_120000.json"],
+                                             ["/year=2024/month=9/data_20240930_120000.json"]]
+    assert newest(spark, f"{root}/three") == [[f"/year=2024/month=6/{x}.json" for x in "abc"], ["/year=2024/month=5/a.json"]]
+    assert newest(spark, f"{root}/sales", "*.csv", ()) == [["/ppr-2015.csv", "/ppr-2016.csv", "/ppr-2020.csv"], []]
+    read, old = newest(spark, f"{root}/yearly", "*.csv", ())
+    assert old == ["/year=2015/month=full/ppr_2015_dublin_20240531.csv"] and len(read) == 3
+    assert newest(spark, f"{root}/parts") == [
+        ["/year=2024/month=2/part-00000-a.txt", "/year=2024/month=2/part-00001-a.txt"],
+        ["/year=2023/month=12/part-00000-b.txt"]]
+
+
+def test_manifest_names_datasets_in_both_layouts(spark):
+    root = scratch_path(spark, "t-land-names")
+    write(f"{root}/dataset=orders 1/year=2024/month=06/a.csv", "h\n1\n", "utf-8")
+    write(f"{root}/cso/house_price_index/year=2024/month=06/data_20240630.json", "{}\n", "utf-8")
+    write(f"{root}/ppr/sales 100%/ppr-2015.csv", "h\n1\n2\n", "utf-8")
+    m = load_manifest(spark, root, ["orders 1", "cso/house_price_index", "ppr/sales 100%", "rtb"])
+    got = {r.dataset: (r.status, r.row_count) for r in m.collect()}
+    assert got == {"orders 1": ("success", 1), "cso/house_price_index": ("success", 0), "ppr/sales 100%": ("success", 2),
+                   "rtb": ("failed", None)}
+    assert load_manifest(spark, f"{root}/none", ["x"]).first().status == "failed"
 
 
 def test_manifest_of_one_run(spark):

@@ -45,7 +45,7 @@ def test_rents_view(rents_gold):
 
 
 def test_envelope(rents_gold):
-    out = envelope(views.rents(rents_gold, location="cork"), "gold_avg_rent_by_location_year",
+    out = envelope(views.rents(rents_gold, location="cork", from_year=2016), "gold_avg_rent_by_location_year",
                    {"location_filter": "cork"}).collect()
     assert len(out) == 1 and out[0].status == "ok"
     assert json.loads(out[0].data)["avg_monthly_rent"] == 1100.0
@@ -66,13 +66,14 @@ def test_summary_and_sales_views_defaults_and_quotes(spark):
     schema = ", ".join(f"{c} {'int' if c == 'year' else 'string' if c == 'gold_updated' else 'double'}"
                        for c in cols)
     gold = spark.createDataFrame(rows, schema)
-    assert [r.year for r in views.summary(gold).collect()] == [2001, 2025]  # 2001..2025 by default
+    assert [r.year for r in views.summary(gold).collect()] == [2000, 2001, 2025, 2026]  # no default bounds
+    assert [r.year for r in views.summary(gold, 2001, 2025).collect()] == [2001, 2025]
     assert [r.year for r in views.summary(gold, from_year='"2025"', to_year="'2026' ").collect()] == [2025, 2026]
     sales_cols = views.SALES_COLUMNS
     srows = [tuple([y] + [None] * (len(sales_cols) - 2) + ["Dublin"]) for y in (2014, 2015, 2021)]
     sschema = ", ".join(f"{c} {'int' if c == 'year' else 'string' if c == 'county' else 'double'}"
                         for c in sales_cols)
-    assert [r.year for r in views.sales(spark.createDataFrame(srows, sschema)).collect()] == [2015, 2021]
+    assert [r.year for r in views.sales(spark.createDataFrame(srows, sschema)).collect()] == [2014, 2015, 2021]
 
 
 def test_prices_type_whitelist_drops_commas():
@@ -83,3 +84,11 @@ def test_prices_type_whitelist_drops_commas():
 def test_envelope_keeps_nulls(rents_gold):
     row = envelope(views.rents(rents_gold, location="cork", from_year=2017, to_year=2017), "t").first()
     assert '"yoy_change_pct":null' in row.data
+
+
+def test_views_cut_nothing_unless_asked(spark):
+    gold = spark.createDataFrame([(f"L{i:04d}", 2026, 1.0, 1.0, 1.0, None, 1) for i in range(901)],
+                                 "location string, year int, avg_monthly_rent double, min_monthly_rent double, "
+                                 "max_monthly_rent double, yoy_change_pct double, sample_count long")
+    assert views.rents(gold).count() == 901
+    assert views.rents(gold, limit=500).count() == 500
