@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import packed, unpacked
+from strata.llm.common import packed, small_batches, unpacked
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -41,7 +41,7 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 DIMS = 1 << 14
-SAMPLE = 2000
+SAMPLE = 1200
 
 LOWER = np.arange(256, dtype=np.uint32)
 LOWER[65:91] += 32
@@ -185,11 +185,14 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, dims: int = DIMS) -> Model:
         keep = keep | ((F.col("lang") == lang) & (draw < int(min(1.0, 1.2 * each / n) * 1_000_000)))
     drawn = labelled.filter(keep).withColumn(
         "_rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "row_id")))
-    rows = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
-            .mapInArrow(_count(dims), "lang string, x binary").collect())
-    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in rows]).astype(np.float32)
-    return Model(x, np.array([r["lang"] for r in rows], dtype=object), dims)
+    table = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
+             .mapInArrow(_count(dims), "lang string, x binary").toArrow())
+    langs, blobs = table.column("lang").to_pylist(), table.column("x")
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], blobs[i].as_py()))
+    x = np.empty((len(langs), dims), np.float32)
+    for k, i in enumerate(order):
+        x[k] = np.frombuffer(blobs[i].as_buffer(), dtype=np.float16)
+    return Model(x, np.array([langs[i] for i in order], dtype=object), dims)
 
 
 def has_letter(text: Column) -> Column:
@@ -200,6 +203,7 @@ def identify(docs: DataFrame, train: Column, sample: int = SAMPLE, dims: int = D
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` plus lang_pred and score; learns from rows where ``train`` holds and
     the language is not null.  Nothing but the text enters a prediction."""
+    small_batches(docs.sparkSession)
     text = F.col(text_col)
     labelled = docs.filter(train & F.col(lang_col).isNotNull() & has_letter(text)).select(
         F.col(id_col).cast("string").alias("row_id"), F.col(lang_col).alias("lang"), text.cast("binary").alias("body"))
