@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, ngram_join, pii, quality, secrets, substring_dedup, suffix_dedup
+from strata.llm import chat, decontam, langid, mixing, ngram_join, oracles, pii, quality, secrets, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -88,6 +88,10 @@ FROM common c JOIN chosen h USING (conv_id)
 """
 
 
+ORACLES.update({"op1_suffix_array_dedup": oracles.OP1, "op3_secret_scan": oracles.OP3, "op5_substring_dedup": oracles.OP5,
+                "op6_quality_rules": oracles.OP6, "op8_ngram_jaccard_join": oracles.OP8})
+
+
 @query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"))
