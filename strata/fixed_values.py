@@ -79,13 +79,15 @@ SALES_COVERAGE = "dublin"
 SALES_COUNTY = "Dublin"
 DUBLIN_NEEDLE = "dublin"
 
-# --- fixed values: view defaults, caps and parameter whitelists -------------
-SUMMARY_YEARS = (2001, 2025)
-RENTS_YEARS = (2016, 2025)
-PRICES_YEARS = (2005, 2025)
-SALES_YEARS = (2015, 2025)
-RENTS_LIMIT = 500
-PRICES_LIMIT = 1000
+# --- fixed values: column name rules -----------------------------------------
+# characters of a label that become "_" in a column name, and those that go
+CUBE_NAME_BLANKS = " -/"
+CSV_NAME_BLANKS = " "
+NAME_DROPPED = "()"
+# columns of a flat cube extract beside the label columns
+EXTRACT_CODE_COLUMNS = [r"^C0.*V", r"^STATISTIC", r"^UNIT$", r"TLIST"]
+
+# --- fixed values: parameter whitelists --------------------------------------
 LOCATION_EXTRA_CHARS = " ,-"
 TYPE_EXTRA_CHARS = " -"
 

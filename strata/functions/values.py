@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.fixed_values import (MONTHS, SALE_CLASS_NEEDLE, SALE_CLASS_NEW,
+from strata.fixed_values import (MISREAD_EURO, MONTHS, SALE_CLASS_NEEDLE, SALE_CLASS_NEW,
                                  SALE_CLASS_OTHER, SALES_MONEY_CHARS)
 
 
@@ -54,6 +54,12 @@ def parse_money(col: Column | str, strip_chars: str = SALES_MONEY_CHARS) -> Colu
     return to_double(F.regexp_replace(_c(col).cast("string"), strip_chars, ""))
 
 
+def parse_price(col: Column | str) -> Column:
+    """A register price to DOUBLE: its currency mark in any of its spellings and
+    misreadings removed; text that is no number stays null, never its digits."""
+    return parse_money(F.replace(_c(col).cast("string"), F.lit(MISREAD_EURO), F.lit("")), SALES_MONEY_CHARS)
+
+
 def first_year(col: Column | str) -> Column:
     """First 4-digit run as INT: ``2024M01``, ``2005 January`` -> year; else null."""
     return F.nullif(F.regexp_extract(_c(col).cast("string"), r"(\d{4})", 1), F.lit("")).cast("int")

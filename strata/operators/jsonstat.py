@@ -239,7 +239,7 @@ def column_name(dim_id: str, label: str | None) -> str:
     """Column name for a dimension: ``period`` for time, else the clean label."""
     if "TLIST" in dim_id:
         return "period"
-    name = clean_name(label if label is not None else dim_id, cube=True)
+    name = clean_name(label if label is not None else dim_id)
     return f"{name}_dimension" if name in RESERVED else name
 
 

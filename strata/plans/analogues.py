@@ -13,25 +13,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.fixed_values import (RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES, SALES_HEADER_PATTERNS,
+from strata.fixed_values import (CSV_NAME_BLANKS, MISREAD_EURO, RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES, SALES_HEADER_PATTERNS,
                                  SALES_HEADER_SYNONYMS, SALES_MONEY_CHARS)
 from strata.functions.coerce import add_lineage, coerce_strings, ensure_year
 from strata.functions.names import clean_columns, drop_code_columns, rename_synonyms
 from strata.functions.values import (chart_time, contains_ci, first_nonblank, first_year,
                                      keep_blank_or_no, lookup, month_of_period, parse_date,
-                                     parse_money, to_bigint)
+                                     parse_money, parse_price, to_bigint)
 from strata.operators import jsonstat
 from strata.operators.aggregates import (group_stats, headline_stats, mean_of_means, period_end,
                                          sum_by)
-from strata.operators.quality import drop_nulls_observed, dropped_pct, latest_snapshot, null_count
-from strata.operators.spine import key_spine, spine_join
+from strata.operators.quality import (LANDING_FOLDERS, drop_nulls_observed, dropped_pct, latest_snapshot,
+                                      null_count)
+from strata.operators.spine import key_spine, spine_join, spine_merge, union_by_name
 from strata.operators.trends import yoy
 from strata.plans import fixtures, gold, jobs, views
 from strata.plans.silver import cube_silver, read_sales, rents_silver, sales_silver
-from strata.plans.sinks import ensure_database, envelope, preview, register_external, write_partitioned
+from strata.plans.sinks import (ensure_database, envelope, preview, register_external, sample_rows,
+                                write_partitioned)
 from strata.session import scratch_path
 from strata.sources.documents import read_documents
-from strata.sources.files import LATIN1, land_raw, load_manifest, read_csv_explicit
+from strata.sources.files import (LATIN1, land_raw, load_manifest, manifest_tally, newest_snapshot_files,
+                                  read_csv_by_header, read_csv_explicit)
 
 RUN_DATE = "2024-06-30"
 RUN_YEAR = 2024
@@ -104,7 +107,7 @@ def q_clean_columns(spark, sf_dir):
         F.col("c_custkey").alias("Customer Key"), F.col("c_name").alias(" Name (Full) "),
         F.col("c_nationkey").alias("Nation-Code"), F.col("c_acctbal").alias("Account/Balance"),
         F.col("c_mktsegment").alias("Market Segment"))
-    return clean_columns(awkward, cube=True)
+    return clean_columns(awkward)
 
 
 def q_drop_code_columns(spark, sf_dir):
@@ -117,7 +120,7 @@ def q_drop_code_columns(spark, sf_dir):
         F.lit("EUR").alias("UNIT"),
         F.col("c_acctbal").alias("Account Balance (EUR)"),
         F.col("c_custkey").alias("Customer-Key/ID"))
-    return clean_columns(drop_code_columns(extract), cube=False)
+    return clean_columns(drop_code_columns(extract), CSV_NAME_BLANKS)
 
 
 def q_lineage_columns(spark, sf_dir):
@@ -189,14 +192,17 @@ def q_valid_dates(spark, sf_dir):
 
 def _price_text():
     price = F.format_number("p_retailprice", 2)
-    return (F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("€"), price))
+    return (F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("N/A "), price))       # no number: null
+            .when(F.col("p_partkey") % 7 == 1, F.concat(price, F.lit(" (est 2)")))
+            .when(F.col("p_partkey") % 7 == 2, F.concat(F.lit(MISREAD_EURO), price))
+            .when(F.col("p_type") == "ECONOMY", F.concat(F.lit("€"), price))
             .when(F.col("p_type") == "SMALL", F.concat(F.lit("\x80"), price))
             .otherwise(F.concat(F.lit("? "), F.regexp_replace(price, ",", " "))))
 
 
 def q_money_clean(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return part.select("p_partkey", parse_money(_price_text(), SALES_MONEY_CHARS).alias("price_eur"))
+    return part.select("p_partkey", parse_price(_price_text()).alias("price_eur"))
 
 
 def q_first_nonblank(spark, sf_dir):
@@ -285,7 +291,9 @@ SELECT o_orderkey, o_orderdate::DATE AS date_of_sale, year(o_orderdate)::INT AS
        month(o_orderdate)::INT AS month
 FROM orders WHERE o_orderpriority <> '5-LOW'
 """,
-    "q_money_clean": "SELECT p_partkey, round(p_retailprice, 2) AS price_eur FROM part",
+    "q_money_clean": """
+SELECT p_partkey, CASE WHEN p_partkey % 7 > 1 THEN round(p_retailprice, 2) END AS price_eur FROM part
+""",
     "q_first_nonblank": """
 SELECT c_custkey, coalesce(
     nullif(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
@@ -620,21 +628,25 @@ def q_rents_silver(spark, sf_dir):
 
 
 def q_manifest(spark, sf_dir):
+    """Landing through land_raw in both layouts, dataset names with a blank, and the tally."""
     root = scratch_path(spark, "landing")
-    orders = table(spark, sf_dir, "orders")
-    land_raw(orders.select(F.concat(F.lit("orders_"), F.substring("o_orderpriority", 1, 1)).alias("dataset"),
-                           F.year("o_orderdate").alias("year"), F.lit("06").alias("month"),
-                           "o_orderkey", "o_totalprice"), root, fmt="csv")
-    expected = [f"orders_{i}" for i in range(1, 7)]
-    manifest = load_manifest(spark, root, expected, glob="*.csv")
-    return manifest.groupBy("dataset", "status").agg(F.sum("row_count").alias("rows"))
-
-
-def _orders_written(spark, sf_dir, checks=None):
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("orders "), F.substring("o_orderpriority", 1, 1)).alias("dataset"),
+        F.year("o_orderdate").alias("year"), F.lit("06").alias("month"), "o_orderkey", "o_totalprice", "o_orderstatus")
+    land_raw(orders.drop("o_orderstatus"), root, fmt="csv")
+    land_raw(orders.filter(F.col("o_orderstatus") == "F").drop("o_orderstatus"), root, fmt="csv", dataset_path="cso/fulfilled")
+    expected = [f"orders {i}" for i in range(1, 7)] + ["cso/fulfilled"]
+    manifest = load_manifest(spark, root, expected, glob="*.csv").persist()
+    tally = manifest_tally(manifest.select("dataset", "status").distinct())
+    return (manifest.groupBy("dataset", "status").agg(F.sum("row_count").alias("rows"))
+            .unionByName(tally.select(F.lit("(tally)").alias("dataset"), "status", F.col("n").alias("rows"))))
+
+
+def _orders_written(spark, sf_dir):
     path = scratch_path(spark, "orders_by_year")
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    obs = write_partitioned(orders, path, ["year"], sort_by=["o_orderkey"], checks=checks)
-    return path, obs
+    write_partitioned(orders, path, ["year"], sort_by=["o_orderkey"])
+    return path
 
 
 def _year_totals(df):
@@ -643,23 +655,28 @@ def _year_totals(df):
 
 
 def q_partitioned_roundtrip(spark, sf_dir):
-    path, _ = _orders_written(spark, sf_dir)
+    path = _orders_written(spark, sf_dir)
     return _year_totals(spark.read.parquet(path))
 
 
-CATALOG_DB = "strata_checks"
+def _new_database(spark, prefix):
+    """A database of its own for each run: runs at once cannot drop each other's tables."""
+    name = f"{prefix}_{uuid.uuid4().hex[:8]}"
+    ensure_database(spark, name, scratch_path(spark, name))
+    return name
 
 
 def q_catalog_table(spark, sf_dir):
-    path, _ = _orders_written(spark, sf_dir)
-    ensure_database(spark, CATALOG_DB, scratch_path(spark, "catalog_db"))
-    name = register_external(spark, CATALOG_DB, f"orders_{uuid.uuid4().hex[:8]}", path,
-                             spark.read.parquet(path))
+    path = _orders_written(spark, sf_dir)
+    name = register_external(spark, _new_database(spark, "strata_checks"), "orders", path, spark.read.parquet(path))
     return _year_totals(spark.table(name))
 
 
 def q_write_metrics(spark, sf_dir):
-    _, obs = _orders_written(spark, sf_dir, checks={
+    """Counts observed on the write; low-priority orders have no date, so a null year."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "year", F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate")))
+    obs = write_partitioned(orders, scratch_path(spark, "orders_by_year"), ["year"], checks={
         "rows_written": F.count(F.lit(1)), "null_years": null_count("year"),
         "high_value": F.count_if(F.col("o_totalprice") > 400000)})
     return spark.createDataFrame([obs.get], "rows_written bigint, null_years bigint, high_value bigint")
@@ -680,7 +697,7 @@ def q_view_topk(spark, sf_dir):
         F.lit(RENT_ALL_PROPERTY_TYPES).alias("property_type"))
     rents_gold = gold.rent_trends(silver, RUN_DATE)
     # raw parameter as a request would carry it: quoted, padded
-    return views.rents(rents_gold, location=" 'customer 0000001\" ", from_year="1996", to_year=2000)
+    return views.rents(rents_gold, location=" 'customer 0000001\" ", from_year="1996", to_year=2000, limit=500)
 
 
 def q_view_summary(spark, sf_dir):
@@ -689,11 +706,11 @@ def q_view_summary(spark, sf_dir):
 
 def q_view_prices(spark, sf_dir):
     price = gold.price_index(fixtures.price_silver(table(spark, sf_dir, "orders")), RUN_DATE)
-    return views.prices(price, type="National", from_year=1996, to_year=2001)
+    return views.prices(price, type="National", from_year=1996, to_year=2001, limit=1000)
 
 
 def q_view_sales(spark, sf_dir):
-    return views.sales(_sales_gold(spark, sf_dir), from_year=1990)
+    return views.sales(_sales_gold(spark, sf_dir))
 
 
 def q_json_envelope(spark, sf_dir):
@@ -764,14 +781,18 @@ SELECT 'RTB Average Monthly Rent Report' AS statistic_label, year(o_orderdate)::
 FROM orders
 """,
     "q_manifest": """
-SELECT 'orders_' || substr(o_orderpriority, 1, 1) AS dataset, 'success' AS status, count(*)::BIGINT AS rows
+SELECT 'orders ' || substr(o_orderpriority, 1, 1) AS dataset, 'success' AS status, count(*)::BIGINT AS rows
 FROM orders GROUP BY 1
-UNION ALL SELECT 'orders_6', 'failed', NULL::BIGINT
+UNION ALL SELECT 'cso/fulfilled', 'success', count(*)::BIGINT FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'orders 6', 'failed', NULL::BIGINT
+UNION ALL SELECT '(tally)', 'success', (1 + count(DISTINCT substr(o_orderpriority, 1, 1)))::BIGINT FROM orders
+UNION ALL SELECT '(tally)', 'failed', 1::BIGINT
 """,
     "q_partitioned_roundtrip": _YEAR_TOTALS,
     "q_catalog_table": _YEAR_TOTALS,
     "q_write_metrics": """
-SELECT count(*)::BIGINT AS rows_written, 0::BIGINT AS null_years,
+SELECT count(*)::BIGINT AS rows_written,
+       (count(*) FILTER (WHERE o_orderpriority = '5-LOW'))::BIGINT AS null_years,
        (count(*) FILTER (WHERE o_totalprice > 400000))::BIGINT AS high_value FROM orders
 """,
     "q_view_topk": """
@@ -798,7 +819,7 @@ ORDER BY year, month, type_of_residential_property, period LIMIT 1000
     "q_view_sales": f"""WITH {_SALES_GOLD}
 SELECT year, total_sales, avg_price_eur, median_price_eur, min_price_eur, max_price_eur, new_build_sales,
        new_build_avg_price, second_hand_sales, second_hand_avg_price, yoy_price_change_pct, county
-FROM sg WHERE year BETWEEN 1990 AND 2025
+FROM sg
 """,
     "q_latest_snapshot": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
 })
@@ -823,25 +844,20 @@ QUERIES.update({
 
 # --- both batch jobs end to end, K6, F4, the incremental stream -----------------
 
-MEDALLION_DB = "strata_medallion"
-
-
 def q_medallion_summary(spark, sf_dir):
     """Both batch jobs end to end on Bronze derived from orders and lineitem."""
-    root = scratch_path(spark, "medallion")
+    root, database = scratch_path(spark, "medallion"), _new_database(spark, "strata_medallion")
     fixtures.write_bronze(spark, table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
                           f"{root}/bronze")
     jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", RUN_DATE,
-                          database=MEDALLION_DB, database_location=f"{root}/catalog")
-    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", RUN_DATE, database=MEDALLION_DB,
-                        database_location=f"{root}/catalog",
+                          database=database)
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", RUN_DATE, database=database,
                         summary_options={"dublin_needle": DUBLIN_ANALOG})
-    return views.summary(spark.table(f"{MEDALLION_DB}.gold_housing_crisis_summary"),
-                         from_year=1990, to_year=2030)
+    return views.summary(spark.table(f"{database}.gold_housing_crisis_summary"))
 
 
 ORACLES["q_medallion_summary"] = (
-    "SELECT * FROM (" + _summary_sql(_SALES_CSV_GOLD) + ") t WHERE year BETWEEN 1990 AND 2030")
+    "SELECT * FROM (" + _summary_sql(_SALES_CSV_GOLD) + ") t")
 QUERIES["q_medallion_summary"] = q_medallion_summary
 
 
@@ -886,14 +902,17 @@ FROM sg WHERE year BETWEEN 1990 AND 2025
 
 
 def q_stream_cube_unpack(spark, sf_dir):
-    """Incremental unpack: two landings, two available-now runs, same rows as the batch."""
+    """Incremental unpack: two runs, one cube landed twice, same rows as the batch."""
     from strata.streaming.bronze import cube_to_silver_stream
     docs = fixtures.orders_cube_docs(table(spark, sf_dir, "orders"))
     bronze, silver = scratch_path(spark, "stream_bronze"), scratch_path(spark, "stream_silver")
     checkpoint = scratch_path(spark, "stream_checkpoint")
-    for month, part in (("05", docs.filter(F.col("year") <= 1997)), ("06", docs.filter(F.col("year") > 1997))):
-        part.select("body").write.text(f"{bronze}/year={RUN_YEAR}/month={month}")
-        cube_to_silver_stream(spark, f"{bronze}/*/*", silver, "ORD01", RUN_DATE,
+    early, late = docs.filter(F.col("year") <= 1997), docs.filter(F.col("year") > 1997)
+    for month, landed in (("05", {"early": early}), ("06", {"early": early, "late": late})):  # early lands again
+        for name, part in landed.items():
+            part.select("body").write.text(f"{bronze}/{name}/year={RUN_YEAR}/month={month}")
+        cube_to_silver_stream(spark, f"{bronze}/*/*/*", silver, "ORD01", RUN_DATE,
+                              [("STATISTIC", "statistic"), ("TLIST(M1)", "period"), (fixtures.PRIORITY_DIM, "order_priority")],
                               checkpoint=checkpoint).awaitTermination()
     return spark.read.parquet(silver).select("statistic", "period", "order_priority", "metric_value",
                                              "source_dataset", "ingestion_date", "year")
@@ -901,3 +920,175 @@ def q_stream_cube_unpack(spark, sf_dir):
 
 ORACLES["q_stream_cube_unpack"] = ORACLES["q_jsonstat_unpack"]
 QUERIES["q_stream_cube_unpack"] = q_stream_cube_unpack
+
+
+# --- landings, odd files, wide and mixed cubes, open views ------------------------
+
+def q_latest_files(spark, sf_dir):
+    """Rows read and replaced per source: several files in a landing, months 9 and 10,
+    sales years of two files each and a folder without landing time."""
+    root = scratch_path(spark, "landings")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    older = orders.filter(F.col("o_orderstatus") != "P")
+    line = lambda df: df.select(F.col("o_orderkey").cast("string").alias("value"))
+    line(older).repartition(3).write.text(f"{root}/cube/year=2024/month=9")
+    line(orders).repartition(3).write.text(f"{root}/cube/year=2024/month=10")
+    for _ in range(2):
+        (orders.select(F.col("o_orderkey").cast("string").alias("value"), F.col("y").alias("year")).repartition("year")
+         .write.mode("append").partitionBy("year").text(f"{root}/sales"))
+    line(orders).repartition(2).write.text(f"{root}/plain")
+    out = []
+    for name, folders in (("cube", LANDING_FOLDERS), ("sales", ()), ("plain", LANDING_FOLDERS)):
+        for status, paths in zip(("read", "superseded"), newest_snapshot_files(spark, f"{root}/{name}", "*.txt", folders)):
+            if paths:
+                out.append(spark.read.text(paths).agg(F.count(F.lit(1)).alias("rows"))
+                           .select(F.lit(name).alias("source"), F.lit(status).alias("status"), "rows"))
+    return union_by_name(out)
+
+
+def q_view_rents_all(spark, sf_dir):
+    """V2 without bounds or limit: every row, years after 2025 included."""
+    orders = table(spark, sf_dir, "orders")
+    silver = orders.select(
+        F.concat(F.lit("Customer "), F.col("o_custkey")).alias("location"), (F.year("o_orderdate") + 30).alias("year"),
+        F.floor("o_totalprice").cast("double").alias("value"), F.lit(RENT_ALL_BEDROOMS).alias("number_of_bedrooms"),
+        F.lit(RENT_ALL_PROPERTY_TYPES).alias("property_type"))
+    return views.rents(gold.rent_trends(silver, RUN_DATE)).select("location", "year", "avg_monthly_rent", "sample_count")
+
+
+def q_cube_wide_dimension(spark, sf_dir):
+    """N4 on cubes whose cells grow with lineitem and whose part dimension is very wide."""
+    root = _land_docs(spark, fixtures.part_month_cube_docs(table(spark, sf_dir, "lineitem")), "part_cube")
+    return jsonstat.unpack(read_documents(spark, root).select("path", "body"),
+                           columns=[("TLIST(M1)", "period"), ("PART", "part")])
+
+
+def q_cube_mixed_time(spark, sf_dir):
+    """Annual and monthly cubes in one source share the period column."""
+    orders = table(spark, sf_dir, "orders")
+    monthly = fixtures.orders_cube_docs(orders, by_status=True).select("body")
+    root = _land_docs(spark, monthly.unionByName(fixtures.annual_cube_docs(orders)), "mixed_cube")
+    silver, _ = cube_silver(read_documents(spark, root), "ORD03", RUN_DATE)
+    return silver.select("statistic", "period", "order_priority", "order_status", "metric_value", "year")
+
+
+def q_csv_rejects(spark, sf_dir):
+    """Files and rows set aside or noted, by reason, and the rows read."""
+    root = scratch_path(spark, "odd_csv")
+    fixtures.write_odd_csv(table(spark, sf_dir, "customer"), root)
+    rows, rejects = read_csv_by_header(spark, root, SALES_HEADER_SYNONYMS, glob="*.txt", required=["date_of_sale_raw"])
+    read = rows.filter(F.col("date_of_sale_raw") == "01/02/2020").agg(F.count(F.lit(1)).alias("n"))
+    return (rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+            .unionByName(read.select(F.lit("(rows read)").alias("reason"), "n")))
+
+
+def q_coerce_edge(spark, sf_dir):
+    """P10 on columns that only look like numbers."""
+    key, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    text = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") == 1, F.lit("1e5")).otherwise(key).alias("exponent"),
+        F.when(F.col("l_linenumber") == 1, F.lit("nan")).otherwise(F.concat(line, F.lit(".5"))).alias("special"),
+        F.concat(F.lit("1234567890"), F.lpad(key, 10, "0")).alias("digits20"),
+        F.concat(F.lit("9" * 30), F.lpad(key, 10, "0")).alias("digits40"),
+        F.lit("").alias("blank"),
+        F.when(F.col("l_linenumber") == 1, key).otherwise(F.concat(line, F.lit(".25"))).alias("mixed"),
+        F.when(F.col("l_linenumber") == 1, F.lit("n/a")).otherwise(line).alias("some_text"))
+    return coerce_strings(text)
+
+
+def q_gold_summary_null_year(spark, sf_dir):
+    """Marts with rows that have no year join with nothing on it."""
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    a = orders.groupBy(F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate")).alias("year")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
+    b = lineitem.groupBy(F.when(F.col("l_returnflag") != "N", F.year("l_shipdate")).alias("year")).agg(
+        F.count(F.lit(1)).alias("n_lines"))
+    return spine_merge([a, b])
+
+
+def q_empty_dimensions(spark, sf_dir):
+    """Dimensions without categories, per document."""
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    dim = lambda codes: F.struct(F.lit("L").alias("label"), F.struct(codes.alias("index")).alias("category"))
+    codes = F.when(F.col("n") % 2 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    body = F.to_json(F.struct(
+        F.array(F.lit("A"), F.lit("B")).alias("id"), F.array(F.lit(1), F.size(codes)).alias("size"),
+        F.struct(dim(F.array(F.lit("a"))).alias("A"), dim(codes).alias("B")).alias("dimension"),
+        F.array_repeat(F.lit(1), F.size(codes)).alias("value")))
+    found = jsonstat.empty_dimensions(jsonstat.parse(orders.select("o_custkey", body.alias("body"))))
+    return found.select("o_custkey", "dimension_id")
+
+
+def q_plain_limit(spark, sf_dir):
+    """O3: any rows, as many as asked for (which ones is open, so only their number)."""
+    return sample_rows(table(spark, sf_dir, "orders"), 7).agg(F.count(F.lit(1)).alias("n"))
+
+
+ORACLES.update({
+    "q_latest_files": """
+SELECT 'cube' AS source, 'read' AS status, count(*)::BIGINT AS rows FROM orders
+UNION ALL SELECT 'cube', 'superseded', count(*)::BIGINT FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'sales', 'read', (2 * count(*))::BIGINT FROM orders
+UNION ALL SELECT 'plain', 'read', count(*)::BIGINT FROM orders
+""",
+    "q_view_rents_all": """
+SELECT 'Customer ' || o_custkey AS location, (year(o_orderdate) + 30)::INT AS year,
+       round(avg(floor(o_totalprice)), 2) AS avg_monthly_rent, count(*)::BIGINT AS sample_count
+FROM orders GROUP BY 1, 2
+""",
+    "q_cube_wide_dimension": """
+SELECT strftime(l_shipdate, '%Y %B') AS period, 'Part ' || l_partkey AS part, sum(l_quantity)::DOUBLE AS metric_value
+FROM lineitem GROUP BY 1, 2
+""",
+    "q_cube_mixed_time": """
+WITH c AS (SELECT year(o_orderdate)::INT AS y, o_orderstatus AS t, month(o_orderdate)::INT AS m,
+                  o_orderpriority AS p, count(*)::DOUBLE AS n, round(sum(o_totalprice), 2) AS s
+           FROM orders GROUP BY ALL),
+  g AS (SELECT a.y, a.t, a.m, b.p FROM (SELECT DISTINCT y, t, m FROM c) a
+        JOIN (SELECT DISTINCT y, t, p FROM c) b ON a.y = b.y AND a.t = b.t),
+  st(k, statistic) AS (VALUES (0, 'Number of Orders'), (1, 'Total Order Value'))
+SELECT st.statistic, strftime(make_date(g.y, g.m, 1), '%Y %B') AS period, g.p AS order_priority,
+       'Status ' || g.t AS order_status, CASE WHEN st.k = 0 THEN c.n ELSE c.s END AS metric_value, g.y AS year
+FROM g CROSS JOIN st LEFT JOIN c ON c.y = g.y AND c.t = g.t AND c.m = g.m AND c.p = g.p
+UNION ALL
+SELECT NULL, year(o_orderdate)::VARCHAR, NULL, o_orderstatus, count(*)::DOUBLE, year(o_orderdate)::INT
+FROM orders GROUP BY year(o_orderdate), o_orderstatus
+""",
+    "q_csv_rejects": """
+WITH c AS (SELECT *, c_nationkey % 6 AS k, c_custkey // 1000 AS r FROM customer),
+     f AS (SELECT DISTINCT c_nationkey, k, r FROM c)
+SELECT 'duplicate header' AS reason, count(*)::BIGINT AS n FROM f WHERE k = 1 HAVING count(*) > 0
+UNION ALL SELECT 'no header', count(*)::BIGINT FROM f WHERE k = 2 HAVING count(*) > 0
+UNION ALL SELECT 'missing column date_of_sale_raw', count(*)::BIGINT FROM f WHERE k = 4 HAVING count(*) > 0
+UNION ALL SELECT 'too many fields', count(*)::BIGINT FROM c WHERE k = 5 AND c_mktsegment = 'AUTOMOBILE' HAVING count(*) > 0
+UNION ALL SELECT 'too few fields', count(*)::BIGINT FROM c WHERE k = 5 AND c_mktsegment = 'BUILDING' HAVING count(*) > 0
+UNION ALL SELECT '(rows read)', count(*)::BIGINT FROM c WHERE k NOT IN (2, 4)
+""",
+    "q_coerce_edge": """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber = 1 THEN '1e5' ELSE l_orderkey::VARCHAR END AS exponent,
+       CASE WHEN l_linenumber = 1 THEN 'nan' ELSE l_linenumber || '.5' END AS special,
+       ('1234567890' || lpad(l_orderkey::VARCHAR, 10, '0'))::DECIMAL(38, 0) AS digits20,
+       repeat('9', 30) || lpad(l_orderkey::VARCHAR, 10, '0') AS digits40,
+       NULL::VARCHAR AS blank,
+       CASE WHEN l_linenumber = 1 THEN l_orderkey ELSE l_linenumber + 0.25 END::DOUBLE AS mixed,
+       CASE WHEN l_linenumber = 1 THEN 'n/a' ELSE l_linenumber::VARCHAR END AS some_text
+FROM lineitem
+""",
+    "q_gold_summary_null_year": """
+WITH a AS (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN year(o_orderdate) END::INT AS year,
+                  count(*)::BIGINT AS n_orders FROM orders GROUP BY 1),
+     b AS (SELECT CASE WHEN l_returnflag <> 'N' THEN year(l_shipdate) END::INT AS year,
+                  count(*)::BIGINT AS n_lines FROM lineitem GROUP BY 1),
+     s AS (SELECT year FROM a UNION SELECT year FROM b)
+SELECT s.year, a.n_orders, b.n_lines FROM s LEFT JOIN a ON a.year = s.year LEFT JOIN b ON b.year = s.year
+""",
+    "q_empty_dimensions": """
+SELECT o_custkey, 'B' AS dimension_id FROM orders GROUP BY o_custkey HAVING count(*) % 2 = 1
+""",
+    "q_plain_limit": "SELECT least(7, count(*))::BIGINT AS n FROM orders",
+})
+QUERIES.update({q.__name__: q for q in (
+    q_latest_files, q_view_rents_all, q_cube_wide_dimension, q_cube_mixed_time, q_csv_rejects, q_coerce_edge,
+    q_gold_summary_null_year, q_empty_dimensions, q_plain_limit)})

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.fixed_values import (PERMISSIONS_CONSTRUCTION, PERMISSIONS_STATISTIC,
-                                 RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES)
+                                 RENT_ALL_BEDROOMS, RENT_ALL_PROPERTY_TYPES, SILVER_PATHS)
 from strata.functions.values import lookup
+from strata.sources.files import land_raw
 
 ORDER_STATS = ["Number of Orders", "Total Order Value"]
 PRIORITY_DIM = "C03737V04487"
@@ -208,9 +209,9 @@ def write_part_csv(part: DataFrame, root: str) -> None:
 # Header variants of the sales register by order year: (years, price header,
 # currency mark, code header, file encoding).
 SALES_VARIANTS = [
-    ((1990, 1996), "Price (\x80)", "\x80", "Postal Code", "ISO-8859-1"),
+    ((None, 1996), "Price (\x80)", "\x80", "Postal Code", "ISO-8859-1"),
     ((1997, 1998), "Price (?)", "?", "Postal Code", "ISO-8859-1"),
-    ((1999, 2100), "Price (€)", "€", "Eircode", "UTF-8"),
+    ((1999, None), "Price (€)", "€", "Eircode", "UTF-8"),
 ]
 
 
@@ -228,7 +229,8 @@ def write_sales_register(orders: DataFrame, root: str) -> None:
         .otherwise(F.concat(F.lit("D"), F.substring("o_orderpriority", 1, 1)))
     base = orders.withColumn("year", F.year("o_orderdate"))
     for (lo, hi), price_header, mark, code_header, encoding in SALES_VARIANTS:
-        (base.filter(F.col("year").between(lo, hi))
+        own = (F.lit(True) if lo is None else F.col("year") >= lo) & (F.lit(True) if hi is None else F.col("year") <= hi)
+        (base.filter(own)
          .select("year",
                  date_text.alias("Date of Sale (dd/mm/yyyy)"),
                  F.concat(F.lit("Order "), F.col("o_orderkey"), F.lit(", Dublin")).alias("Address"),
@@ -348,10 +350,74 @@ def permissions_cube_docs(lineitem: DataFrame) -> DataFrame:
 
 
 def write_bronze(spark, orders: DataFrame, lineitem: DataFrame, bronze: str, stamp: str = "20240630") -> None:
-    """The four Bronze sources in their drop layout, derived from the tables."""
+    """The four Bronze sources, landed in the layout the jobs read."""
     for name, docs in (("house_price_index", price_cube_docs(orders)),
                        ("new_dwelling_completions", permissions_cube_docs(lineitem))):
-        docs.select("body").write.mode("append").text(
-            f"{bronze}/cso/{name}/year={stamp[:4]}/month={stamp[4:6]}")
-    write_rent_extract(orders, f"{bronze}/rtb/rent_by_county/year={stamp[:4]}/month={stamp[4:6]}")
-    write_sales_register(orders, f"{bronze}/ppr/sales_register")
+        land_raw(docs.select(F.lit(stamp[:4]).alias("year"), F.lit(stamp[4:6]).alias("month"), "body"),
+                 bronze, fmt="text", dataset_path=SILVER_PATHS[name])
+    write_rent_extract(orders, f"{bronze}/{SILVER_PATHS['rent_by_county']}/year={stamp[:4]}/month={stamp[4:6]}")
+    write_sales_register(orders, f"{bronze}/{SILVER_PATHS['sales_register']}")
+
+
+# --- wide cubes, odd CSV files ---------------------------------------------------
+
+def part_month_cube_docs(lineitem: DataFrame, keys_per_doc: int = 20_000) -> DataFrame:
+    """Quantity by part and ship month as cubes with one very wide dimension: ``(body)``.
+
+    A document holds one month and a range of ``keys_per_doc`` part keys, so it
+    is bounded whatever the scale; the number of documents and cells grows.
+    """
+    cells = lineitem.groupBy(
+        F.date_format("l_shipdate", "yyyy'M'MM").alias("m_code"), F.date_format("l_shipdate", "yyyy MMMM").alias("m_label"),
+        F.floor(F.col("l_partkey") / keys_per_doc).alias("range"), F.col("l_partkey")).agg(F.sum("l_quantity").alias("v"))
+    docs = cells.groupBy("m_code", "m_label", "range").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "v"))).alias("c"))
+    codes = F.transform("c", lambda x: F.concat(F.lit("P"), x["l_partkey"]))
+    labels = F.map_from_arrays(codes, F.transform("c", lambda x: F.concat(F.lit("Part "), x["l_partkey"])))
+    index = F.map_from_arrays(codes, F.sequence(F.lit(0), F.size("c") - 1))
+    cube = F.struct(
+        F.array(F.lit("TLIST(M1)"), F.lit("PART")).alias("id"), F.array(F.lit(1), F.size("c")).alias("size"),
+        F.struct(
+            F.struct(F.lit("Month").alias("label"), F.struct(
+                F.array("m_code").alias("index"), F.create_map("m_code", "m_label").alias("label")).alias("category"))
+            .alias("TLIST(M1)"),
+            F.struct(F.lit("Part").alias("label"), F.struct(index.alias("index"), labels.alias("label")).alias("category"))
+            .alias("PART")).alias("dimension"),
+        F.transform("c", lambda x: x["v"]).alias("value"))
+    return docs.select(F.to_json(cube).alias("body"))
+
+
+def annual_cube_docs(orders: DataFrame) -> DataFrame:
+    """Order counts by year and status as annual cubes, one per status: ``(body)``."""
+    cells = orders.groupBy(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").cast("string").alias("y")).agg(
+        F.count(F.lit(1)).cast("double").alias("v"))
+    return cube_documents(cells.withColumn("s", F.col("status")), ["status"], [
+        ("TLIST(A1)", "Year", "y", "y", "labels"), ("STATUS", "Order Status", "s", "s", "list")], "v").select("body")
+
+
+ODD_FILES = ("good", "duplicate header", "blank file", "line ends", "no date column", "field counts")
+
+
+def write_odd_csv(customer: DataFrame, root: str, rows_per_file: int = 1000) -> None:
+    """Customers as register-like CSV files, one per nation and key range, of the six
+    kinds in ODD_FILES (by nation key): every file holds its customers, all with a
+    date; of ``field counts`` files, customers in AUTOMOBILE have a field too many,
+    those in BUILDING one too few."""
+    seg, kind = F.col("c_mktsegment"), F.element_at(F.array(*[F.lit(k) for k in ODD_FILES]),
+                                                    (F.col("c_nationkey") % len(ODD_FILES) + 1).cast("int"))
+    plain = F.concat_ws(",", F.lit("01/02/2020"), F.col("c_name"), F.lit("Dublin"))
+    row = (F.when((F.col("kind") == "field counts") & (seg == "AUTOMOBILE"), F.concat(plain, F.lit(",extra")))
+           .when((F.col("kind") == "field counts") & (seg == "BUILDING"), F.concat_ws(",", F.lit("01/02/2020"), "c_name"))
+           .otherwise(plain))
+    files = (customer.withColumn("kind", kind).withColumn("row", row)
+             .groupBy("kind", F.col("c_nationkey").alias("nation"), F.floor(F.col("c_custkey") / rows_per_file).alias("range"))
+             .agg(F.array_sort(F.collect_list("row")).alias("rows")))
+    header = (F.when(F.col("kind") == "duplicate header", "Date of Sale (dd/mm/yyyy),Note,note")
+              .when(F.col("kind") == "no date column", "Day,Address,County")
+              .otherwise("Date of Sale (dd/mm/yyyy),Address,County"))
+    end = F.when(F.col("kind") == "line ends", "\r").otherwise("\n")
+    lines = F.concat(F.array(header), F.col("rows"))
+    text = F.when(F.col("kind") == "blank file", " ").otherwise(
+        F.aggregate(F.slice(lines, F.lit(2), F.size(lines)), F.element_at(lines, 1), lambda a, r: F.concat(a, end, r)))
+    # one row per file: every (nation, range) folder gets one text row
+    (files.select("nation", "range", text.alias("value")).repartition("nation", "range")
+     .write.partitionBy("nation", "range").text(root))

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.fixed_values import (MISREAD_EURO, RENT_MONEY_CHARS, RENTS_CODE, SALES_CODE, SALES_COVERAGE,
-                                 SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS, SALES_MONEY_CHARS)
+from strata.fixed_values import (CSV_NAME_BLANKS, RENT_MONEY_CHARS, RENTS_CODE, SALES_CODE, SALES_COVERAGE,
+                                 SALES_HEADER_PATTERNS, SALES_HEADER_SYNONYMS)
 from strata.functions.coerce import add_lineage, ensure_year
 from strata.functions.names import clean_columns, drop_code_columns
 from strata.functions.values import (first_nonblank, first_year, keep_blank_or_no, parse_date,
-                                     parse_money)
+                                     parse_money, parse_price)
 from strata.operators import jsonstat
 from strata.operators.quality import drop_nulls_observed
 from strata.sources.files import read_csv_by_header
@@ -54,7 +54,7 @@ def rents_silver(raw: DataFrame, run_date: str, run_year: int) -> DataFrame:
     DOUBLE after removing currency marks, ``year`` comes from the text or
     falls back to the run year.
     """
-    df = clean_columns(drop_code_columns(raw), cube=False)
+    df = clean_columns(drop_code_columns(raw), CSV_NAME_BLANKS)
     if "value" in df.columns:
         df = df.withColumn("value", parse_money("value", RENT_MONEY_CHARS))
     df = ensure_year(df, run_year)
@@ -74,8 +74,7 @@ def sales_silver(raw: DataFrame, run_date: str):
     ``rows_dropped`` (unparseable dates) once the caller's action has run.
     """
     df = raw.withColumn("location_code", first_nonblank("eircode", "postal_code"))
-    # A UTF-8 euro sign read as latin-1 leaves three stray characters.
-    df = df.withColumn("price_eur", parse_money(F.replace("price_raw", F.lit(MISREAD_EURO), F.lit("")), SALES_MONEY_CHARS))
+    df = df.withColumn("price_eur", parse_price("price_raw"))
     df = df.withColumn("date_of_sale", parse_date("date_of_sale_raw"))
     df, obs = drop_nulls_observed(df, "date_of_sale")
     df = df.withColumns({"year": F.year("date_of_sale"), "month": F.month("date_of_sale")})

@@ -3,7 +3,7 @@
 The batch job re-reads every Bronze snapshot on each run.  This is the same
 step as a file stream: each run picks up only the documents landed since
 the last one (the stream's checkpoint records the files already taken),
-unpacks them with the batch operators and appends them to Silver.  Run it
+unpacks them with the batch operators and brings them into Silver.  Run it
 with ``available_now=True`` from the monthly schedule and it processes the
 backlog, then stops -- exactly-once per file, restartable after a failure.
 """
@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.coerce import add_lineage
+from strata.functions.values import first_year
 from strata.operators import jsonstat
-from strata.plans.silver import cube_silver_parsed
+from strata.operators.quality import dataset_key, keep_latest_files
 from strata.session import ensure_checkpoint_dir
 
 
@@ -31,37 +33,41 @@ def document_stream(spark: SparkSession, path_glob: str, max_files_per_trigger:
 
 
 def write_cube_batch(batch: DataFrame, batch_id: int, silver: str, dataset: str, run_date: str,
-                     columns: list[tuple[str, str]] | None = None) -> None:
+                     columns: list[tuple[str, str]]) -> None:
     """Unpack one micro-batch of documents into Silver; replaying it is harmless.
 
-    Rows go under ``year=/ingest_batch=`` folders with dynamic partition
-    overwrite, so writing the same ``batch_id`` again replaces, never adds.
+    ``columns`` declares the (dimension id, column) pairs, so every batch
+    writes one schema; a document with another dimension is rejected as
+    ``undeclared_dimension``.  Rows go to a folder per dataset (a file's path
+    without its landing time) with dynamic overwrite: a cube landed again
+    replaces its earlier rows, and so does a batch written again.
     """
-    parsed = jsonstat.parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    names = [d for d, _ in columns]
+    batch = batch.withColumn("dataset_key", F.md5(dataset_key(F.col("path"))))
+    newest = keep_latest_files(batch, "path")
+    parsed = jsonstat.parse(newest).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        df, rejects = cube_silver_parsed(parsed, dataset, run_date, columns=columns)
-        batch_col = F.lit(batch_id).cast("long").alias("ingest_batch")
-        (df.select("*", batch_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year", "ingest_batch").parquet(silver))
-        (rejects.select("*", batch_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
+        strange = F.size(F.array_except("ids", F.array(*[F.lit(n) for n in names]))) > 0
+        reason = F.coalesce("reason", F.when(strange, F.lit("undeclared_dimension")))
+        checked = parsed.withColumn("reason", reason)
+        wide = add_lineage(jsonstat.widen(checked, columns, keep=["dataset_key"]), dataset, run_date)
+        year = first_year("period") if "period" in wide.columns else F.lit(None).cast("int")
+        (wide.withColumn("year", year).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dataset_key").parquet(silver))
+        (jsonstat.rejects(checked).select("path", "reason", F.lit(batch_id).cast("long").alias("ingest_batch"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ingest_batch").json(f"{silver.rstrip('/')}/_rejects"))
     finally:
         parsed.unpersist()
 
 
 def cube_to_silver_stream(spark: SparkSession, path_glob: str, silver: str, dataset: str,
-                          run_date: str, checkpoint: str | None = None,
-                          columns: list[tuple[str, str]] | None = None,
+                          run_date: str, columns: list[tuple[str, str]], checkpoint: str | None = None,
                           available_now: bool = True) -> StreamingQuery:
-    """Append newly landed cube documents to the Silver table at ``silver``.
+    """Bring newly landed cube documents into the Silver table at ``silver``.
 
-    Each micro-batch is unpacked by :func:`strata.plans.silver.cube_silver`
-    and written under ``year=/ingest_batch=`` folders with dynamic partition
-    overwrite: a micro-batch replayed after a failure rewrites only its own
-    folders, so no row lands twice.  Rejected documents go to
-    ``silver/_rejects`` the same way.  ``checkpoint`` defaults to a folder
+    Each micro-batch is written by :func:`write_cube_batch`, so no row lands
+    twice and the table keeps one schema.  ``checkpoint`` defaults to a folder
     under the session's checkpoint directory (shared storage on a cluster).
     """
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/streams/{dataset}"

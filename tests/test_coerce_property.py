@@ -1,4 +1,6 @@
 """String-to-typed coercion against the per-value rule, lifted to whole columns."""
+import re
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -15,25 +17,18 @@ TEXTS = st.one_of(
 
 
 def expected_column(values):
+    """The per-value rule: no "." is a whole number or text, "." a decimal number or text."""
     filled = [v for v in values if v not in (None, "")]
 
-    def is_int(v):
-        try:
-            int(v)
-            return "." not in v
-        except ValueError:
-            return False
-
-    def is_num(v):
-        try:
-            float(v)
-            return True
-        except ValueError:
-            return False
-
-    if all(is_int(v) for v in filled):
+    def kind(v):
+        if re.fullmatch(r"\s*[+-]?[0-9]+\s*", v):
+            return "whole"
+        return "decimal" if re.fullmatch(r"\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*", v) else "text"
+
+    kinds = {kind(v) for v in filled}
+    if kinds == {"whole"}:
         return "bigint", [None if v in (None, "") else int(v) for v in values]
-    if all(is_int(v) or is_num(v) for v in filled):
+    if kinds and kinds <= {"whole", "decimal"}:
         return "double", [None if v in (None, "") else float(v) for v in values]
     return "string", [None if v in (None, "") else v for v in values]
 

@@ -2,11 +2,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.fixed_values import KEY_PROPERTY_TYPES, MONTHS, PRICE_STATISTICS, SALES_MONEY_CHARS
+from strata.fixed_values import CSV_NAME_BLANKS, KEY_PROPERTY_TYPES, MISREAD_EURO, MONTHS, PRICE_STATISTICS, SALES_MONEY_CHARS
 from strata.functions.coerce import add_lineage, coerce_strings, ensure_year, infer_string_types
-from strata.functions.names import clean_name, code_columns, drop_code_columns, is_code_column, rename_synonyms
+from strata.functions.names import clean_name, drop_code_columns, drop_matching, rename_synonyms
 from strata.functions.values import (chart_time, classify, first_nonblank, first_year, keep_blank_or_no,
-                                     lookup, month_of_period, parse_date, parse_money)
+                                     lookup, month_of_period, parse_date, parse_money, parse_price)
 
 
 def one_col(spark, values, fn, dtype="string"):
@@ -80,17 +80,18 @@ def test_chart_time(spark):
 
 
 def test_clean_names():
-    assert [clean_name(c, cube=False) for c in ["Statistic Label", "Number of Bedrooms", "VALUE", "Property Type"]] \
+    assert [clean_name(c, CSV_NAME_BLANKS) for c in ["Statistic Label", "Number of Bedrooms", "VALUE", "Property Type"]] \
         == ["statistic_label", "number_of_bedrooms", "value", "property_type"]
     assert clean_name(" Type of Residential-Property (A/B) ") == "type_of_residential_property_a_b"
-    assert clean_name("Nation-Code/ID", cube=False) == "nation-code/id"
+    assert clean_name("Nation-Code/ID", CSV_NAME_BLANKS) == "nation-code/id"
 
 
-def test_code_columns():
-    assert is_code_column("C02970V03592") and is_code_column("C02969V03591")
-    assert not any(is_code_column(c) for c in ["Number of Bedrooms", "Location", "STATISTIC"])
-    cols = ["STATISTIC", "Statistic Label", "TLIST(A1)", "Year", "C02970V03592", "Location", "UNIT", "VALUE"]
-    assert code_columns(cols) == ["STATISTIC", "TLIST(A1)", "C02970V03592", "UNIT"]
+def test_code_columns(spark):
+    cols = ["STATISTIC", "Statistic Label", "TLIST(A1)", "Year", "C02970V03592", "Location", "UNIT", "VALUE", "C0 only"]
+    df = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in cols))
+    assert drop_code_columns(df).columns == ["Statistic Label", "Year", "Location", "VALUE", "C0 only"]
+    assert drop_matching(df, ["^Loc", "Label"]).columns == [c for c in cols if c not in ("Location", "Statistic Label")]
+    assert drop_matching(df, []).columns == cols
 
 
 def test_drop_and_rename(spark):
@@ -118,3 +119,19 @@ def test_lineage_and_year(spark):
     out = add_lineage(ensure_year(df, 2030), "RIA02", "2024-06-30", coverage="dublin").first()
     assert (out.year, out.source_dataset, out.ingestion_date, out.coverage) == (2019, "RIA02", "2024-06-30", "dublin")
     assert ensure_year(spark.range(1), 2030).first().year == 2030
+
+
+def test_prices_are_never_made_up(spark):
+    texts = ["2 bed", "N/A 12", "1,234.50 (est 2)", "€1,234.50", MISREAD_EURO + "99.5", "\x80 7", None, ""]
+    assert one_col(spark, texts, parse_price) == [None, None, None, 1234.5, 99.5, 7.0, None, None]
+
+
+def test_types_keep_every_value(spark):
+    rows = [("1e5", "nan", "12345678901234567890", "", "1", "9007199254740993", "9" * 39),
+            ("2", "1.5", "7", None, "2.5", "0.5", "1")]
+    cols = ["exponent", "special", "long", "blank", "mixed", "mixed_long", "too_long"]
+    kinds = infer_string_types(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)))
+    assert kinds == {"exponent": "string", "special": "string", "long": "decimal(38,0)", "blank": "string",
+                     "mixed": "double", "mixed_long": "string", "too_long": "string"}
+    out = coerce_strings(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))).collect()
+    assert int(out[0].long) == 12345678901234567890 and out[0].exponent == "1e5" and out[0].blank is None

@@ -30,7 +30,8 @@ def canon(cols, rows):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("region nation customer supplier part orders lineitem events").split():
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+              "labels conversations").split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 

@@ -21,30 +21,48 @@ def land(root, name, body):
         f.write(body + "\n")
 
 
-def test_incremental_runs_append_new_documents_only(spark):
+COLUMNS = [("STATISTIC", "statistic"), ("TLIST(A1)", "period")]
+
+
+def run(spark, bronze, silver, ckpt):
+    cube_to_silver_stream(spark, f"{bronze}/*/*/*", silver, "TEST01", "2024-06-30", COLUMNS, checkpoint=ckpt).awaitTermination()
+    return sorted((r.year, r.metric_value) for r in spark.read.parquet(silver).collect())
+
+
+def test_runs_take_new_documents_and_replace_cubes_landed_again(spark):
     bronze = scratch_path(spark, "t-stream-bronze").replace("file:", "")
-    silver = scratch_path(spark, "t-stream-silver")
-    ckpt = scratch_path(spark, "t-stream-ckpt")
-    land(f"{bronze}/year=2024/month=05", "data_1.json", doc(2020, [1, 2]))
-    q = cube_to_silver_stream(spark, f"{bronze}/*/*", silver, "TEST01", "2024-06-30", checkpoint=ckpt)
-    q.awaitTermination()
-    assert spark.read.parquet(silver).count() == 2
-    land(f"{bronze}/year=2024/month=06", "data_2.json", doc(2022, [3, 4, 5]))
-    land(f"{bronze}/year=2024/month=06", "data_3.json", '{"error": {"code": 1}}')
-    q = cube_to_silver_stream(spark, f"{bronze}/*/*", silver, "TEST01", "2024-06-30", checkpoint=ckpt)
-    q.awaitTermination()
-    rows = {(r.year, r.metric_value) for r in spark.read.parquet(silver).collect()}
-    assert rows == {(2020, 1.0), (2021, 2.0), (2022, 3.0), (2023, 4.0), (2024, 5.0)}
+    silver, ckpt = scratch_path(spark, "t-stream-silver"), scratch_path(spark, "t-stream-ckpt")
+    land(f"{bronze}/a/year=2024/month=9", "data_20240901.json", doc(2020, [1, 2]))
+    assert run(spark, bronze, silver, ckpt) == [(2020, 1.0), (2021, 2.0)]
+    land(f"{bronze}/b/year=2024/month=10", "data_20241001.json", doc(2022, [3]))
+    land(f"{bronze}/a/year=2024/month=10", "data_20241001.json", doc(2020, [7, 8, 9]))  # the same cube again
+    land(f"{bronze}/c/year=2024/month=10", "data_20241001.json", '{"error": {"code": 1}}')
+    assert run(spark, bronze, silver, ckpt) == [(2020, 7.0), (2021, 8.0), (2022, 3.0), (2022, 9.0)]
     assert [r.reason for r in spark.read.json(f"{silver}/_rejects").collect()] == ["error_reply"]
 
 
 def test_replayed_batch_is_not_duplicated(spark):
     from strata.streaming.bronze import write_cube_batch
     silver = scratch_path(spark, "t-stream-replay")
-    batch = spark.createDataFrame([("a.json", doc(2020, [1, 2]))], "path string, body string")
-    write_cube_batch(batch, 7, silver, "TEST01", "2024-06-30")
-    write_cube_batch(batch, 7, silver, "TEST01", "2024-06-30")
-    write_cube_batch(spark.createDataFrame([("b.json", doc(2020, [9]))], "path string, body string"),
-                     8, silver, "TEST01", "2024-06-30")
-    rows = sorted((r.year, r.metric_value, r.ingest_batch) for r in spark.read.parquet(silver).collect())
-    assert rows == [(2020, 1.0, 7), (2020, 9.0, 8), (2021, 2.0, 7)]
+    batch = spark.createDataFrame([("x/a.json", doc(2020, [1, 2]))], "path string, body string")
+    for _ in range(2):
+        write_cube_batch(batch, 7, silver, "TEST01", "2024-06-30", COLUMNS)
+    write_cube_batch(spark.createDataFrame([("x/b.json", doc(2020, [9]))], "path string, body string"),
+                     8, silver, "TEST01", "2024-06-30", COLUMNS)
+    rows = sorted((r.year, r.metric_value) for r in spark.read.parquet(silver).collect())
+    assert rows == [(2020, 1.0), (2020, 9.0), (2021, 2.0)]
+
+
+def test_undeclared_dimension_is_rejected_and_the_schema_stays(spark):
+    from strata.streaming.bronze import write_cube_batch
+    silver = scratch_path(spark, "t-stream-schema")
+    odd = json.loads(doc(2020, [5]))
+    odd["result"]["id"].append("SECTOR")
+    odd["result"]["size"].append(1)
+    odd["result"]["dimension"]["SECTOR"] = {"label": "Sector", "category": {"index": ["s"]}}
+    batch = [("x/a.json", doc(2020, [1])), ("x/b.json", json.dumps(odd))]
+    write_cube_batch(spark.createDataFrame(batch, "path string, body string"), 1, silver, "T", "2024-06-30", COLUMNS)
+    back = spark.read.parquet(silver)
+    assert set(back.columns) == {"statistic", "period", "metric_value", "source_dataset", "ingestion_date", "year", "dataset_key"}
+    assert back.count() == 1
+    assert [r.reason for r in spark.read.json(f"{silver}/_rejects").collect()] == ["undeclared_dimension"]
