@@ -75,31 +75,36 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(dims: int):
-    """Feature counts of each text, float32, as bytes."""
+    """The features of each text with unit length: numbers (uint16), then values (float16)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = _texts(batch.column("body"))
             rows = []
             for a, b in zip(offsets[:-1], offsets[1:]):
-                c = np.bincount(_grams(data[a:b], dims).ravel(), minlength=dims).astype(np.float32)
-                norm = float(np.sqrt((c * c).sum()))
-                rows.append((c / norm if norm else c).astype(np.float16).tobytes())
+                c = np.bincount(_grams(data[a:b], dims).ravel(), minlength=dims)
+                ids = np.flatnonzero(c)
+                values = c[ids] / np.sqrt((c[ids].astype(float) ** 2).sum()) if len(ids) else c[ids]
+                rows.append(ids.astype(np.uint16).tobytes() + values.astype(np.float16).tobytes())
             yield pa.record_batch([batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "x"])
     return run
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, epochs: int = 12, seed: int = 5) -> np.ndarray:
+Row = tuple[np.ndarray, np.ndarray]  # feature numbers and values of a text
+
+
+def linear_svm(rows: list[Row], y: np.ndarray, dims: int, c: float = 4.0, epochs: int = 12, seed: int = 5) -> np.ndarray:
     """L2-regularised squared-hinge machine without bias, by dual coordinate descent."""
     rng = np.random.default_rng(seed)
-    w = np.zeros(x.shape[1], np.float32)
+    w = np.zeros(dims, np.float32)
     alpha = np.zeros(len(y))
-    diag = (x * x).sum(axis=1) + 1 / (2 * c)
+    diag = np.array([float(v @ v) for _, v in rows]) + 1 / (2 * c)
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
-            g = y[i] * float(x[i] @ w) - 1 + alpha[i] / (2 * c)
+            ids, values = rows[i]
+            g = y[i] * float(w[ids] @ values) - 1 + alpha[i] / (2 * c)
             new = max(0.0, alpha[i] - g / diag[i])
             if new != alpha[i]:
-                w += np.float32((new - alpha[i]) * y[i]) * x[i]
+                w[ids] += np.float32((new - alpha[i]) * y[i]) * values
                 alpha[i] = new
     return w
 
@@ -107,21 +112,23 @@ def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, epochs: int = 12, s
 class Model:
     """Machines of the hierarchy: ``families`` one-versus-rest, ``pairs`` one-versus-one."""
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray, dims: int):
+    def __init__(self, rows: list[Row], langs: np.ndarray, dims: int):
         self.dims = dims
         self.langs = sorted(set(langs))
         self.families: dict[str, list[str]] = {}
         for lang in self.langs:
             self.families.setdefault(family_of(lang), []).append(lang)
         fam = np.array([family_of(v) for v in langs])
-        columns = [linear_svm(x, np.where(fam == f, 1.0, -1.0)) for f in self.families] if len(self.families) > 1 else []
+        columns = []
+        if len(self.families) > 1:
+            columns = [linear_svm(rows, np.where(fam == f, 1.0, -1.0), dims) for f in self.families]
         self.pairs = []
         for members in self.families.values():
             for i, a in enumerate(members):
                 for b in members[i + 1:]:
-                    rows = (langs == a) | (langs == b)
+                    own = np.flatnonzero((langs == a) | (langs == b))
                     self.pairs.append((a, b))
-                    columns.append(linear_svm(x[rows], np.where(langs[rows] == a, 1.0, -1.0)))
+                    columns.append(linear_svm([rows[k] for k in own], np.where(langs[own] == a, 1.0, -1.0), dims))
         self.weights = np.stack(columns, axis=1) if columns else np.zeros((dims, 0), np.float32)
 
     def margins(self, data: np.ndarray, offsets: np.ndarray, step: int = 1 << 20) -> np.ndarray:
@@ -177,7 +184,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, dims: int = DIMS) -> Model:
     """Fit on ``labelled`` (row_id, body binary, lang; no nulls in body and lang)."""
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return Model(np.zeros((0, dims), np.float32), np.array([]), dims)
+        return Model([], np.array([]), dims)
     each = max(20, sample // len(counts))
     keep = F.lit(False)
     draw = F.pmod(F.xxhash64("row_id", F.lit(11)), F.lit(1_000_000))
@@ -185,14 +192,15 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, dims: int = DIMS) -> Model:
         keep = keep | ((F.col("lang") == lang) & (draw < int(min(1.0, 1.2 * each / n) * 1_000_000)))
     drawn = labelled.filter(keep).withColumn(
         "_rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "row_id")))
-    table = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
-             .mapInArrow(_count(dims), "lang string, x binary").toArrow())
-    langs, blobs = table.column("lang").to_pylist(), table.column("x")
-    order = sorted(range(len(langs)), key=lambda i: (langs[i], blobs[i].as_py()))
-    x = np.empty((len(langs), dims), np.float32)
-    for k, i in enumerate(order):
-        x[k] = np.frombuffer(blobs[i].as_buffer(), dtype=np.float16)
-    return Model(x, np.array([langs[i] for i in order], dtype=object), dims)
+    found = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
+             .mapInArrow(_count(dims), "lang string, x binary").collect())
+    found.sort(key=lambda r: (r["lang"], bytes(r["x"])))
+    rows = []
+    for r in found:
+        n = len(r["x"]) // 4
+        rows.append((np.frombuffer(r["x"], np.uint16, n).astype(np.int64),
+                     np.frombuffer(r["x"], np.float16, n, 2 * n).astype(np.float32)))
+    return Model(rows, np.array([r["lang"] for r in found], dtype=object), dims)
 
 
 def has_letter(text: Column) -> Column:
