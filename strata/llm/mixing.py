@@ -119,7 +119,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                     F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                     F.xxhash64(F.col(text_col)).alias("h"))
-        .withColumn("ord", F.row_number().over(same).cast("long")).drop("h"), "mix-sizes")
+        .withColumn("ord", F.row_number().over(same).cast("long")).drop("h"), "mix-sizes", few=True)
     targets = source_targets(sized, weights, share, cap)
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(copies + F.lit(EPS))
@@ -138,7 +138,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     settled, level = [], 0
     while True:
         done = materialize(units.groupBy("source", "cls", "blk")
-                           .applyInPandas(_meet(seed, level, False), UNIT), f"mix-level{level}")
+                           .applyInPandas(_meet(seed, level, False), UNIT), f"mix-level{level}", few=True)
         is_open = (F.col("p") > 0) & (F.col("p") < 1)
         settled.append(done.filter(~is_open))
         units, level = done.filter(is_open), level + 1
@@ -165,7 +165,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     rows = (packed(docs, _key=key, _size=size, _h=F.xxhash64(F.col("text")), _source=F.col("source").cast("string"))
             .withColumn("_ord", F.row_number().over(same).cast("long")))
     taken = mix(docs, **options).filter("copies > 0").select(
-        key.alias("_key"), F.col("ord").alias("_ord"), F.col("copies").alias("_copies"))
-    joined = rows.join(taken, ["_key", "_ord"])  # keeps the window's partitioning: texts move once
+        key.alias("_key2"), F.col("ord").alias("_ord2"), F.col("copies").alias("_copies"))
+    # joined by the window's own key, the place compared beside it: texts move once
+    joined = rows.join(taken, (F.col("_key") == F.col("_key2")) & (F.col("_ord") - F.col("_ord2") == 0))
     return unpacked(joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), docs.columns,
                     copy=F.col("_copy"))
