@@ -11,19 +11,37 @@ from strata.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches to ``BATCH_ROWS`` rows: rows hold whole texts, and a batch is in
+    memory several times on its way between JVM and Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def few_partitions(spark: SparkSession) -> int:
+    """Partitions for results much smaller than the input: an eighth of the shuffle's."""
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def materialize(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage with files that every executor can read, so a lost
-    executor costs a re-read and not a recomputation.
+    executor costs a re-read and not a recomputation.  ``few`` is for results
+    much smaller than the input that come out of a shuffle: their partitions
+    are merged, so that they do not make as many files as the shuffle has.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.coalesce(few_partitions(spark)) if few else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize, packed, unpacked
+from strata.llm.common import materialize, packed, small_batches, unpacked
 from strata.llm.ngram_join import LOWER, bounded_slices
 from strata.llm.repeats import arrow_bytes, spans_index, word_tokens
 
@@ -277,10 +277,11 @@ def _search(items: Items, cosine: float, lcs: float, weak_lcs: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 48, cosine: float = 0.4, lcs: float = 0.8,
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 48, cosine: float = 0.35, lcs: float = 0.8,
                weak_lcs: float = 0.6, answer_words: int = 5, item_block: int = 20_000, seed: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer of every document that holds an item."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, cosine double, lcs double, answer boolean"
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("body"))
@@ -304,6 +305,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 48, cosine: fl
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
     leaks = materialize(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(),
-                        "benchmark-leaks")
+                        "benchmark-leaks", few=True)
     rows = packed(docs, _id=F.col(options.get("id_col", "doc_id")).cast("long"))
     return unpacked(rows.join(leaks, F.col("_id").eqNullSafe(F.col("_leak")), "left_anti"), docs.columns)

@@ -12,13 +12,16 @@ results are per document its class (equal sets) and its component.
    threshold share one.  Buckets keep n-grams that at least two classes sent.
 3. In the groups that share a prefix n-gram, pairs pass the length, positional
    and suffix filters; the suffix filter bounds the Hamming distance from below
-   by the profiles' difference.  First only each member's nearest candidates
-   are verified on their full sets, and components formed; then every pair
-   across components that the filters leave.  So a group of many near copies
-   costs a few pairs per member, and no link between components is lost.
+   by the profiles' difference.  First only each member's nearest candidate is
+   verified on the full sets, and components formed; then the nearest of those
+   still apart; then every pair across components that the filters leave.  So a
+   group of many near copies costs a few pairs per member, and no link between
+   components is lost.
    Groups of more than ``group_limit`` members are dealt out as pairs of blocks.
 4. Candidate pairs are made distinct before they meet their sets, so each is
-   verified once.  Components come from alternating star contractions.
+   verified once.  Sets are computed anew for the documents in a pair; a bit
+   filter of fixed size (2 MB) keeps the rest of the texts from being sent.
+   Components come from alternating star contractions.
 
 Defined cases: null or wordless text has an empty set and links with nothing;
 a text with fewer words than n has one n-gram, all its words; a null doc_id
@@ -29,20 +32,23 @@ class; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize, packed, unpacked
+from strata.llm.common import few_partitions, materialize, packed, small_batches, unpacked
 from strata.llm.repeats import NULL_ID, arrow_bytes, group_starts, mix64, spans_index, word_tokens
 
 BINS = 64
 CELL_BITS = 20
+FILTER_BITS = 24
 PARTS = 16
-ENTRY = np.dtype([("token", "<u8"), ("sid1", "<u8"), ("sid2", "<u8"), ("n", "<u4"), ("pos", "<u4")])
+ENTRY = np.dtype([("token", "<u8"), ("sid1", "<u8"), ("pos", "<u2")])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -69,7 +75,8 @@ def gram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
 
 def bounded_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes of ``column``."""
-    offsets = arrow_bytes(batch.column(column))[1]
+    offsets = np.zeros(batch.num_rows + 1, np.int64)
+    np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), out=offsets[1:])
     at = 0
     while at < batch.num_rows:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
@@ -89,36 +96,39 @@ def sid_bytes(a: int, b: int) -> bytes:
 
 def _survey(n: int):
     """kind 0: a row per document (doc_id, size, sid, profile); kind 1: parts of the sketch."""
-    names = ["kind", "doc_id", "size", "sid", "profile"]
+    names = ["kind", "doc_id", "size", "sid", "sid1", "profile"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.uint32)
         seen = False
         for whole in batches:
             for batch in bounded_slices(whole, "body") if whole.num_rows else ():
-                size, sid, profile = [], [], []
+                size, sid, half, profile = [], [], [], []
                 for grams in gram_sets(batch.column("body"), n):
                     size.append(len(grams))
-                    sid.append(sid_bytes(*signature(grams)))
+                    both = signature(grams)
+                    sid.append(sid_bytes(*both))
+                    half.append(both[0])
                     bins = np.bincount((grams & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
                     profile.append(np.minimum(bins, 255).astype(np.uint8).tobytes())
                     np.add.at(cells, (grams >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
                     seen = True
                 yield pa.record_batch([pa.array(np.zeros(len(size), np.int32)), batch.column("doc_id"),
                                        pa.array(size, pa.int64()), pa.array(sid, pa.binary()),
+                                       pa.array(np.array(half, np.uint64).view(np.int64)),
                                        pa.array(profile, pa.binary())], names)
         if seen:
             parts = cells.reshape(PARTS, -1)
             yield pa.record_batch([pa.array(np.ones(PARTS, np.int32)), pa.array(np.arange(PARTS), pa.int64()),
                                    pa.array(np.zeros(PARTS, np.int64)), pa.array([b""] * PARTS, pa.binary()),
-                                   pa.array([p.tobytes() for p in parts], pa.binary())], names)
+                                   pa.array(np.zeros(PARTS, np.int64)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names)
     return run
 
 
 def _add_parts(table: pa.Table) -> pa.Table:
     total = np.zeros((1 << CELL_BITS) // PARTS, np.uint64)
     for blob in table.column("profile"):
-        total += np.frombuffer(blob.as_py(), np.uint32)
+        total += np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
     return pa.table({"part": pa.array([table.column("doc_id")[0].as_py()], pa.int64()),
                      "cells": pa.array([np.minimum(total, 65535).astype(np.uint16).tobytes()], pa.binary())})
 
@@ -153,8 +163,8 @@ def _prefixes(n: int, num: int, den: int, buckets: int, sketch: np.ndarray, flus
                     rank = sketch[(grams >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     lead = np.argsort(rank, kind="stable")[:prefix_size(len(grams), num, den)]
                     rec = np.zeros(len(lead), ENTRY)
-                    rec["token"], rec["sid1"], rec["sid2"] = grams[lead], sid[0], sid[1]
-                    rec["n"], rec["pos"] = len(grams), np.arange(len(lead))
+                    rec["token"], rec["sid1"] = grams[lead], sid[0]
+                    rec["pos"] = np.minimum(np.arange(len(lead)), 65535)  # a smaller place only filters less
                     held.append(rec)
                     count += len(rec)
                 if count >= flush:
@@ -166,23 +176,25 @@ def _prefixes(n: int, num: int, den: int, buckets: int, sketch: np.ndarray, flus
 
 
 def _shared_tokens(table: pa.Table) -> pa.Table:
-    """The entries whose token at least two different sets have."""
+    """The entries whose token at least two different sets have.
+
+    Sets go by the first half of their signature here; should two have it in
+    common, both stay as members, and verification tells.
+    """
     rec = np.frombuffer(b"".join(table.column("rec").to_pylist()), ENTRY)
-    order = np.lexsort((rec["sid2"], rec["sid1"], rec["token"]))
+    order = np.lexsort((rec["sid1"], rec["token"]))
     rec = rec[order]
-    rec = rec[group_starts(rec["token"], rec["sid1"], rec["sid2"])]
+    rec = rec[group_starts(rec["token"], rec["sid1"])]
     lead = group_starts(rec["token"])
     size = np.diff(np.append(lead, len(rec)))
     rec = rec[np.repeat(size > 1, size)]
-    sid = np.stack([rec["sid1"], rec["sid2"]], axis=1).astype("<u8").tobytes()
-    return pa.table({"token": pa.array(rec["token"].view(np.int64)),
-                     "sid": pa.array([sid[i:i + 16] for i in range(0, len(sid), 16)], pa.binary()),
+    return pa.table({"token": pa.array(rec["token"].copy().view(np.int64)), "sid1": pa.array(rec["sid1"].copy().view(np.int64)),
                      "pos": pa.array(rec["pos"].astype(np.int32))})
 
 
 def _candidate_pairs(num: int, den: int, nearest: int, step: int = 200_000):
-    """Pairs of the groups that the filters leave: each member's ``nearest`` ones, or
-    (0) all that lie in different components.
+    """Pairs of the groups that the filters leave and that lie in different components,
+    with the bound of their distance: each member's ``nearest`` ones, or (0) all.
 
     A row's ``side`` tells the block it belongs to: only pairs of different blocks
     are formed where a group has been dealt out (-1: not dealt out).
@@ -208,8 +220,7 @@ def _candidate_pairs(num: int, den: int, nearest: int, step: int = 200_000):
             need = -(-num * (n[i] + n[j]) // (num + den))
             ok = (1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 >= need) & (rep[i] != rep[j])
             ok &= (side[i] < 0) | (side[i] != side[j])
-            if not nearest:
-                ok &= comp[i] != comp[j]
+            ok &= comp[i] != comp[j]
             i, j, need = i[ok], j[ok], need[ok]
             bound = np.empty(len(i), np.int64)
             for lo in range(0, len(i), 50_000):
@@ -220,13 +231,13 @@ def _candidate_pairs(num: int, den: int, nearest: int, step: int = 200_000):
             if nearest and len(i):
                 own, other, dist = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([bound, bound])
                 order = np.lexsort((rep[other], dist, own))
-                own, other = own[order], other[order]
+                own, other, dist = own[order], other[order], dist[order]
                 first = group_starts(own)
                 rank = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
-                i, j = own[rank < nearest], other[rank < nearest]
-            found.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+                i, j, bound = own[rank < nearest], other[rank < nearest], dist[rank < nearest]
+            found.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), bound], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "bound": pa.array(pairs[:, 2])})
     return run
 
 
@@ -235,19 +246,50 @@ def _verify(num: int, den: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _sets(n: int):
+def _id_bits(ids: np.ndarray) -> Iterator[np.ndarray]:
+    """The places of ids in the filter of wanted documents."""
+    for salt in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B):
+        yield (mix64(ids.astype(np.int64).view(np.uint64) + np.uint64(salt)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits, seen = np.zeros(1 << FILTER_BITS, bool), False
+    for batch in batches:
+        for places in _id_bits(batch.column("rep").to_numpy()):
+            bits[places] = True
+        seen |= batch.num_rows > 0
+    if seen:
+        parts = np.packbits(bits).reshape(PARTS, -1)
+        yield pa.record_batch([pa.array(np.arange(PARTS), pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                              ["part", "bits"])
+
+
+def _join_parts(table: pa.Table) -> pa.Table:
+    total = 0
+    for blob in table.column("bits"):
+        total = total | np.frombuffer(blob.as_py(), np.uint8)
+    return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([total.tobytes()], pa.binary())})
+
+
+def _sets(n: int, wanted: np.ndarray):
+    """Sets of the documents whose id passes the filter ``wanted`` (packed bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            ids = whole.column("doc_id").to_numpy()
+            use = np.ones(len(ids), bool)
+            for places in _id_bits(ids):
+                use &= (wanted[places >> 3] >> (7 - (places & 7)) & 1).astype(bool)
+            whole = whole.filter(pa.array(use))
             for batch in bounded_slices(whole, "body") if whole.num_rows else ():
-                yield pa.record_batch([batch.column("rep"), pa.array([g.tobytes() for g in gram_sets(batch.column("body"), n)],
-                                                                     pa.binary())], ["rep", "grams"])
+                yield pa.record_batch([batch.column("doc_id"), pa.array([g.tobytes() for g in gram_sets(batch.column("body"), n)],
+                                                                        pa.binary())], ["rep", "grams"])
     return run
 
 
@@ -279,7 +321,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     Tasks first contract their own edges; then large-star and small-star steps
     alternate until every edge points at its component's smallest node.
     """
-    edges = materialize(links.mapInArrow(_contract_locally, "a long, b long"), f"{name}-local")
+    edges = materialize(links.mapInArrow(_contract_locally, "a long, b long"), f"{name}-local", few=True)
     for k in range(60):
         # large star: every larger neighbour of a node to the smallest of its neighbourhood
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
@@ -291,7 +333,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         joined = large.join(small_least, F.col("b") == F.col("c"))
         small = (joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
                  .union(joined.select("m", "c")).filter("a <> b").distinct())
-        after = materialize(small, f"{name}-star{k}")
+        after = materialize(small, f"{name}-star{k}", few=True)
         # done when no node is pointed at that points on, or points at two
         roots = after.select("a").distinct()
         loose = (after.join(roots.select(F.col("a").alias("r")), F.col("b") == F.col("r"), "left_semi").limit(1).count()
@@ -307,16 +349,17 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
 def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
                 group_limit: int = 4096, bucket_entries: int = 300_000) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id, n_links of every row.
+    """doc_id, n_shingles, class_id, component_id of every row.
 
     Documents link when ``den * |intersection| >= num * |union|``.  ``class_id`` is the
-    smallest doc_id with an equal set; ``n_links`` is null-free and counts verified
-    links of the class to other classes.
+    smallest doc_id with an equal set, ``component_id`` the smallest reachable by
+    links.  Links inside a component that is known already are not listed.
     """
+    small_batches(docs.sparkSession)
     body = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        F.col(text_col).cast("binary").alias("body"))
-    survey = materialize(body.mapInArrow(_survey(n), "kind int, doc_id long, size long, sid binary, profile binary"),
-                         "ngram-survey")
+    survey = body.mapInArrow(_survey(n), "kind int, doc_id long, size long, sid binary, sid1 long, profile binary")
+    survey = materialize(survey.repartition(few_partitions(docs.sparkSession)), "ngram-survey")
     rows = survey.filter("kind = 0")
     parts = (survey.filter("kind = 1").select("doc_id", "profile").groupBy("doc_id")
              .applyInArrow(_add_parts, "part long, cells binary").collect())
@@ -325,43 +368,60 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_c
         width = (1 << CELL_BITS) // PARTS
         sketch[p["part"] * width:(p["part"] + 1) * width] = np.frombuffer(p["cells"], np.uint16)
     classes = materialize(rows.filter("size > 0").groupBy("sid").agg(
-        F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("profile").alias("profile")), "ngram-classes")
+        F.min("doc_id").alias("rep"), F.first("sid1").alias("sid1"), F.first("size").alias("size"), F.first("profile").alias("profile")), "ngram-classes", few=True)
     total = classes.agg(F.sum("size")).first()[0] or 0
     buckets = max(8, math.ceil(total * (den - num) / den / bucket_entries))
     entries = body.select("body").mapInArrow(_prefixes(n, num, den, buckets, sketch), "bucket long, rec binary")
-    shared = entries.groupBy("bucket").applyInArrow(_shared_tokens, "token long, sid binary, pos int")
-    members = materialize(shared.join(classes, "sid").select("token", "pos", "rep", "size", "profile"), "ngram-members")
+    shared = entries.groupBy("bucket").applyInArrow(_shared_tokens, "token long, sid1 long, pos int")
+    half = classes.select("rep", "size", "profile", "sid1")
+    members = materialize(shared.join(half, "sid1").select("token", "pos", "rep", "size", "profile"), "ngram-members", few=True)
     members = _deal_out(members, group_limit)
 
-    def pairs(rows: DataFrame, nearest: int) -> DataFrame:
-        return (rows.withColumn("bucket", F.pmod(F.xxhash64("token", "part"), F.lit(max(8, buckets // 4))))
-                .groupBy("bucket").applyInArrow(_candidate_pairs(num, den, nearest), "a long, b long").distinct())
+    def pairs(members: DataFrame, comps: DataFrame | None, nearest: int, name: str) -> DataFrame:
+        """Distinct candidate pairs (a, b, bound) of ``members`` across components."""
+        rows = members.withColumn("comp", F.col("rep")) if comps is None else (
+            members.join(comps, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rep")))
+        found = (rows.withColumn("bucket", F.pmod(F.xxhash64("token", "part"), F.lit(max(8, buckets // 4))))
+                 .groupBy("bucket").applyInArrow(_candidate_pairs(num, den, nearest), "a long, b long, bound long"))
+        return materialize(found.distinct(), f"{name}-candidates", few=True)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """Sets (rep, grams) of the documents ``ids`` (rep)."""
+        parts = (ids.mapInArrow(_filter_parts, "part long, bits binary").groupBy("part")
+                 .applyInArrow(_join_parts, "part long, bits binary").collect())
+        wanted = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+        for p in parts:
+            width = len(wanted) // PARTS
+            wanted[p["part"] * width:(p["part"] + 1) * width] = np.frombuffer(p["bits"], np.uint8)
+        return materialize(body.mapInArrow(_sets(n, wanted), "rep long, grams binary")
+                           .groupBy("rep").agg(F.min("grams").alias("grams")), "ngram-sets", few=True)
 
     def verified(candidates: DataFrame, name: str) -> DataFrame:
-        candidates = materialize(candidates, f"{name}-candidates")
-        ids = candidates.select(F.col("a").alias("rep")).union(candidates.select("b")).distinct()
-        texts = body.join(ids, F.col("doc_id") == F.col("rep"), "inner").dropDuplicates(["rep"]).select("rep", "body")
-        sets = materialize(texts.mapInArrow(_sets(n), "rep long, grams binary"), f"{name}-sets")
-        met = (candidates.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
+        met = (candidates.select("a", "b").join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
                .join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b"))
-        return materialize(met.select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a long, b long"), f"{name}-links")
-
-    first = verified(pairs(members.withColumn("comp", F.lit(0).cast("long")), 2), "ngram-near")
-    comps = components(first, "ngram-near")
-    labelled = members.join(comps, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rep"))
-    rest = verified(pairs(labelled, 0), "ngram-cross")
-    links = first.union(rest)
-    comps = components(links, "ngram-all").select(F.col("node"), "comp")
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_links"))
-    of_class = (classes.select("sid", "rep").join(comps, F.col("rep") == F.col("node"), "left").drop("node")
-                .join(degree, F.col("rep") == F.col("node"), "left").drop("node"))
+        return materialize(met.select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a long, b long"),
+                           f"{name}-links", few=True)
+
+    # nearest of each member in each group: every member with a candidate is in one of these
+    near = pairs(members, None, 1, "ngram-near")
+    paired = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
+    sets = sets_of(paired)
+    active = materialize(members.join(paired, "rep", "left_semi"), "ngram-active", few=True)
+    # first the nearest of each member over all groups, then of what is still apart, then all of it
+    sides = near.select(F.col("a").alias("own"), F.col("b").alias("other"), "bound").union(near.select("b", "a", "bound"))
+    best = sides.groupBy("own").agg(F.min(F.struct("bound", "other"))["other"].alias("other"))
+    first = best.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
+    links = verified(first, "ngram-first")
+    for name, nearest in (("ngram-second", 1), ("ngram-rest", 0)):
+        apart = pairs(active, components(links, f"{name}-before"), nearest, name)
+        links = links.unionByName(verified(apart.join(first, ["a", "b"], "left_anti"), name))
+    comps = components(links, "ngram-all")
+    of_class = (classes.select("sid", "rep").join(comps, F.col("rep") == F.col("node"), "left").drop("node"))
     out = (rows.join(of_class.withColumnRenamed("sid", "_sid"), F.col("sid") == F.col("_sid"), "left")
            .withColumn("class_id", F.when(F.col("size") > 0, F.col("rep")).otherwise(F.col("doc_id")))
            .withColumn("component_id", F.coalesce("comp", "class_id")))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return out.select(real("doc_id"), F.col("size").alias("n_shingles"), real("class_id"), real("component_id"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(real("doc_id"), F.col("size").alias("n_shingles"), real("class_id"), real("component_id"))
 
 
 def _deal_out(members: DataFrame, limit: int) -> DataFrame:

@@ -178,7 +178,7 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
     def with_core(df: DataFrame) -> DataFrame:
         return df.withColumn("core", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key))
 
-    settled, trial = None, materialize(with_core(entities.withColumn("attempt", F.lit(0))), "pii-round0")
+    settled, trial = None, materialize(with_core(entities.withColumn("attempt", F.lit(0))), "pii-round0", few=True)
     for k in range(1, rounds + 1):
         # holders of a core: settled ones first, then the smallest entity
         taken = entities.select("kind", F.col("entity").alias("core"))
@@ -186,10 +186,10 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
             taken = taken.unionByName(settled.select("kind", "core"))
         keepers = trial.groupBy("kind", "core").agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_n"))
         free = keepers.join(taken.distinct(), ["kind", "core"], "left_anti").select("kind", "core", "entity")
-        good = materialize(trial.join(free, ["kind", "core", "entity"], "left_semi"), f"pii-good{k}")
+        good = materialize(trial.join(free, ["kind", "core", "entity"], "left_semi"), f"pii-good{k}", few=True)
         settled = good if settled is None else settled.unionByName(good)
         trial = materialize(with_core(trial.join(good, ["kind", "entity"], "left_anti").drop("core")
-                                      .withColumn("attempt", F.lit(k))), f"pii-round{k}")
+                                      .withColumn("attempt", F.lit(k))), f"pii-round{k}", few=True)
         if trial.isEmpty():
             return settled.drop("attempt")
     raise RuntimeError("surrogates still collide: too many entities of one format")
@@ -206,9 +206,9 @@ def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: s
     mentions = materialize(
         rows.select("_id", "_h", F.posexplode("_hits").alias("_i", "_mention"))
         .withColumn("_kind", kind_of(F.col("_mention")))
-        .withColumn("_entity", normal_form(F.col("_kind"), F.col("_mention"))).distinct(), "pii-mentions")
+        .withColumn("_entity", normal_form(F.col("_kind"), F.col("_mention"))).distinct(), "pii-mentions", few=True)
     entities = materialize(mentions.filter(F.col("_kind").isNotNull())
-                           .select(F.col("_kind").alias("kind"), F.col("_entity").alias("entity")).distinct(), "pii-entities")
+                           .select(F.col("_kind").alias("kind"), F.col("_entity").alias("entity")).distinct(), "pii-entities", few=True)
     cores = distinct_surrogates(entities, key)
     found = mentions.join(cores, (F.col("_kind") == F.col("kind")) & (F.col("_entity") == F.col("entity")), "left")
     new = F.coalesce(in_format_of(F.col("_mention"), F.col("_kind"), F.col("core")), F.col("_mention"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize
+from strata.llm.common import materialize, small_batches
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -508,7 +508,7 @@ def _cover(make, length: int, gram: int, judge, digest: Callable, schema: str):
         recs = answers.column("rec").to_pylist()
         triggers = b"".join(r for k, r in zip(rounds, recs) if k == 1)
         dups = np.frombuffer(b"".join(r for k, r in zip(rounds, recs) if k == 2), DUP)
-        removed = np.zeros(len(tokens.raw) + 1, np.int64)
+        removed = np.zeros(len(tokens.raw) + 1, np.int32)
         if triggers:
             view = BlockView(tokens, ids, triggers, length, gram)
             phrase = view.phrase[view.lead]
@@ -541,7 +541,7 @@ def _cover(make, length: int, gram: int, judge, digest: Callable, schema: str):
             start, end = np.concatenate(start), np.concatenate(end)
             np.add.at(removed, start, 1)
             np.add.at(removed, end + length - 1, -1)
-            removed = np.cumsum(removed)
+            np.cumsum(removed, out=removed)
         return pa.table(digest(docs, tokens, removed[:-1] > 0, ids), schema=out)
     return run
 
@@ -553,6 +553,7 @@ def without_repeats(docs: DataFrame, make: Callable, dtype, length: int, gram: i
 
     ``make`` turns the body column into :class:`Tokens`.  A null doc_id sorts first.
     """
+    small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = max(8, math.ceil(total / bucket_bytes))
     blocks = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "body").withColumn(
