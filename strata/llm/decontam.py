@@ -219,10 +219,13 @@ class Items:
             span = np.arange(scale * BLOCK)
             for lo in range(0, len(b), 8192):
                 p, q = b[lo:lo + 8192], e[lo:lo + 8192]
-                z = blocks[p].copy()
+                z = blocks[p]
                 for k in range(1, scale):
                     more = p + k < q
-                    z[more] += blocks[p[more] + k]
+                    if more.all():
+                        z += blocks[p + k]
+                    else:
+                        z[more] += blocks[p[more] + k]
                 z /= np.linalg.norm(z, axis=1, keepdims=True) + 1e-12
                 near = z @ self.vectors[own].T
                 ws, its = np.nonzero(near >= cosine)
