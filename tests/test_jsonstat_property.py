@@ -60,7 +60,7 @@ def brute_force(raw):
             break
         cell = tuple(sorted((d, labels.get(codes[i], codes[i])) for (d, codes, labels), i in zip(dims, combo)))
         v = values[pos]
-        out.add((pos, cell, None if v is None else float(v)))
+        out.add((pos, cell, None if v in (None, "..") else float(v)))
     return out
 
 
