@@ -12,7 +12,9 @@ known given name becomes another one of the same gender.
 
 Distinctness is checked over the whole corpus: a surrogate that two entities
 share, or that is itself an entity of the corpus, is drawn again (a higher
-attempt number) until none is left.  Texts without a candidate never leave
+attempt number) until none is left.  An entity whose format has no free surrogate
+after ``RELAX`` draws gets a longer one: digits or letters are added, a lone
+given name gets a surname, octets may have any length.  Texts without a candidate never leave
 their task; mentions are counted by entity before they are matched, so an
 entity in every document is no hot key.
 
@@ -29,6 +31,7 @@ from strata.llm.common import materialize, packed, unpacked
 
 KEY = "replace-with-a-secret"
 ROUNDS = 40
+RELAX = 8  # attempts that keep the format; later ones lengthen the surrogate
 
 # Alphabets by script, case and vowel class.
 ALPHABETS = (
@@ -43,6 +46,7 @@ ALPHABETS = (
     "王李张刘陈杨黄赵吴周徐孙马朱胡林郭何高罗", "김이박최정강조윤장임한오서신권황안송류홍",
 )
 HEX_DIGITS = "0123456789abcdef"
+LATIN = "abcdefghijklmnopqrstuvwxyz"
 # Given names by gender.
 FEMALE = ("Anna", "Clara", "Elena", "Emma", "Eva", "Ines", "Julia", "Laura", "Lena", "Lucia", "Maria", "Marie",
           "Marta", "Nina", "Nora", "Olga", "Paula", "Rosa", "Sara", "Sofia", "Анна", "Елена", "Мария", "Ольга")
@@ -102,55 +106,82 @@ def _draw(key: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat(F.lit(key), inner), 256), 1, 15), 16, 10).cast("long")
 
 
-def _letters(chars: Column, kept: Column, seed: tuple, key: str, alphabets=ALPHABETS) -> Column:
-    """Every character (from place ``kept`` on: unchanged) by one of its own alphabet."""
+def _letters(chars: Column, kept: Column, seed: tuple, key: str, alphabets=ALPHABETS, loose: Column | None = None) -> Column:
+    """Every character (from place ``kept`` on: unchanged) by one of its own alphabet; where
+    ``loose`` holds, a letter of no alphabet by a Latin one."""
     def swap(c: Column, i: Column) -> Column:
         n = _draw(key, *seed, i)
         pick = F.when(i >= kept, c)
         for a in alphabets:
             pick = pick.when(F.instr(F.lit(a), c) > 0,
                              F.substring(F.lit(a), (n % len(a) + 1).cast("int"), F.lit(1)))
+        if loose is not None:
+            latin = F.substring(F.lit(LATIN), (n % len(LATIN) + 1).cast("int"), F.lit(1))
+            pick = pick.when(loose & c.rlike(r"\p{L}"), F.when(c != F.lower(c), F.upper(latin)).otherwise(latin))
         return pick.otherwise(c)
     return F.array_join(F.transform(chars, swap), "")
 
 
+def _added(n: Column, seed: tuple, key: str, *alphabets: str) -> Column:
+    """``n`` drawn characters, of the alphabets in turn."""
+    def one(i: Column) -> Column:
+        r = _draw(key, *seed, F.lit("added"), i)
+        out = F.lit("")
+        for k, a in enumerate(alphabets):
+            out = F.when(i % len(alphabets) == k, F.substring(F.lit(a), (r % len(a) + 1).cast("int"), F.lit(1))).otherwise(out)
+        return out
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), one), "")).otherwise("")
+
+
 def _given(name: Column, n: Column) -> Column:
     """Another given name of the same gender and script, or null if ``name`` is no known one."""
     out = F.lit(None).cast("string")
     for group in (FEMALE, MALE):
         for cyrillic in (False, True):
             own = [x for x in group if (x[0] > "Ѐ") == cyrillic]
-            out = F.when(name.isin(own), F.get(F.array(*[F.lit(x) for x in own]), (n % len(own)).cast("int"))).otherwise(out)
+            out = F.when(name.isin(own), F.get(
+                F.array_remove(F.array(*[F.lit(x) for x in own]), name), (n % (len(own) - 1)).cast("int"))).otherwise(out)
     return out
 
 
 def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) -> Column:
-    """The normal form of an entity's surrogate."""
+    """The normal form of an entity's surrogate; from attempt ``RELAX`` on longer by the attempt."""
     seed = (kind, attempt, entity)
+    more = F.greatest(attempt - (RELAX - 1), F.lit(0))
+    loose = more > 0
+    digits = _added(more, seed, key, ALPHABETS[0])
     chars = F.filter(F.split(entity, ""), lambda c: c != "")
     n = F.length(entity)
     dot = n - F.length(F.substring_index(entity, ".", -1))  # an address keeps its top-level domain
-    email = _letters(chars, dot, seed, key)
-    hexes = _letters(chars, n, seed, key, (HEX_DIGITS,))
+    email = F.concat(_added(more, seed, key, LATIN), _letters(chars, dot, seed, key, loose=loose))
+    hexes = F.concat(_letters(chars, n, seed, key, (HEX_DIGITS,)), _added(more, seed, key, HEX_DIGITS))
     country = F.substring_index(entity, "|", 1)
     number = F.substring_index(entity, "|", -1)
-    phone = F.concat(country, F.lit("|"), _letters(F.split(number, ""), F.lit(1 << 30), seed, key, ALPHABETS[:1]))
-    plain = _letters(chars, n, seed, key, ALPHABETS[:1])
+    phone = F.concat(country, F.lit("|"), _letters(F.split(number, ""), F.lit(1 << 30), seed, key, ALPHABETS[:1]), digits)
+    plain = F.concat(_letters(chars, n, seed, key, ALPHABETS[:1]), digits)
     # the card's first digit tells its issuer, the last one is the check digit
-    middle = F.concat(F.substring(entity, 1, 1), _letters(F.slice(chars, F.lit(2), n - 2), n, seed, key, ALPHABETS[:1]))
+    middle = F.concat(F.substring(entity, 1, 1), _letters(F.slice(chars, F.lit(2), n - 2), n, seed, key, ALPHABETS[:1]), digits)
     check = (10 - luhn_sum(F.concat(middle, F.lit("0"))) % 10) % 10
     card = F.concat(middle, check.cast("string"))
 
     def octet(o: Column, i: Column) -> Column:
         r = _draw(key, *seed, i)
-        return F.when(F.length(o) == 1, r % 9 + 1).when(F.length(o) == 2, r % 90 + 10).otherwise(r % 156 + 100).cast("string")
+        return F.when(loose, r % 256).when(F.length(o) == 1, r % 9 + 1).when(F.length(o) == 2, r % 90 + 10).otherwise(r % 156 + 100).cast("string")
 
-    ip = F.array_join(F.transform(F.split(entity, r"\."), octet), ".")
+    # even all addresses may be taken
+    ip = F.concat(F.array_join(F.transform(F.split(entity, r"\."), octet), "."),
+                  _added(attempt - (2 * RELAX - 1), seed, key, ALPHABETS[0]))
     first = F.substring_index(entity, " ", 1)
     rest = F.slice(chars, F.length(first) + 1, F.greatest(n - F.length(first), F.lit(0)))
     given = F.coalesce(_given(first, _draw(key, *seed, F.lit("given"))),
-                       _letters(F.filter(F.split(first, ""), lambda c: c != ""), n, seed, key))
-    name = F.concat(given, _letters(rest, n, (*seed, F.lit("rest")), key))
+                       _letters(F.filter(F.split(first, ""), lambda c: c != ""), n, seed, key, loose=loose))
+    def tail(vowels: str, consonants: str) -> Column:
+        return F.when(F.instr(entity, " ") > 0, _added(2 * more, seed, key, vowels, consonants)).otherwise(
+            F.concat(F.lit(" "), F.initcap(_added(2 * more + 2, seed, key, vowels, consonants))))
+
+    name = F.concat(given, _letters(rest, n, (*seed, F.lit("rest")), key, loose=loose),
+                    F.when(~loose, "").when(first.rlike(r"^\p{IsCyrillic}"), tail(ALPHABETS[8], ALPHABETS[9]))
+                    .when(first.rlike(r"^\p{IsGreek}"), tail(ALPHABETS[12], ALPHABETS[13])).otherwise(tail(ALPHABETS[1], ALPHABETS[2])))
     return (F.when(kind == "email", email).when(kind == "key", hexes).when(kind == "phone", phone)
             .when(kind.isin("ssn", "account"), plain).when(kind == "card", card).when(kind == "ip", ip).otherwise(name))
 
@@ -158,15 +189,17 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) ->
 def in_format_of(mention: Column, kind: Column, core: Column) -> Column:
     """The surrogate ``core`` (a normal form) spelled the way the mention is."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
-    cased = F.array_join(F.transform(chars, lambda c, i: F.when(
-        c != F.lower(c), F.upper(F.substring(core, i + 1, F.lit(1)))).otherwise(F.substring(core, i + 1, F.lit(1)))), "")
+    more = F.greatest(F.length(core) - F.length(F.lower(mention)), F.lit(0))  # a longer surrogate has its new letters first
+    cased = F.concat(F.substring(core, F.lit(1), more), F.array_join(F.transform(chars, lambda c, i: F.when(
+        c != F.lower(c), F.upper(F.substring(core, more + i + 1, F.lit(1)))).otherwise(F.substring(core, more + i + 1, F.lit(1)))), ""))
     digits = F.regexp_replace(core, r"\|", "")
-    # a digit of the mention is the next one of the surrogate
+    # a digit of the mention is the next one of the surrogate; those left over follow
     numbered = F.aggregate(
         chars, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda acc, c: F.struct(
             F.concat(acc["out"], F.when(c.rlike(r"\d"), F.substring(digits, acc["at"], F.lit(1))).otherwise(c)).alias("out"),
-            (acc["at"] + F.when(c.rlike(r"\d"), 1).otherwise(0)).alias("at")), lambda acc: acc["out"])
+            (acc["at"] + F.when(c.rlike(r"\d"), 1).otherwise(0)).alias("at")),
+        lambda acc: F.concat(acc["out"], F.substring(digits, acc["at"], F.length(digits))))
     honorific = F.regexp_extract(mention, "^" + HONORIFIC + " ", 0)
     return (F.when(kind == "email", cased).when(kind.isin("phone", "card", "account", "ssn"), numbered)
             .when(kind == "name", F.concat(honorific, core)).otherwise(core))
@@ -184,7 +217,9 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
         taken = entities.select("kind", F.col("entity").alias("core"))
         if settled is not None:
             taken = taken.unionByName(settled.select("kind", "core"))
-        keepers = trial.groupBy("kind", "core").agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_n"))
+        # a longer surrogate must not show the entity either
+        keepers = (trial.filter(~F.col("core").contains(F.col("entity"))).groupBy("kind", "core")
+                   .agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_n")))
         free = keepers.join(taken.distinct(), ["kind", "core"], "left_anti").select("kind", "core", "entity")
         good = materialize(trial.join(free, ["kind", "core", "entity"], "left_semi"), f"pii-good{k}", few=True)
         settled = good if settled is None else settled.unionByName(good)
