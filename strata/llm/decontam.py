@@ -11,7 +11,10 @@
    right singular vectors and values.
 3. A third pass projects every text in blocks of 16 words.  Sums of neighbouring
    blocks are windows fitting each item's length; windows whose cosine with an
-   item reaches ``cosine`` are candidates.
+   item reaches ``cosine`` are candidates.  So are, whatever their cosine, windows
+   around a seed of the item, a pair of neighbouring words that few other items
+   have: words of an item in many passages weigh next to nothing, and other words
+   of the window would hide it.
 4. Candidates are checked on their words: the longest common subsequence must
    cover ``lcs`` of the item, or ``weak_lcs`` of it if the item's answer (its last
    ``answer_words`` words) stands in the window in one piece.
@@ -44,6 +47,8 @@ PASSAGE = 64
 BLOCK = 16
 PARTS = 8
 STEP = 1 << 15  # words per matrix step
+SEEDS = 8  # word pairs of an item, and as many again at most in its answer
+SEED_BITS = 22
 
 
 def _words(column) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +62,11 @@ def _feature(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - DIM_BITS)).astype(np.int64)
 
 
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """Hash of each word with the next one."""
+    return (words[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def _pieces(first: np.ndarray, size: int) -> np.ndarray:
     """Starts of the runs of ``size`` words that each text is cut into."""
     n = -(-np.diff(first) // size)
@@ -170,12 +180,11 @@ class Items:
             if a == b:
                 continue
             v = projection[_feature(words[a:b])].sum(axis=0)
-            norm = np.linalg.norm(v)
-            if norm:
-                self.ids.append(r["item_id"])
-                self.words.append(words[a:b].tolist())
-                vectors.append(v / norm)
-                scales.append(-(-(b - a + BLOCK - 1) // BLOCK))  # blocks that hold it wherever it starts
+            norm = np.linalg.norm(v)  # 0 if its words are in every passage
+            self.ids.append(r["item_id"])
+            self.words.append(words[a:b].tolist())
+            vectors.append(v / (norm or 1))
+            scales.append(-(-(b - a + BLOCK - 1) // BLOCK))  # blocks that hold it wherever it starts
         self.answers = [w[-answer_words:] for w in self.words]
         self.vectors = np.asarray(vectors, np.float32)
         self.scales = np.asarray(scales)
@@ -189,10 +198,55 @@ class Items:
             for i, x in enumerate(w):
                 mask[x] = mask.get(x, 0) | (1 << i)
             self.masks.append(mask)
+        self._plant(answer_words)
+
+    def _plant(self, answer_words: int) -> None:
+        """Choose each item's seeds: the pairs that fewest items have, in all of it and in its answer."""
+        pairs = [_pairs(np.array(w, np.uint64)) for w in self.words]
+        known, uses = np.unique(np.concatenate([np.unique(p) for p in pairs] or [np.zeros(0, np.uint64)]), return_counts=True)
+        keys, items, places = [], [], []
+        for i, p in enumerate(pairs):
+            order = np.argsort(uses[np.searchsorted(known, p)], kind="stable")
+            tail = order[order > len(p) - answer_words]
+            rare = order
+            if len(rare) > SEEDS:  # of equally rare ones, some from all over the item
+                same = uses[np.searchsorted(known, p[order])] <= uses[np.searchsorted(known, p[order[SEEDS - 1]])]
+                rare = order[same][np.linspace(0, same.sum() - 1, SEEDS).astype(int)]
+            own = np.union1d(rare, tail[:SEEDS])
+            keys.append(p[own])
+            items.append(np.full(len(own), i))
+            places.append(own)
+        keys = np.concatenate(keys or [np.zeros(0, np.uint64)])
+        order = np.argsort(keys, kind="stable")
+        self.seed_keys = keys[order]
+        self.seed_items = np.concatenate(items or [np.zeros(0, np.int64)])[order]
+        self.seed_places = np.concatenate(places or [np.zeros(0, np.int64)])[order]
+        self.seeded = np.zeros(1 << SEED_BITS, bool)
+        self.seeded[keys >> np.uint64(64 - SEED_BITS)] = True
+
+    def seed_windows(self, words: np.ndarray, text: np.ndarray, bounds: np.ndarray, begin: np.ndarray,
+                     stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, first block) of the windows that a seed points at, each once, in order of items."""
+        keys = _pairs(words)
+        at = np.flatnonzero(self.seeded[keys >> np.uint64(64 - SEED_BITS)])
+        lo, hi = (np.searchsorted(self.seed_keys, keys[at], side) for side in ("left", "right"))
+        at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        seed = spans_index(lo, n)
+        at = np.repeat(at, n)
+        block = np.searchsorted(bounds, at, side="right") - 1
+        # a pair across two texts points at the first one: harmless, as candidates are checked
+        own = text[block]
+        item = self.seed_items[seed]
+        lead = np.searchsorted(bounds, np.maximum(at - self.seed_places[seed], 0), side="right") - 1
+        last = np.maximum(stop[own] - self.scales[item], begin[own])
+        # words more or less before the seed shift the start
+        start = np.concatenate([np.clip(lead + k, begin[own], last) for k in (-1, 0)])
+        both = np.unique(np.tile(item, 2) * np.int64(len(bounds)) + start)
+        return both // len(bounds), both % len(bounds)
 
     def candidates(self, words: np.ndarray, first: np.ndarray, cosine: float,
                    share: float) -> Iterator[tuple[int, int, int, int, float]]:
-        """(item, text, first word, end word, cosine) of the windows near an item.
+        """(item, text, first word, end word, cosine) of the windows near an item or with a seed of it.
 
         Windows with fewer words of the item's features than ``share`` of its length
         cannot hold such a subsequence and are left out.
@@ -216,7 +270,6 @@ class Items:
             n = np.where(stop > begin, np.maximum(stop - begin - scale + 1, 1), 0)
             b = spans_index(begin[n > 0], n[n > 0])
             e = np.minimum(b + scale, stop[text[b]])
-            span = np.arange(scale * BLOCK)
             for lo in range(0, len(b), 8192):
                 p, q = b[lo:lo + 8192], e[lo:lo + 8192]
                 z = blocks[p]
@@ -229,14 +282,26 @@ class Items:
                 z /= np.linalg.norm(z, axis=1, keepdims=True) + 1e-12
                 near = z @ self.vectors[own].T
                 ws, its = np.nonzero(near >= cosine)
-                for at in range(0, len(ws), 4096):
-                    w, i = ws[at:at + 4096], own[its[at:at + 4096]]
-                    place = bounds[p[w]][:, None] + span
-                    inside = place < bounds[q[w]][:, None]
-                    held = self.has_feature[i[:, None], f[np.minimum(place, len(f) - 1)]] & inside
-                    for k in np.flatnonzero(held.sum(axis=1) >= share * self.sizes[i]):
-                        yield (int(i[k]), int(text[p[w[k]]]), int(bounds[p[w[k]]]), int(bounds[q[w[k]]]),
-                               float(near[w[k], its[at + k]]))
+                yield from self._held(own[its], p[ws], q[ws], near[ws, its], f, text, bounds, share)
+        item, p = self.seed_windows(words, text, bounds, begin, stop)
+        q = np.minimum(p + self.scales[item], stop[text[p]])
+        for lo in range(0, len(p), 4096):
+            i, b, e = item[lo:lo + 4096], p[lo:lo + 4096], q[lo:lo + 4096]
+            z = np.add.reduceat(blocks[spans_index(b, e - b)], np.cumsum(e - b) - (e - b), axis=0)
+            near = (z * self.vectors[i]).sum(axis=1) / (np.linalg.norm(z, axis=1) + 1e-12)
+            new = near < cosine  # the others came above
+            yield from self._held(i[new], b[new], e[new], near[new], f, text, bounds, share)
+
+    def _held(self, items: np.ndarray, p: np.ndarray, q: np.ndarray, near: np.ndarray, f: np.ndarray, text: np.ndarray,
+              bounds: np.ndarray, share: float) -> Iterator[tuple[int, int, int, int, float]]:
+        """The windows (blocks ``p`` to ``q``) with enough words of the item's features."""
+        for at in range(0, len(items), 4096):
+            i, b, e = items[at:at + 4096], p[at:at + 4096], q[at:at + 4096]
+            place = bounds[b][:, None] + np.arange(BLOCK * self.scales[i].max())
+            inside = place < bounds[e][:, None]
+            held = self.has_feature[i[:, None], f[np.minimum(place, len(f) - 1)]] & inside
+            for k in np.flatnonzero(held.sum(axis=1) >= share * self.sizes[i]):
+                yield int(i[k]), int(text[b[k]]), int(bounds[b[k]]), int(bounds[e[k]]), float(near[at + k])
 
     def lcs(self, item: int, words: list[int]) -> int:
         """Length of the longest common subsequence with an item, bit-parallel."""
@@ -293,8 +358,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 48, cosine: fl
     n_items = items.count()
     idf = feature_weights(body.select("body")) if n_items else None
     projection = None if idf is None else latent_projection(body.select("body"), idf, rank, seed)
-    if projection is None:
+    if idf is None:
         return none
+    if projection is None:  # no word tells passages apart: seeds alone
+        projection = np.zeros((DIMS, 1), np.float32)
     blocks = -(-n_items // item_block)
     out = none
     for k in range(blocks):  # one search per block of items
