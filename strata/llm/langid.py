@@ -7,7 +7,9 @@ lower-cased), so the score of a whole text, however long, is a sum of table
 look-ups over its positions and needs no feature vector.
 
 Learning takes a bounded sample of labelled rows: at most ``sample`` texts in
-all, the same number per language, drawn by a hash of the row id.  The model
+all, the same number per language, drawn by a hash of the row.  The hash's threshold
+has 64 bits and is raised while a language has too few rows below it, so no
+labelled language is missing from the model, however many rows it has.  The model
 (``dims`` x machines floats) is shipped to the tasks inside the function.
 
 Defined cases: null text, or text without a letter: ``und``, score 0; nothing
@@ -18,6 +20,7 @@ the first label in code point order; repeated rows are predicted alike.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -186,14 +189,26 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, dims: int = DIMS) -> Model:
     if not counts:
         return Model([], np.array([]), dims)
     each = max(20, sample // len(counts))
-    keep = F.lit(False)
-    draw = F.pmod(F.xxhash64("row_id", F.lit(11)), F.lit(1_000_000))
-    for lang, n in counts.items():
-        keep = keep | ((F.col("lang") == lang) & (draw < int(min(1.0, 1.2 * each / n) * 1_000_000)))
-    drawn = labelled.filter(keep).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "row_id")))
-    found = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
-             .mapInArrow(_count(dims), "lang string, x binary").collect())
+    draw = F.xxhash64("row_id", "body", F.lit(11))
+    share = {lang: 1.2 * each / n for lang, n in counts.items()}
+    found, missing = [], counts
+    while missing:
+        keep = F.lit(False)
+        for lang in missing:
+            below = int(share[lang] * 2 ** 64) - 2 ** 63
+            keep = keep | ((F.col("lang") == lang) & (F.lit(True) if share[lang] >= 1 else draw < below))
+        drawn = labelled.filter(keep).withColumn(
+            "_rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "row_id")))
+        rows = (drawn.filter(F.col("_rank") <= each).select("lang", "body")
+                .mapInArrow(_count(dims), "lang string, x binary").collect())
+        got = Counter(r["lang"] for r in rows)
+        # rows repeated very often share a hash: too few others may lie below
+        again = [lang for lang in missing if share[lang] < 1 and got[lang] < each / 2]
+        found += [r for r in rows if r["lang"] not in again]
+        share.update({lang: share[lang] * 16 for lang in again})
+        missing = again
+    if len({r["lang"] for r in found}) < len(counts):
+        raise RuntimeError("a labelled language has no row in the sample")
     found.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     rows = []
     for r in found:
