@@ -132,3 +132,28 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
        min(r)::BIGINT AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n.n
 """
+
+# CRC-32 of bytes in SQL: the table by its rule (reflected polynomial), then a fold over the bytes.
+CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) r(i))"""
+
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of the UTF-8 bytes of ``text``; needs crc_table in FROM."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+OP12 = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS size, {crc32("coalesce(text, '')")}::BIGINT AS text_crc32
+      FROM documents, crc_table),
+placed AS (SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins, sum(size) OVER () AS total FROM d),
+cut AS (SELECT *, least((2 * begins + size) * 8 // (2 * total), 7)::INT AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       NULL::INT AS grown_shard
+FROM cut
+"""

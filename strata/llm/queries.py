@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, ngram_join, oracles, pii, quality, secrets, substring_dedup, suffix_dedup
+from strata.llm import chat, decontam, langid, mixing, ngram_join, oracles, pii, quality, secrets, sharding, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -89,7 +89,7 @@ FROM common c JOIN chosen h USING (conv_id)
 
 
 ORACLES.update({"op1_suffix_array_dedup": oracles.OP1, "op3_secret_scan": oracles.OP3, "op5_substring_dedup": oracles.OP5,
-                "op6_quality_rules": oracles.OP6, "op8_ngram_jaccard_join": oracles.OP8})
+                "op6_quality_rules": oracles.OP6, "op8_ngram_jaccard_join": oracles.OP8, "op12_byte_shards": oracles.OP12})
 
 
 @query
@@ -138,3 +138,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.find_leaks(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query
+def op12_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = sharding.assign(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
