@@ -157,3 +157,58 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        NULL::INT AS grown_shard
 FROM cut
 """
+
+OP11 = f"""
+WITH RECURSIVE {CRC_TABLE},
+own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+        FROM conversations),
+convs AS (SELECT c, CASE WHEN c IS NULL THEN 0 ELSE {crc32("c::VARCHAR")} % 9 END AS h
+          FROM (SELECT DISTINCT c FROM own), crc_table),
+turns AS (SELECT v.c, o.i, o.role, o.text FROM convs v JOIN own o ON o.c IS NOT DISTINCT FROM v.c AND o.i > v.h
+          UNION ALL SELECT v.c, o.i, o.role, o.text FROM convs v JOIN own o ON o.c = v.c - v.c % 5 AND o.i <= v.h),
+seq AS (SELECT v.c, list(sha256(role || chr(0) || text) ORDER BY i) FILTER (WHERE i IS NOT NULL) AS s,
+               list(strlen(text) ORDER BY i) FILTER (WHERE i IS NOT NULL) AS b
+        FROM convs v LEFT JOIN turns t ON t.c IS NOT DISTINCT FROM v.c GROUP BY v.c),
+way AS (SELECT c, d, sha256(coalesce(array_to_string(s[1:d], ','), '')) AS k,
+               CASE WHEN d > 0 THEN sha256(coalesce(array_to_string(s[1:d - 1], ','), '')) END AS p,
+               CASE WHEN d > 0 THEN b[d] ELSE 0 END AS nb, d = coalesce(len(s), 0) AS last
+        FROM (SELECT *, unnest(range(0, coalesce(len(s), 0) + 1)) AS d FROM seq)),
+node AS (SELECT d, k, any_value(p) AS p, min(c) AS rep, count(*) AS n, any_value(nb) AS nb,
+                string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last) AS ends FROM way GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, p AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY d - 1, p),
+up(d, k, ad, ak) AS (
+  SELECT d, k, d, k FROM node
+  UNION ALL SELECT up.d, up.k, node.d - 1, node.p FROM up JOIN node ON node.d = up.ad AND node.k = up.ak WHERE node.d > 0),
+total AS (SELECT ad AS d, ak AS k, sum((n.n - 1) * n.nb) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+          FROM up JOIN node n ON n.d = up.d AND n.k = up.k LEFT JOIN kids ON kids.d = up.d AND kids.k = up.k GROUP BY ad, ak)
+SELECT node.rep AS conv_id, node.d::BIGINT AS depth, parent.rep AS parent_conv_id, node.n::BIGINT AS n_convs,
+       coalesce(kids.n, 0)::BIGINT AS n_children, total.leaves::BIGINT AS n_leaves, total.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN total ON total.d = node.d AND total.k = node.k LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k
+     LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.k = node.p
+"""
+
+OP13 = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS r FROM documents),
+each AS (SELECT doc_id, r, count(*) AS k FROM runs WHERE length(r) >= 5 GROUP BY ALL),
+h AS (SELECT r, k, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || r")} AS h FROM each, crc_table),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, k FROM h),
+v AS MATERIALIZED (SELECT word, sum(k)::BIGINT AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+less AS MATERIALIZED (
+  SELECT DISTINCT word, n, substr(word, 1, i) || substr(word, i + 2) AS part, length(word) AS m
+  FROM (SELECT *, unnest(range(0, length(word))) AS i FROM v)),
+close AS (SELECT a.word AS a, a.n AS n, b.word AS b, b.n AS bn FROM less a JOIN less b ON a.part = b.part AND a.m = b.m AND a.word <> b.word
+          UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN v b ON a.part = b.word
+          UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN v b ON a.part = b.word),
+near AS (SELECT * FROM close WHERE levenshtein(a, b) = 1),
+best AS (SELECT a, count(*) AS n_near, arg_min(b, (-bn, b)) AS b, max(bn) AS bn FROM near GROUP BY a),
+form AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * v.n THEN b END AS form,
+                CASE WHEN bn >= 2 * v.n THEN bn END AS form_n FROM v LEFT JOIN best ON best.a = v.word),
+chain(word, last, form) AS (SELECT word, word, form FROM form
+                    UNION ALL SELECT chain.word, form.word, form.form FROM chain JOIN form ON form.word = chain.form)
+SELECT form.word, form.form, chain.last AS root, form.n, form.n_near::BIGINT AS n_near, form.form_n::BIGINT AS form_n
+FROM form JOIN chain ON chain.word = form.word AND chain.form IS NULL
+"""

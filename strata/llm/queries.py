@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, ngram_join, oracles, pii, quality, secrets, sharding, substring_dedup, suffix_dedup
+from strata.llm import chat, decontam, langid, mixing, ngram_join, oracles, pii, prefix_trie, quality, secrets, sharding, spelling, substring_dedup, suffix_dedup
 from strata.llm.common import read
 
 QUERIES = {}
@@ -89,7 +89,8 @@ FROM common c JOIN chosen h USING (conv_id)
 
 
 ORACLES.update({"op1_suffix_array_dedup": oracles.OP1, "op3_secret_scan": oracles.OP3, "op5_substring_dedup": oracles.OP5,
-                "op6_quality_rules": oracles.OP6, "op8_ngram_jaccard_join": oracles.OP8, "op12_byte_shards": oracles.OP12})
+                "op6_quality_rules": oracles.OP6, "op8_ngram_jaccard_join": oracles.OP8, "op11_prefix_trie": oracles.OP11,
+                "op12_byte_shards": oracles.OP12, "op13_spelling_variants": oracles.OP13})
 
 
 @query
@@ -140,8 +141,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    nodes = prefix_trie.build(*prefix_trie.graft_heads(turns))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 @query
 def op12_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sharding.assign(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counted = spelling.count_words(spelling.drop_letters(runs.filter(F.length("word") >= 5)))
+    return spelling.group_variants(counted)
