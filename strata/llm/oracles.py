@@ -198,12 +198,11 @@ h AS (SELECT r, k, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || r")} AS h FRO
 w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, k FROM h),
 v AS MATERIALIZED (SELECT word, sum(k)::BIGINT AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
 less AS MATERIALIZED (
-  SELECT DISTINCT word, n, substr(word, 1, i) || substr(word, i + 2) AS part, length(word) AS m
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS part
   FROM (SELECT *, unnest(range(0, length(word))) AS i FROM v)),
-close AS (SELECT a.word AS a, a.n AS n, b.word AS b, b.n AS bn FROM less a JOIN less b ON a.part = b.part AND a.m = b.m AND a.word <> b.word
+near AS (SELECT a.word AS a, a.n AS n, b.word AS b, b.n AS bn FROM less a JOIN less b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
           UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN v b ON a.part = b.word
           UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN v b ON a.part = b.word),
-near AS (SELECT * FROM close WHERE levenshtein(a, b) = 1),
 best AS (SELECT a, count(*) AS n_near, arg_min(b, (-bn, b)) AS b, max(bn) AS bn FROM near GROUP BY a),
 form AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * v.n THEN b END AS form,
                 CASE WHEN bn >= 2 * v.n THEN bn END AS form_n FROM v LEFT JOIN best ON best.a = v.word),
