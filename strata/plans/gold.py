@@ -19,6 +19,7 @@ from strata.functions.values import classify, contains_ci, lookup, month_of_peri
 from strata.operators.aggregates import (MEDIAN_ACCURACY, class_slices, conditional_aggs,
                                          group_stats, headline_aggs, headline_stats,
                                          pivot_wide, sum_by)
+from strata.operators.selection import with_exact_median
 from strata.operators.spine import spine_join, spine_merge
 from strata.operators.trends import yoy
 
@@ -80,13 +81,16 @@ def permissions_trend(silver: DataFrame, run_date: str, filters: dict[str, str]
 
 
 def property_sales(silver: DataFrame, run_date: str, single_pass: bool = True,
-                   county: str = SALES_COUNTY, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+                   county: str = SALES_COUNTY, accuracy: int = MEDIAN_ACCURACY,
+                   exact_median: bool = False) -> DataFrame:
     """Yearly sales headline, YoY and new / second-hand breakdown.
 
     ``single_pass`` computes the class breakdown with conditional
     aggregates inside the headline aggregation -- one shuffle (A6); otherwise the
     source mart's shape -- a year x class aggregate filtered twice and left
     joined back (A4, J1) -- is used.  Both give the same rows.
+    ``exact_median`` replaces the sketched median by the exact one, for years of more
+    than ``accuracy`` sales, at the cost of a second pass.
     """
     df = silver.withColumn("sale_type", classify("property_description"))
     names = {"count": "total_sales", "avg": "avg_price_eur", "median": "median_price_eur",
@@ -99,6 +103,8 @@ def property_sales(silver: DataFrame, run_date: str, single_pass: bool = True,
         annual = headline_stats(df, ["year"], "price_eur", names, digits=0, accuracy=accuracy)
         slices = class_slices(df, ["year"], "price_eur", "sale_type", SALE_CLASSES, digits=0)
         annual = spine_join(annual, list(slices.values()), "year")
+    if exact_median:
+        annual = with_exact_median(annual, df, ["year"], "price_eur", "median_price_eur", digits=0)
     annual = yoy(annual, "avg_price_eur", "year", pct="yoy_price_change_pct", aggregated=True)
     return annual.withColumns({"county": F.lit(county), "gold_updated": F.lit(run_date)})
 
