@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,3 +90,49 @@ def ensure_year(df: DataFrame, run_year: int, col: str = "year") -> DataFrame:
     if col in df.columns:
         return df.withColumn(col, first_year(col))
     return df.withColumn(col, F.lit(int(run_year)))
+
+
+# Per cell: groups of digits may be joined by single underscores, as number literals are.
+_CELL_WHOLE = r"^\s*+[+-]?+[0-9]++(?:_[0-9]++)*+\s*+$"
+_CELL_DECIMAL = (r"^\s*+[+-]?+(?:[0-9]++(?:_[0-9]++)*+\.(?:[0-9]++(?:_[0-9]++)*+)?+|\.[0-9]++(?:_[0-9]++)*+)"
+                 r"(?:[eE][+-]?+[0-9]++(?:_[0-9]++)*+)?+\s*+$")
+
+
+def coerce_cell(col: Column | str) -> Column:
+    """One text cell as a VARIANT of its own type (P10, per cell).
+
+    Blank or null is null; text without ``.`` is a whole number (BIGINT, or DECIMAL up to 38
+    digits) if it reads as one; text with ``.`` a DOUBLE if it reads as one; anything
+    else stays text.  Whole numbers of more than 38 digits stay text, so no digit is lost.
+    """
+    c = F.col(f"`{col}`") if isinstance(col, str) else col
+    digits = F.trim(F.regexp_replace(c, r"[_\s]", ""))
+    variant = lambda x: x.cast(T.VariantType())
+    whole = F.coalesce(variant(digits.try_cast("bigint")), variant(digits.try_cast("decimal(38,0)")), variant(c))
+    return (F.when(c.isNull() | (c == ""), F.lit(None).cast(T.VariantType()))
+            .when(c.rlike(_CELL_WHOLE), whole)
+            .when(c.contains(".") & c.rlike(_CELL_DECIMAL), variant(digits.try_cast("double")))
+            .otherwise(variant(c)))
+
+
+def coerce_cells(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """String columns to VARIANT, each cell typed on its own (P10).
+
+    Unlike :func:`coerce_strings` no value of a column depends on its other values, so it
+    needs no pass over the column, and a column may hold numbers beside text.  VARIANT cells
+    go through Parquet, ``to_json`` (as JSON numbers, strings and nulls) and
+    ``try_variant_get`` unchanged.
+    """
+    cols = columns if columns is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.select(*[coerce_cell(c).alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
+
+
+def cell_kinds(df: DataFrame, columns: list[str], keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """Long form of VARIANT cells: ``keep``, column_name, kind (VOID, BIGINT, DECIMAL, DOUBLE,
+    STRING) and the value in the column of its kind."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("cell")) for c in columns]))
+    kind = F.regexp_extract(F.coalesce(F.schema_of_variant("cell"), F.lit("VOID")), "^[A-Z]+", 0)
+    of = lambda k, t: F.when(F.col("kind") == k, F.try_variant_get("cell", "$", t))
+    return (df.select(*keep, cells.alias("_c")).select(*keep, "_c.column_name", "_c.cell").withColumn("kind", kind)
+            .select(*keep, "column_name", "kind", of("BIGINT", "bigint").alias("whole"), of("DOUBLE", "double").alias("number"),
+                    F.coalesce(of("STRING", "string"), of("DECIMAL", "string")).alias("characters")))
