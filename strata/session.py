@@ -85,4 +85,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     a written table; never a machine-local path on a cluster.
     """
     base = ensure_checkpoint_dir(spark)
-    return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []  # folders this process has named
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this process; results that still read them end here.
+
+    Call it when the frames an operator returned have been written.  Returns how many
+    folders were named.
+    """
+    n = len(_scratch)
+    while _scratch:
+        remove_path(spark, _scratch.pop())
+    return n
