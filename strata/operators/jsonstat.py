@@ -17,7 +17,8 @@ built-in expressions:
   dimension by stride arithmetic and an equi-join on (document, position), so
   work is linear in cells plus categories, and a cube of any shape spreads
   over tasks by its positions (N4);
-* a category's label falls back to its code (N5).
+* a category's label falls back to its code (N5); of a key that an object repeats the
+  last entry counts, so every cell has one row.
 
 Only metadata ever reaches the driver: the distinct (dimension id, label)
 pairs used to name the columns of :func:`widen` (N6).
@@ -72,7 +73,11 @@ def _cube_col(field: str) -> Column:
     return F.coalesce(F.col(f"_doc.result.{field}"), F.col(f"_doc.{field}"))
 
 
-def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
+_SPARSE = T.StructType([T.StructField("result", T.StructType([T.StructField("value", T.MapType(T.StringType(), T.StringType()))])),
+                        T.StructField("value", T.MapType(T.StringType(), T.StringType()))])
+
+
+def parse(docs: DataFrame, body_col: str = "body", sparse: bool = False, count_col: str | None = None) -> DataFrame:
     """Parse documents into one row per document with unpack metadata.
 
     ``docs`` needs a text column ``body_col``; every other column is kept
@@ -82,10 +87,20 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
     ``dim_labels`` (dimension label, falling back to the id), ``strides``,
     ``n_cells`` (cells to emit: the shorter of the value array and the
     product of sizes), ``value`` and ``reason`` (null when accepted).
+
+    With ``sparse`` a ``value`` that is an object of positions is accepted too (its
+    entries are the column ``sparse``), else it is ``no_values``.  ``count_col`` names a
+    column with the number of values of documents whose cells are read apart.
     """
-    keep = [c for c in docs.columns if c != body_col]
+    keep = [c for c in docs.columns if c not in (body_col, count_col)]
+    # a second parse, of the documents without a value array only
+    second = F.from_json("_body", _SPARSE) if sparse else F.lit(None).cast(_SPARSE)
     parsed = docs.select(*keep, F.md5(F.col(body_col).cast("binary")).alias("doc"),
-                         F.from_json(F.col(body_col), DOCUMENT_SCHEMA).alias("_doc"))
+                         F.from_json(F.col(body_col), DOCUMENT_SCHEMA).alias("_doc"), F.col(body_col).alias("_body"),
+                         (F.col(count_col) if count_col else F.lit(0)).cast("int").alias("_apart"))
+    dense = F.coalesce("_doc.result.value", "_doc.value")
+    parsed = parsed.withColumn("_sparse", F.when(dense.isNull(), second) if sparse else second)
+    parsed = parsed.withColumn("_sparse", F.coalesce("_sparse.result.value", "_sparse.value"))
     parsed = parsed.select(
         *keep, "doc",
         F.col("_doc.error").alias("_error"),
@@ -93,7 +108,7 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
         _cube_col("id").alias("ids"),
         _cube_col("size").alias("sizes"),
         _cube_col("dimension").alias("_dimension"),
-        _cube_col("value").alias("value"),
+        _cube_col("value").alias("value"), F.col("_sparse").alias("sparse"), "_apart",
     )
     # Category order from one of three index spellings.
     codes = F.expr("""
@@ -102,16 +117,19 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
                AND size(from_json(_dimension[d].category.index, 'map<string,int>')) > 0
             THEN transform(
                    array_sort(transform(
-                     map_entries(from_json(_dimension[d].category.index, 'map<string,int>')),
-                     e -> named_struct('pos', e.value, 'code', e.key))),
+                     flatten(transform(array(array_sort(transform(
+                       map_entries(from_json(_dimension[d].category.index, 'map<string,int>')),
+                       (e, i) -> named_struct('code', e.key, 'at', i, 'pos', e.value)))),
+                       a -> filter(a, (e, i) -> i + 1 = size(a) OR get(a, i + 1).code <> e.code))),
+                     e -> named_struct('pos', e.pos, 'code', e.code))),
                    e -> e.code)
           WHEN ltrim(_dimension[d].category.index) LIKE '[%'
                AND size(from_json(_dimension[d].category.index, 'array<string>')) > 0
             THEN from_json(_dimension[d].category.index, 'array<string>')
-          ELSE coalesce(map_keys(_dimension[d].category.label), array())
+          ELSE coalesce(array_distinct(map_keys(_dimension[d].category.label)), array())
         END)""")
     parsed = parsed.select(
-        *keep, "doc", "_error", "_null_doc", "ids", "sizes", "_dimension", "value",
+        *keep, "doc", "_error", "_null_doc", "ids", "sizes", "_dimension", "value", "sparse", "_apart",
         codes.alias("codes"),
         F.expr("transform(ids, d -> _dimension[d].category.label)").alias("cat_labels"),
         F.expr("transform(ids, d -> coalesce(_dimension[d].label, d))").alias("dim_labels"),
@@ -120,8 +138,9 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
                               (a, x) -> a * cast(x AS BIGINT)))""").alias("strides"),
         F.expr("aggregate(sizes, 1L, (a, x) -> a * cast(x AS BIGINT))").alias("_cells_total"),
     )
-    parsed = parsed.withColumn(
-        "n_cells", F.least(F.size("value").cast("bigint"), F.col("_cells_total")))
+    given = F.greatest(F.size("value"), "_apart").cast("bigint")
+    parsed = parsed.withColumn("n_cells", F.when(F.col("sparse").isNotNull(), F.col("_cells_total"))
+                               .otherwise(F.least(given, F.col("_cells_total"))))
     # A dimension is short when a visited cell addresses a position past its
     # last code.  The highest position visited in dimension i over the first
     # n cells is size-1 after a full cycle, else (n-1) div stride.
@@ -137,12 +156,13 @@ def parse(docs: DataFrame, body_col: str = "body") -> DataFrame:
         F.when(F.col("_error").isNotNull(), F.lit("error_reply"))
         .when(F.col("_null_doc") | F.col("ids").isNull() | F.col("sizes").isNull()
               | F.col("_dimension").isNull(), F.lit("malformed"))
-        .when(F.col("value").isNull(), F.lit("no_values"))
+        .when(F.col("value").isNull() & F.col("sparse").isNull(), F.lit("no_values"))
         .when(bad_shape, F.lit("shape_mismatch"))
         .when(F.expr("exists(ids, d -> _dimension[d] IS NULL)"), F.lit("missing_dimension"))
         .when(short, F.lit("short_codes"))
     )
-    out = ["doc", "ids", "sizes", "codes", "cat_labels", "dim_labels", "strides", "n_cells", "value"]
+    out = ["doc", "ids", "sizes", "codes", "cat_labels", "dim_labels", "strides", "n_cells", "value",
+           *(["sparse"] if sparse else [])]
     # Bind the results through a one-row generator.  A later filter on
     # ``reason`` (or any derived column) then stops at the Generate instead
     # of being pushed down with the parse inlined into its condition, which
@@ -166,7 +186,8 @@ def empty_dimensions(parsed: DataFrame) -> DataFrame:
 
 
 _META_COLS = {"doc", "ids", "sizes", "codes", "cat_labels", "dim_labels", "strides",
-              "n_cells", "value", "reason"}
+              "n_cells", "value", "sparse", "reason"}
+SPARSE_BLOCK = 4096  # positions listed at a time
 
 
 def cells(parsed: DataFrame) -> DataFrame:
@@ -178,21 +199,56 @@ def cells(parsed: DataFrame) -> DataFrame:
     """
     keep = [c for c in parsed.columns if c not in _META_COLS]
     ok = parsed.filter(F.col("reason").isNull() & (F.col("n_cells") > 0))
-    return ok.select(*keep, "doc", "ids", "sizes", "strides",
-                     F.posexplode(F.expr("slice(value, 1, cast(n_cells AS INT))")).alias("pos", "value"))
+    own = [*keep, "doc", "ids", "sizes", "strides"]
+    dense = ok.select(*own, F.posexplode(F.expr("slice(value, 1, cast(n_cells AS INT))")).alias("pos", "value"))
+    if "sparse" not in parsed.columns:
+        return dense
+    # every position of a sparse cube, a block at a time, meets its entry by an equi-join
+    blocks = ok.filter(F.col("sparse").isNotNull()).select(
+        *own, "n_cells", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_cells") - 1) / SPARSE_BLOCK))).alias("_b"))
+    last = F.least((F.col("_b") + 1) * SPARSE_BLOCK, F.col("n_cells")) - 1
+    places = blocks.select(*own, F.explode(F.sequence(F.col("_b") * SPARSE_BLOCK, last)).alias("pos"))
+    filled = places.join(sparse_entries(ok).filter("inside").select("doc", "pos", "value"), ["doc", "pos"], "left")
+    return dense.withColumn("pos", F.col("pos").cast("long")).unionByName(filled.select(*own, "pos", "value"))
+
+
+_PLACE = r"^\s*+\+?+[0-9]{1,18}+\s*+$"
+
+
+def sparse_entries(parsed: DataFrame) -> DataFrame:
+    """Entries of sparse values: ``(doc, key, pos, value, inside)``, the last of a repeated
+    position; ``inside`` is false for a key that is no position of the cube."""
+    rows = parsed.filter(F.col("reason").isNull() & F.col("sparse").isNotNull()).select(
+        "doc", "n_cells", F.posexplode("sparse").alias("_at", "key", "value"))
+    rows = rows.withColumn("pos", F.when(F.col("key").rlike(_PLACE), F.trim("key").try_cast("bigint")))
+    rows = rows.withColumn("inside", F.coalesce(F.col("pos") < F.col("n_cells"), F.lit(False)))
+    spot = F.when(F.col("inside"), F.col("pos").cast("string")).otherwise(F.col("key"))
+    return (rows.groupBy("doc", "inside", spot.alias("_spot"))
+            .agg(F.max_by("key", "_at").alias("key"), F.max("pos").alias("pos"), F.max_by("value", "_at").alias("value"))
+            .select("doc", "key", "pos", "value", "inside"))
+
+
+def dropped_positions(parsed: DataFrame) -> DataFrame:
+    """Entries of sparse values that lie outside their cube: the documents' own columns,
+    ``key``, ``value``, ``reason``."""
+    keep = [c for c in parsed.columns if c not in _META_COLS]
+    return (parsed.select(*keep, "doc").join(sparse_entries(parsed).filter(~F.col("inside")), "doc")
+            .select(*keep, "key", "value", F.lit("position outside the cube").alias("reason")))
 
 
 def categories(parsed: DataFrame) -> DataFrame:
     """Category labels of the accepted documents (N5): ``(doc, dim_id, position, label)``.
 
     Codes and labels are exploded apart and joined, so a dimension of a
-    million categories costs a million rows each and no look-up per code.
+    million categories costs a million rows each and no look-up per code.  A key
+    that a label object repeats keeps its last label, as JSON objects are read.
     """
     ok = parsed.filter(F.col("reason").isNull() & (F.col("n_cells") > 0)).select("doc", "ids", "codes", "cat_labels")
     per_dim = ok.select("doc", F.inline(F.arrays_zip(
         F.col("ids").alias("dim_id"), F.col("codes").alias("codes"), F.col("cat_labels").alias("labels"))))
     codes = per_dim.select("doc", "dim_id", F.posexplode("codes").alias("position", "code")).distinct()
-    labels = per_dim.select("doc", "dim_id", F.explode("labels").alias("code", "label")).distinct()
+    labels = (per_dim.select("doc", "dim_id", F.posexplode("labels").alias("at", "code", "label"))
+              .groupBy("doc", "dim_id", "code").agg(F.max_by("label", "at").alias("label")))
     return (codes.join(labels, ["doc", "dim_id", "code"], "left")
             .select("doc", "dim_id", "position", F.coalesce("label", "code").alias("label")))
 
@@ -244,9 +300,11 @@ def column_name(dim_id: str, label: str | None) -> str:
 
 
 def widen(parsed: DataFrame, columns: list[tuple[str, str]], value_name: str = "metric_value",
-          keep: list[str] | None = None) -> DataFrame:
+          keep: list[str] | None = None, cell_rows: DataFrame | None = None) -> DataFrame:
     """One row per cell: a column per dimension plus the value as DOUBLE.
 
+    ``cell_rows`` replaces :func:`cells` for documents whose cells are read apart.
+
     Every dimension is one equi-join of the cells with that dimension's
     categories on (document, position); a column that several ids share takes
     the one the document has.  The categories are written to the scratch
@@ -265,7 +323,7 @@ def widen(parsed: DataFrame, columns: list[tuple[str, str]], value_name: str = "
         return F.when(i >= 0, F.pmod(F.floor(F.col("pos") / stride).cast("bigint"), size))
 
     places = [position(dim_id).cast("int").alias(f"_p{k}") for k, (dim_id, _) in enumerate(columns)]
-    rows = cells(parsed).select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate(keep)], "doc", "value", *places)
+    rows = (cells(parsed) if cell_rows is None else cell_rows).select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate(keep)], "doc", "value", *places)
     for k, (dim_id, _) in enumerate(columns):
         own = cats.filter(F.col("dim_id") == dim_id).select(
             F.col("doc"), F.col("position").alias(f"_p{k}"), F.col("label").alias(f"_l{k}"))
@@ -279,12 +337,12 @@ def widen(parsed: DataFrame, columns: list[tuple[str, str]], value_name: str = "
 
 
 def unpack(docs: DataFrame, body_col: str = "body", columns: list[tuple[str, str]] | None = None,
-           keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, sparse: bool = False) -> DataFrame:
     """Documents to a wide table: one row per cell, one column per dimension.
 
     All documents of ``docs`` land in one table (N8); a dimension absent from
     a document is null in its rows.  Pass ``columns`` to skip the small
     discovery job that names the columns.
     """
-    parsed = parse(docs, body_col)
+    parsed = parse(docs, body_col, sparse)
     return widen(parsed, dimension_columns(parsed) if columns is None else columns, keep=keep)

@@ -71,3 +71,16 @@ def with_previous(df: DataFrame, order: list[str], columns: list[str], keys: lis
         same = same & F.col(f"_before.`{k}`").eqNullSafe(F.col(f"`{k}`"))
     picked = F.struct(*[F.col(f"_before.`{c}`").alias(c) for c in columns])
     return out.withColumn(name, F.when(F.col("_before").isNotNull() & same, picked)).drop(RANGE, "_before", "_last")
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
+    """``df`` plus ``name``: the place of each row in ``order`` (nulls first), from 0.
+
+    The numbers of one global ``row_number``, from places within ranges and the carried
+    counts of the ranges before; rows equal in ``order`` are numbered arbitrarily.
+    """
+    held = into_ranges(df, order, "numbered")
+    counts = carried(held.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_rows")), ["_rows"])
+    inside = Window.partitionBy(RANGE).orderBy(*nulls_first(order))
+    return (held.join(F.broadcast(counts), RANGE).withColumn(name, (F.col("_rows") + F.row_number().over(inside) - 1).cast("long"))
+            .drop(RANGE, "_rows"))
