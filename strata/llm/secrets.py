@@ -10,7 +10,8 @@ only kept when it is live.
 
 Counting goes by (hash, owner, repository), then (hash, owner), then hash, each
 with partial sums, so a value in every document is no hot key.  Texts are read
-once; only candidates are shuffled.
+once; only candidates are shuffled.  Spans of one text are compared in one sorted
+pass, so a text of many spans takes time in proportion.
 
 Defined cases: null text is empty; a null owner or repository is one of its
 own; rows repeated with one id and text count once and get equal results; an
@@ -19,7 +20,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialize
@@ -77,12 +78,15 @@ def scan(docs: DataFrame, max_owners: int = 2, max_repos: int = 20, id_col: str
                        F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     rows = materialize(with_candidates(rows, "body").select(
         "doc_id", F.xxhash64("body").alias("h"), "owner", "repo", "found"), "secret-candidates")
-    # a bare token inside a base span is that span
-    outside = lambda s, all_: (s["kind"] < 3) | ~F.exists(
-        all_, lambda b: (b["kind"] < 3) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    rows = rows.withColumn("found", F.filter("found", lambda s: outside(s, F.col("found"))))
-    each = rows.filter(F.size("found") > 0).select(
-        "doc_id", "h", "owner", "repo", F.explode("found").alias("s")).withColumn("hash", F.sha2(F.col("s.value"), 256))
+    each = rows.filter(F.size("found") > 0).select("doc_id", "h", "owner", "repo", F.explode("found").alias("s"))
+    # a bare token inside a base span is that span: of all base spans that start before the
+    # token ends, the one that reaches furthest must end before it starts
+    is_base = F.col("s.kind") < 3
+    upto = (Window.partitionBy("doc_id", "h").orderBy(F.when(is_base, F.col("s.start")).otherwise(F.col("s.end") - 1), "s.kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumn("reach", F.max(F.when(is_base, F.col("s.end"))).over(upto))
+    each = each.filter(is_base | F.col("reach").isNull() | (F.col("reach") <= F.col("s.start"))).drop("reach")
+    each = each.withColumn("hash", F.sha2(F.col("s.value"), 256))
     owners = ownership(each)
     live = looks_random(F.col("s.value")) & (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
     judged = (each.join(owners, "hash").withColumn("live", live).filter((F.col("s.kind") < 3) | F.col("live"))
