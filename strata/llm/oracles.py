@@ -95,7 +95,7 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
              {", ".join(f"CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} ELSE 0 END AS {r}" for r, (a, b) in _RATIOS.items())}
       FROM m),
 good AS (SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL),
-held AS (SELECT f.*, good FROM f JOIN good ON good.doc_id = f.doc_id WHERE NOT base_failed),
+held AS (SELECT DISTINCT f.doc_id, lang, {", ".join(RULES)}, good FROM f JOIN good ON good.doc_id = f.doc_id WHERE NOT base_failed),
 grid(c) AS (VALUES {", ".join(f"({c}::DOUBLE)" for c in GRID)}),
 val AS ({" UNION ALL ".join(f"SELECT lang, good, '{r}' AS rule, {r} AS v FROM held" for r in RULES)}),
 test AS (SELECT lang, rule, c, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND v > c) AS wrong,

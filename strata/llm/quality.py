@@ -118,10 +118,14 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def admitted_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float = ALPHA, delta: float = DELTA,
                      rules=RULES, grid=GRID) -> DataFrame:
-    """One row per stratum: ``stratum`` and a cutoff (or null) for each rule."""
+    """One row per stratum: ``stratum`` and a cutoff (or null) for each rule.
+
+    A trial is a distinct labelled document: rows repeated with one id and equal measures
+    count once, so that the binomial bound holds.
+    """
     good = labels.groupBy("doc_id").agg((F.min("quality") == 1).alias("_good")).filter(F.col("_good").isNotNull())
     held = measured.filter(~base_failed()).select(F.col("doc_id").alias("_id"), F.col(stratum).alias("stratum"),
-                                                  *[ratio(r).alias(r) for r in rules])
+                                                  *[ratio(r).alias(r) for r in rules]).distinct()
     held = held.join(good, F.col("_id") == F.col("doc_id"))
     counts = [F.count(F.when(F.col("_good"), 1)).alias("n")]
     for j, rule in enumerate(rules):

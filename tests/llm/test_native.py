@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -55,6 +56,32 @@ def test_secret_edge_rows(spark):
     assert secrets.scan(df.limit(0)).collect() == []
 
 
+def test_secret_spans_of_one_text_take_linear_time(spark):
+    """100,000 spans in one text, bare tokens inside and outside of base spans."""
+    text = "token=abcdefgh q8Zt4LmN2xWv7RkP1sYb password: h3Jd9Tc5Vf0Gq6Ba8Xe2 " * 33_334
+    df = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    begun = time.perf_counter()
+    spans = secrets.scan(df).first()["spans"]
+    assert [sum(s["kind"] == k for s in spans) for k in range(4)] == [66_668, 0, 0, 33_334]
+    assert time.perf_counter() - begun < 60
+
+
+def test_secret_tokens_inside_base_spans(spark):
+    """A bare token counts only outside of all base spans, however they overlap."""
+    rng = random.Random(6)
+    own = "h3Jd9Tc5Vf0Gq6Ba8Xe2"
+    bare = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+    parts = [own, f"token={own}", f"{own}=", "token=abcdef." + own, "deadbeef" * 4, f"x-{own}", "AKIA" + "Q7" * 9, f"key: {own}", "plain"]
+    rows = [(i, " ".join(rng.choices(parts, k=rng.randint(1, 8))), "s") for i in range(18)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in secrets.scan(df, max_repos=100).collect():
+        text = rows[r.doc_id][1]
+        base = base_spans(text)
+        want = [(m.start(), m.end()) for m in bare.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+                and not any(s < m.end() and m.start() < e for s, _, e in base)]
+        assert [(s.start, s.end) for s in r.spans if s.kind == 3] == want
+
+
 def counts(text):
     w = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
@@ -105,6 +132,19 @@ def test_quality_cutoffs_keep_their_promise(spark):
     assert quality.judge(docs.limit(0), lab).collect() == []
 
 
+def test_repeated_rows_are_one_trial(spark):
+    """Too few labelled documents for a cutoff stay too few when their rows are repeated."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = [(i, " ".join(word() + ("$" if i % 10 == 0 else "") for _ in range(60)), "en") for i in range(200)]
+    lab = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(200)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    many = spark.createDataFrame(rows * 20, "doc_id long, text string, lang string")
+    kept = lambda df: {r.doc_id: r.kept for r in quality.judge(df, lab).collect()}
+    once = kept(docs)
+    assert kept(many) == once and all(once.values())
+
+
 TEXT = ("Call Mrs. Anna Müller or Herr Иван Петров, +44 20 7946 0958; 123-45-6789; 4111-1111-1111-1111 "
         "bob@X.org Bob@x.org. Version 1.2.3.4.5 and 10.0.0.1. key 04dbebab91ab85687d33eeaaf9ac699e1188f962!")
 
