@@ -27,11 +27,16 @@ from strata.fixed_values import CUBE_SOURCES, GOLD_TABLES, SILVER_PATHS
 from strata.operators.quality import LANDING_FOLDERS, null_count
 from strata.plans import gold
 from strata.operators import jsonstat
+from strata.plans.publish import is_one_of, joint_marks, publish_together, refresh_from, refresh_mart, refresh_table
 from strata.plans.silver import cube_silver_parsed, read_sales, rents_silver, sales_silver
 from strata.plans.sinks import ensure_database, register_external, write_partitioned
 from strata.sources.documents import read_documents
 from strata.sources.files import REJECT_SCHEMA, newest_snapshot_files, read_csv_by_header
 
+# Columns that tell the run, not the data
+RUN_COLUMNS = ("ingestion_date", "gold_updated")
+
+
 def _checks() -> dict:
     return {"rows": F.count(F.lit(1)), "null_years": null_count("year")}
 
@@ -39,7 +44,7 @@ def _checks() -> dict:
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: str,
                      run_year: int | None = None, latest_only: bool = True,
                      database: str | None = None,
-                     database_location: str | None = None) -> dict[str, dict]:
+                     database_location: str | None = None, incremental: bool = False) -> dict[str, dict]:
     """Clean the four Bronze sources into year-partitioned Silver Parquet.
 
     Bronze is append-only, so every monthly run lands another snapshot of
@@ -55,6 +60,8 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     and for sales the rows dropped for unparseable dates).  Sources whose
     folder is missing or holds nothing are skipped, as the source job does.
     With ``database`` each Silver table is also registered (``silver_<name>``).
+    ``incremental`` rewrites only the years whose rows differ from the last run's (see
+    :func:`strata.plans.publish.refresh_table`) and adds those years as ``rewritten``.
     """
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
     run_year = run_year or int(run_date[:4])
@@ -65,6 +72,13 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         paths, old = newest_snapshot_files(spark, root, glob, folders) if latest_only else (root, [])
         return paths, spark.createDataFrame([(p, "superseded", None) for p in old], REJECT_SCHEMA)
 
+    def store(name: str, df: DataFrame) -> dict:
+        path = f"{silver}/{SILVER_PATHS[name]}"
+        if not incremental:
+            return write_partitioned(df, path, checks=_checks()).get
+        done = refresh_table(df, path, ignore=RUN_COLUMNS, checks=_checks())
+        return {**done["observed"], "rewritten": done["rewritten"]}
+
     def set_aside(name: str, rejects: DataFrame) -> None:
         rejects.write.mode("overwrite").json(f"{silver}/_rejects/{name}")
 
@@ -78,9 +92,9 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         parsed = jsonstat.parse(docs.select("path", "body")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             df, rejects = cube_silver_parsed(parsed, code, run_date)
-            obs = write_partitioned(df, f"{silver}/{SILVER_PATHS[name]}", checks=_checks())
+            observed = store(name, df)
             set_aside(name, rejects.select("path", "reason").unionByName(superseded, allowMissingColumns=True))
-            return name, obs.get, df
+            return name, observed, df
         finally:
             parsed.unpersist()
 
@@ -91,8 +105,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
         if raw is None or not raw.columns:
             return None
         df = rents_silver(raw, run_date, run_year)
-        obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['rent_by_county']}", checks=_checks())
-        return "rent_by_county", obs.get, df
+        return "rent_by_county", store("rent_by_county", df), df
 
     def sales():
         paths, superseded = source("sales_register", "*.csv", ())
@@ -102,8 +115,8 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
             return None
         df, dropped = sales_silver(raw, run_date)
         df = df.drop("source_file")
-        obs = write_partitioned(df, f"{silver}/{SILVER_PATHS['sales_register']}", checks=_checks())
-        return "sales_register", {**obs.get, **dropped.get}, df
+        observed = store("sales_register", df)
+        return "sales_register", {**observed, **dropped.get}, df
 
     # the four sources are independent: their jobs are submitted side by side
     tasks = [(cube, (n, c)) for n, c in CUBE_SOURCES.items()] + [(rents, ()), (sales, ())]
@@ -122,22 +135,27 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_date: st
     return metrics
 
 
+def _marts(run_date: str, exact_median: bool) -> dict:
+    """Per mart: the Silver table it reads, its builder, and whether it looks back a year."""
+    return {
+        "price": ("house_price_index", lambda df: gold.price_index(df, run_date), False),
+        "rent": ("rent_by_county", lambda df: gold.rent_trends(df, run_date), True),
+        "perms": ("new_dwelling_completions", lambda df: gold.permissions_trend(df, run_date), True),
+        "sales": ("sales_register", lambda df: gold.property_sales(df, run_date, exact_median=exact_median), True),
+    }
+
+
 def silver_to_gold(spark: SparkSession, silver: str, gold_root: str, run_date: str,
                    database: str | None = None, database_location: str | None = None,
-                   summary_options: dict | None = None) -> dict[str, str]:
+                   summary_options: dict | None = None, exact_median: bool = False) -> dict[str, str]:
     """Build, write and register the five Gold marts; returns table -> path.
 
     ``summary_options`` are passed to :func:`gold.crisis_summary` (for
-    example another ``dublin_needle``).
+    example another ``dublin_needle``); ``exact_median`` to :func:`gold.property_sales`.
     """
     silver, gold_root = silver.rstrip("/"), gold_root.rstrip("/")
     read = lambda name: spark.read.parquet(f"{silver}/{SILVER_PATHS[name]}")
-    marts: dict[str, DataFrame] = {
-        "price": gold.price_index(read("house_price_index"), run_date),
-        "rent": gold.rent_trends(read("rent_by_county"), run_date),
-        "perms": gold.permissions_trend(read("new_dwelling_completions"), run_date),
-        "sales": gold.property_sales(read("sales_register"), run_date),
-    }
+    marts: dict[str, DataFrame] = {key: build(read(name)) for key, (name, build, _) in _marts(run_date, exact_median).items()}
     paths = {key: f"{gold_root}/{GOLD_TABLES[key]}" for key in marts}
     # the four marts read different Silver tables: submit their writes together so
     # their (often small) jobs share the cluster instead of queueing one by one
@@ -154,3 +172,51 @@ def silver_to_gold(spark: SparkSession, silver: str, gold_root: str, run_date: s
         for key, df in {**marts, "summary": summary}.items():  # schemas of the written frames
             register_external(spark, database, GOLD_TABLES[key], paths[key], df)
     return {GOLD_TABLES[k]: p for k, p in paths.items()}
+
+
+def publish_gold(spark: SparkSession, silver: str, run_date: str, database: str, database_location: str | None = None,
+                 summary_options: dict | None = None, exact_median: bool = False, keep: int = 2) -> dict[str, str]:
+    """The five marts as views that never miss a row while they are rebuilt; view -> version table.
+
+    All four marts are written as new versions, then the summary of these versions, and
+    only then are the views switched, one catalog operation each.  A run that fails leaves every
+    view on its old version.  See :mod:`strata.plans.publish`.
+    """
+    ensure_database(spark, database, database_location)
+    silver = silver.rstrip("/")
+    read = lambda name: spark.read.parquet(f"{silver}/{SILVER_PATHS[name]}")
+    frames = {GOLD_TABLES[key]: build(read(name)) for key, (name, build, _) in _marts(run_date, exact_median).items()}
+
+    def summary(written: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        by_key = {k: written[GOLD_TABLES[k]] for k in ("price", "rent", "perms", "sales")}
+        return {GOLD_TABLES["summary"]: gold.crisis_summary(by_key["price"], by_key["rent"], by_key["perms"], by_key["sales"],
+                                                            run_date, **(summary_options or {}))}
+    return publish_together(frames, spark, database, keep=keep, then=summary)
+
+
+def refresh_gold(spark: SparkSession, silver: str, gold_root: str, run_date: str, summary_options: dict | None = None,
+                 exact_median: bool = False) -> dict[str, dict[str, list]]:
+    """Rebuild only the years of the marts whose Silver rows changed (Silver written with
+    ``bronze_to_silver(incremental=True)``).
+
+    A mart with a change against the year before is rebuilt for the next year too.  The summary
+    follows the years in which any of the four marts now differs from what it was built
+    from.  Returns, per mart, the years changed, rebuilt and read.
+    """
+    silver, gold_root = silver.rstrip("/"), gold_root.rstrip("/")
+    paths = {key: f"{gold_root}/{name}" for key, name in GOLD_TABLES.items()}
+    marts = _marts(run_date, exact_median)
+    out: dict[str, dict[str, list]] = {}
+    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+        tasks = {key: pool.submit(refresh_mart, spark, f"{silver}/{SILVER_PATHS[name]}", paths[key], build, "year", back)
+                 for key, (name, build, back) in marts.items()}
+        for key, done in tasks.items():
+            out[GOLD_TABLES[key]] = done.result()
+    written = {k: spark.read.parquet(paths[k]) for k in marts}
+
+    def summary(years: list | None) -> DataFrame:
+        part = {k: df if years is None else df.filter(is_one_of("year", years)) for k, df in written.items()}
+        return gold.crisis_summary(part["price"], part["rent"], part["perms"], part["sales"], run_date, **(summary_options or {}))
+    out[GOLD_TABLES["summary"]] = refresh_from(spark, joint_marks(written, ignore=RUN_COLUMNS), paths["summary"], summary,
+                                               reads_previous=False)
+    return out

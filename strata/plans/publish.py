@@ -81,9 +81,15 @@ def publish(df: DataFrame, db: str, name: str, by: list[str] | tuple[str, ...] =
 
 
 def publish_together(frames: dict[str, DataFrame], spark: SparkSession, db: str, by: list[str] | tuple[str, ...] = ("year",),
-                     keep: int = 2) -> dict[str, str]:
-    """Publish several marts: all are written before any is switched."""
+                     keep: int = 2, then: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None) -> dict[str, str]:
+    """Publish several marts: all are written before any is switched.
+
+    ``then`` makes further marts from the written versions of the first ones.
+    """
     versions = {name: write_version(df, db, name, by) for name, df in frames.items()}
+    if then:
+        written = {name: spark.table(f"`{db}`.`{version}`") for name, version in versions.items()}
+        versions.update({name: write_version(df, db, name, by) for name, df in then(written).items()})
     for name, version in versions.items():
         switch(spark, db, name, version)
     for name in versions:
@@ -138,7 +144,7 @@ def _null_first(v):
     return (v is not None, v)
 
 
-def _is_one_of(by: str, years: list):
+def is_one_of(by: str, years: list):
     hit = F.col(by).isin([y for y in years if y is not None])
     return hit | F.col(by).isNull() if None in years else hit
 
@@ -151,20 +157,23 @@ def write_marked(df: DataFrame, path: str, by: str = "year", sort_by: tuple[str,
     _store(fingerprints(spark.read.parquet(path), by), marks)
 
 
-def refresh_table(df: DataFrame, path: str, by: str = "year") -> dict[str, list]:
+def refresh_table(df: DataFrame, path: str, by: str = "year", ignore: tuple[str, ...] = (),
+                  checks: dict | None = None) -> dict[str, list]:
     """Bring the table at ``path`` to the rows of ``df``, rewriting only years that differ (K1).
 
     ``df`` is written once beside the table, its fingerprints compared with the stored
     ones, and the changed years copied over with a dynamic overwrite.  A year that ``df`` no
     longer holds makes it a full rewrite, as no overwrite removes a folder.  Fingerprints of
     years about to be rewritten are taken off first, so that a run that dies half-way leaves
-    them to the next one.
+    them to the next one.  Columns in ``ignore`` (a run's date, say) do not make rows differ;
+    a year that is left alone keeps their old values.  ``checks`` are observed on the first
+    write and returned as ``observed``.
     """
     spark, stored = df.sparkSession, _beside(path, "fingerprints")
     staged = f"{_beside(path, 'staged')}-{uuid.uuid4().hex[:8]}"
-    write_partitioned(df, staged, (by,))
+    observed = write_partitioned(df, staged, (by,), checks=checks)
     rows = spark.read.schema(df.schema).parquet(staged)
-    marks = fingerprints(rows, by)
+    marks = fingerprints(rows.drop(*ignore), by)
     old = _read_or_none(spark, stored)
     new, gone = changed(marks, old, by)
     if old is None or gone:
@@ -173,11 +182,11 @@ def refresh_table(df: DataFrame, path: str, by: str = "year") -> dict[str, list]
         write_partitioned(rows, path, (by,))
     elif new:
         _forget(spark, stored, new, by)
-        _overwrite_years(rows.filter(_is_one_of(by, new)), path, by)
+        _overwrite_years(rows.filter(is_one_of(by, new)), path, by)
     if old is None or gone or new:
         _store(marks, stored)
     remove_path(spark, staged)
-    return {"rewritten": new, "gone": gone}
+    return {"rewritten": new, "gone": gone, **({"observed": observed.get} if observed else {})}
 
 
 def _forget(spark: SparkSession, stored: str, years: list | None, by: str) -> None:
@@ -203,22 +212,32 @@ def refresh_mart(spark: SparkSession, silver: str, gold: str, build: Callable[[D
 
     ``silver`` is a table of :func:`write_marked` or :func:`refresh_table`; its stored
     fingerprints are compared with those the mart was built from, so unchanged years are not
-    read at all.  With ``reads_previous`` the mart compares a year with the one before: then the
-    year after each changed one is rebuilt too, and every rebuilt year's predecessor is
-    read.  Returns the years ``changed``, ``rebuilt`` and ``read``.
+    read at all.  Returns the years ``changed``, ``rebuilt`` and ``read``.
     """
-    now = _read_or_none(spark, _beside(silver, "fingerprints"))
-    if now is None:
+    marks = _read_or_none(spark, _beside(silver, "fingerprints"))
+    if marks is None:
         raise ValueError(f"{silver} has no stored fingerprints")
+    table = spark.read.parquet(silver)
+    return refresh_from(spark, marks, gold, lambda years: build(table if years is None else table.filter(is_one_of(by, years))),
+                        by, reads_previous)
+
+
+def refresh_from(spark: SparkSession, marks: DataFrame, gold: str, build: Callable[[list | None], DataFrame], by: str = "year",
+                 reads_previous: bool = True) -> dict[str, list]:
+    """Rebuild the years of the mart at ``gold`` whose ``marks`` differ from those it was built from.
+
+    ``build`` is given the years to read (None: all) and returns the mart of these years.
+    With ``reads_previous`` the mart compares a year with the one before: then the year after
+    each changed one is rebuilt too, and every rebuilt year's predecessor is read.
+    """
     built_from = _beside(gold, "built_from")
     before = _read_or_none(spark, built_from)
-    new, gone = changed(now, before, by)
-    years = sorted((r[0] for r in now.select(by).collect()), key=_null_first)
-    table = spark.read.parquet(silver)
+    new, gone = changed(marks, before, by)
+    years = sorted((r[0] for r in marks.select(by).collect()), key=_null_first)
     if before is None or gone:
         _forget(spark, built_from, None, by)
-        write_partitioned(build(table), gold, (by,))
-        _store(now, built_from)
+        write_partitioned(build(None), gold, (by,))
+        _store(marks, built_from)
         return {"changed": new, "rebuilt": years, "read": years}
     follows = dict(zip(years, years[1:])) if reads_previous else {}
     rebuilt = sorted({*new, *(follows[y] for y in new if y in follows)}, key=_null_first)
@@ -226,6 +245,17 @@ def refresh_mart(spark: SparkSession, silver: str, gold: str, build: Callable[[D
     read = sorted({*rebuilt, *(leads[y] for y in rebuilt if y in leads)}, key=_null_first)
     if rebuilt:
         _forget(spark, built_from, rebuilt, by)
-        _overwrite_years(build(table.filter(_is_one_of(by, read))).filter(_is_one_of(by, rebuilt)), gold, by)
-        _store(now, built_from)
+        _overwrite_years(build(read).filter(is_one_of(by, rebuilt)), gold, by)
+        _store(marks, built_from)
     return {"changed": new, "rebuilt": rebuilt, "read": read}
+
+
+def joint_marks(tables: dict[str, DataFrame], by: str = "year", ignore: tuple[str, ...] = ()) -> DataFrame:
+    """One fingerprint per year over several tables, for a mart that joins them."""
+    every = None
+    for name, df in tables.items():
+        own = fingerprints(df.drop(*ignore), by)
+        one = own.select(by, F.xxhash64(F.lit(name), *[F.col(c) for c in own.columns if c != by]).alias("h"))
+        every = one if every is None else every.unionByName(one)
+    return every.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("h0"),
+                                 F.sum(F.shiftrightunsigned("h", 32)).alias("h1"))

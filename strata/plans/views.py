@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from strata.fixed_values import (LOCATION_EXTRA_CHARS, PRICES_COLUMNS, RENTS_COLUMNS, SALES_COLUMNS,
                                  SUMMARY_COLUMNS, TYPE_EXTRA_CHARS)
 from strata.functions.values import contains_ci
+from strata.operators.search import search_rows
+
 
 def clean_param(value: str | None) -> str | None:
     """Strip blanks, then quotes, from a raw parameter."""
@@ -69,6 +71,22 @@ def rents(gold: DataFrame, location: str | None = None, from_year=None, to_year=
     return _top(df.select(*RENTS_COLUMNS).orderBy("location", "year"), limit)
 
 
+def rents_of_many(gold: DataFrame, index: str, locations: list[str], from_year=None, to_year=None) -> DataFrame:
+    """V2 for many location texts at once: ``location_searched`` and the rents rows it matches.
+
+    ``index`` is a location index written with the Gold table
+    (:func:`strata.operators.search.write_index`), so no text is compared with every
+    location.  Texts are cleaned as for :func:`rents`; those of which nothing is left match
+    nothing here.
+    """
+    spark = gold.sparkSession
+    cleaned = [(c,) for c in {clean_text(x, LOCATION_EXTRA_CHARS) for x in locations} if c]
+    needles = spark.createDataFrame(cleaned, "needle string")
+    found = search_rows(spark, index, needles, _years(gold, from_year, to_year), "location")
+    return (found.select(F.col("needle").alias("location_searched"), *RENTS_COLUMNS)
+            .orderBy("location_searched", "location", "year"))
+
+
 def prices(gold: DataFrame, type: str | None = None, from_year=None, to_year=None,  # noqa: A002
            limit: int | None = None) -> DataFrame:
     """Price index by type and month, optional type match (V3)."""

@@ -19,9 +19,9 @@ from strata.operators.ranges import numbered
 from strata.operators.search import search_rows, write_index
 from strata.operators.selection import exact_quantile, with_exact_median
 from strata.operators.trends import yoy_in_order
-from strata.plans import fixtures, gold
+from strata.plans import fixtures, gold, jobs, views
 from strata.plans.analogues import ORACLES as CUBE_ORACLES
-from strata.plans.analogues import RUN_DATE, _land_docs, _orders_y, table
+from strata.plans.analogues import DUBLIN_ANALOG, RUN_DATE, _land_docs, _orders_y, table
 from strata.plans.publish import publish, refresh_mart, refresh_table, write_marked
 from strata.plans.silver import cube_silver, cube_silver_parsed
 from strata.plans.sinks import ensure_database
@@ -209,6 +209,37 @@ def q_incremental_gold(spark, sf_dir):
     return spark.read.schema(build(now).schema).parquet(mart)
 
 
+@query(CUBE_ORACLES["q_medallion_summary"])
+def q_medallion_refresh(spark, sf_dir):
+    """Both jobs run again after Bronze changed: only changed years are rewritten, and the summary
+    equals that of a full run."""
+    root = scratch_path(spark, "medallion-refresh")
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    older = orders.withColumn("o_totalprice", F.when(F.year("o_orderdate") == 1995, F.col("o_totalprice") + 1000)
+                              .otherwise(F.col("o_totalprice")))
+    for step, version in enumerate((older, orders)):
+        fixtures.write_bronze(spark, version, lineitem, f"{root}/bronze{step}")
+        jobs.bronze_to_silver(spark, f"{root}/bronze{step}", f"{root}/silver", RUN_DATE, incremental=True)
+        done = jobs.refresh_gold(spark, f"{root}/silver", f"{root}/gold", RUN_DATE,
+                                 summary_options={"dublin_needle": DUBLIN_ANALOG})
+    if any(set(d["rebuilt"]) - {1995, 1996} for d in done.values()):
+        raise RuntimeError(f"more years were rebuilt than changed: {done}")
+    return views.summary(spark.read.parquet(f"{root}/gold/gold_housing_crisis_summary"))
+
+
+@query(CUBE_ORACLES["q_medallion_summary"])
+def q_medallion_published(spark, sf_dir):
+    """The five marts published as views, twice; the summary as its readers see it."""
+    root = scratch_path(spark, "medallion-published")
+    db = f"strata_published_{uuid.uuid4().hex[:8]}"
+    fixtures.write_bronze(spark, table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), f"{root}/bronze")
+    jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", RUN_DATE)
+    for _ in range(2):
+        jobs.publish_gold(spark, f"{root}/silver", RUN_DATE, db, f"{root}/catalog", exact_median=True,
+                          summary_options={"dublin_needle": DUBLIN_ANALOG})
+    return views.summary(spark.table(f"{db}.gold_housing_crisis_summary"))
+
+
 # -- large and sparse cubes --------------------------------------------------------------
 
 CUBE_ROWS = 1000  # categories of the first dimension of the large cube

@@ -65,3 +65,45 @@ def test_jobs_keep_latest_snapshot_and_register(spark):
     assert [(r.year, r.national_price_index, r.avg_national_rent, r.new_communal_permissions,
              r.dublin_total_sales, r.dublin_avg_sale_price) for r in summary] == \
         [(2023, 163.6, 1500.0, 42.0, 2, 300.0)]
+
+
+def test_refresh_and_publish_after_a_correction(spark):
+    """A corrected file of one year: Silver and Gold rewrite that year, and rents the next one."""
+    root = scratch_path(spark, "t-refresh").replace("file:", "")
+    head = "Statistic Label,Year,Number of Bedrooms,Property Type,Location,VALUE\n"
+    row = "Rent,{},All bedrooms,All property types,{},{}\n"
+    doc = json.dumps({"id": ["STATISTIC", "TLIST(A1)", "C02342V02816"], "size": [1, 1, 1], "value": [42], "dimension": {
+        "STATISTIC": {"label": "Statistic", "category": {"index": ["B1"], "label": {"B1": "Planning Permissions Granted for Communal Dwellings"}}},
+        "TLIST(A1)": {"label": "Year", "category": {"label": {"2023": "2023"}}},
+        "C02342V02816": {"label": "Type of Construction", "category": {"index": ["N"], "label": {"N": "New construction"}}}}})
+    shead = "Date of Sale (dd/mm/yyyy),Address,County,Eircode,Price (\x80),Not Full Market Price," \
+            "VAT Exclusive,Description of Property,Property Size Description\n"
+    years = (2020, 2021, 2022, 2023)
+
+    def bronze(name, rent_2021):
+        at = f"{root}/{name}"
+        write(f"{at}/rtb/rent_by_county/year=2024/month=05/rtb.csv",
+              head + "".join(row.format(y, "Cork", rent_2021 if y == 2021 else y) for y in years))
+        write(f"{at}/cso/house_price_index/year=2024/month=05/d.json", price_doc(150.0) + "\n")
+        write(f"{at}/cso/new_dwelling_completions/year=2024/month=05/d.json", doc + "\n")
+        write(f"{at}/ppr/sales_register/year=2023/month=full/ppr.csv",
+              shead + "".join(f"01/02/{y},a,Dublin,,\x80{y},No,No,New,\n" for y in years), "latin-1")
+        return at
+
+    run = lambda at, date: jobs.bronze_to_silver(spark, at, f"{root}/silver", date, incremental=True)
+    first = run(bronze("one", 2021), "2024-06-30")
+    assert first["rent_by_county"]["rewritten"] == list(years) and first["rent_by_county"]["rows"] == 4
+    jobs.refresh_gold(spark, f"{root}/silver", f"{root}/gold", "2024-06-30")
+    second = run(bronze("two", 3000), "2024-07-31")
+    assert {k: m["rewritten"] for k, m in second.items()} == {
+        "house_price_index": [], "new_dwelling_completions": [], "rent_by_county": [2021], "sales_register": []}
+    done = jobs.refresh_gold(spark, f"{root}/silver", f"{root}/gold", "2024-07-31")
+    # the summary follows every row of the marts that differs
+    assert sorted(d["rebuilt"] for d in done.values()) == [[], [], [], [2021, 2022], [2021, 2022]]
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/full", "2024-07-31")
+    versions = jobs.publish_gold(spark, f"{root}/silver", "2024-07-31", "t_published", f"{root}/catalog")
+    for name in versions:
+        same = lambda df: sorted(map(repr, df.drop("gold_updated").collect()))
+        full = spark.read.parquet(f"{root}/full/{name}")
+        assert same(spark.read.parquet(f"{root}/gold/{name}").select(full.columns)) == same(full)
+        assert same(spark.table(f"t_published.{name}").select(full.columns)) == same(full)

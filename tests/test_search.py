@@ -5,6 +5,7 @@ import random
 import pytest
 
 from strata.operators.search import find, search_rows, write_index
+from strata.plans import views
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +56,16 @@ def test_lookup_is_no_cross_join(spark, index):
     path, _ = index
     plan = find(spark, path, spark.createDataFrame([("dublin",)], "needle string"))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_rents_of_many_locations(spark, tmp_path):
+    rows = [(loc, 2020 + i, 100.0 * i, 1.0, 2.0, i, None) for i, loc in enumerate(["Dublin 1", "Dublin 2", "Cork", "North Cork", "Dún Laoghaire"])]
+    gold = spark.createDataFrame(rows, "location string, year int, avg_monthly_rent double, min_monthly_rent double, "
+                                       "max_monthly_rent double, sample_count long, yoy_change_pct double")
+    write_index(gold, "location", str(tmp_path / "ix"))
+    texts = ["dublin", " 'Cork' ", "1", "dún", "%", "nowhere"]
+    got = views.rents_of_many(gold, str(tmp_path / "ix"), texts, to_year=2023).collect()
+    want = []
+    for t in ("dublin", "Cork", "1", "dún", "nowhere"):
+        want += [(t, r["location"], r["year"]) for r in views.rents(gold, t, to_year=2023).collect()]
+    assert [(r["location_searched"], r["location"], r["year"]) for r in got] == sorted(want)
