@@ -1,10 +1,17 @@
 """Personal data replaced by surrogates, in DataFrame functions only.
 
-Detected are e-mail addresses, phone numbers, IPv4 addresses, payment card
+Detected are e-mail addresses, phone numbers, IPv4 and IPv6 addresses, payment card
 numbers (valid check digit) and other account numbers, social security
-numbers, long hex keys, and names after an honorific.  A surrogate is drawn by a keyed hash from the entity's
-normal form (lower case, or digits alone), so all mentions of one entity get
-one surrogate everywhere, whatever their spelling; it has the type and
+numbers, long hex keys, and names after an honorific (particles such as "van der" included).
+A name found once is looked up again in the whole document, without an honorific too, and so
+is the surname of a full name; a surname that one full name of the document has is that
+person, and its surrogate is that person's surname.  Not detected are names that no
+honorific announces anywhere in their document, dates and postal addresses.
+
+A surrogate is drawn by a keyed hash from the entity's
+normal form (lower case, or digits alone; a phone number's country code by the numbering
+plan, however it is spaced), so all mentions of one entity get one surrogate everywhere;
+it has the type and
 format of the mention: digits for digits, letters of the same script, case and
 vowel class, separators in place, valid octets, a valid check digit, the
 country code and the top-level domain kept.  A name keeps its honorific, and a
@@ -55,27 +62,34 @@ MALE = ("Adam", "Bruno", "Daniel", "David", "Emil", "Felix", "Hugo", "Ivan", "Ja
 
 HONORIFIC = (r"(?:Mrs?|Ms|Miss|Dr|Prof|Sir|Madam|Herr|Frau|Señora?|Sra?|Monsieur|Madame|Mme|Mlle|"
              r"Господин|Госпожа)\.?")
+PARTICLES = r"(?: (?:van|von|der|den|de|del|di|da|dos|du|la|le|ter|ten|zu))*"
+NAME_WORD = r" \p{Lu}[\p{L}'’-]+"
+# Calling codes of one and two digits; all others have three.
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})"
+GROUP16 = "[0-9A-Fa-f]{1,4}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "key": r"(?<![\p{L}\p{N}])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,}(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
+    "ip6": rf"(?<![\w:])(?:(?:{GROUP16}:){{7}}{GROUP16}|(?:{GROUP16}:){{1,6}}(?::{GROUP16}){{1,6}})(?![\w:])",
     "phone": r"(?:\+\d{1,3}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,4}|"
              r"(?<![\p{L}\d.(-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?![\p{L}\d])",
     "card": r"(?<![\p{L}\d])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\p{L}\d])",
-    "name": HONORIFIC + r" \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?",
+    "name": HONORIFIC + PARTICLES + NAME_WORD + f"(?:{PARTICLES}{NAME_WORD})?",
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(PATTERNS[k].replace(r"([ -])", r"(?<sep>[ -])").replace(r"\1", r"\k<sep>") for k in KINDS)
 # every match has a digit, or an at sign, or starts with an honorific
-HINT = r"[0-9@]|" + HONORIFIC + r" \p{Lu}"
+HINT = r"[0-9@]|" + HONORIFIC + PARTICLES + r" \p{Lu}"
 
 
 def kind_of(hit: Column) -> Column:
     """Kind of a match of ANY; a long number with a valid check digit is a card."""
     digits = F.regexp_replace(hit, r"\D", "")
     return (F.when(hit.contains("@"), "email").when(hit.rlike(r"^[0-9a-f]{32,}$"), "key")
+            .when(hit.rlike(r"^[0-9A-Fa-f]+:[0-9A-Fa-f:]+$"), "ip6")
             .when(hit.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(hit.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
             .when(hit.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]"), "phone")
             .when(hit.rlike(r"^\d"), F.when(luhn_sum(digits) % 10 == 0, "card").otherwise("account")).otherwise("name"))
@@ -93,8 +107,8 @@ def luhn_sum(digits: Column) -> Column:
 def normal_form(kind: Column, hit: Column) -> Column:
     """What makes two mentions one entity."""
     digits = F.regexp_replace(hit, r"\D", "")
-    country = F.regexp_extract(hit, r"^\+(\d{1,3})", 1)
-    return (F.when(kind == "email", F.lower(hit))
+    country = F.when(hit.startswith("+"), F.regexp_extract(digits, COUNTRY, 1)).otherwise("")
+    return (F.when(kind.isin("email", "ip6"), F.lower(hit))
             .when(kind == "phone", F.concat(country, F.lit("|"), F.substring(digits, F.length(country) + 1, F.length(digits))))
             .when(kind.isin("card", "account", "ssn"), digits)
             .when(kind == "name", F.regexp_replace(hit, "^" + HONORIFIC + " ", "")).otherwise(hit))
@@ -182,7 +196,7 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) ->
     name = F.concat(given, _letters(rest, n, (*seed, F.lit("rest")), key, loose=loose),
                     F.when(~loose, "").when(first.rlike(r"^\p{IsCyrillic}"), tail(ALPHABETS[8], ALPHABETS[9]))
                     .when(first.rlike(r"^\p{IsGreek}"), tail(ALPHABETS[12], ALPHABETS[13])).otherwise(tail(ALPHABETS[1], ALPHABETS[2])))
-    return (F.when(kind == "email", email).when(kind == "key", hexes).when(kind == "phone", phone)
+    return (F.when(kind == "email", email).when(kind.isin("key", "ip6"), hexes).when(kind == "phone", phone)
             .when(kind.isin("ssn", "account"), plain).when(kind == "card", card).when(kind == "ip", ip).otherwise(name))
 
 
@@ -201,7 +215,7 @@ def in_format_of(mention: Column, kind: Column, core: Column) -> Column:
             (acc["at"] + F.when(c.rlike(r"\d"), 1).otherwise(0)).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring(digits, acc["at"], F.length(digits))))
     honorific = F.regexp_extract(mention, "^" + HONORIFIC + " ", 0)
-    return (F.when(kind == "email", cased).when(kind.isin("phone", "card", "account", "ssn"), numbered)
+    return (F.when(kind == "email", cased).when((kind == "ip6") & mention.rlike("[A-F]"), F.upper(core)).when(kind.isin("phone", "card", "account", "ssn"), numbered)
             .when(kind == "name", F.concat(honorific, core)).otherwise(core))
 
 
@@ -211,16 +225,21 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
     def with_core(df: DataFrame) -> DataFrame:
         return df.withColumn("core", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key))
 
-    settled, trial = None, materialize(with_core(entities.withColumn("attempt", F.lit(0))), "pii-round0", few=True)
+    # drawing is the costly part: it is spread over all tasks, however few bytes the entities have
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = entities.repartition(tasks, "kind", "entity").withColumn("attempt", F.lit(0))
+    settled, trial = None, materialize(with_core(first), "pii-round0")
+    known = entities.select("kind", F.col("entity").alias("core"))
     for k in range(1, rounds + 1):
-        # holders of a core: settled ones first, then the smallest entity
-        taken = entities.select("kind", F.col("entity").alias("core"))
+        # a longer surrogate must not show the entity either; of those that share a core, the smallest entity has it
+        keepers = materialize(trial.filter(~F.col("core").contains(F.col("entity"))).groupBy("kind", "core")
+                              .agg(F.min("entity").alias("entity")), f"pii-keepers{k}", few=True)
+        # entities and cores that are held already, as far as a keeper meets them
+        wanted = keepers.select("kind", "core")
+        taken = known.join(wanted, ["kind", "core"], "left_semi")
         if settled is not None:
-            taken = taken.unionByName(settled.select("kind", "core"))
-        # a longer surrogate must not show the entity either
-        keepers = (trial.filter(~F.col("core").contains(F.col("entity"))).groupBy("kind", "core")
-                   .agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_n")))
-        free = keepers.join(taken.distinct(), ["kind", "core"], "left_anti").select("kind", "core", "entity")
+            taken = taken.unionByName(settled.select("kind", "core").join(wanted, ["kind", "core"], "left_semi"))
+        free = keepers.join(taken, ["kind", "core"], "left_anti").select("kind", "core", "entity")
         good = materialize(trial.join(free, ["kind", "core", "entity"], "left_semi"), f"pii-good{k}", few=True)
         settled = good if settled is None else settled.unionByName(good)
         trial = materialize(with_core(trial.join(good, ["kind", "entity"], "left_anti").drop("core")
@@ -230,29 +249,53 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
     raise RuntimeError("surrogates still collide: too many entities of one format")
 
 
+def with_names(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``_pattern`` (of everything to replace in its text), ``_hits`` (its matches) and
+    ``_fulls`` (the full names that an honorific announces)."""
+    announced = F.filter("_hits", lambda h: h.rlike("^" + HONORIFIC + " "))
+    rows = rows.withColumn("_hits", F.regexp_extract_all(F.col("_text"), F.lit(ANY), F.lit(0)))
+    rows = rows.withColumn("_names", F.array_distinct(F.transform(announced, lambda h: F.regexp_replace(h, "^" + HONORIFIC + " ", ""))))
+    rows = rows.withColumn("_fulls", F.filter("_names", lambda n: n.contains(" ")))
+    # longest first, so that a full name is not taken for its surname
+    sought = F.array_distinct(F.concat("_names", F.transform("_fulls", lambda n: F.substring_index(n, " ", -1))))
+    sought = F.reverse(F.array_sort(F.transform(F.filter(sought, lambda n: F.length(n) >= 3),
+                                                lambda n: F.struct(F.length(n).alias("size"), n.alias("name")))))
+    rows = rows.withColumn("_sought", sought)
+    either = F.array_join(F.transform("_sought", lambda x: F.concat(F.lit("\\Q"), x["name"], F.lit("\\E"))), "|")
+    found = F.size("_sought") > 0
+    again = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?=\p{L})(?:"), either, F.lit(r")(?![\p{L}\p{N}])"))
+    rows = rows.withColumn("_pattern", F.when(found, again).otherwise(F.lit(ANY)))
+    return rows.withColumn("_hits", F.when(found, F.regexp_extract_all(F.col("_text"), F.col("_pattern"), F.lit(0)))
+                           .otherwise(F.col("_hits"))).drop("_names", "_sought")
+
+
 def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every detected entity of the text replaced, plus n_entities (long)."""
     text = F.col("_text")
     marked = packed(docs, _id=F.col(id_col), _text=F.col(text_col),
                     _hit=F.coalesce(F.col(text_col).rlike(HINT), F.lit(False)))
     calm = unpacked(marked.filter(~F.col("_hit")), docs.columns, n_entities=F.lit(0).cast("long"))
-    rows = marked.filter("_hit").select("_row", "_id", "_text", F.xxhash64("_text").alias("_h"),
-                                        F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("_hits"))
+    rows = with_names(marked.filter("_hit").select("_row", "_id", "_text", F.xxhash64("_text").alias("_h")))
+    entity = normal_form(F.col("_kind"), F.col("_mention"))
+    whose = F.filter("_fulls", lambda n: n.endswith(F.concat(F.lit(" "), F.col("_entity"))))
+    mentions = (rows.select("_id", "_h", "_fulls", F.posexplode("_hits").alias("_i", "_mention"))
+                .withColumn("_kind", kind_of(F.col("_mention"))).withColumn("_entity", entity)
+                .withColumn("_person", F.when((F.col("_kind") == "name") & (F.size(whose) == 1), F.get(whose, F.lit(0)))))
     mentions = materialize(
-        rows.select("_id", "_h", F.posexplode("_hits").alias("_i", "_mention"))
-        .withColumn("_kind", kind_of(F.col("_mention")))
-        .withColumn("_entity", normal_form(F.col("_kind"), F.col("_mention"))).distinct(), "pii-mentions", few=True)
+        mentions.select("_id", "_h", "_i", "_mention", "_kind", F.coalesce("_person", "_entity").alias("_entity"),
+                        F.col("_person").isNotNull().alias("_surname")).distinct(), "pii-mentions", few=True)
     entities = materialize(mentions.filter(F.col("_kind").isNotNull())
                            .select(F.col("_kind").alias("kind"), F.col("_entity").alias("entity")).distinct(), "pii-entities", few=True)
     cores = distinct_surrogates(entities, key)
     found = mentions.join(cores, (F.col("_kind") == F.col("kind")) & (F.col("_entity") == F.col("entity")), "left")
-    new = F.coalesce(in_format_of(F.col("_mention"), F.col("_kind"), F.col("core")), F.col("_mention"))
+    core = F.when(F.col("_surname"), F.substring_index("core", " ", -1)).otherwise(F.col("core"))
+    new = F.coalesce(in_format_of(F.col("_mention"), F.col("_kind"), core), F.col("_mention"))
     swaps = (found.groupBy("_id", "_h").agg(F.array_sort(F.collect_set(F.struct("_i", new.alias("_new")))).alias("_swaps"),
                                             F.count("core").alias("_n"))
              .select(F.col("_id").alias("_id2"), F.col("_h").alias("_h2"), "_swaps", "_n"))
     joined = rows.join(swaps, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2")), "left")
     rebuilt = F.concat_ws("", F.flatten(F.zip_with(
-        F.split(text, ANY, -1), "_swaps", lambda gap, s: F.array(gap, s["_new"]))))
+        F.expr("split(_text, _pattern, -1)"), "_swaps", lambda gap, s: F.array(gap, s["_new"]))))
     out = unpacked(joined, docs.columns, **{
         text_col: F.when(F.col("_n") > 0, rebuilt).otherwise(text), "n_entities": F.coalesce("_n", F.lit(0)).cast("long")})
     return calm.unionByName(out)
