@@ -412,9 +412,11 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_c
     best = sides.groupBy("own").agg(F.min(F.struct("bound", "other"))["other"].alias("other"))
     first = best.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
     links = verified(first, "ngram-first")
+    tried = first.select("a", "b")  # verified in any round, linked or not
     for name, nearest in (("ngram-second", 1), ("ngram-rest", 0)):
-        apart = pairs(active, components(links, f"{name}-before"), nearest, name)
-        links = links.unionByName(verified(apart.join(first, ["a", "b"], "left_anti"), name))
+        apart = pairs(active, components(links, f"{name}-before"), nearest, name).join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(verified(apart, name))
+        tried = tried.unionByName(apart.select("a", "b"))
     comps = components(links, "ngram-all")
     of_class = (classes.select("sid", "rep").join(comps, F.col("rep") == F.col("node"), "left").drop("node"))
     out = (rows.join(of_class.withColumnRenamed("sid", "_sid"), F.col("sid") == F.col("_sid"), "left")
