@@ -23,6 +23,9 @@ trigger with very many different phrases (a passage that a third of all
 documents continue differently) is split: its windows travel one by one, dealt
 by the hash of the whole window.  Shuffled are packed arrays, a row per block
 and bucket.
+
+Memory: a block holds 16 MB of text or one longer document, about 24 bytes a byte in the task that
+works on it; a long document is parsed a piece at a time.
 """
 
 from __future__ import annotations
@@ -167,8 +170,13 @@ class Phrases:
         d = 0
         while d + 1 < len(off):
             e = max(d + 1, int(np.searchsorted(off, off[d] + CHUNK, side="right")) - 1)
-            if off[e] - off[d] >= length:
-                parts.append(self._parse(tokens, d, e, length, gram))
+            a, b = int(off[d]), int(off[e])
+            if e == d + 1:  # a long document goes by pieces that share length - 1 tokens; a phrase may be cut in two
+                for lo in range(a, b - length + 1, CHUNK):
+                    hi = min(lo + CHUNK + length - 1, b)
+                    parts.append(self._parse(tokens, lo, hi, np.array([0, hi - lo]), length, gram))
+            elif b - a >= length:
+                parts.append(self._parse(tokens, a, b, off[d:e + 1] - a, length, gram))
             d = e
         cat = lambda i, t: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, t)
         self.trig, self.phrase = cat(0, np.uint64), cat(1, np.uint64)
@@ -177,9 +185,7 @@ class Phrases:
         self.length = length
 
     @staticmethod
-    def _parse(tokens: Tokens, d: int, e: int, length: int, gram: int):
-        a, b = int(tokens.offsets[d]), int(tokens.offsets[e])
-        off = tokens.offsets[d:e + 1] - a
+    def _parse(tokens: Tokens, a: int, b: int, off: np.ndarray, length: int, gram: int):
         m, w = b - a, length - gram + 1
         p, inv = powers(m + 1)
         sums = np.zeros(m + 1, np.uint64)
@@ -450,8 +456,8 @@ def _settle(length: int, dtype, judge: Callable, slice_windows: int = 200_000):
         dup_cls, dup_lo, dup_hi = dup_cls[order], dup_lo[order], dup_hi[order]
         # answers per block and phrase: a class's marks hold for its first occurrence; judge
         # says whether later occurrences are covered whole
-        is_first = np.zeros(len(head), bool)
-        is_first[lead] = True
+        # (rows that share an id and a place are equally first, whichever blocks they lie in)
+        is_first = (head["doc"] == first["doc"][cls]) & (head["s"] == first["s"][cls])
         same = np.flatnonzero(is_first | (not judge.later_covered))
         a, b = np.searchsorted(dup_cls, cls[same]), np.searchsorted(dup_cls, cls[same], side="right")
         pick = spans_index(a[b > a], (b - a)[b > a])
@@ -546,8 +552,26 @@ def _cover(make, length: int, gram: int, judge, digest: Callable, schema: str):
     return run
 
 
+def into_blocks(docs: DataFrame, block_docs: int, block_bytes: int) -> DataFrame:
+    """``docs`` (doc_id, body) plus ``block``: ranges of ``block_docs`` ids, and where these hold more than
+    ``block_bytes`` (long texts, null or repeated ids), parts of them dealt by the hash of the row.
+
+    Equal rows share a block.  Which block a document lies in does not change the result.  The parts are
+    a row per range that is too large, at most one for every ``block_bytes`` of input.
+    """
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "body").withColumn(
+        "block", F.floor(F.col("doc_id") / block_docs).cast("long"))
+    size = F.sum(F.coalesce(F.octet_length("body"), F.lit(0)))
+    large = materialize(rows.groupBy("block").agg(F.ceil(size / block_bytes).alias("_parts")).filter(F.col("_parts") > 1),
+                        "repeat-large-blocks", few=True)
+    part = F.pmod(F.xxhash64("doc_id", "body"), F.col("_parts"))
+    return rows.join(large, "block", "left").withColumn(
+        "block", F.when(F.col("_parts").isNull(), F.col("block")).otherwise(F.xxhash64("block", part))).select("doc_id", "body", "block")
+
+
 def without_repeats(docs: DataFrame, make: Callable, dtype, length: int, gram: int, judge, digest: Callable,
-                    schema: str, block_docs: int = 1024, bucket_bytes: int = 16 << 20, hot: int = 20_000) -> DataFrame:
+                    schema: str, block_docs: int = 1024, bucket_bytes: int = 16 << 20, hot: int = 20_000,
+                    block_bytes: int = 16 << 20) -> DataFrame:
     """Apply ``digest`` to every block of ``docs`` (doc_id long, body binary) and the
     mask of its tokens that a repeated window covers.
 
@@ -556,8 +580,7 @@ def without_repeats(docs: DataFrame, make: Callable, dtype, length: int, gram: i
     small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = max(8, math.ceil(total / bucket_bytes))
-    blocks = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "body").withColumn(
-        "block", F.floor(F.col("doc_id") / block_docs).cast("long"))
+    blocks = into_blocks(docs, block_docs, block_bytes)
     counted = blocks.select("block", "body").mapInArrow(
         _trigger_counts(make, length, gram, buckets), "bucket long, block long, rec binary")
     answer = "block long, round int, rec binary"

@@ -5,7 +5,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from strata.llm import repeats
 from strata.llm.substring_dedup import remove_repeated_words
 from strata.llm.suffix_dedup import remove_repeated_bytes
 
@@ -117,3 +119,66 @@ def test_kept_text(spark):
     df = spark.createDataFrame([(1, text), (2, "head " + text)], "doc_id long, text string")
     kept = {r.doc_id: bytes(r.kept).decode() for r in remove_repeated_bytes(df, keep_text=True).collect()}
     assert kept == {1: text, 2: "head "}
+
+
+# -- blocks ------------------------------------------------------------------------------
+
+def odd_ids(seed):
+    """Null and repeated ids, repeated rows, long documents that share long passages."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 3, 3, d]), t) for d, t in corpus(seed, n=40)]
+    passage = " ".join(f"w{rng.randint(0, 50)}" for _ in range(900))
+    rows += [(d, f"{d} " * rng.randint(1, 50) + passage + f" {d}" * 9) for d in (60, 61, None, 3)]
+    return rows + rows[:6]
+
+
+def by_start(rows, length):
+    """Brute force with null ids first; rows that share an id compare by start alone."""
+    low = -(10 ** 9)
+    out = brute_bytes([(low if d is None else d, t) for d, t in rows], length)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,block_bytes,chunk", [(11, 16 << 20, 1 << 20), (12, 1500, 1 << 20), (13, 3000, 700)])
+def test_bytes_whatever_the_blocks(spark, monkeypatch, seed, block_bytes, chunk):
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    rows = odd_ids(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = remove_repeated_bytes(df, block_docs=16, bucket_bytes=5000, block_bytes=block_bytes).collect()
+    assert sorted((-(10 ** 9) if r[0] is None else r[0], *r[1:]) for r in got) == by_start(rows, 100)
+
+
+@pytest.mark.parametrize("seed,block_bytes,chunk", [(14, 1500, 1 << 20), (15, 3000, 90)])
+def test_words_whatever_the_blocks(spark, monkeypatch, seed, block_bytes, chunk):
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    rows = odd_ids(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = remove_repeated_words(df, block_docs=16, bucket_bytes=5000, block_bytes=block_bytes).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    assert sorted(map(key, got)) == sorted(key(r) for r in
+                                           [(rows[i][0], *r[1:]) for i, r in enumerate(in_order(rows, 35))])
+
+
+def in_order(rows, length):
+    """brute_words row by row (it sorts by id, which may be null here)."""
+    numbered = brute_words([(i, t) for i, (_, t) in enumerate(rows)], length)
+    return numbered
+
+
+def test_blocks_hold_a_bounded_number_of_bytes(spark):
+    """64 MB of text under one id, and a third of the rows without an id."""
+    text = F.concat(F.col("id").cast("string"), F.lit(" "), F.repeat(F.lit("0123456789"), 10_000))
+    hot = spark.range(640, numPartitions=8).select(F.lit(7).cast("long").alias("doc_id"), text.cast("binary").alias("body"))
+    null = spark.range(300, numPartitions=8).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), text.cast("binary").alias("body"))
+    for df in (hot, null):
+        sizes = repeats.into_blocks(df, 1024, 4 << 20).groupBy("block").agg(
+            F.sum(F.octet_length("body")).alias("b"), F.count(F.lit(1)).alias("n")).collect()
+        assert sum(r["n"] for r in sizes) == df.count() and max(r["b"] for r in sizes) < 3 * (4 << 20)
+
+
+def test_one_id_with_64_mb_of_text(spark):
+    docs = spark.range(640, numPartitions=8).select(
+        F.lit(7).cast("long").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(1599)), lambda i: F.sha2(F.concat(
+            F.col("id").cast("string"), F.lit("-"), i.cast("string")).cast("binary"), 256)), "").alias("text"))
+    got = remove_repeated_bytes(docs).agg(F.sum("n_bytes").alias("n"), F.sum("n_removed").alias("gone"), F.count(F.lit(1)).alias("c")).first()
+    assert (got["n"], got["gone"], got["c"]) == (640 * 1600 * 64, 0, 640)
