@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRAM = 3
+FEW = 1000  # needles whose grams are given to the scan as a filter
 
 
 def grams(text: Column, size: int) -> Column:
@@ -63,6 +64,9 @@ def find(spark: SparkSession, path: str, needles: DataFrame) -> DataFrame:
     # a gram that no text has rules its needle out: inner joins drop the rest with it
     ranked = own.join(counts, "gram", "left").groupBy("needle", "want").agg(
         F.min_by("gram", F.struct(F.coalesce("n_texts", F.lit(0)), "gram")).alias("gram"))
+    few = [r["gram"] for r in ranked.select("gram").distinct().limit(FEW + 1).collect()]
+    if len(few) <= FEW:  # the postings are sorted by gram, so the scan skips what lies between
+        posted = posted.filter(F.col("gram").isin(few)) if few else posted.limit(0)
     long = (posted.join(ranked, "gram").filter(F.contains("low", "want")).select("needle", "text"))
     texts = spark.read.parquet(f"{path}/texts")
     out = long

@@ -44,13 +44,16 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float = 0.5, n
     rank = F.greatest(F.ceil(F.count("_v") * F.lit(q)), F.lit(1)).cast("long")
     marks = [k / grid for k in range(1, grid)]
     sketch = lambda: F.array_distinct(F.percentile_approx("_v", marks, accuracy))
+    small = F.col("n") < accuracy
 
-    first = _written(rows.withColumn("_x", number).groupBy(*names).agg(
+    # one sketch gives the pivots and, last, the value itself; small groups need no pivots
+    first = rows.withColumn("_x", number).groupBy(*names).agg(
         F.count("_v").alias("n"), F.count("_x").alias("m"), rank.alias("rank"), F.max("_v").alias("top"),
-        F.percentile_approx("_x", q, accuracy).alias("mid"),
-        F.array_distinct(F.percentile_approx("_x", marks, accuracy)).alias("pivots")), "quantile-groups")
+        F.percentile_approx("_x", [*marks, q], accuracy).alias("sketch"))
+    first = _written(first.select(
+        *names, "n", "m", "rank", "top", F.get("sketch", F.lit(grid - 1)).alias("mid"),
+        F.when(~small, F.array_distinct(F.slice("sketch", 1, grid - 1))).alias("pivots")), "quantile-groups")
     nan_or_none = (F.col("n") == 0) | (F.col("rank") > F.col("m"))
-    small = F.col("n") < accuracy
     done = [first.filter(nan_or_none).select(*names, F.col("top").alias("_q")),
             first.filter(~nan_or_none & small).select(*names, F.col("mid").alias("_q"))]
     open_ = first.filter(~nan_or_none & ~small).select(*names, "rank", "pivots")
