@@ -250,8 +250,8 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, rounds: int = ROUND
 
 
 def with_names(rows: DataFrame) -> DataFrame:
-    """``rows`` plus ``_pattern`` (of everything to replace in its text), ``_hits`` (its matches) and
-    ``_fulls`` (the full names that an honorific announces)."""
+    """``rows`` plus ``_hits`` (all matches in its text), ``_fulls`` (the full names that an honorific
+    announces) and ``_again``: the pattern that finds the announced names too (null: there are none)."""
     announced = F.filter("_hits", lambda h: h.rlike("^" + HONORIFIC + " "))
     rows = rows.withColumn("_hits", F.regexp_extract_all(F.col("_text"), F.lit(ANY), F.lit(0)))
     rows = rows.withColumn("_names", F.array_distinct(F.transform(announced, lambda h: F.regexp_replace(h, "^" + HONORIFIC + " ", ""))))
@@ -260,13 +260,12 @@ def with_names(rows: DataFrame) -> DataFrame:
     sought = F.array_distinct(F.concat("_names", F.transform("_fulls", lambda n: F.substring_index(n, " ", -1))))
     sought = F.reverse(F.array_sort(F.transform(F.filter(sought, lambda n: F.length(n) >= 3),
                                                 lambda n: F.struct(F.length(n).alias("size"), n.alias("name")))))
-    rows = rows.withColumn("_sought", sought)
-    either = F.array_join(F.transform("_sought", lambda x: F.concat(F.lit("\\Q"), x["name"], F.lit("\\E"))), "|")
-    found = F.size("_sought") > 0
-    again = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?=\p{L})(?:"), either, F.lit(r")(?![\p{L}\p{N}])"))
-    rows = rows.withColumn("_pattern", F.when(found, again).otherwise(F.lit(ANY)))
-    return rows.withColumn("_hits", F.when(found, F.regexp_extract_all(F.col("_text"), F.col("_pattern"), F.lit(0)))
-                           .otherwise(F.col("_hits"))).drop("_names", "_sought")
+    either = F.array_join(F.transform(sought, lambda x: F.concat(F.lit("\\Q"), x["name"], F.lit("\\E"))), "|")
+    rows = rows.withColumn("_either", either)
+    again = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?=\p{L})(?:"), F.col("_either"), F.lit(r")(?![\p{L}\p{N}])"))
+    rows = rows.withColumn("_again", F.when(F.col("_either") != "", again))
+    return rows.withColumn("_hits", F.when(F.col("_again").isNotNull(), F.regexp_extract_all(F.col("_text"), F.col("_again"), F.lit(0)))
+                           .otherwise(F.col("_hits"))).drop("_names", "_either")
 
 
 def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,15 +274,18 @@ def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: s
     marked = packed(docs, _id=F.col(id_col), _text=F.col(text_col),
                     _hit=F.coalesce(F.col(text_col).rlike(HINT), F.lit(False)))
     calm = unpacked(marked.filter(~F.col("_hit")), docs.columns, n_entities=F.lit(0).cast("long"))
-    rows = with_names(marked.filter("_hit").select("_row", "_id", "_text", F.xxhash64("_text").alias("_h")))
+    rows = marked.filter("_hit").select("_row", "_id", "_text", F.xxhash64("_text").alias("_h"))
     entity = normal_form(F.col("_kind"), F.col("_mention"))
     whose = F.filter("_fulls", lambda n: n.endswith(F.concat(F.lit(" "), F.col("_entity"))))
-    mentions = (rows.select("_id", "_h", "_fulls", F.posexplode("_hits").alias("_i", "_mention"))
+    # the outer form: a plain explode would have its "array is not empty" pushed down with all expressions in it
+    mentions = (with_names(rows).select("_id", "_h", "_fulls", "_again", F.posexplode_outer("_hits").alias("_i", "_mention"))
+                .filter(F.col("_mention").isNotNull())
                 .withColumn("_kind", kind_of(F.col("_mention"))).withColumn("_entity", entity)
                 .withColumn("_person", F.when((F.col("_kind") == "name") & (F.size(whose) == 1), F.get(whose, F.lit(0)))))
     mentions = materialize(
         mentions.select("_id", "_h", "_i", "_mention", "_kind", F.coalesce("_person", "_entity").alias("_entity"),
-                        F.col("_person").isNotNull().alias("_surname")).distinct(), "pii-mentions", few=True)
+                        F.col("_person").isNotNull().alias("_surname"), F.when(F.col("_i") == 0, F.col("_again")).alias("_again"))
+        .distinct(), "pii-mentions", few=True)
     entities = materialize(mentions.filter(F.col("_kind").isNotNull())
                            .select(F.col("_kind").alias("kind"), F.col("_entity").alias("entity")).distinct(), "pii-entities", few=True)
     cores = distinct_surrogates(entities, key)
@@ -291,8 +293,8 @@ def replace(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: s
     core = F.when(F.col("_surname"), F.substring_index("core", " ", -1)).otherwise(F.col("core"))
     new = F.coalesce(in_format_of(F.col("_mention"), F.col("_kind"), core), F.col("_mention"))
     swaps = (found.groupBy("_id", "_h").agg(F.array_sort(F.collect_set(F.struct("_i", new.alias("_new")))).alias("_swaps"),
-                                            F.count("core").alias("_n"))
-             .select(F.col("_id").alias("_id2"), F.col("_h").alias("_h2"), "_swaps", "_n"))
+                                            F.count("core").alias("_n"), F.max("_again").alias("_again"))
+             .select(F.col("_id").alias("_id2"), F.col("_h").alias("_h2"), "_swaps", "_n", F.coalesce("_again", F.lit(ANY)).alias("_pattern")))
     joined = rows.join(swaps, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2")), "left")
     rebuilt = F.concat_ws("", F.flatten(F.zip_with(
         F.expr("split(_text, _pattern, -1)"), "_swaps", lambda gap, s: F.array(gap, s["_new"]))))
