@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans.sinks import write_partitioned
-from strata.session import remove_path
+from strata.session import path_exists, remove_path
 
 # -- versions and the view ---------------------------------------------------------------
 
@@ -117,12 +117,7 @@ def _beside(path: str, what: str) -> str:
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def changed(new: DataFrame, old: DataFrame | None, by: str = "year") -> tuple[list, list]:

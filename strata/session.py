@@ -99,6 +99,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on whatever store, without a failed read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the scratch folders of this process; results that still read them end here.
 
