@@ -246,10 +246,10 @@ CUBE_ROWS = 1000  # categories of the first dimension of the large cube
 
 
 def large_cube(spark, sf_dir) -> str:
-    """One cube document, in one file, that holds two numbers of every line item; its folder.
+    """One cube document, in parts, that holds two numbers of every line item; its folder.
 
-    Dimensions: measure (2), row (1000), column (as many as needed).  The file is written as
-    a stream of lines, a cell each.
+    Dimensions: measure (2), row (1000), column (as many as needed).  The text is written as
+    a stream of lines, a cell each, by many tasks: a range of the lines is a part.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     order = lines.columns
@@ -270,7 +270,7 @@ def large_cube(spark, sf_dir) -> str:
     rows = body.unionByName(spark.createDataFrame(
         [(-1, head[:-1] + ', "value": ['), (2 * total, '], "status": {"0": "a, b"}}')], "at long, line string"))
     root = scratch_path(spark, "large-cube")
-    rows.repartition(1).sortWithinPartitions("at").select("line").write.text(root)
+    rows.repartitionByRange("at").sortWithinPartitions("at").select("line").write.text(root)
     return root
 
 
@@ -283,8 +283,8 @@ SELECT m.measure, 'r' || (c.i // c.width) AS "row", 'c' || (c.i % c.width) AS "c
 FROM c LEFT JOIN l ON l.i = c.i CROSS JOIN (VALUES ('Price, each'), ('Quantity')) m(measure)
 """)
 def q_cube_split(spark, sf_dir):
-    """One document of every line item, its value array read in as many splits as Spark makes."""
-    return unpack_split(spark, large_cube(spark, sf_dir)).select("measure", "row", "column", "metric_value")
+    """One document of every line item, written in parts, its value array read in as many splits as Spark makes."""
+    return unpack_split(spark, large_cube(spark, sf_dir), parts=True).select("measure", "row", "column", "metric_value")
 
 
 def sparse_docs(docs):

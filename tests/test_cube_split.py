@@ -131,3 +131,47 @@ def test_repeated_keys_of_many_codes_stay_linear(docs):
     text = f'{{"id":["A"],"size":[{n}],"value":{list(range(n))},"dimension":{{"A":{{"category":{{"index":{{{index}}}}}}}}}}}'
     wide = jsonstat.unpack(docs(text))
     assert wide.count() == n and wide.filter("a <> concat('k', cast(metric_value AS int))").count() == 0
+
+
+# -- documents in parts ------------------------------------------------------------------
+
+def test_a_document_in_parts_equals_the_whole(spark, tmp_path):
+    text = document(40, 25, [None if i % 7 == 0 else i for i in range(1000)], status={"0": "a, b]"})
+    pieces = text.split(",")
+    folder = tmp_path / "cube"
+    folder.mkdir()
+    cuts = [0, 1, 30, 200, 201, 700, len(pieces)]  # before, inside and behind the array
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        (folder / f"part-{k:05d}.txt").write_text(",".join(pieces[a:b]) + (",\n" if b < len(pieces) else "\n"))
+    whole = spark.createDataFrame([("p", text)], "path string, body string")
+    assert rows_of(unpack_split(spark, str(folder), parts=True)) == rows_of(jsonstat.unpack(whole))
+
+
+def test_a_part_cut_inside_a_cell_is_set_aside(spark, tmp_path):
+    text = document(2, 2, [11, 22, 33, 44])
+    for name, at in (("inside", text.index("22") + 1), ("behind", text.index("22"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.txt").write_text(text[:at])
+        (tmp_path / name / "part-1.txt").write_text(text[at:])
+    parsed, cells = read_split(spark, str(tmp_path), parts=True)
+    assert {r["path"].rsplit("/", 1)[1]: r["reason"] for r in parsed.collect()} == {"inside": "cut_cell", "behind": None}
+    assert [(r["pos"], r["value"]) for r in cells.orderBy("pos").collect()] == [(0, "11"), (1, "22"), (2, "33"), (3, "44")]
+
+
+def test_the_large_cube_is_written_by_many_tasks(spark, tmp_path):
+    from strata.plans.whole_tables import q_cube_split
+    spark.range(3000).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id % 7 AS l_partkey", "id / 4 AS l_extendedprice",
+                                 "cast(id % 5 AS double) AS l_quantity").write.parquet(str(tmp_path / "lineitem.parquet"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = q_cube_split(spark, str(tmp_path))
+        want = spark.range(3000).selectExpr("concat('r', id div 3) AS row", "concat('c', id % 3) AS column", "id / 4 AS price")
+        prices = got.filter("measure = 'Price, each'")
+        assert got.count() == 6000
+        assert prices.join(want, ["row", "column"]).filter("metric_value = price").count() == 3000
+        from strata.plans.whole_tables import large_cube
+        import glob
+        assert len(glob.glob(large_cube(spark, str(tmp_path)).removeprefix("file:") + "/part-*")) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
