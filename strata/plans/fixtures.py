@@ -418,6 +418,8 @@ def write_odd_csv(customer: DataFrame, root: str, rows_per_file: int = 1000) ->
     lines = F.concat(F.array(header), F.col("rows"))
     text = F.when(F.col("kind") == "blank file", " ").otherwise(
         F.aggregate(F.slice(lines, F.lit(2), F.size(lines)), F.element_at(lines, 1), lambda a, r: F.concat(a, end, r)))
-    # one row per file: every (nation, range) folder gets one text row
-    (files.select("nation", "range", text.alias("value")).repartition("nation", "range")
-     .write.partitionBy("nation", "range").text(root))
+    # one row per file; a given number of tasks, as adaptive execution would let one task write
+    # all these small files
+    tasks = int(customer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (files.select("nation", "range", text.alias("value")).repartition(tasks, "nation", "range").drop("range")
+     .write.partitionBy("nation").option("maxRecordsPerFile", 1).text(root))

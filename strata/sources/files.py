@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
@@ -44,15 +45,20 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def file_headers(spark: SparkSession, paths: list[str], encoding: str = LATIN1) -> DataFrame:
+def file_headers(spark: SparkSession, paths: str | list[str], encoding: str = LATIN1, glob: str | None = None) -> DataFrame:
     """Header of each file that has one: ``(path, header)``.
 
+    ``paths`` are files, or with ``glob`` also folders, looked through at any depth.
+
     The header is the first line with text, read with Spark's own text source
     (any file system and line ending it reads, no length limit): a partial
     aggregate per file over the split that starts it, so one row per file
     is shuffled.  Costs a pass over the bytes and keeps the driver out of it.
     """
-    lines = (spark.read.text(paths)
+    reader = spark.read
+    if glob is not None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    lines = (reader.text(paths)
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
                      F.decode(F.col("value").cast("binary"), encoding).alias("line"))
              .filter((F.col("_start") == 0) & F.col("line").rlike(r"\S"))
@@ -146,11 +152,12 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
     listed = [r["path"] for r in list_files(spark, path, glob).select("path").collect()]
     if not listed:
         return None, spark.createDataFrame([], REJECT_SCHEMA)
-    heads = {r["path"]: r["header"] for r in file_headers(spark, listed, encoding).collect()}
+    heads = {r["path"]: r["header"] for r in file_headers(spark, path, encoding, glob).collect()}
     groups: dict[str | None, list[str]] = {}
     by_place = {_plain(p): h for p, h in heads.items()}
     for p in listed:
         groups.setdefault(by_place.get(_plain(p)), []).append(p)
+    folders = _folders_of_one_group(path, groups)
     frames, notes, odd = [], [], []
     for header, paths in sorted(groups.items(), key=lambda kv: kv[0] or ""):
         if header is None:
@@ -169,12 +176,17 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], synonyms: dic
         if missing:
             notes += [(p, f"missing column {missing[0]}", None) for p in paths]
             continue
-        df = read_csv_explicit(spark, paths, schema, encoding=encoding, recursive=False)
-        df = rename_synonyms(df, synonyms, patterns)
+        # one listing of the group's files for its rows and its odd rows
+        full = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+        read = (spark.read.schema(full).option("header", True).option("encoding", encoding).option("quote", '"')
+                .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD)
+                .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                .csv(sorted({folders.get(p, p) for p in paths})))
+        df = rename_synonyms(read.drop(RECORD), synonyms, patterns)
         if file_col:
             df = df.withColumn(file_col, F.col("_metadata.file_path"))
         frames.append(df)
-        odd.append(_odd_rows(spark, paths, schema, encoding))
+        odd.append(_odd_rows(read, schema))
     rejects = spark.createDataFrame(notes, REJECT_SCHEMA)
     for rows in odd:
         rejects = rejects.unionByName(rows)
@@ -193,11 +205,30 @@ def _plain(path: str) -> str:
     return f"{uri.scheme}:{uri.netloc}{unquote(uri.path)}"
 
 
-def _odd_rows(spark: SparkSession, paths: list[str], schema: T.StructType, encoding: str) -> DataFrame:
+def _folders_of_one_group(given: str | list[str], groups: dict[str | None, list[str]]) -> dict[str, str]:
+    """File -> its folder, for files whose folder holds files of one header alone.
+
+    A listing costs a task per path, so such a folder is read by its name.  Only below
+    given folders: a given file, or a pattern, may leave out others of its folder.
+    """
+    given = [given] if isinstance(given, str) else given
+    bare = lambda p: unquote(urlparse(p).path).rstrip("/")
+    listed = {bare(p) for paths in groups.values() for p in paths}
+    if any(re.search(r"[*?\[{]", g) or bare(g) in listed for g in given):
+        return {}
+    held: dict[str, set] = {}  # folder -> headers at any depth below it
+    for header, paths in groups.items():
+        for p in paths:
+            folder = p
+            while "/" in folder:
+                folder = folder.rsplit("/", 1)[0]
+                held.setdefault(folder, set()).add(header)
+    own = {p: p.rsplit("/", 1)[0] for paths in groups.values() for p in paths}
+    return {p: folder for p, folder in own.items() if len(held[folder]) == 1}
+
+
+def _odd_rows(read: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows that have fewer or more fields than the header (S8): (path, reason, record)."""
-    full = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
-    read = (spark.read.schema(full).option("header", True).option("encoding", encoding).option("quote", '"')
-            .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD).csv(paths))
     # every column is referenced, as fields are only counted where all are wanted
     every = F.length(F.concat_ws("", *[F.col(f"`{f.name}`") for f in schema.fields])) >= 0
     rows = read.filter(every).select(F.col("_metadata.file_path").alias("path"), F.col(RECORD).alias("record"))

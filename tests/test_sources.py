@@ -241,3 +241,36 @@ def test_pretty_printed_cube_needs_whole_file_mode(spark):
     assert jsonstat.cells(whole).count() == 2
     lines = jsonstat.parse(read_documents(spark, root).select("path", "body"))
     assert lines.filter("reason IS NULL").count() == 0  # fragments of a document are rejected
+
+
+def test_folders_of_one_header_are_read_by_name(spark, tmp_path, monkeypatch):
+    """Files of one folder cost one path; mixed folders and given files are read file by file."""
+    from strata.sources import files as source
+    good, other = "Date of Sale (dd/mm/yyyy),Address\n", "Date of Sale (dd/mm/yyyy),Address,County\n"
+    for folder, heads in {"one": [good, good, good], "mixed": [good, other], "deep": [other]}.items():
+        (tmp_path / folder).mkdir()
+        for i, head in enumerate(heads):
+            (tmp_path / folder / f"{i}.csv").write_text(f"{head}01/02/2020,{folder}{i}" + (",X\n" if head is other else "\n"))
+    (tmp_path / "deep" / "below").mkdir()
+    (tmp_path / "deep" / "below" / "0.csv").write_text(f"{good}01/02/2020,below\n")
+    (tmp_path / "one" / "note.txt").write_text("not a register\n")
+    seen = []
+    kept = source._folders_of_one_group
+    monkeypatch.setattr(source, "_folders_of_one_group", lambda *a: seen.append(kept(*a)) or seen[-1])
+    rows, rejects = source.read_csv_by_header(spark, str(tmp_path), SALES_HEADER_SYNONYMS)
+    want = {"one0", "one1", "one2", "mixed0", "mixed1", "deep0", "below"}
+    assert sorted(r["address"] for r in rows.collect()) == sorted(want) and rejects.count() == 0
+    assert {os.path.basename(f) for f in seen[0].values()} == {"one", "below"} and len(seen[0]) == 4
+    some = [str(tmp_path / "one" / "0.csv"), str(tmp_path / "one" / "2.csv")]
+    rows, _ = source.read_csv_by_header(spark, some, SALES_HEADER_SYNONYMS)
+    assert sorted(r["address"] for r in rows.collect()) == ["one0", "one2"] and seen[1] == {}
+
+
+def test_odd_csv_files_are_written_by_many_tasks(spark, tmp_path):
+    from strata.plans.fixtures import write_odd_csv
+    customer = spark.range(4000).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "cast(id % 12 AS int) AS c_nationkey",
+                                            "'BUILDING' AS c_mktsegment")
+    write_odd_csv(customer, str(tmp_path / "odd"), rows_per_file=100)
+    names = [r["path"] for r in list_files(spark, str(tmp_path / "odd"), "*.txt").collect()]
+    assert len(names) == 12 * 40
+    assert len({os.path.basename(n).split("-")[1] for n in names}) > 4  # the writing tasks' numbers
