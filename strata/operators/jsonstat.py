@@ -111,23 +111,26 @@ def parse(docs: DataFrame, body_col: str = "body", sparse: bool = False, count_c
         _cube_col("value").alias("value"), F.col("_sparse").alias("sparse"), "_apart",
     )
     # Category order from one of three index spellings.
+    # Each index text is read once, and entries are sorted by sort_array, without the
+    # comparison in a lambda that array_sort makes of every pair.
     codes = F.expr("""
-        transform(ids, d -> CASE
-          WHEN ltrim(_dimension[d].category.index) LIKE '{%'
-               AND size(from_json(_dimension[d].category.index, 'map<string,int>')) > 0
+        transform(ids, d -> transform(array(named_struct(
+            'dict', CASE WHEN ltrim(_dimension[d].category.index) LIKE '{%'
+                         THEN from_json(_dimension[d].category.index, 'map<string,int>') END,
+            'list', CASE WHEN ltrim(_dimension[d].category.index) LIKE '[%'
+                         THEN from_json(_dimension[d].category.index, 'array<string>') END)), p -> CASE
+          WHEN size(p.dict) > 0
             THEN transform(
-                   array_sort(transform(
-                     flatten(transform(array(array_sort(transform(
-                       map_entries(from_json(_dimension[d].category.index, 'map<string,int>')),
+                   sort_array(transform(
+                     flatten(transform(array(sort_array(transform(
+                       map_entries(p.dict),
                        (e, i) -> named_struct('code', e.key, 'at', i, 'pos', e.value)))),
                        a -> filter(a, (e, i) -> i + 1 = size(a) OR get(a, i + 1).code <> e.code))),
                      e -> named_struct('pos', e.pos, 'code', e.code))),
                    e -> e.code)
-          WHEN ltrim(_dimension[d].category.index) LIKE '[%'
-               AND size(from_json(_dimension[d].category.index, 'array<string>')) > 0
-            THEN from_json(_dimension[d].category.index, 'array<string>')
+          WHEN size(p.list) > 0 THEN p.list
           ELSE coalesce(array_distinct(map_keys(_dimension[d].category.label)), array())
-        END)""")
+        END)[0])""")
     parsed = parsed.select(
         *keep, "doc", "_error", "_null_doc", "ids", "sizes", "_dimension", "value", "sparse", "_apart",
         codes.alias("codes"),
@@ -170,6 +173,14 @@ def parse(docs: DataFrame, body_col: str = "body", sparse: bool = False, count_c
     return parsed.select(*keep, F.inline(F.array(F.struct(*out, reason.alias("reason")))))
 
 
+def parsed_once(parsed: DataFrame) -> DataFrame:
+    """``parsed`` written to the scratch folder, for uses that read it several times:
+    columns, categories and cells would each read and parse all documents again."""
+    path = scratch_path(parsed.sparkSession, "parsed")
+    parsed.write.parquet(path)
+    return parsed.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 def rejects(parsed: DataFrame) -> DataFrame:
     """Documents that cannot be unpacked, with their reason."""
     keep = [c for c in parsed.columns if c not in _META_COLS]
@@ -344,5 +355,5 @@ def unpack(docs: DataFrame, body_col: str = "body", columns: list[tuple[str, str
     a document is null in its rows.  Pass ``columns`` to skip the small
     discovery job that names the columns.
     """
-    parsed = parse(docs, body_col, sparse)
+    parsed = parsed_once(parse(docs, body_col, sparse))
     return widen(parsed, dimension_columns(parsed) if columns is None else columns, keep=keep)

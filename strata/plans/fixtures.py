@@ -370,7 +370,7 @@ def part_month_cube_docs(lineitem: DataFrame, keys_per_doc: int = 20_000) -> Dat
     cells = lineitem.groupBy(
         F.date_format("l_shipdate", "yyyy'M'MM").alias("m_code"), F.date_format("l_shipdate", "yyyy MMMM").alias("m_label"),
         F.floor(F.col("l_partkey") / keys_per_doc).alias("range"), F.col("l_partkey")).agg(F.sum("l_quantity").alias("v"))
-    docs = cells.groupBy("m_code", "m_label", "range").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "v"))).alias("c"))
+    docs = cells.groupBy("m_code", "m_label", "range").agg(F.sort_array(F.collect_list(F.struct("l_partkey", "v"))).alias("c"))
     codes = F.transform("c", lambda x: F.concat(F.lit("P"), x["l_partkey"]))
     labels = F.map_from_arrays(codes, F.transform("c", lambda x: F.concat(F.lit("Part "), x["l_partkey"])))
     index = F.map_from_arrays(codes, F.sequence(F.lit(0), F.size("c") - 1))

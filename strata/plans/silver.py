@@ -33,7 +33,7 @@ def cube_silver(docs: DataFrame, dataset: str, run_date: str,
     not be unpacked and why.  See :func:`cube_silver_parsed` to parse once
     and reuse the result for several outputs.
     """
-    return cube_silver_parsed(jsonstat.parse(docs.select("path", "body")), dataset, run_date, columns)
+    return cube_silver_parsed(jsonstat.parsed_once(jsonstat.parse(docs.select("path", "body"))), dataset, run_date, columns)
 
 
 def cube_silver_parsed(parsed: DataFrame, dataset: str, run_date: str,

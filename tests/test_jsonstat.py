@@ -164,3 +164,11 @@ def test_wide_dimension_is_linear_and_spread(spark, docs):
     run(1000)
     small, large = run(8000), run(64_000)
     assert large < 8 * small + 10  # a quadratic unpack would take 64 times as long
+
+
+def test_unpack_parses_documents_once(docs):
+    """Columns, categories and cells read the parsed documents; none parses them again."""
+    text = '{"id":["A"],"size":[3],"value":[1,2,3],"dimension":{"A":{"label":"A","category":{"index":{"z":2,"x":0,"y":1}}}}}'
+    wide = jsonstat.unpack(docs(text))
+    assert "from_json" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["a"], r["metric_value"]) for r in wide.collect()) == [("x", 1.0), ("y", 2.0), ("z", 3.0)]
