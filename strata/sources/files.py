@@ -51,9 +51,9 @@ def file_headers(spark: SparkSession, paths: str | list[str], encoding: str = LA
     ``paths`` are files, or with ``glob`` also folders, looked through at any depth.
 
     The header is the first line with text, read with Spark's own text source
-    (any file system and line ending it reads, no length limit): a partial
-    aggregate per file over the split that starts it, so one row per file
-    is shuffled.  Costs a pass over the bytes and keeps the driver out of it.
+    (any file system and line ending it reads, no length limit): the least line number
+    per file over the split that starts it, so one number per file is
+    shuffled.  Costs two passes over the bytes and keeps the driver out of it.
     """
     reader = spark.read
     if glob is not None:
@@ -61,9 +61,12 @@ def file_headers(spark: SparkSession, paths: str | list[str], encoding: str = LA
     lines = (reader.text(paths)
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
                      F.decode(F.col("value").cast("binary"), encoding).alias("line"))
-             .filter((F.col("_start") == 0) & F.col("line").rlike(r"\S"))
              .withColumn("_n", F.monotonically_increasing_id()))
-    first = lines.groupBy("path").agg(F.min_by("line", "_n").alias("header"))
+    # least numbers are found without a sort, which the least line by number would take; the
+    # second pass picks these lines
+    texts = lines.filter((F.col("_start") == 0) & F.col("line").rlike(r"\S"))
+    firsts = texts.groupBy("path").agg(F.min("_n").alias("_n"))
+    first = lines.join(F.broadcast(firsts.select("_n")), "_n").select("path", F.col("line").alias("header"))
     mark = "\ufeff" if encoding.upper().startswith("UTF") else "\xef\xbb\xbf"
     return first.select("path", F.regexp_replace("header", f"^{mark}", "").alias("header"))
 

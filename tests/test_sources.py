@@ -274,3 +274,22 @@ def test_odd_csv_files_are_written_by_many_tasks(spark, tmp_path):
     names = [r["path"] for r in list_files(spark, str(tmp_path / "odd"), "*.txt").collect()]
     assert len(names) == 12 * 40
     assert len({os.path.basename(n).split("-")[1] for n in names}) > 4  # the writing tasks' numbers
+
+
+def test_headers_are_found_without_a_sort(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f"\n  \nhead {i},x\nrow,1\n")
+    (tmp_path / "blank.csv").write_text(" \n\n")
+    heads = file_headers(spark, [str(tmp_path / f"{n}.csv") for n in (0, 1, 2, "blank")])
+    assert sorted(r["header"] for r in heads.collect()) == ["head 0,x", "head 1,x", "head 2,x"]
+    assert "Sort" not in heads._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bronze_text_is_written_by_many_tasks(spark, tmp_path):
+    from strata.plans.fixtures import write_rent_extract
+    orders = spark.range(0, 200_000, 1, 1).selectExpr(
+        "id AS o_orderkey", "timestamp'1995-01-01' AS o_orderdate", "'F' AS o_orderstatus", "'1-URGENT' AS o_orderpriority",
+        "cast(id AS double) AS o_totalprice")
+    write_rent_extract(orders, str(tmp_path / "rents"))
+    assert list_files(spark, str(tmp_path / "rents")).count() > 1
+    assert spark.read.option("header", True).csv(str(tmp_path / "rents")).count() == 200_000
